@@ -40,10 +40,12 @@ def scd1_state(
     )
     if state is not None:
         rows = rows.unionByName(state)
-    newest_truncate = rows.filter("__truncate").agg(F.max("__seq").alias("s")).first()["s"] if (truncates or state) else None
+    newest_truncate = None
+    if truncates is not None or state is not None:
+        newest_truncate = rows.filter("__truncate").agg(F.max("__seq").alias("s")).first()["s"]
     plain = rows.filter("NOT __truncate")
     if newest_truncate is not None:
-        plain = plain.filter(F.col("__seq") > F.lit(newest_truncate))
+        plain = plain.filter(F.col("__seq") > F.lit(newest_truncate).cast(rows.schema["__seq"].dataType))
     newest = latest(plain, keys, [F.desc("__seq"), F.desc("__tie")])
     if newest_truncate is None:
         return newest
