@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .merge import Delete, Insert, Update, merge
-from .ordered import latest, neighbours
+from .ordered import latest, neighbours, plan_slices
 from .versions import difference
 
 
@@ -85,7 +85,8 @@ def scd2(
         *keys, *columns, F.col(sequence).alias("__START_AT"), _flag(deletes).alias("_del"),
         F.struct(*[F.col(c) for c in tracked] or [F.lit(0)]).alias("_sig"),
     )
-    linked = neighbours(rows, keys, ["__START_AT"], ["_sig", "_del", "__START_AT"]).filter("NOT _del")
+    slicing = plan_slices(rows, keys, "__START_AT")
+    linked = neighbours(rows, keys, ["__START_AT"], ["_sig", "_del", "__START_AT"], slicing=slicing).filter("NOT _del")
 
     def joins(side: str) -> Column:
         same = F.col(f"{side}._sig").eqNullSafe(F.col("_sig"))
@@ -99,12 +100,11 @@ def scd2(
         .filter("_starts OR _ends")
     )
     if not track_except:
-        carry = ["__END_AT"]
-        pairs = neighbours(ends, keys, ["__START_AT"], carry).filter("_starts")
+        pairs = neighbours(ends, keys, ["__START_AT"], ["__END_AT"], slicing=slicing).filter("_starts")
         end = F.when(F.col("_ends"), F.col("__END_AT")).otherwise(F.col("_next.__END_AT"))
         return pairs.select(*keys, *columns, "__START_AT", end.alias("__END_AT"))
     carry = ["__END_AT", *track_except]
-    pairs = neighbours(ends, keys, ["__START_AT"], carry).filter("_starts")
+    pairs = neighbours(ends, keys, ["__START_AT"], carry, slicing=slicing).filter("_starts")
 
     def last(c: str) -> Column:
         return F.when(F.col("_ends"), F.col(c)).otherwise(F.col(f"_next.{c}")).alias(c)

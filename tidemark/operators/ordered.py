@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -19,7 +20,7 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int =
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def _position(df: DataFrame, column: str) -> Column:
+def position(df: DataFrame, column: str) -> Column:
     """A number that never decreases along the order of ``column``."""
     kind, col = df.schema[column].dataType, F.col(column)
     if isinstance(kind, T.NumericType):
@@ -34,31 +35,46 @@ def _position(df: DataFrame, column: str) -> Column:
     return F.conv(prefix, 16, 10).cast("double")
 
 
-def _slice_column(df: DataFrame, keys: Sequence[str], order: str, hot: Sequence[int], slices: int) -> Column:
-    """Slice number along ``order`` for hot keys, 0 for all others.
+@dataclass(frozen=True)
+class Slicing:
+    """Hot keys of a frame, by hash, each with the points at which its timeline is cut."""
 
-    The cut points are approximate quantiles, one short list per hot key, and
-    the list of hot keys is bounded, so they travel inside the expression.
+    keys: tuple[str, ...]
+    order: str
+    cuts: dict[int, list[float]]
+
+    def add(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with its slice number: 0 for every key that is not hot."""
+        if not self.cuts:
+            return df.withColumn(name, F.lit(0))
+        # At most 1/share rows of a few numbers each.
+        table = df.sparkSession.createDataFrame(list(self.cuts.items()), "_h long, _cuts array<double>")
+        value = position(df, self.order)
+        passed = F.size(F.filter("_cuts", lambda c: c <= value))
+        number = F.when(F.col("_cuts").isNull() | value.isNull(), F.lit(0)).otherwise(passed)
+        located = df.join(F.broadcast(table), key_hash(self.keys) == F.col("_h"), "left")
+        return located.withColumn(name, number).drop("_h", "_cuts")
+
+
+def plan_slices(df: DataFrame, keys: Sequence[str], order: str, share: float = 0.02, slices: int = 32) -> Slicing:
+    """Find the hot keys and cut each one along ``order`` at approximate quantiles.
+
+    ``share`` bounds the number of hot keys and ``slices`` the cuts of each.
+    Any frame with these columns can use the result.
     """
+    keys = tuple(keys)
+    hot = hot_hashes(df, keys, share)
     if not hot:
-        return F.lit(0)
+        return Slicing(keys, order, {})
     cuts = [i / slices for i in range(1, slices)]
     rows = (
-        df.withColumn("_pos", _position(df, order))
-        .filter(key_hash(keys).isin(list(hot)))
-        .groupBy(key_hash(keys).alias("_h"))
+        df.select(key_hash(keys).alias("_h"), position(df, order).alias("_pos"))
+        .filter(F.col("_h").isin(list(hot)))
+        .groupBy("_h")
         .agg(F.percentile_approx("_pos", cuts, 1000).alias("cuts"))
         .collect()
     )
-    position, number = _position(df, order), None
-    for row in rows:
-        points = sorted(set(row["cuts"] or []))
-        inside = F.size(F.filter(F.array(*[F.lit(p) for p in points]), lambda p: p <= position)) if points else F.lit(0)
-        branch = key_hash(keys) == F.lit(row["_h"])
-        number = F.when(branch, inside) if number is None else number.when(branch, inside)
-    if number is None:
-        return F.lit(0)
-    return F.coalesce(F.when(position.isNull(), F.lit(0)).otherwise(number), F.lit(0))
+    return Slicing(keys, order, {r["_h"]: sorted(set(r["cuts"] or [])) for r in rows})
 
 
 def neighbours(
@@ -68,7 +84,7 @@ def neighbours(
     carry: Sequence[str],
     share: float = 0.02,
     slices: int = 32,
-    hot: Sequence[int] | None = None,
+    slicing: Slicing | None = None,
 ) -> DataFrame:
     """Add ``_prev`` and ``_next``: structs of ``carry`` from the adjacent rows of a key.
 
@@ -78,8 +94,9 @@ def neighbours(
     last row of every slice.
     """
     keys, order, carry = list(keys), list(order), list(carry)
-    hot = hot_hashes(df, keys, share) if hot is None else list(hot)
-    cut = df.withColumn("_slice", _slice_column(df, keys, order[0], hot, slices))
+    slicing = slicing or plan_slices(df, keys, order[0], share, slices)
+    hot = list(slicing.cuts)
+    cut = slicing.add(df, "_slice")
     w = Window.partitionBy(*keys, "_slice").orderBy(*order)
     payload = F.struct(*carry)
     out = cut.withColumn("_prev", F.lag(payload).over(w)).withColumn("_next", F.lead(payload).over(w))

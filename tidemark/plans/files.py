@@ -1 +1,149 @@
-"""To be filled."""
+"""Layout jobs; each query proves that the rows are the same and the files better."""
+
+from pyspark.sql import functions as F
+
+from ..operators import layout as lay
+from ..sources.files import write_partitioned
+from .registry import query
+
+CONTENT = """SELECT count(*) AS n, sum(o_orderkey) AS keys, round(sum(o_totalprice), 2) AS total FROM orders"""
+
+
+def _content(df):
+    return df.agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.round(F.sum("o_totalprice"), 2).alias("total")
+    )
+
+
+def _many_files(t, name, parts=24):
+    path = t.scratch(name)
+    t.orders.repartition(parts).write.parquet(path)
+    return path
+
+
+@query("file_stats", """
+    SELECT 'o_orderstatus=' || o_orderstatus AS "partition", true AS has_files, true AS consistent FROM orders GROUP BY 1""")
+def file_stats(t):
+    path = t.scratch("stats")
+    write_partitioned(t.orders, path, ["o_orderstatus"])
+    s = lay.file_stats(t.spark, path)
+    same = F.abs(F.col("avg_bytes") * F.col("files") - F.col("bytes")) < 1
+    return s.select("partition", (F.col("files") > 0).alias("has_files"), same.alias("consistent"))
+
+
+@query("column_file_stats", """
+    SELECT count(*) AS n, min(o_totalprice) AS low, max(o_totalprice) AS high, 24 AS files, 0 AS nulls FROM orders""")
+def column_file_stats(t):
+    stats = lay.column_file_stats(t.spark.read.parquet(_many_files(t, "colstats")), ["o_totalprice"])
+    return stats.agg(
+        F.sum("rows").alias("n"), F.min("min_o_totalprice").alias("low"), F.max("max_o_totalprice").alias("high"),
+        F.count(F.lit(1)).alias("files"), F.sum("nulls_o_totalprice").alias("nulls"),
+    )
+
+
+@query("skip_plan", """
+    SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice BETWEEN 50000 AND 60000""")
+def skip_plan(t):
+    path = t.scratch("sorted")
+    t.orders.repartitionByRange(16, "o_totalprice", "o_orderkey").write.parquet(path)
+    df = t.spark.read.parquet(path)
+    stats = lay.column_file_stats(df, ["o_totalprice"])
+    found = lay.read_skipping(t.spark, path, df.schema, stats, {"o_totalprice": (50000, 60000)})
+    return found.select("o_orderkey", "o_totalprice")
+
+
+@query("partition_advice", """
+    SELECT 'o_orderstatus' AS "column", true AS advised FROM orders GROUP BY 1 UNION ALL SELECT 'o_orderkey', false""")
+def partition_advice(t):
+    size = 2000 * lay.GB
+    return lay.partition_advice(t.orders, ["o_orderstatus", "o_orderkey"], size).select("column", "advised")
+
+
+@query("compact", f"""
+    SELECT *, true AS fewer, 0 AS again FROM ({CONTENT})""")
+def compact(t):
+    path = _many_files(t, "compact")
+    target = max(lay.table_bytes(t.spark, path) // 3, 1)
+    first = lay.compact(t.spark, path, target)
+    again = lay.compact(t.spark, path, target)
+    fewer = first["files_added"] < first["files_removed"]
+    return _content(t.spark.read.parquet(path)).withColumn("fewer", F.lit(fewer)).withColumn(
+        "again", F.lit(again["files_removed"])
+    )
+
+
+@query("compact_partition", """
+    SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total, o_orderstatus = 'F' AS merged
+    FROM orders GROUP BY 1""")
+def compact_partition(t):
+    path = t.scratch("compact-part")
+    t.orders.repartition(12).write.partitionBy("o_orderstatus").parquet(path)
+    lay.compact(t.spark, path, 64 * lay.MB, folder_like="o_orderstatus=F")
+    df = t.spark.read.parquet(path)
+    per = df.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"),
+        F.countDistinct("_metadata.file_path").alias("files"),
+    )
+    return per.select("o_orderstatus", "n", "total", (F.col("files") < 12).alias("merged"))
+
+
+@query("target_file_size", """
+    SELECT o_orderkey, round(CASE WHEN o_totalprice / 10 < 2560 THEN 256.0 WHEN o_totalprice / 10 > 10000 THEN 1024.0
+      ELSE 256.0 + (o_totalprice / 10 - 2560) / 7440.0 * 768.0 END, 6) AS target_mb FROM orders""")
+def target_file_size(t):
+    return t.orders.select("o_orderkey", F.round(lay.target_file_mb(F.col("o_totalprice") / 10), 6).alias("target_mb"))
+
+
+@query("write_right_sized", """
+    SELECT o_orderstatus, count(*) AS n, true AS few FROM orders GROUP BY 1""")
+def write_right_sized(t):
+    path = t.scratch("rightsized")
+    lay.write_right_sized(t.orders.repartition(16), path, ["o_orderstatus"])
+    per = t.spark.read.parquet(path).groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("_metadata.file_path").alias("files"), F.sum(F.lit(64)).alias("bytes")
+    )
+    few = F.col("files") <= 2 + F.col("bytes") / F.lit(64 * lay.MB)
+    return per.select("o_orderstatus", "n", few.alias("few"))
+
+
+@query("zorder_rewrite", f"SELECT *, true AS skips_more FROM ({CONTENT})")
+def zorder_rewrite(t):
+    path = _many_files(t, "zorder", 16)
+    ranges = {"o_custkey": (100, 120), "o_totalprice": (20000, 40000)}
+
+    def kept():
+        stats = lay.column_file_stats(t.spark.read.parquet(path), list(ranges))
+        return lay.skip_plan(stats, ranges).count()
+
+    before = kept()
+    lay.zorder_rewrite(t.spark, path, ["o_custkey", "o_totalprice"], 16)
+    return _content(t.spark.read.parquet(path)).withColumn("skips_more", F.lit(kept() < before))
+
+
+@query("cluster_rewrite", f"""
+    SELECT 2 * n AS n, 2 * keys AS keys, round(2 * total, 2) AS total, true AS only_new, true AS full_all FROM ({CONTENT})""")
+def cluster_rewrite(t):
+    path = _many_files(t, "cluster", 8)
+    keys = ["o_orderstatus", "o_totalprice"]
+    lay.cluster_rewrite(t.spark, path, keys, 4)
+    done = lay.file_count(t.spark, path)
+    t.orders.repartition(3).write.mode("append").parquet(path)
+    second = lay.cluster_rewrite(t.spark, path, keys, 2)
+    total = lay.file_count(t.spark, path)
+    third = lay.cluster_rewrite(t.spark, path, ["o_custkey"], 4, full=True)
+    return (
+        _content(t.spark.read.parquet(path))
+        .withColumn("only_new", F.lit(second["files_removed"] == 3 and done <= 4))
+        .withColumn("full_all", F.lit(third["files_removed"] == total))
+    )
+
+
+@query("purge_deletes", """
+    SELECT o_orderkey, o_totalprice FROM orders
+    WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal < 0)""")
+def purge_deletes(t):
+    path = t.scratch("purge")
+    t.orders.repartitionByRange(12, "o_custkey", "o_orderkey").write.parquet(path)
+    gone = t.customer.filter("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
+    lay.purge_deletes(t.spark, path, gone, ["o_custkey"])
+    return t.spark.read.parquet(path).select("o_orderkey", "o_totalprice")

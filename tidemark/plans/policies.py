@@ -1 +1,218 @@
-"""To be filled."""
+"""Masks, row filters, tag policies and access over the star-schema tables."""
+
+from pyspark.sql import functions as F
+
+from ..operators import governance as g
+from .registry import query
+
+ANALYST = g.Principal("Customer#000000007", frozenset({"ASIA_readers", "analysts", "building_grp"}))
+
+
+@query("mask_by_group", "SELECT c_custkey, c_name, '***' AS c_mktsegment FROM customer")
+def mask_by_group(t):
+    return t.customer.select(
+        "c_custkey", g.mask_for_group("c_name", ANALYST, "analysts").alias("c_name"),
+        g.mask_for_group("c_mktsegment", ANALYST, "admins").alias("c_mktsegment"),
+    )
+
+
+PLACED = """placed AS (SELECT c.*, r_name FROM customer c JOIN nation ON c_nationkey = n_nationkey
+    JOIN region ON n_regionkey = r_regionkey)"""
+
+
+def placed(t):
+    where = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
+    return t.customer.join(where, F.col("c_nationkey") == F.col("n_nationkey")).drop("n_nationkey")
+
+
+@query("mask_by_row_group", f"""
+    WITH {PLACED} SELECT c_custkey, r_name, CASE WHEN r_name = 'ASIA' THEN c_name ELSE '***' END AS c_name FROM placed""")
+def mask_by_row_group(t):
+    return placed(t).select("c_custkey", "r_name", g.mask_by_row_group("c_name", ANALYST, "r_name", "_readers").alias("c_name"))
+
+
+@query("mask_partial", """
+    SELECT c_custkey, left(c_mktsegment, 1) || '****' AS segment, '***-**-' || right(c_name, 4) AS name FROM customer""")
+def mask_partial(t):
+    return t.customer.select(
+        "c_custkey", g.first_letter(F.col("c_mktsegment")).alias("segment"), g.last_digits(F.col("c_name")).alias("name")
+    )
+
+
+@query("mask_coarse", """
+    SELECT c_custkey, c_acctbal AS as_hr, round(c_acctbal / 1000) * 1000 AS as_manager, 0.0 AS as_viewer FROM customer""")
+def mask_coarse(t):
+    balance = F.col("c_acctbal")
+    return t.customer.select("c_custkey", *[g.coarse(balance, r).alias(f"as_{r}") for r in ("hr", "manager", "viewer")])
+
+
+@query("mask_by_type", """
+    SELECT o_orderkey, CAST(0 AS BIGINT) AS o_custkey, NULL AS o_orderstatus, 0.0 AS o_totalprice, DATE '1970-01-01' AS day
+    FROM orders""")
+def mask_by_type(t):
+    df = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("day"))
+    return g.mask_by_type(df, ["o_custkey", "o_orderstatus", "o_totalprice", "day"])
+
+
+@query("row_filter_mapping", """
+    SELECT s_suppkey, s_name, s_nationkey FROM supplier
+    WHERE s_nationkey IN (SELECT c_nationkey FROM customer WHERE lower(c_name) = lower('CUSTOMER#000000007'))""")
+def row_filter_mapping(t):
+    me = g.Principal("CUSTOMER#000000007")
+    mapping = t.customer.select("c_name", F.col("c_nationkey").cast("string").alias("nation"))
+    kept = g.rows_by_mapping(t.supplier.withColumn("n", F.col("s_nationkey").cast("string")), mapping, "c_name", "nation", "n", me)
+    return kept.select("s_suppkey", "s_name", "s_nationkey")
+
+
+@query("row_filter_expr", f"""
+    WITH {PLACED} SELECT c_custkey, r_name FROM placed WHERE NOT (r_name ILIKE '%EUROPE%')""")
+def row_filter_expr(t):
+    return g.rows_by_rule(placed(t), "NOT (r_name ILIKE '%EUROPE%')").select("c_custkey", "r_name")
+
+
+@query("dynamic_view", f"""
+    WITH {PLACED} SELECT c_custkey, r_name, '***' AS c_name, c_acctbal FROM placed WHERE r_name = 'ASIA'""")
+def dynamic_view(t):
+    df = placed(t).select("c_custkey", "r_name", "c_name", "c_acctbal")
+
+    def rows(p):
+        return F.lit(True) if p.member("admins") else F.col("r_name").isin([x.removesuffix("_readers") for x in p.groups])
+
+    masks = {
+        "c_name": lambda c, p: g.mask_for_group(c, p, "admins"),
+        "c_acctbal": lambda c, p: c if p.member("analysts") else F.lit(0.0),
+    }
+    return g.dynamic_view(df, ANALYST, rows, masks)
+
+
+TAGS = (
+    g.Tag("customer", "c_name", "domain", "HR"), g.Tag("customer", "c_name", "sensitivity", "internal"),
+    g.Tag("customer", "c_mktsegment", "domain", "finance"), g.Tag("customer", "c_mktsegment", "sensitivity", "confidential"),
+    g.Tag("customer", "c_acctbal", "domain", "finance"), g.Tag("customer", "c_acctbal", "sensitivity", "internal"),
+    g.Tag("customer", "c_nationkey", "geo", "nation"), g.Tag("customer", None, "certified", "yes"),
+)
+
+
+def _policies():
+    internal, secret = {"sensitivity": "internal"}, {"sensitivity": "confidential"}
+    return (
+        g.Policy("internal_hr", "mask", g.first_letter, {"domain": "HR", **internal}, but=("hr_grp",)),
+        g.Policy("secret_finance", "mask", g.full_mask, {"domain": "finance", **secret}, but=("finance_grp",)),
+        g.Policy("internal_finance", "mask", lambda c: g.coarse(c, "manager"), {"domain": "finance", **internal}, but=("finance_grp",)),
+        g.Policy("rich_only", "filter", lambda nation, balance: (nation < 20) & (balance > 100), {"geo": "nation"},
+                 to=("analysts",), when={"certified": "yes"}, using=("c_acctbal",)),
+    )
+
+
+@query("abac_apply", """
+    SELECT c_custkey, left(c_name, 1) || '****' AS c_name, c_nationkey, round(c_acctbal / 1000) * 1000 AS c_acctbal,
+           '****' AS c_mktsegment FROM customer WHERE c_nationkey < 20 AND c_acctbal > 100""")
+def abac_apply(t):
+    return g.abac_apply(t.customer, "customer", TAGS, _policies(), ANALYST)
+
+
+@query("abac_apply_owner", """
+    SELECT c_custkey, left(c_name, 1) || '****' AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def abac_apply_owner(t):
+    return g.abac_apply(t.customer, "customer", TAGS, _policies(), g.Principal("fin", frozenset({"finance_grp"})))
+
+
+@query("abac_conflicts", "SELECT c_mktsegment, count(*) AS n, true AS blocked FROM customer GROUP BY 1")
+def abac_conflicts(t):
+    extra = g.Policy("second", "mask", g.full_mask, {"domain": "HR"})
+    try:
+        g.abac_apply(t.customer, "customer", TAGS, (*_policies(), extra), ANALYST)
+        blocked = False
+    except g.PolicyConflict:
+        blocked = True
+    return t.customer.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.lit(blocked).alias("blocked"))
+
+
+@query("effective_policies", """
+    WITH ct AS (SELECT 'part_' || p_partkey AS "table", p_name AS "column", 'brand' AS tag, p_brand AS value FROM part
+                UNION ALL SELECT 'part_' || p_partkey, p_name, 'type', p_type FROM part),
+         pt AS (SELECT DISTINCT 'mask_' || p_brand AS policy, 'brand' AS tag, p_brand AS value FROM part
+                UNION ALL SELECT DISTINCT 'mask_' || p_brand, 'type', 'ECONOMY' FROM part),
+         sc AS (SELECT 'mask_' || p_brand AS policy, 'size_' || p_size AS principal, bool_or(p_retailprice > 1300) AS ex
+                FROM part GROUP BY ALL)
+    SELECT h.policy, "table", "column", principal FROM (
+      SELECT policy, "table", "column", count(DISTINCT tag) AS hits FROM ct JOIN pt USING (tag, value) GROUP BY ALL) h
+    JOIN sc ON sc.policy = h.policy WHERE hits = 2 AND NOT ex""")
+def effective_policies(t):
+    part = t.part
+    table = F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("table")
+    column = F.col("p_name").alias("column")
+    tags = part.select(table, column, F.lit("brand").alias("tag"), F.col("p_brand").alias("value")).unionAll(
+        part.select(table, column, F.lit("type").alias("tag"), F.col("p_type").alias("value"))
+    )
+    policy = F.concat(F.lit("mask_"), "p_brand").alias("policy")
+    needed = part.select(policy, F.lit("brand").alias("tag"), F.col("p_brand").alias("value")).unionAll(
+        part.select(policy, F.lit("type").alias("tag"), F.lit("ECONOMY").alias("value"))
+    ).distinct()
+    who = F.concat(F.lit("size_"), F.col("p_size").cast("string")).alias("principal")
+    scopes = part.select(policy, who, (F.col("p_retailprice") > 1300).alias("excepted"))
+    return g.effective_policies(tags, needed, scopes)
+
+
+def access_frames(t):
+    """Region = catalog, nation = schema, supplier = table; customers are users, market segments are groups."""
+    catalog = F.concat(F.lit("r"), F.col("n_regionkey").cast("string"))
+    schema = F.concat(F.lit("n"), F.col("n_nationkey").cast("string"))
+    table = F.concat(F.lit("s"), F.col("s_suppkey").cast("string"))
+    user = F.concat(F.lit("c"), F.col("c_custkey").cast("string"))
+    tree = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        table.alias("object"), F.explode(F.array(table, schema, catalog)).alias("ancestor")
+    )
+    members = t.customer.select(user.alias("user"), F.explode(F.array(user, F.col("c_mktsegment"))).alias("principal"))
+    homes = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    grants = (
+        homes.filter("c_acctbal > 9000").select(F.col("c_mktsegment").alias("principal"), F.lit("USE CATALOG").alias("privilege"), catalog.alias("object"))
+        .unionAll(homes.select(user, F.lit("USE SCHEMA"), schema))
+        .unionAll(homes.filter("c_acctbal > 5000").select(user, F.lit("ALL PRIVILEGES"), schema))
+    )
+    bought = t.lineitem.select("l_orderkey", "l_suppkey").join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    direct = bought.select(
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")), F.lit("SELECT"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
+    )
+    return grants.unionAll(direct).distinct(), tree, members
+
+
+@query("effective_access", """
+    WITH home AS (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey),
+      gr AS (SELECT DISTINCT c_mktsegment AS principal, 'UC' AS need, 'r' || n_regionkey AS obj FROM home WHERE c_acctbal > 9000
+        UNION SELECT 'c' || c_custkey, 'US', 'n' || n_nationkey FROM home
+        UNION SELECT 'c' || c_custkey, unnest(['UC', 'US', 'SE']), 'n' || n_nationkey FROM home WHERE c_acctbal > 5000
+        UNION SELECT 'c' || o_custkey, 'SE', 's' || l_suppkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+      tree AS (SELECT 's' || s_suppkey AS obj, unnest(['s' || s_suppkey, 'n' || n_nationkey, 'r' || n_regionkey]) AS anc
+               FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+      mem AS (SELECT 'c' || c_custkey AS usr, unnest(['c' || c_custkey, c_mktsegment]) AS principal FROM customer)
+    SELECT usr AS "user", tree.obj AS "object" FROM gr JOIN tree ON gr.obj = anc JOIN mem USING (principal)
+    GROUP BY ALL HAVING count(DISTINCT need) = 3""")
+def effective_access(t):
+    grants, tree, members = access_frames(t)
+    needs = {"USE CATALOG": ["ALL PRIVILEGES"], "USE SCHEMA": ["ALL PRIVILEGES"], "SELECT": ["ALL PRIVILEGES"]}
+    return g.effective_access(grants, tree, members, needs)
+
+
+@query("tag_inventory", """
+    SELECT 'customer' AS "table", * FROM (VALUES ('c_name', 'domain', 'HR'), ('c_name', 'sensitivity', 'internal'),
+      ('c_mktsegment', 'domain', 'finance'), ('c_mktsegment', 'sensitivity', 'confidential'), ('c_acctbal', 'domain', 'finance'),
+      ('c_acctbal', 'sensitivity', 'internal'), ('c_nationkey', 'geo', 'nation')) v("column", tag, value),
+      (SELECT count(*) AS n_rows, count(DISTINCT c_nationkey) AS n_nations FROM customer)""")
+def tag_inventory(t):
+    tags = g.tag_inventory(t.spark, TAGS).filter("column IS NOT NULL")
+    facts = t.customer.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("c_nationkey").alias("n_nations")).first()
+    return tags.withColumn("n_rows", F.lit(facts["n_rows"])).withColumn("n_nations", F.lit(facts["n_nations"]))
+
+
+@query("schema_inventory")
+def schema_inventory(t):
+    names = ["customer", "orders", "lineitem", "events", "documents"]
+    columns = g.schema_inventory(t.spark, {n: getattr(t, n) for n in names})
+    filled = None
+    for n in names:
+        df = getattr(t, n)
+        counts = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "column", "n_filled")
+        counts = counts.withColumn("table", F.lit(n))
+        filled = counts if filled is None else filled.unionByName(counts)
+    return columns.join(filled, ["table", "column"])
