@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..session import materialize
+
 
 @dataclass(frozen=True)
 class Principal:
@@ -243,6 +245,7 @@ def effective_access(grants: DataFrame, hierarchy: DataFrame, members: DataFrame
         .select("principal", F.col("object").alias("ancestor"), F.col("_n.need").alias("need"))
         .distinct()
     )
+    held = materialize(held, "grants")  # every privilege below reads it again
     users = members.groupBy("principal").agg(F.count(F.lit(1)).alias("_u"))
     below = hierarchy.groupBy("ancestor").agg(F.count(F.lit(1)).alias("_o"))
     spans = held.join(users, "principal").join(below, "ancestor").groupBy("need").agg(

@@ -93,11 +93,19 @@ def write_partitioned(
 
 
 def write_bucketed(
-    df: DataFrame, table: str, path: str, buckets: int, keys: Sequence[str], sort: Sequence[str] = (), spread: int = 4
+    df: DataFrame, table: str, path: str, buckets: int, keys: Sequence[str], sort: Sequence[str] = (), spread: int = 1
 ) -> None:
-    """Bucketed and sorted table. ``spread`` tasks write each bucket, so a hot bucket is not one task's work."""
-    salted = df.withColumn("_salt", row_salt(df, spread))
-    laid = salted.repartition(buckets * spread, *[F.col(k) for k in keys], F.col("_salt")).drop("_salt")
+    """Bucketed and sorted table, one file per bucket and task.
+
+    Rows are sent straight to the task of their bucket, so no task writes more
+    than one bucket. ``spread`` above 1 lets that many tasks share each bucket.
+    """
+    task = F.pmod(F.hash(*keys), F.lit(buckets)) * spread
+    laid = df
+    if spread > 1:
+        laid = laid.withColumn("_salt", row_salt(df, spread))
+        task = task + F.col("_salt")
+    laid = laid.repartitionById(buckets * spread, task.cast("int")).select(*df.columns)
     (
         laid.write.mode("overwrite")
         .format("parquet")
