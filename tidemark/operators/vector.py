@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .ordered import latest
@@ -19,11 +20,16 @@ class DimensionMismatch(ValueError):
     pass
 
 
-def check_dimensions(index: DataFrame, queries: DataFrame, vector: str) -> int:
-    sizes = index.select(F.size(vector).alias("d")).unionAll(queries.select(F.size(vector).alias("d")))
-    row = sizes.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
+def _checked(vector: str, dims: int) -> Column:
+    """The vector as doubles; a row of another length stops the job."""
+    message = F.concat(F.lit(f"expected {dims} dimensions, found "), F.size(vector).cast("string"))
+    return F.when(F.size(vector) == dims, F.col(vector).cast("array<double>")).otherwise(F.raise_error(message))
+
+
+def dimensions(queries: DataFrame, vector: str) -> int:
+    row = queries.agg(F.min(F.size(vector)).alias("lo"), F.max(F.size(vector)).alias("hi")).first()
     if row["lo"] != row["hi"]:
-        raise DimensionMismatch(f"vectors of {row['lo']} to {row['hi']} dimensions")
+        raise DimensionMismatch(f"query vectors of {row['lo']} to {row['hi']} dimensions")
     return row["hi"] or 0
 
 
@@ -56,7 +62,7 @@ class _TopK:
     def rows(self, query_ids: Sequence[int]) -> pd.DataFrame:
         parts = [(np.full(len(i), q, dtype=np.int64), i, d) for q, i, d in zip(query_ids, self.ids, self.dist)]
         if not parts:
-            return pd.DataFrame({"query_id": [], "id": [], "distance": []})
+            parts = [(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))]
         q, i, d = (np.concatenate(x) for x in zip(*parts))
         return pd.DataFrame({"query_id": q, "id": i, "distance": d})
 
@@ -67,6 +73,7 @@ def _distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 
 _HITS = "query_id long, id long, distance double"
+_HITS_ARROW = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("distance", pa.float64())])
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -133,10 +140,10 @@ def knn(
         raise ValueError(f"unknown metric {metric!r}")
     if where is not None:
         index = index.filter(where)
-    check_dimensions(index, queries, vector)
+    dims = dimensions(queries, vector)
     if metric == "cosine":
         index, queries = normalise(index, vector), normalise(queries, vector)
-    base = index.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("_v"))
+    base = index.select(F.col(key).cast("long").alias("id"), _checked(vector, dims).alias("_v"))
     asked = queries.select(F.col(query_key).cast("long").alias("query_id"), F.col(vector).cast("array<double>").alias("_v"))
     if measured_bytes(asked) <= query_bytes:
         hits = _scan_with_shared_queries(base, asked, k)
@@ -163,7 +170,7 @@ def _ranked(hits: DataFrame, k: int, first: Column) -> DataFrame:
 
 def knn_ann(
     index: DataFrame, queries: DataFrame, k: int, key: str = "id", vector: str = "embedding", query_key: str = "query_id",
-    cells: int = 16, probes: int = 4, seed: int = 3,
+    cells: int = 16, probes: int = 4, seed: int = 3, training_rows: int = 1_000_000,
 ) -> DataFrame:
     """Approximate neighbours: the index is divided into k-means cells and a query searches its nearest cells.
 
@@ -176,8 +183,11 @@ def knn_ann(
 
     base = index.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("_v"))
     asked = queries.select(F.col(query_key).cast("long").alias("query_id"), F.col(vector).cast("array<double>").alias("_v"))
+    rows = base.count()
+    # Only the cell centres are learned from a sample; every vector is placed and searched.
+    learn = base if rows <= training_rows else base.sample(training_rows / rows, seed)
     model = KMeans(k=cells, seed=seed, maxIter=10, featuresCol="_f", predictionCol="_cell").fit(
-        base.withColumn("_f", array_to_vector("_v"))
+        learn.withColumn("_f", array_to_vector("_v"))
     )
     centres = [c.tolist() for c in model.clusterCenters()]  # as many as cells
     placed = model.transform(base.withColumn("_f", array_to_vector("_v"))).select("id", "_v", "_cell")
@@ -190,7 +200,7 @@ def knn_ann(
     wanted = asked.withColumn("_near", F.slice(by_distance, 1, probes)).select(
         "query_id", "_v", F.explode(F.transform("_near", lambda s: s["c"])).alias("_cell")
     )
-    pieces = max(1, math.ceil(placed.count() / 20_000))
+    pieces = max(1, math.ceil(rows / 20_000))
     left = placed.withColumn("_p", F.pmod(F.xxhash64("id"), F.lit(pieces)).cast("int"))
     right = wanted.withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
 
@@ -222,67 +232,127 @@ def tokens(text: str | Column) -> Column:
     return F.filter(F.split(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "), " "), lambda w: w != "")
 
 
+class _WordScorer:
+    """BM25 of blocks of documents against a set of queries, in array arithmetic."""
+
+    def __init__(self, query_ids: list, words: list, k1: float, b: float, mean: float):
+        """``words`` holds one list of ``(word, idf)`` per query."""
+        self.query_ids, self.k1, self.b, self.mean = query_ids, k1, b, mean
+        self.vocabulary: dict[str, int] = {}
+        idf, at = [], []
+        for pairs in words:
+            for word, weight in pairs:
+                if word not in self.vocabulary:
+                    self.vocabulary[word] = len(self.vocabulary)
+                    idf.append(weight)
+                    at.append([])
+        for n, pairs in enumerate(words):
+            for word, _ in pairs:
+                at[self.vocabulary[word]].append(n)
+        self.idf = np.array(idf)
+        self.counts = np.array([len(x) for x in at], dtype=np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.counts)]).astype(np.int64)
+        self.asking = np.array([q for x in at for q in x], dtype=np.int64)
+
+    def add(self, ids: np.ndarray, texts: pa.ListArray, best: _TopK) -> None:
+        """Score the documents and offer the hits to ``best``."""
+        if not len(ids) or not self.vocabulary:
+            return
+        lengths = np.diff(texts.offsets.to_numpy())
+        coded = texts.flatten().dictionary_encode()
+        known = np.array([self.vocabulary.get(w, -1) for w in coded.dictionary.to_pylist()], dtype=np.int64)
+        word = known[coded.indices.to_numpy(zero_copy_only=False)] if len(known) else np.empty(0, dtype=np.int64)
+        doc = np.repeat(np.arange(len(ids)), lengths)
+        doc, word = doc[word >= 0], word[word >= 0]
+        pairs, tf = np.unique(doc * len(self.idf) + word, return_counts=True)
+        doc, word = pairs // len(self.idf), pairs % len(self.idf)
+        damping = self.k1 * (1 - self.b + self.b * lengths[doc] / self.mean)
+        weight = self.idf[word] * tf * (self.k1 + 1) / (tf + damping)
+        # Spread each (document, word) over the queries asking for the word.
+        n = self.counts[word]
+        first = np.repeat(self.starts[word] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) if len(n) else np.empty(0, dtype=np.int64)
+        query = self.asking[first + np.arange(n.sum())] if len(n) else np.empty(0, dtype=np.int64)
+        hits, inverse = np.unique(query * len(ids) + np.repeat(doc, n), return_inverse=True)
+        value = np.round(np.bincount(inverse, weights=np.repeat(weight, n), minlength=len(hits)), 9)
+        query, doc = hits // len(ids), hits % len(ids)
+        for q, part in zip(*_runs(query)):
+            best.add(int(q), ids[doc[part]], -value[part])
+
+
+def _runs(ordered: np.ndarray) -> tuple[np.ndarray, list[slice]]:
+    names, starts = np.unique(ordered, return_index=True)
+    ends = np.append(starts[1:], len(ordered))
+    return names, [slice(a, b) for a, b in zip(starts, ends)]
+
+
+_DOC_CHUNK = 1024
+
+
 def keyword_search(
     documents: DataFrame, queries: DataFrame, k: int, key: str = "id", text: str = "text", query_key: str = "query_id",
-    query_text: str = "text", k1: float = 1.2, b: float = 0.75,
+    query_text: str = "text", k1: float = 1.2, b: float = 0.75, query_bytes: int = QUERY_BYTES, block_rows: int = 20_000,
 ) -> DataFrame:
     """Best ``k`` documents per query by BM25, ties by id, with ``rank`` and ``score``.
 
-    Corpus statistics are needed for the query words only. Documents are then
-    scored where they lie: a task turns a batch into word counts, multiplies
-    them with the words of the queries and keeps its best k per query. Word
-    lists are never shuffled, however common a word is.
+    Documents are scored where they lie: a task turns a batch into word counts,
+    combines them with the words of the queries and keeps its best k per query,
+    so word lists are not shuffled, however common a word is. Query sets above
+    ``query_bytes`` meet the documents block by block instead, with the same
+    result.
     """
     docs = documents.select(F.col(key).cast("long").alias("id"), tokens(text).alias("_w"))
     asked = queries.select(
         F.col(query_key).cast("long").alias("query_id"), F.explode(F.array_distinct(tokens(query_text))).alias("word")
     )
-    if measured_bytes(asked) > QUERY_BYTES:
-        raise ValueError("split the queries: their words exceed what every task can hold")
+    small = measured_bytes(asked) <= query_bytes
     totals = docs.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("_w")).alias("mean")).first()
+    n, mean = totals["n"], totals["mean"] or 1.0
     words = asked.select("word").distinct()
     held_by = (
-        docs.select("id", F.explode(F.array_distinct("_w")).alias("word"))
-        .join(F.broadcast(words), "word", "left_semi")
+        docs.select(F.explode(F.array_distinct("_w")).alias("word"))
+        .join(F.broadcast(words) if small else words, "word", "left_semi")
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("df"))
     )
-    weights = {r["word"]: math.log(1 + (totals["n"] - r["df"] + 0.5) / (r["df"] + 0.5)) for r in held_by.collect()}
-    vocabulary = {w: i for i, w in enumerate(sorted(weights))}
-    pairs = [(r["query_id"], r["word"]) for r in asked.collect()]  # measured above
-    query_ids = sorted({q for q, _ in pairs})
-    place = {q: i for i, q in enumerate(query_ids)}
-    needed: list[list[int]] = [[] for _ in query_ids]
-    for q, w in pairs:
-        if w in vocabulary:
-            needed[place[q]].append(vocabulary[w])
-    idf = np.array([weights[w] for w in sorted(weights)])
-    mean = totals["mean"] or 1.0
-    shared = documents.sparkSession.sparkContext.broadcast((vocabulary, idf, [sorted(x) for x in needed], query_ids))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab, idfs, wanted, ids = shared.value
-        best = _TopK(len(ids), k)
-        for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.iloc[start : start + 256]
-                counts = np.zeros((len(part), len(vocab)))
-                lengths = np.empty(len(part))
-                for row, ws in enumerate(part["_w"]):
-                    lengths[row] = len(ws)
-                    seen = pd.Series(ws).map(vocab).dropna().astype(int) if len(ws) else []
-                    np.add.at(counts[row], np.asarray(seen, dtype=int), 1)
-                damped = counts * (k1 + 1) / (counts + k1 * (1 - b + b * lengths / mean)[:, None])
-                weighted = np.nan_to_num(damped) * idfs
-                names = part["id"].to_numpy()
-                for n, cols in enumerate(wanted):
-                    value = weighted[:, cols].sum(axis=1)
-                    hit = value > 0
-                    best.add(n, names[hit], -np.round(value[hit], 9))
-        yield best.rows(ids)
-
-    hits = docs.mapInPandas(score, _HITS).select("query_id", "id", (-F.col("distance")).alias("score"))
-    return _ranked(hits, k, F.desc("score"))
+    idf = held_by.select("word", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    # One list per query, as long as the query has words.
+    weighted = asked.join(idf, "word").groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("word", "idf"))).alias("words"))
+    if small:
+        rows = weighted.orderBy("query_id").collect()  # measured above
+        parts = ([r["query_id"] for r in rows], [[(p["word"], p["idf"]) for p in r["words"]] for r in rows])
+        shared = documents.sparkSession.sparkContext.broadcast(parts)
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scorer = _WordScorer(*shared.value, k1, b, mean)
+            best = _TopK(len(scorer.query_ids), k)
+            for batch in batches:
+                for start in range(0, batch.num_rows, _DOC_CHUNK):
+                    part = batch.slice(start, _DOC_CHUNK)
+                    scorer.add(part.column("id").to_numpy(zero_copy_only=False), part.column("_w"), best)
+            yield pa.RecordBatch.from_pandas(best.rows(scorer.query_ids), schema=_HITS_ARROW, preserve_index=False)
+
+        hits = docs.mapInArrow(score, _HITS)
+    else:
+        query_blocks = max(1, math.ceil(weighted.count() / block_rows))
+        doc_blocks = max(1, math.ceil(n / block_rows))
+        left = docs.withColumn("_i", F.pmod(F.xxhash64("id"), F.lit(doc_blocks)).cast("int")).withColumn(
+            "_q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
+        )
+        right = weighted.withColumn("_q", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")).withColumn(
+            "_i", F.explode(F.sequence(F.lit(0), F.lit(doc_blocks - 1)))
+        )
+
+        def meet(a: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+            pairs = [[(p["word"], p["idf"]) for p in ws] for ws in c["words"]]
+            scorer = _WordScorer(c["query_id"].tolist(), pairs, k1, b, mean)
+            best = _TopK(len(scorer.query_ids), k)
+            for start in range(0, len(a), _DOC_CHUNK):
+                part = a.iloc[start : start + _DOC_CHUNK]
+                scorer.add(part["id"].to_numpy(), pa.array(list(part["_w"]), pa.list_(pa.string())), best)
+            return best.rows(scorer.query_ids)
+
+        hits = left.groupBy("_i", "_q").cogroup(right.groupBy("_i", "_q")).applyInPandas(meet, _HITS)
+    return _ranked(hits.select("query_id", "id", (-F.col("distance")).alias("score")), k, F.desc("score"))
 
 
 def fuse(rankings: Sequence[DataFrame], k: int, constant: int = 60) -> DataFrame:

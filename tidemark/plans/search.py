@@ -93,6 +93,14 @@ def keyword_search(t):
     return found.withColumn("score", F.round("score", 6))
 
 
+@query("keyword_search_blocks", f"""
+    WITH {BM25.format(where='', ask='')} SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM kw WHERE rank <= {K}""")
+def keyword_search_blocks(t):
+    """The path for query sets too large to share with every task."""
+    found = vec.keyword_search(t.documents, t.benchmark, K, key="doc_id", query_key="item_id", query_bytes=0)
+    return found.withColumn("score", F.round("score", 6))
+
+
 @query("hybrid_search", f"""
     WITH {BM25.format(where='WHERE doc_id IN (SELECT vec_id FROM embeddings)', ask='WHERE item_id IN (SELECT vec_id FROM embeddings)')},
     e AS (SELECT vec_id AS id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents)),
@@ -183,9 +191,9 @@ def eval_sample(t):
     SELECT conv_id, count(*) AS answer_spans, round(sum(length(text)), 6) AS answer_total, max(length(text)) AS answer_max
     FROM conversations WHERE role = 'assistant' GROUP BY 1""")
 def eval_trace_spans(t):
-    span = F.struct(F.col("role").alias("kind"), F.length("text").alias("size"))
-    # A trace is one conversation; its turns are its spans.
-    traces = t.conversations.groupBy("conv_id").agg(F.collect_list(span).alias("spans"))
+    # Every turn carries its own span list, so a long conversation is never gathered into one row.
+    spans = F.array(F.struct(F.col("role").alias("kind"), F.length("text").alias("size")))
+    traces = t.conversations.select("conv_id", spans.alias("spans"))
     return ev.span_scores(traces, "conv_id", "spans", "assistant", F.col("span.size"), "answer")
 
 
