@@ -117,12 +117,10 @@ NEWEST = """SELECT user_id, event_id, event_type FROM (
 def stream_foreach_batch(t):
     out, keys, order = t.scratch("keyed"), ["user_id"], ["ts", "event_id"]
     sink = jobs.keyed_sink(out + "/data", keys, order)
-    seen = []
 
     def work(batch, batch_id):
         sink(batch, batch_id)
         sink(batch, batch_id)  # a replayed batch changes nothing
-        seen.append(batch_id)
 
     rows = events_stream(t).select("user_id", "event_id", "event_type", "ts")
     jobs.finish(jobs.for_each_batch(rows, work, out + "/state"))
@@ -195,13 +193,13 @@ def join_stream_static(t):
 def join_stream_stream(t):
     out = t.scratch("two-streams")
     view = events_stream(t).filter("event_type = 'view'").select(
-        F.col("event_id").alias("view_id"), F.col("user_id").alias("v_user"), F.col("ts").alias("v_ts")
-    ).withWatermark("v_ts", "2 hours")
+        F.col("event_id").alias("view_id"), "user_id", F.col("ts").alias("v_ts")
+    )
     buy = events_stream(t).filter("event_type = 'purchase'").select(
-        F.col("event_id").alias("purchase_id"), F.col("user_id").alias("p_user"), F.col("ts").alias("p_ts")
-    ).withWatermark("p_ts", "2 hours")
-    soon = F.expr("v_user = p_user AND p_ts >= v_ts AND p_ts <= v_ts + INTERVAL 1 HOUR")
-    jobs.finish(jobs.to_files(jobs.joined_streams(view, buy, soon).select("view_id", "purchase_id"), out + "/data", out + "/state"))
+        F.col("event_id").alias("purchase_id"), "user_id", F.col("ts").alias("p_ts")
+    )
+    joined = jobs.joined_within(view, buy, ["user_id"], "v_ts", "p_ts", 3600, "2 hours").select("view_id", "purchase_id")
+    jobs.finish(jobs.to_files(joined, out + "/data", out + "/state"))
     return t.spark.read.parquet(out + "/data")
 
 

@@ -57,6 +57,28 @@ def joined_streams(left: DataFrame, right: DataFrame, condition, how: str = "inn
     return left.join(right, condition, how)
 
 
+def joined_within(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, seconds: int, lateness: str
+) -> DataFrame:
+    """Inner join of two streams: same key, right row 0 to ``seconds`` after the left row.
+
+    Both sides also meet on a time unit of that length (a left row in its own
+    and the next one), so the rows of a hot key spread over the state
+    partitions by time.
+    """
+    unit = F.floor(F.unix_micros(left_at) / (seconds * 1_000_000)).cast("long")
+    a = left.withWatermark(left_at, lateness).withColumn("_unit", F.explode(F.array(unit, unit + 1)))
+    b = right.withWatermark(right_at, lateness).withColumn(
+        "_unit", F.floor(F.unix_micros(right_at) / (seconds * 1_000_000)).cast("long")
+    )
+    a, b = a.alias("a"), b.alias("b")
+    match = F.expr(f"b.`{right_at}` >= a.`{left_at}` AND b.`{right_at}` <= a.`{left_at}` + INTERVAL {int(seconds)} SECONDS")
+    for k in [*keys, "_unit"]:
+        match = match & (F.col(f"a.{k}") == F.col(f"b.{k}"))
+    kept = [F.col(f"a.{c}") for c in left.columns] + [F.col(f"b.{c}") for c in right.columns if c not in keys]
+    return a.join(b, match, "inner").select(*kept)
+
+
 def _start(writer, continuous: str | None) -> StreamingQuery:
     trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
     return writer.trigger(**trigger).start()
