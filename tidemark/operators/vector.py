@@ -8,8 +8,10 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..session import materialize
 from .ordered import latest
 from .sizes import measured_bytes
 
@@ -227,51 +229,50 @@ def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
 # --- keyword and hybrid search ---------------------------------------------------
 
 
+# A word is a run of these letters and digits in the lower-cased text.
+_NOT_WORD = "[^a-z0-9]+"
+
+
 def tokens(text: str | Column) -> Column:
     """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "), " "), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), _NOT_WORD), "")
+
+
+def _count_words(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word counts of lower-cased texts: ``(doc, word, count)`` triples in order, and the length of each text."""
+    lists = pc.split_pattern_regex(texts, _NOT_WORD)
+    pieces = lists.flatten()
+    doc = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    lengths = np.bincount(doc[pc.binary_length(pieces).to_numpy(zero_copy_only=False) > 0], minlength=len(texts))
+    word = pc.fill_null(pc.index_in(pieces, value_set=vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    size = max(len(vocabulary), 1)
+    pairs, tf = np.unique(doc[word >= 0] * size + word[word >= 0], return_counts=True)
+    return pairs // size, pairs % size, tf, lengths
 
 
 class _WordScorer:
-    """BM25 of blocks of documents against a set of queries, in array arithmetic."""
-
-    def __init__(self, query_ids: list, words: list, k1: float, b: float, mean: float):
-        """``words`` holds one list of ``(word, idf)`` per query."""
-        self.query_ids, self.k1, self.b, self.mean = query_ids, k1, b, mean
-        self.vocabulary: dict[str, int] = {}
-        idf, at = [], []
-        for pairs in words:
-            for word, weight in pairs:
-                if word not in self.vocabulary:
-                    self.vocabulary[word] = len(self.vocabulary)
-                    idf.append(weight)
-                    at.append([])
-        for n, pairs in enumerate(words):
-            for word, _ in pairs:
-                at[self.vocabulary[word]].append(n)
-        self.idf = np.array(idf)
-        self.counts = np.array([len(x) for x in at], dtype=np.int64)
+    """BM25 of blocks of counted documents against a set of queries, in array arithmetic."""
+
+    def __init__(self, queries: list[list[int]], idf: np.ndarray, k1: float, b: float, mean: float):
+        """``queries`` holds the word numbers of each query."""
+        self.idf, self.k1, self.b, self.mean = idf, k1, b, mean
+        asking = np.repeat(np.arange(len(queries)), [len(q) for q in queries])
+        words = np.array([w for q in queries for w in q], dtype=np.int64)
+        order = np.argsort(words, kind="stable")
+        self.asking = asking[order].astype(np.int64)
+        self.counts = np.bincount(words, minlength=len(idf)).astype(np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.counts)]).astype(np.int64)
-        self.asking = np.array([q for x in at for q in x], dtype=np.int64)
 
-    def add(self, ids: np.ndarray, texts: pa.ListArray, best: _TopK) -> None:
+    def add(self, ids: np.ndarray, doc: np.ndarray, word: np.ndarray, tf: np.ndarray, lengths: np.ndarray, best: _TopK) -> None:
         """Score the documents and offer the hits to ``best``."""
-        if not len(ids) or not self.vocabulary:
+        if not len(doc):
             return
-        lengths = np.diff(texts.offsets.to_numpy())
-        coded = texts.flatten().dictionary_encode()
-        known = np.array([self.vocabulary.get(w, -1) for w in coded.dictionary.to_pylist()], dtype=np.int64)
-        word = known[coded.indices.to_numpy(zero_copy_only=False)] if len(known) else np.empty(0, dtype=np.int64)
-        doc = np.repeat(np.arange(len(ids)), lengths)
-        doc, word = doc[word >= 0], word[word >= 0]
-        pairs, tf = np.unique(doc * len(self.idf) + word, return_counts=True)
-        doc, word = pairs // len(self.idf), pairs % len(self.idf)
         damping = self.k1 * (1 - self.b + self.b * lengths[doc] / self.mean)
         weight = self.idf[word] * tf * (self.k1 + 1) / (tf + damping)
         # Spread each (document, word) over the queries asking for the word.
         n = self.counts[word]
-        first = np.repeat(self.starts[word] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) if len(n) else np.empty(0, dtype=np.int64)
-        query = self.asking[first + np.arange(n.sum())] if len(n) else np.empty(0, dtype=np.int64)
+        first = np.repeat(self.starts[word] - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
+        query = self.asking[first + np.arange(n.sum())]
         hits, inverse = np.unique(query * len(ids) + np.repeat(doc, n), return_inverse=True)
         value = np.round(np.bincount(inverse, weights=np.repeat(weight, n), minlength=len(hits)), 9)
         query, doc = hits // len(ids), hits % len(ids)
@@ -286,6 +287,100 @@ def _runs(ordered: np.ndarray) -> tuple[np.ndarray, list[slice]]:
 
 
 _DOC_CHUNK = 1024
+_COUNTED = pa.schema([
+    ("id", pa.int64()), ("size", pa.int64()), ("words", pa.list_(pa.int32())), ("tf", pa.list_(pa.int32())),
+])
+
+
+def _counted(docs: DataFrame, words: list[str]) -> DataFrame:
+    """Every document with its length and the counts of the given words."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = pa.array(shared.value, pa.string())
+        for batch in batches:
+            doc, word, tf, lengths = _count_words(batch.column("_t"), vocabulary)
+            ends = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x.astype(np.int32))) for x in (word, tf)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(lengths.astype(np.int64)), *lists], schema=_COUNTED)
+
+    return docs.mapInArrow(count, "id long, size long, words array<int>, tf array<int>")
+
+
+def _keyword_shared(docs: DataFrame, asked: DataFrame, k: int, k1: float, b: float) -> DataFrame:
+    """Queries small enough for every task: one pass over the texts, then one over the word counts."""
+    pairs = asked.collect()  # measured by the caller
+    words = sorted({r["word"] for r in pairs})
+    number = {w: i for i, w in enumerate(words)}
+    per_query: dict[int, list[int]] = {}
+    for r in pairs:
+        per_query.setdefault(r["query_id"], []).append(number[r["word"]])
+    query_ids = sorted(per_query)
+    counted = materialize(_counted(docs, words), "word-counts")
+    totals = counted.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("length")).first()
+    n, mean = totals["n"], ((totals["length"] or 0) / totals["n"] if totals["n"] else 0.0) or 1.0
+    df = np.zeros(len(words))
+    for r in counted.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df")).collect():
+        df[r["w"]] = r["df"]  # at most one row per query word
+    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+    shared = docs.sparkSession.sparkContext.broadcast((query_ids, [per_query[q] for q in query_ids], idf))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, queries, weights = shared.value
+        scorer, best = _WordScorer(queries, weights, k1, b, mean), _TopK(len(names), k)
+        for batch in batches:
+            for start in range(0, batch.num_rows, _DOC_CHUNK):
+                part = batch.slice(start, _DOC_CHUNK)
+                lists = part.column("words")
+                doc = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
+                word, tf = (part.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("words", "tf"))
+                ids, size = (part.column(c).to_numpy(zero_copy_only=False) for c in ("id", "size"))
+                scorer.add(ids, doc, word, tf, size, best)
+        yield pa.RecordBatch.from_pandas(best.rows(names), schema=_HITS_ARROW, preserve_index=False)
+
+    return counted.mapInArrow(score, _HITS)
+
+
+def _keyword_blocks(docs: DataFrame, asked: DataFrame, k: int, k1: float, b: float, block_rows: int) -> DataFrame:
+    """Query sets of any size: word statistics by a join, then blocks of queries meet blocks of documents."""
+    marker = asked.sparkSession.createDataFrame([("",)], "word string")
+    words = asked.select("word").distinct().unionAll(marker)
+    held = docs.withColumn("_w", tokens("_t")).select(
+        F.size("_w").cast("long").alias("length"), F.explode(F.concat(F.array_distinct("_w"), F.array(F.lit("")))).alias("word")
+    )
+    # Partial counts per task come first, so a common word reaches the join as few rows.
+    # The empty word, which no text contains, carries the number and length of all documents.
+    per_word = held.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.sum("length").alias("length"))
+    held_by = materialize(per_word.join(words, "word", "left_semi"), "words")
+    totals = held_by.filter("word = ''").first()
+    n = totals["df"] if totals else 0
+    mean = (totals["length"] / n if n else 0.0) or 1.0
+    idf = held_by.filter("word <> ''").select("word", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    # One list per query, as long as the query has words.
+    weighted = asked.join(idf, "word").groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("word", "idf"))).alias("words"))
+    query_blocks = max(1, math.ceil(weighted.count() / block_rows))
+    doc_blocks = max(1, math.ceil(n / block_rows))
+    left = docs.withColumn("_i", F.pmod(F.xxhash64("id"), F.lit(doc_blocks)).cast("int")).withColumn(
+        "_q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
+    )
+    right = weighted.withColumn("_q", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")).withColumn(
+        "_i", F.explode(F.sequence(F.lit(0), F.lit(doc_blocks - 1)))
+    )
+
+    def meet(a: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        weights = {p["word"]: p["idf"] for ws in c["words"] for p in ws}
+        names = sorted(weights)
+        number = {w: i for i, w in enumerate(names)}
+        queries = [[number[p["word"]] for p in ws] for ws in c["words"]]
+        scorer = _WordScorer(queries, np.array([weights[w] for w in names]), k1, b, mean)
+        best, vocabulary = _TopK(len(queries), k), pa.array(names, pa.string())
+        for start in range(0, len(a), _DOC_CHUNK):
+            part = a.iloc[start : start + _DOC_CHUNK]
+            doc, word, tf, lengths = _count_words(pa.array(part["_t"], pa.string()), vocabulary)
+            scorer.add(part["id"].to_numpy(), doc, word, tf, lengths, best)
+        return best.rows(c["query_id"].tolist())
+
+    return left.groupBy("_i", "_q").cogroup(right.groupBy("_i", "_q")).applyInPandas(meet, _HITS)
 
 
 def keyword_search(
@@ -294,64 +389,20 @@ def keyword_search(
 ) -> DataFrame:
     """Best ``k`` documents per query by BM25, ties by id, with ``rank`` and ``score``.
 
-    Documents are scored where they lie: a task turns a batch into word counts,
-    combines them with the words of the queries and keeps its best k per query,
-    so word lists are not shuffled, however common a word is. Query sets above
-    ``query_bytes`` meet the documents block by block instead, with the same
-    result.
+    Texts are read once: a task turns them into counts of the words the queries
+    ask for. Documents are then scored where those counts lie and every task
+    keeps its best k per query, so nothing is shuffled by word, however common
+    a word is. Query sets above ``query_bytes`` meet the documents block by
+    block instead, with the same result.
     """
-    docs = documents.select(F.col(key).cast("long").alias("id"), tokens(text).alias("_w"))
+    docs = documents.select(F.col(key).cast("long").alias("id"), F.coalesce(F.lower(text), F.lit("")).alias("_t"))
     asked = queries.select(
         F.col(query_key).cast("long").alias("query_id"), F.explode(F.array_distinct(tokens(query_text))).alias("word")
     )
-    small = measured_bytes(asked) <= query_bytes
-    totals = docs.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("_w")).alias("mean")).first()
-    n, mean = totals["n"], totals["mean"] or 1.0
-    words = asked.select("word").distinct()
-    held_by = (
-        docs.select(F.explode(F.array_distinct("_w")).alias("word"))
-        .join(F.broadcast(words) if small else words, "word", "left_semi")
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
-    idf = held_by.select("word", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    # One list per query, as long as the query has words.
-    weighted = asked.join(idf, "word").groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("word", "idf"))).alias("words"))
-    if small:
-        rows = weighted.orderBy("query_id").collect()  # measured above
-        parts = ([r["query_id"] for r in rows], [[(p["word"], p["idf"]) for p in r["words"]] for r in rows])
-        shared = documents.sparkSession.sparkContext.broadcast(parts)
-
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            scorer = _WordScorer(*shared.value, k1, b, mean)
-            best = _TopK(len(scorer.query_ids), k)
-            for batch in batches:
-                for start in range(0, batch.num_rows, _DOC_CHUNK):
-                    part = batch.slice(start, _DOC_CHUNK)
-                    scorer.add(part.column("id").to_numpy(zero_copy_only=False), part.column("_w"), best)
-            yield pa.RecordBatch.from_pandas(best.rows(scorer.query_ids), schema=_HITS_ARROW, preserve_index=False)
-
-        hits = docs.mapInArrow(score, _HITS)
+    if measured_bytes(asked) <= query_bytes:
+        hits = _keyword_shared(docs, asked, k, k1, b)
     else:
-        query_blocks = max(1, math.ceil(weighted.count() / block_rows))
-        doc_blocks = max(1, math.ceil(n / block_rows))
-        left = docs.withColumn("_i", F.pmod(F.xxhash64("id"), F.lit(doc_blocks)).cast("int")).withColumn(
-            "_q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
-        )
-        right = weighted.withColumn("_q", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")).withColumn(
-            "_i", F.explode(F.sequence(F.lit(0), F.lit(doc_blocks - 1)))
-        )
-
-        def meet(a: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-            pairs = [[(p["word"], p["idf"]) for p in ws] for ws in c["words"]]
-            scorer = _WordScorer(c["query_id"].tolist(), pairs, k1, b, mean)
-            best = _TopK(len(scorer.query_ids), k)
-            for start in range(0, len(a), _DOC_CHUNK):
-                part = a.iloc[start : start + _DOC_CHUNK]
-                scorer.add(part["id"].to_numpy(), pa.array(list(part["_w"]), pa.list_(pa.string())), best)
-            return best.rows(scorer.query_ids)
-
-        hits = left.groupBy("_i", "_q").cogroup(right.groupBy("_i", "_q")).applyInPandas(meet, _HITS)
+        hits = _keyword_blocks(docs, asked, k, k1, b, block_rows)
     return _ranked(hits.select("query_id", "id", (-F.col("distance")).alias("score")), k, F.desc("score"))
 
 
