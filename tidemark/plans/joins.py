@@ -50,6 +50,24 @@ _outer("right", "RIGHT")
 _outer("full", "FULL")
 
 
+@query("join_outer", """
+    WITH o AS (SELECT o_orderkey, o_custkey FROM orders WHERE o_totalprice > 100000),
+         c AS (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+    SELECT 'left' AS how, count(*) AS n, count(c_custkey) AS n_left, count(o_orderkey) AS n_right FROM c LEFT JOIN o ON c_custkey = o_custkey
+    UNION ALL SELECT 'right', count(*), count(c_custkey), count(o_orderkey) FROM c RIGHT JOIN o ON c_custkey = o_custkey
+    UNION ALL SELECT 'full', count(*), count(c_custkey), count(o_orderkey) FROM c FULL JOIN o ON c_custkey = o_custkey""")
+def join_outer(t):
+    o = t.orders.filter("o_totalprice > 100000").select("o_orderkey", "o_custkey")
+    c = t.customer.filter("c_acctbal > 0").select("c_custkey")
+    parts = [
+        c.join(o, F.col("c_custkey") == F.col("o_custkey"), how).agg(
+            F.lit(how).alias("how"), F.count(F.lit(1)).alias("n"), F.count("c_custkey").alias("n_left"), F.count("o_orderkey").alias("n_right")
+        )
+        for how in ("left", "right", "full")
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
 @query("join_using", """
     SELECT custkey, c_name, o_orderkey FROM (SELECT o_custkey AS custkey, o_orderkey FROM orders)
     JOIN (SELECT c_custkey AS custkey, c_name FROM customer) USING (custkey)""")
@@ -151,6 +169,16 @@ def join_anti(t):
     return t.part.join(big, F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey")
 
 
+@query("join_semi_anti", """
+    WITH p AS (SELECT o_custkey FROM orders WHERE o_totalprice > 250000)
+    SELECT c_custkey, c_name, c_custkey IN (SELECT o_custkey FROM p) AS has_big_order FROM customer""")
+def join_semi_anti(t):
+    big = t.orders.filter("o_totalprice > 250000").select("o_custkey")
+    who, match = t.customer.select("c_custkey", "c_name"), F.col("c_custkey") == F.col("o_custkey")
+    semi = who.join(big, match, "left_semi").withColumn("has_big_order", F.lit(True))
+    return semi.unionAll(who.join(big, match, "left_anti").withColumn("has_big_order", F.lit(False)))
+
+
 @query("join_bucketed", """
     SELECT c_mktsegment, count(*) AS n, round(sum(o_totalprice), 2) AS total
     FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
