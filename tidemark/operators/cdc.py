@@ -80,13 +80,16 @@ def scd2(
     dropped = {sequence, *except_cols}
     columns = [c for c in feed.columns if c not in dropped and c not in keys]
     tracked = [c for c in columns if c not in track_except]
-    feed = latest(feed, [*keys, sequence], [F.desc(c) for c in tie] or [F.lit(1)])
     rows = feed.select(
         *keys, *columns, F.col(sequence).alias("__START_AT"), _flag(deletes).alias("_del"),
         F.struct(*[F.col(c) for c in tracked] or [F.lit(0)]).alias("_sig"),
+        F.struct(*[F.col(c) for c in tie] or [F.lit(0)]).alias("_tie"),
     )
     slicing = plan_slices(rows, keys, "__START_AT")
-    linked = neighbours(rows, keys, ["__START_AT"], ["_sig", "_del", "__START_AT"], slicing=slicing).filter("NOT _del")
+    # One shuffle serves the tie-break and both passes over the timeline.
+    linked = neighbours(
+        rows, keys, ["__START_AT"], ["_sig", "_del", "__START_AT"], slicing=slicing, tie=["_tie"], keep_slice=True
+    ).filter("NOT _del")
 
     def joins(side: str) -> Column:
         same = F.col(f"{side}._sig").eqNullSafe(F.col("_sig"))
@@ -96,7 +99,7 @@ def scd2(
         linked.withColumn("_starts", ~joins("_prev"))
         .withColumn("_ends", ~joins("_next"))
         .withColumn("__END_AT", F.col("_next.__START_AT"))
-        .drop("_prev", "_next", "_del", "_sig")
+        .drop("_prev", "_next", "_del", "_sig", "_tie")
         .filter("_starts OR _ends")
     )
     if not track_except:

@@ -11,7 +11,7 @@ from ..functions.scalar import interpolate
 from ..sources import swap
 from ..sources.files import list_files
 from .ordered import position
-from .skew import row_salt
+from .skew import row_hash, row_salt
 
 MB = 1024 * 1024
 GB = 1024 * MB
@@ -172,7 +172,7 @@ def compact(spark: SparkSession, root: str, target_bytes: int, folder_like: str
     # One row per partition directory: as many as the driver already lists files for.
     sized = located.join(F.broadcast(due.select(F.col("folder").alias("_folder"), "bins")), "_folder")
     total = sum(r["bins"] for r in due.select("bins").collect())
-    spread = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.col("bins"))
+    spread = F.pmod(row_hash(rows), F.col("bins"))
     placed = sized.withColumn("_bin", spread).repartition(max(total, 1), "_folder", "_bin").drop("_folder", "bins", "_bin")
     stage = swap.staging(root)
     writer = placed.write.partitionBy(*by) if by else placed.write

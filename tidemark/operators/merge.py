@@ -137,7 +137,7 @@ def merge(
     parts.append(survivors(both, rules, from_source))
     parts.append(survivors(unmatchable.alias("t"), list(not_matched_by_source), {}))
     if not_matched:
-        fresh = usable.drop("_present").join(keyed.select(*keys).distinct(), keys, "left_anti")
+        fresh = usable.join(keyed.select(*keys).distinct(), keys, "left_anti")  # the same shuffle of the source serves both joins
         fresh = fresh.select(*source.columns).unionAll(source.filter(_any_null(keys)))
         chosen = fresh.alias("s").withColumn("_choice", _choice(not_matched)).filter(F.col("_choice").isNotNull())
         out = []

@@ -85,23 +85,33 @@ def neighbours(
     share: float = 0.02,
     slices: int = 32,
     slicing: Slicing | None = None,
+    tie: Sequence[str] | None = None,
+    keep_slice: bool = False,
 ) -> DataFrame:
     """Add ``_prev`` and ``_next``: structs of ``carry`` from the adjacent rows of a key.
 
-    ``order`` must be unique per key. A hot key is cut into slices along its
-    first order column; neighbours inside a slice come from a window over the
-    slice, and neighbours across a cut from a small table with the first and
-    last row of every slice.
+    ``order`` must be unique per key, unless ``tie`` is given: then of rows
+    equal in ``order`` only the one highest in ``tie`` stays. A hot key is cut
+    into slices along its first order column; neighbours inside a slice come
+    from a window over the slice, and neighbours across a cut from a small
+    table with the first and last row of every slice. ``keep_slice`` leaves the
+    ``_slice`` column in place, so a second call on the result reuses its
+    partitioning and order.
     """
     keys, order, carry = list(keys), list(order), list(carry)
     slicing = slicing or plan_slices(df, keys, order[0], share, slices)
     hot = list(slicing.cuts)
-    cut = slicing.add(df, "_slice")
-    w = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    cut = df if not hot or "_slice" in df.columns else slicing.add(df, "_slice")
+    by = [*keys, "_slice"] if hot else keys
+    if tie is not None:
+        ranked = Window.partitionBy(*by).orderBy(*order, *[F.desc(c) for c in tie])
+        here = F.struct(*order)
+        cut = cut.withColumn("_same", F.lag(here).over(ranked).eqNullSafe(here)).filter("NOT _same").drop("_same")
+    w = Window.partitionBy(*by).orderBy(*order)
     payload = F.struct(*carry)
     out = cut.withColumn("_prev", F.lag(payload).over(w)).withColumn("_next", F.lead(payload).over(w))
     if not hot:
-        return out.drop("_slice")
+        return out
     # One row per slice of a hot key: at most (1/share) * slices rows.
     by_key = Window.partitionBy(*keys).orderBy("_slice")
     edges = (
@@ -116,6 +126,6 @@ def neighbours(
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"_e_{k}"))
     joined = out.join(F.broadcast(edges), match, "left")
-    return joined.withColumn("_prev", F.coalesce("_prev", "_before")).withColumn(
-        "_next", F.coalesce("_next", "_after")
-    ).drop("_slice", "_e_slice", "_before", "_after", *[f"_e_{k}" for k in keys])
+    linked = joined.withColumn("_prev", F.coalesce("_prev", "_before")).withColumn("_next", F.coalesce("_next", "_after"))
+    extra = ["_e_slice", "_before", "_after", *[f"_e_{k}" for k in keys]]
+    return linked.drop(*extra) if keep_slice else linked.drop(*extra, "_slice")

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 _UNHASHABLE = (T.MapType, T.VariantType)
+_NARROW = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 _MAX_TRACKED = 4096
 
 
@@ -34,14 +35,23 @@ def is_hot(keys: Sequence[str], hot: Sequence[int]) -> Column:
     return key_hash(keys).isin(list(hot)) if hot else F.lit(False)
 
 
-def row_salt(df: DataFrame, salts: int) -> Column:
-    """Salt from the row's content and its partition.
+def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """Hash of a row's content and its partition.
 
     It does not depend on row order, so a recomputed task assigns the same
-    salts, and copies of one row still spread over the partitions holding them.
+    values, and copies of one row still spread over the partitions holding
+    them. By default only a few narrow columns are hashed, so a salt does not
+    make a scan read columns nobody asked for.
     """
-    cols = [f.name for f in df.schema.fields if not isinstance(f.dataType, _UNHASHABLE)]
-    return F.pmod(F.xxhash64(*cols, F.spark_partition_id()), F.lit(salts)).cast("int")
+    if columns is None:
+        usable = [f for f in df.schema.fields if not isinstance(f.dataType, _UNHASHABLE)]
+        narrow = [f.name for f in usable if isinstance(f.dataType, _NARROW)]
+        columns = (narrow or [f.name for f in usable])[:3]
+    return F.xxhash64(*columns, F.spark_partition_id())
+
+
+def row_salt(df: DataFrame, salts: int, columns: Sequence[str] | None = None) -> Column:
+    return F.pmod(row_hash(df, columns), F.lit(salts)).cast("int")
 
 
 def join_salted(
@@ -108,7 +118,8 @@ def agg_salted(
             final.append((F.sum(f"_{name}_s") / F.nullif(F.sum(f"_{name}_c"), F.lit(0))).alias(name))
         else:
             raise ValueError(f"{fn} does not re-aggregate from per-salt results")
-    salted = df.withColumn("_salt", row_salt(df, salts))
+    needed = df.select(*dict.fromkeys([*keys, *[c for _, c in measures.values() if c != "*"]]))
+    salted = needed.withColumn("_salt", row_salt(needed, salts))
     return salted.groupBy(*keys, "_salt").agg(*partial).groupBy(*keys).agg(*final)
 
 

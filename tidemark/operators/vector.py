@@ -28,11 +28,12 @@ def _checked(vector: str, dims: int) -> Column:
     return F.when(F.size(vector) == dims, F.col(vector).cast("array<double>")).otherwise(F.raise_error(message))
 
 
-def dimensions(queries: DataFrame, vector: str) -> int:
-    row = queries.agg(F.min(F.size(vector)).alias("lo"), F.max(F.size(vector)).alias("hi")).first()
+def _query_shape(queries: DataFrame, vector: str) -> tuple[int, int]:
+    """Number and dimensions of the query vectors."""
+    row = queries.agg(F.count(F.lit(1)).alias("n"), F.min(F.size(vector)).alias("lo"), F.max(F.size(vector)).alias("hi")).first()
     if row["lo"] != row["hi"]:
         raise DimensionMismatch(f"query vectors of {row['lo']} to {row['hi']} dimensions")
-    return row["hi"] or 0
+    return row["n"], row["hi"] or 0
 
 
 def normalise(df: DataFrame, vector: str) -> DataFrame:
@@ -142,15 +143,15 @@ def knn(
         raise ValueError(f"unknown metric {metric!r}")
     if where is not None:
         index = index.filter(where)
-    dims = dimensions(queries, vector)
+    asking, dims = _query_shape(queries, vector)
     if metric == "cosine":
         index, queries = normalise(index, vector), normalise(queries, vector)
     base = index.select(F.col(key).cast("long").alias("id"), _checked(vector, dims).alias("_v"))
     asked = queries.select(F.col(query_key).cast("long").alias("query_id"), F.col(vector).cast("array<double>").alias("_v"))
-    if measured_bytes(asked) <= query_bytes:
+    if asking * (dims + 2) * 8 <= query_bytes:
         hits = _scan_with_shared_queries(base, asked, k)
     else:
-        query_blocks = max(1, math.ceil(asked.count() / block_rows))
+        query_blocks = max(1, math.ceil(asking / block_rows))
         index_blocks = max(1, math.ceil(base.count() / block_rows))
         hits = _scan_in_blocks(base, asked, k, query_blocks, index_blocks)
     ranked = _ranked(hits, k, F.asc("distance"))

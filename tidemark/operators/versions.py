@@ -130,17 +130,27 @@ def change_feed(log: DataFrame, keys: Sequence[str], from_version: int, to_versi
     """
     keys = list(keys)
     rest = payload(log, keys)
-    touched = log.filter((F.col("_seq") > from_version) & (F.col("_seq") <= to_version)).select(*keys).distinct()
-    # Only keys with a log row in the range can differ.
-    narrow = log.join(touched, keys, "left_semi")
-    old = as_of(narrow, keys, from_version, check=False)
-    new = as_of(narrow, keys, to_version, check=False)
-    changed = compare(old, new, keys)
+    row = F.struct("_op", *rest)
+    # Both images of a key come out of one aggregation over the log.
+    both = (
+        log.filter(F.col("_seq") <= to_version)
+        .groupBy(*keys)
+        .agg(
+            F.max_by(row, F.when(F.col("_seq") <= from_version, F.col("_seq"))).alias("_old"),
+            F.max_by(row, F.col("_seq")).alias("_new"),
+            F.max("_seq").alias("_last"),
+        )
+        .filter(F.col("_last") > from_version)
+    )
+    had, has = (F.col(c).isNotNull() & (F.col(f"{c}._op") != "D") for c in ("_old", "_new"))
+    op = F.when(has & ~had, "I").when(had & ~has, "D").when(had & has & _differs(rest, "_old", "_new"), "U")
+    image = [F.struct(*[F.col(f"{c}.{x}").alias(x) for x in rest]) for c in ("_old", "_new")]
+    changed = both.withColumn("_op", op).filter(F.col("_op").isNotNull())
     before = F.struct(
-        F.when(F.col("_op") == "D", "delete").otherwise("update_preimage").alias("_change_type"), F.col("_old").alias("r")
+        F.when(F.col("_op") == "D", "delete").otherwise("update_preimage").alias("_change_type"), image[0].alias("r")
     )
     after = F.struct(
-        F.when(F.col("_op") == "I", "insert").otherwise("update_postimage").alias("_change_type"), F.col("_new").alias("r")
+        F.when(F.col("_op") == "I", "insert").otherwise("update_postimage").alias("_change_type"), image[1].alias("r")
     )
     images = F.when(F.col("_op") == "I", F.array(after)).when(F.col("_op") == "D", F.array(before)).otherwise(
         F.array(before, after)
