@@ -93,7 +93,7 @@ def test_federated_options():
     assert got["pushDownPredicate"] == "true" and got["numPartitions"] == "4" and got["partitionColumn"] == "id"
 
 
-def test_scratch_needs_a_shared_folder(spark, monkeypatch):
+def test_scratch_paths_are_fresh(spark):
     from tidemark import session
 
     assert session.scratch_path(spark, "x").startswith(session.shared_dir(spark))
@@ -115,3 +115,20 @@ def test_static_join_plan(spark, tables, folder):
     joined = jobs.with_static(stream, tables.customer.withColumnRenamed("c_custkey", "user_id"), "user_id")
     jobs.finish(jobs.to_files(joined.select("event_id"), f"{folder}/out", f"{folder}/state"))
     assert spark.read.parquet(f"{folder}/out").count() == tables.events.count()
+
+
+class FakeSession:
+    """Just the parts of a session the scratch folder depends on."""
+
+    def __init__(self, master, configured=None):
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: configured or default)})
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"app-{master}"})
+
+
+def test_no_machine_folder_on_a_cluster():
+    from tidemark import session
+
+    with pytest.raises(RuntimeError):
+        session.shared_dir(FakeSession("yarn"))
+    assert session.shared_dir(FakeSession("yarn", "hdfs://x/cp/")) == "hdfs://x/cp"
+    assert session.shared_dir(FakeSession("local[2]")) == session.shared_dir(FakeSession("local[2]"))
