@@ -49,6 +49,22 @@ def _rows(names, rows):
     return sorted(out, key=repr)
 
 
+_KINDS = {
+    "integer": ("tinyint", "smallint", "int", "integer", "bigint", "hugeint", "ubigint", "uhugeint", "utinyint", "usmallint", "uinteger"),
+    "float": ("float", "double"),
+    "text": ("string", "varchar"),
+    "time": ("timestamp", "timestamp_ntz", "timestamp_ms", "timestamp_ns"),
+}
+
+
+def _kind(name):
+    name = str(name).lower()
+    for kind, names in _KINDS.items():
+        if name in names:
+            return kind
+    return name.split("(")[0]
+
+
 def compare(spark, root, query):
     """Return ``(ok, message)`` for one registered query."""
     start = time.time()
@@ -59,11 +75,17 @@ def compare(spark, root, query):
         return True, f"rows={len(got)} (no SQL) {took}"
     con = connect(root)
     rel = con.execute(query.sql)
-    names = [d[0] for d in rel.description]
+    described = list(rel.description)
+    names = [d[0] for d in described]
     want = rel.fetchall()
     con.close()
     if sorted(names) != sorted(df.columns):
         return False, f"columns {sorted(df.columns)} != {sorted(names)}"
+    ours = {f.name: _kind(f.dataType.simpleString()) for f in df.schema.fields}
+    theirs = {d[0]: _kind(d[1]) for d in described}
+    other = {c: (ours[c], theirs[c]) for c in ours if ours[c] != theirs[c]}
+    if other:
+        return False, f"kinds (spark, sql): {other}"
     a, b = _rows(df.columns, got), _rows(names, want)
     if len(a) != len(b):
         return False, f"rows {len(a)} != {len(b)}"

@@ -166,18 +166,44 @@ def compact(spark: SparkSession, root: str, target_bytes: int, folder_like: str
         return {"files_removed": 0, "files_added": 0}
     paths = [r["path"] for r in chosen]
     by = _partition_columns(chosen[0]["folder"])
+    stage = swap.staging(root)
+    if len({r["folder"] for r in chosen}) == 1:
+        _pack(spark, root, paths, by, stage, target_bytes)
+    else:
+        _regroup(spark, root, paths, by, stage, due)
+    return {"files_removed": len(paths), "files_added": swap.exchange(spark, root, stage, paths, _MARK)}
+
+
+_PACKING = {
+    "spark.sql.files.openCostInBytes": "0",
+    "spark.sql.files.minPartitionNum": "1",
+}
+
+
+def _pack(spark: SparkSession, root: str, paths: Sequence[str], by: Sequence[str], stage: str, target_bytes: int) -> None:
+    """One directory: the scan itself packs small files into tasks of the target size, so nothing is shuffled."""
+    wanted = {**_PACKING, "spark.sql.files.maxPartitionBytes": str(target_bytes)}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths)
+        (rows.write.partitionBy(*by) if by else rows.write).parquet(stage)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _regroup(spark: SparkSession, root: str, paths: Sequence[str], by: Sequence[str], stage: str, due: DataFrame) -> None:
+    """Several directories: rows meet by directory and bin, so each task writes one directory."""
     rows = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths)
     folder = F.array_join(F.regexp_extract_all("_metadata.file_path", F.lit(_PARTS), F.lit(1)), "/")
     located = rows.withColumn("_folder", folder)
     # One row per partition directory: as many as the driver already lists files for.
     sized = located.join(F.broadcast(due.select(F.col("folder").alias("_folder"), "bins")), "_folder")
-    total = sum(r["bins"] for r in due.select("bins").collect())
-    spread = F.pmod(row_hash(rows), F.col("bins"))
-    placed = sized.withColumn("_bin", spread).repartition(max(total, 1), "_folder", "_bin").drop("_folder", "bins", "_bin")
-    stage = swap.staging(root)
-    writer = placed.write.partitionBy(*by) if by else placed.write
-    writer.parquet(stage)
-    return {"files_removed": len(paths), "files_added": swap.exchange(spark, root, stage, paths, _MARK)}
+    total = due.agg(F.sum("bins").alias("b")).first()["b"]
+    placed = sized.withColumn("_bin", F.pmod(row_hash(rows), F.col("bins"))).repartition(max(total, 1), "_folder", "_bin")
+    placed.drop("_folder", "bins", "_bin").write.partitionBy(*by).parquet(stage)
 
 
 # --- multi-dimensional clustering -------------------------------------------------

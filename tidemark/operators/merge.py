@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..session import scratch_path
+from ..sources import swap
 
 
 @dataclass(frozen=True)
@@ -200,17 +200,16 @@ def replace_where(target: DataFrame, rows: DataFrame, condition: str) -> DataFra
 def staged_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the table at ``path`` by rows that may depend on it.
 
-    The new content is written to the shared folder first, so ``path`` is never
-    read and overwritten by one job, and a crash between the two steps leaves a
-    whole staged copy.
+    The new files are staged inside the table and exchanged for the old ones
+    afterwards, so ``path`` is never read and overwritten by one job and a
+    crash leaves either the old table or an exchange the next job finishes.
     """
     spark = df.sparkSession
-    stage = scratch_path(spark, "stage")
-    df.write.parquet(stage)
-    writer = spark.read.schema(df.schema).parquet(stage).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.option("partitionOverwriteMode", "static").parquet(path)
+    old = swap.data_files(spark, path)
+    stage = swap.staging(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(stage)
+    swap.exchange(spark, path, stage, old)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], where: str | None = None) -> None:

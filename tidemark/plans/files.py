@@ -55,7 +55,7 @@ def skip_plan(t):
 @query("partition_advice", """
     SELECT 'o_orderstatus' AS "column", true AS advised FROM orders GROUP BY 1 UNION ALL SELECT 'o_orderkey', false""")
 def partition_advice(t):
-    size = 2000 * lay.GB
+    size = 100 * lay.MB * t.orders.count()  # as if every row took 100 MB
     return lay.partition_advice(t.orders, ["o_orderstatus", "o_orderkey"], size).select("column", "advised")
 
 

@@ -40,14 +40,14 @@ def mask_partial(t):
 
 
 @query("mask_coarse", """
-    SELECT c_custkey, c_acctbal AS as_hr, round(c_acctbal / 1000) * 1000 AS as_manager, 0.0 AS as_viewer FROM customer""")
+    SELECT c_custkey, c_acctbal AS as_hr, round(c_acctbal / 1000) * 1000 AS as_manager, 0.0::DOUBLE AS as_viewer FROM customer""")
 def mask_coarse(t):
     balance = F.col("c_acctbal")
     return t.customer.select("c_custkey", *[g.coarse(balance, r).alias(f"as_{r}") for r in ("hr", "manager", "viewer")])
 
 
 @query("mask_by_type", """
-    SELECT o_orderkey, CAST(0 AS BIGINT) AS o_custkey, NULL AS o_orderstatus, 0.0 AS o_totalprice, DATE '1970-01-01' AS day
+    SELECT o_orderkey, CAST(0 AS BIGINT) AS o_custkey, CAST(NULL AS VARCHAR) AS o_orderstatus, 0.0::DOUBLE AS o_totalprice, DATE '1970-01-01' AS day
     FROM orders""")
 def mask_by_type(t):
     df = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("day"))

@@ -38,6 +38,21 @@ def _staged_files(fs, Path, stage: str) -> list[str]:
     return found
 
 
+def data_files(spark: SparkSession, root: str) -> list[str]:
+    """Visible files below a directory; hidden ones and those in hidden folders are left out."""
+    fs, Path = _fs(spark, root)
+    if not fs.exists(Path(root)):
+        return []
+    base = fs.makeQualified(Path(root)).toString().rstrip("/")
+    found, walk = [], fs.listFiles(Path(root), True)
+    while walk.hasNext():
+        name = walk.next().getPath().toString()
+        inside = name[len(base) + 1 :].split("/")
+        if not any(part[0] in "_." for part in inside):
+            found.append(name)
+    return found
+
+
 def exchange(spark: SparkSession, root: str, stage: str, inputs: Sequence[str], mark: str = "") -> int:
     """Put the staged files in place of ``inputs``; returns the number of new files."""
     fs, Path = _fs(spark, root)
