@@ -56,6 +56,21 @@ def test_compaction_of_all_partitions(spark, tables, folder):
     assert rows(got) == rows(tables.orders.groupBy("o_orderstatus").count())
 
 
+@pytest.mark.parametrize("months", [("01",), ("01", "02")])
+def test_partition_values_keep_their_spelling(spark, folder, months):
+    for m in months:
+        for i in range(3):
+            spark.range(5).coalesce(1).write.parquet(f"{folder}/part{i}-{m}")
+            os.makedirs(f"{folder}/t/month={m}", exist_ok=True)
+            for name in os.listdir(f"{folder}/part{i}-{m}"):
+                if name.endswith(".parquet"):
+                    os.link(f"{folder}/part{i}-{m}/{name}", f"{folder}/t/month={m}/{i}-{name}")
+    lay.compact(spark, f"{folder}/t", 10 * lay.MB)
+    stats = {r["partition"]: r["files"] for r in lay.file_stats(spark, f"{folder}/t").collect()}
+    assert stats == {f"month={m}": 1 for m in months}
+    assert spark.read.parquet(f"{folder}/t").count() == 15 * len(months)
+
+
 def test_interrupted_exchange_is_finished(spark, tables, small_files):
     want = rows(tables.orders.select("o_orderkey", "o_totalprice"))
     paths = [r["path"] for r in lay._listing(spark, small_files).collect()]

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.scalar import interpolate
+from ..session import settings
 from ..sources import swap
 from ..sources.files import list_files
 from .ordered import position
@@ -109,19 +110,12 @@ def write_right_sized(df: DataFrame, path: str, partition_by: Sequence[str] = ()
     The rebalance lets adaptive execution split a large directory over several
     tasks and merge small ones.
     """
-    spark, key = df.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(target_bytes))
-    try:
+    spark = df.sparkSession
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes)}):
         writer = df.hint("rebalance", *partition_by).write.mode(mode)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
 
 
 def _listing(spark: SparkSession, root: str) -> DataFrame:
@@ -174,36 +168,29 @@ def compact(spark: SparkSession, root: str, target_bytes: int, folder_like: str
     return {"files_removed": len(paths), "files_added": swap.exchange(spark, root, stage, paths, _MARK)}
 
 
-_PACKING = {
-    "spark.sql.files.openCostInBytes": "0",
-    "spark.sql.files.minPartitionNum": "1",
-}
+# Partition values are copied as they are spelled, never read as numbers and written back another way.
+_AS_SPELLED = {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}
+_PACKING = {"spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1", **_AS_SPELLED}
 
 
 def _pack(spark: SparkSession, root: str, paths: Sequence[str], by: Sequence[str], stage: str, target_bytes: int) -> None:
     """One directory: the scan itself packs small files into tasks of the target size, so nothing is shuffled."""
-    wanted = {**_PACKING, "spark.sql.files.maxPartitionBytes": str(target_bytes)}
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
+    with settings(spark, {**_PACKING, "spark.sql.files.maxPartitionBytes": str(target_bytes)}):
         rows = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths)
         (rows.write.partitionBy(*by) if by else rows.write).parquet(stage)
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def _regroup(spark: SparkSession, root: str, paths: Sequence[str], by: Sequence[str], stage: str, due: DataFrame) -> None:
     """Several directories: rows meet by directory and bin, so each task writes one directory."""
-    rows = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths)
-    folder = F.array_join(F.regexp_extract_all("_metadata.file_path", F.lit(_PARTS), F.lit(1)), "/")
-    located = rows.withColumn("_folder", folder)
-    # One row per partition directory: as many as the driver already lists files for.
-    sized = located.join(F.broadcast(due.select(F.col("folder").alias("_folder"), "bins")), "_folder")
-    total = due.agg(F.sum("bins").alias("b")).first()["b"]
-    placed = sized.withColumn("_bin", F.pmod(row_hash(rows), F.col("bins"))).repartition(max(total, 1), "_folder", "_bin")
-    placed.drop("_folder", "bins", "_bin").write.partitionBy(*by).parquet(stage)
+    with settings(spark, _AS_SPELLED):
+        rows = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths)
+        folder = F.array_join(F.regexp_extract_all("_metadata.file_path", F.lit(_PARTS), F.lit(1)), "/")
+        located = rows.withColumn("_folder", folder)
+        # One row per partition directory: as many as the driver already lists files for.
+        sized = located.join(F.broadcast(due.select(F.col("folder").alias("_folder"), "bins")), "_folder")
+        total = due.agg(F.sum("bins").alias("b")).first()["b"]
+        placed = sized.withColumn("_bin", F.pmod(row_hash(rows), F.col("bins"))).repartition(max(total, 1), "_folder", "_bin")
+        placed.drop("_folder", "bins", "_bin").write.partitionBy(*by).parquet(stage)
 
 
 # --- multi-dimensional clustering -------------------------------------------------
@@ -287,10 +274,10 @@ def _rewrite(spark: SparkSession, root: str, files: DataFrame, change, mark: str
         return {"files_removed": 0, "files_added": 0}
     paths = [r["path"] for r in chosen]
     by = _partition_columns(chosen[0]["folder"])
-    rows = change(spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths))
     stage = swap.staging(root)
-    writer = rows.write.partitionBy(*by) if by else rows.write
-    writer.parquet(stage)
+    with settings(spark, _AS_SPELLED if by else {}):
+        rows = change(spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths))
+        (rows.write.partitionBy(*by) if by else rows.write).parquet(stage)
     return {"files_removed": len(paths), "files_added": swap.exchange(spark, root, stage, paths, mark)}
 
 
