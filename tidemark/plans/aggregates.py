@@ -112,9 +112,12 @@ def agg_salted(t):
     return skew.agg_salted(_skewed(t), ["key"], measures).withColumn("total", F.round("total", 2))
 
 
-@query("agg_salted_avg", f"SELECT key, round(avg(o_totalprice), 4) AS mean FROM {SKEWED} GROUP BY 1")
+@query("agg_salted_avg", f"""
+    SELECT key, avg(CAST(round(o_totalprice * 100) AS BIGINT)) AS mean_cents FROM {SKEWED} GROUP BY 1""")
 def agg_salted_avg(t):
-    return skew.agg_salted(_skewed(t), ["key"], {"mean": ("avg", "o_totalprice")}).withColumn("mean", F.round("mean", 4))
+    # Whole cents: their sum is exact in any order, so the mean needs no rounding.
+    cents = _skewed(t).withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("long"))
+    return skew.agg_salted(cents, ["key"], {"mean_cents": ("avg", "cents")})
 
 
 @query("agg_pivot", """
