@@ -2,16 +2,104 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import decontaminate, mixing, simhash, tokenids, toxicity
 from .common import table
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op1_simhash(spark: SparkSession, root: str) -> DataFrame:
     return simhash.near_groups(table(spark, root, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+def op3_token_ids(spark: SparkSession, root: str) -> DataFrame:
+    return tokenids.token_digest(table(spark, root, "documents"), TOKENIZER)
+
+
+def op4_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
+def op8_decontaminate(spark: SparkSession, root: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
+def op10_mixing(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.mix_plan(table(spark, root, "documents")).drop("source", "copies")
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op3_token_ids": op3_token_ids,
+    "op4_toxicity": op4_toxicity,
+    "op8_decontaminate": op8_decontaminate,
+    "op10_mixing": op10_mixing,
+}
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_decontaminate": f"""
+        with items as (select distinct item_id, text from benchmark where text is not null),
+        item_words as (select item_id, text, {_WORDS} as w from items),
+        item_shingles as (
+            select distinct item_id, text, least(5, len(w)) as n,
+                array_to_string(w[i : i + least(5, len(w)) - 1], ' ') as s
+            from item_words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as t(i) where len(w) > 0
+        ),
+        lengths as (select distinct n from item_shingles),
+        sizes as (select item_id, text, n, count(*) as n_shingles from item_shingles group by all),
+        docs as (select row_number() over () as r, doc_id, {_WORDS} as w from documents),
+        doc_shingles as (
+            select distinct r, doc_id, n, array_to_string(w[i : i + n - 1], ' ') as s
+            from docs, lengths, unnest(range(1, len(w) - n + 2)) as t(i)
+        ),
+        shared as (
+            select r, doc_id, item_id, text, n, count(*) as n_shared
+            from doc_shingles join item_shingles using (n, s) group by all
+        )
+        select doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles as containment
+        from shared join sizes using (item_id, text, n) where n_shared >= ceil(0.8 * n_shingles - 1e-9)
+    """,
+    "op10_mixing": r"""
+        with sized as (
+            select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+                md5(coalesce(doc_id::varchar, '')) || md5(coalesce(text, '')) as tie
+            from documents
+        ),
+        sources as (
+            select source, sum(size)::bigint as source_size,
+                [5.0::double, 2.0::double, 1.0::double][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as weight
+            from sized group by source
+        ),
+        caps as (select *, source_size * 2.0::double as cap, source_size * 2.0::double / weight as filled from sources),
+        levels as (
+            select *, sum(source_size) over () * 1.5::double as everything,
+                sum(cap) over (order by filled, source nulls last rows unbounded preceding)
+                    + filled * (sum(weight) over () - sum(weight) over (order by filled, source nulls last rows unbounded preceding)) as needed
+            from caps
+        ),
+        shares as (
+            select *, coalesce(sum(case when needed <= everything then cap end) over (), 0.0) as spent,
+                sum(case when needed <= everything then null else weight end) over () as open
+            from levels
+        ),
+        targets as (
+            select source, source_size,
+                case when needed <= everything then cap else least(weight * (everything - spent) / open, cap) end as target,
+                ('0x' || substr(md5('0:' || coalesce(source, '<null>')), 1, 8))::bigint / 4294967296.0::double as u
+            from shares
+        ),
+        placed as (select *, row_number() over (partition by source order by size, tie) as place from sized),
+        rated as (
+            select p.*, t.source_size, t.target, t.u, case when t.source_size > 0 then t.target / t.source_size else 0.0 end as rate
+            from placed p join targets t on p.source is not distinct from t.source
+        )
+        select doc_id, size::bigint as size, source_size, target,
+            ((floor(place * rate + u) - floor((place - 1) * rate + u)) * size)::bigint as taken
+        from rated
+    """,
+}
