@@ -13,7 +13,6 @@ arrays by document order; encode each range into blocks.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +25,14 @@ from .common import prepare, stored
 END_ID = 2
 #: Ids gathered before a block is closed.
 BLOCK_IDS = 1 << 18
-#: Pieces whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Pieces after which a worker sets its memory of ids aside; what it set aside before is forgotten.
+REMEMBERED = 500_000
+
+
+def id_type(vocabulary: int) -> np.dtype:
+    """Little-endian type of the ids of a vocabulary between tasks."""
+    return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
+
 
 _LENGTHS = np.array([[(c >> (2 * i) & 3) + 1 for i in range(4)] for c in range(256)], np.int64)
 
@@ -66,7 +71,9 @@ class _Encoder:
 
     A single space before a character that is no white space always begins a
     new piece for a byte-level tokenizer, so a text may be cut there and each
-    piece encoded on its own.
+    piece encoded on its own. A comma or full stop after a letter is a piece of
+    its own too. New pieces go to the tokenizer many at a time, with line feeds
+    between them: one token each, at which the ids are cut again.
     """
 
     def __init__(self, path: str):
@@ -74,32 +81,73 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.dtype = id_type(self.tokenizer.get_vocab_size())
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.odd = regex.compile(r" (?:\s|$)")
         self.cut = regex.compile(r" (?=\S)")
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 else None
+        self.points = {p: self._plain([p])[0] for p in (",", ".")}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, each after a space."""
+        if self.feed is None:
+            return self._plain([" " + p for p in pieces])
+        out: list[bytes] = []
+        width = self.dtype.itemsize
+        runs = [" " + "\n ".join(pieces[i : i + 4000]) + "\n" for i in range(0, len(pieces), 4000)]
+        for encoded in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False):
+            ids = np.array(encoded.ids, self.dtype)
+            blob, start = ids.tobytes(), 0
+            for stop in (np.flatnonzero(ids == self.feed) * width).tolist():
+                out.append(blob[start:stop])
+                start = stop + width
+        return out
+
+    def _learn(self, unseen: set[str]) -> None:
+        known, older, stems, lines = self.known, self.older, {}, []
+        for p in unseen:
+            if (ids := older.get(p)) is not None:
+                known[p] = ids
+            elif p.split() != [p]:
+                lines.append(p)
+            elif p[-1] in self.points and p[-2:-1].isalpha():
+                stems.setdefault(p[:-1], []).append(p)
+            else:
+                stems.setdefault(p, [])
+        fresh = [p for p in stems if p not in known and p not in older]
+        known.update(zip(fresh, self._pieces(fresh)))
+        for stem, ends in stems.items():
+            ids = known.get(stem) or older[stem]
+            known[stem] = ids
+            for p in ends:
+                known[p] = ids + self.points[p[-1]]
+        known.update(zip(lines, self._plain([" " + p for p in lines])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
-        cut, unseen, known = {}, set(), self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+        cut, unseen = {}, set()
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
                 out[i] = self._plain([text])[0]
                 continue
             pieces = self.cut.split(text) if self.odd.search(text) else text.split(" ")
             cut[i] = pieces
-            unseen.update(p for p in pieces[1:] if p not in known)
-        if unseen:
-            fresh = list(unseen)
-            known.update(zip(fresh, self._plain([" " + p for p in fresh])))
+            unseen.update(pieces[1:])
+        unseen.difference_update(self.known)
+        self._learn(unseen)
         heads = self._plain([pieces[0] for pieces in cut.values()])
+        get = self.known.__getitem__
         for (i, pieces), head in zip(cut.items(), heads):
-            out[i] = head + b"".join(map(known.__getitem__, pieces[1:]))
+            out[i] = head + b"".join(map(get, pieces[1:]))
         return out
 
 
@@ -113,27 +161,26 @@ def _encoder(path: str) -> _Encoder:
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID) -> DataFrame:
-    """``doc_id``, ``tie`` (digest of the text) and ``ids`` (little-endian 32-bit, in zstd-friendly order of bytes)."""
-    tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    """``doc_id``, ``tie`` (digest of the text) and ``ids`` (little-endian, 16 or 32 bits by the vocabulary)."""
 
     @F.arrow_udf("binary")
     def ids(texts: pa.Array) -> pa.Array:
         encoder = _encoder(tokenizer)
+        tail = b"" if end_id is None else np.array([end_id], encoder.dtype).tobytes()
         return pa.array([b + tail for b in encoder.encode(texts.to_pylist())], pa.binary())
 
     return docs.select("doc_id", F.xxhash64("text").alias("tie"), ids(F.coalesce("text", F.lit(""))).alias("ids"))
 
 
-def id_counts(tokens: DataFrame) -> DataFrame:
+def id_counts(tokens: DataFrame, dtype: np.dtype) -> DataFrame:
     """``id``, ``n`` over all of ``tokens``; a task hands on at most one row per vocabulary entry."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                n = np.bincount(np.frombuffer(blob, "<u4"), minlength=len(total))
-                n[: len(total)] += total
-                total = n
+            n = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype), minlength=len(total))
+            n[: len(total)] += total
+            total = n
         present = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(present), pa.array(total[present])], names=["id", "n"])
 
@@ -144,8 +191,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = E
     """Write the ids of ``docs`` in ascending ``doc_id`` order below ``path``; returns the id of each rank."""
     spark = prepare(docs.sparkSession)
     tokens = stored(tokenized(docs, tokenizer, end_id), "tokens")
+    dtype = _encoder(tokenizer).dtype
     # One entry per id of the vocabulary, whatever the corpus.
-    counts = id_counts(tokens).toPandas().sort_values(["n", "id"], ascending=[False, True])
+    counts = id_counts(tokens, dtype).toPandas().sort_values(["n", "id"], ascending=[False, True])
     by_rank = counts["id"].to_numpy(np.uint32)
     rank = np.zeros(int(by_rank.max(initial=0)) + 1, np.uint32)
     rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
@@ -157,14 +205,14 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = E
         part, block, held, blobs, size = TaskContext.get().partitionId(), 0, [], [], 0
 
         def close() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(blobs), "<u4")
+            ids = np.frombuffer(b"".join(blobs), dtype)
             control, data = encode_block(shared.value[ids])
             row = {
                 "part": pa.array([part], pa.int32()),
                 "block": pa.array([block], pa.int64()),
                 "doc_ids": pa.array([np.array([d or 0 for d in held], "<i8").tobytes()], pa.binary()),
                 "nulls": pa.array([np.array([d is None for d in held], np.uint8).tobytes()], pa.binary()),
-                "doc_tokens": pa.array([np.array([len(b) // 4 for b in blobs], "<u8").tobytes()], pa.binary()),
+                "doc_tokens": pa.array([np.array([len(b) // dtype.itemsize for b in blobs], "<u8").tobytes()], pa.binary()),
                 "n_ids": pa.array([len(ids)], pa.int64()),
                 "control": pa.array([control], pa.binary()),
                 "data": pa.array([data], pa.binary()),
@@ -175,7 +223,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = E
             for doc, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held.append(doc)
                 blobs.append(blob)
-                size += len(blob) // 4
+                size += len(blob) // dtype.itemsize
                 if size >= BLOCK_IDS:
                     yield close()
                     block, held, blobs, size = block + 1, [], [], 0
