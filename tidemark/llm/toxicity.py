@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.sizes import broadcast_if_small
 from .common import fold, fresh, prepare, stored
 
 #: Labelled rows the classifier is fitted on, at most; taken by smallest hash of the id.
@@ -93,7 +94,8 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``text``, ``y`` of labelled rows outside the held-out fold."""
     marks = labels.select("doc_id", F.col("toxic").cast("int").alias("y")).filter("y in (0, 1)")
     marks = marks.groupBy("doc_id").agg(F.max("y").alias("y")).filter(fold("doc_id", FOLDS) != 0)
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(marks, "doc_id")
+    # A small set of labels goes to the texts; a larger one meets them in a shuffle.
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(broadcast_if_small(marks), "doc_id")
 
 
 def vocabulary(rows: DataFrame, size: int = FEATURES) -> list[str]:
@@ -140,9 +142,11 @@ def fit(rows: DataFrame, groups: Sequence[Sequence[str]] = IDENTITY_TERMS, penal
             out.append([sorted(known[f] for f in s & known.keys()) for s in sets])
         return pa.array(out, pa.list_(pa.list_(pa.int32())))
 
-    sample = rows.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(FIT_ROWS) if rows.count() > FIT_ROWS else rows
-    got = sample.select("y", vectors("text").alias("v"), F.xxhash64("doc_id", "text").alias("h")).toPandas()
-    got = got.sort_values("h", kind="stable")
+    # Rows of smallest hash; the bound on the hash leaves a few more than wanted, so that only few rows are turned and sorted.
+    h = F.xxhash64("doc_id", "text")
+    most = -(2**63) + min(1.0, 1.1 * FIT_ROWS / max(rows.count(), 1)) * (2**64 - 1)
+    sample = rows.withColumn("h", h).filter(F.col("h") <= int(most)).select("h", "y", vectors("text").alias("v"))
+    got = sample.orderBy("h", "y").limit(FIT_ROWS).toPandas()
     y = got["y"].to_numpy(np.float64)
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1)
