@@ -66,6 +66,12 @@ def fold(column: str, modulus: int = 5) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(modulus)).cast("int")
 
 
+def hash_share(share: float, *columns: str) -> Column:
+    """Whether a row is among the ``share`` of smallest hash of ``columns``: the same rows at every run."""
+    bound = int(min(max(share, 0.0), 1.0) * 2**32)
+    return F.pmod(F.xxhash64(*columns), F.lit(2**32)) < bound
+
+
 def words(text: bytes) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case: what ``bytes`` calls white space and letters."""
     return text.lower().split()

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import fresh, prepare, shingle_hashes, stored, text_bytes, with_row_id, words
+from .common import fresh, hash_share, prepare, shingle_hashes, stored, text_bytes, with_row_id, words
 
 WORDS = 3
 DISTANCE = 3
@@ -211,10 +211,8 @@ def near_links(
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = max(n / shard_rows, min(tasks, n / 2000), 1)
     depth = int(np.ceil(np.log2(min(wanted, MAX_SHARDS))))
-    # The sample holds the fingerprints of smallest hash: the same ones at every run.
     share = min(1.0, SAMPLE_PER_SHARD * (1 << depth) / max(n, 1))
-    chosen = F.xxhash64("fp", F.lit("sample")) < F.lit(int(-(2**63) + share * (2**64 - 1)))
-    sample = prints.filter(chosen).orderBy(F.xxhash64("fp", F.lit("sample"))).limit(2 * SAMPLE_PER_SHARD << depth).toPandas()
+    sample = prints.filter(hash_share(share, "fp")).orderBy(F.xxhash64("fp")).limit(2 * SAMPLE_PER_SHARD << depth).toPandas()
     sample = sample["fp"].to_numpy(np.int64).view(np.uint64)
     runs = distance // 2 + 1
     shared = spark.sparkContext.broadcast([Tree(_run(sample, t, runs), depth) for t in range(runs)])

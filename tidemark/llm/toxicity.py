@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.sizes import broadcast_if_small
-from .common import fold, fresh, prepare, stored
+from .common import fold, fresh, hash_share, prepare, stored
 
 #: Labelled rows the classifier is fitted on, at most; taken by smallest hash of the id.
 FIT_ROWS = 20_000
@@ -142,10 +142,9 @@ def fit(rows: DataFrame, groups: Sequence[Sequence[str]] = IDENTITY_TERMS, penal
             out.append([sorted(known[f] for f in s & known.keys()) for s in sets])
         return pa.array(out, pa.list_(pa.list_(pa.int32())))
 
-    # Rows of smallest hash; the bound on the hash leaves a few more than wanted, so that only few rows are turned and sorted.
-    h = F.xxhash64("doc_id", "text")
-    most = -(2**63) + min(1.0, 1.1 * FIT_ROWS / max(rows.count(), 1)) * (2**64 - 1)
-    sample = rows.withColumn("h", h).filter(F.col("h") <= int(most)).select("h", "y", vectors("text").alias("v"))
+    # The share leaves a few more rows than wanted, so that only few are turned and sorted.
+    sample = rows.filter(hash_share(1.1 * FIT_ROWS / max(rows.count(), 1), "doc_id", "text"))
+    sample = sample.select(F.xxhash64("doc_id", "text").alias("h"), "y", vectors("text").alias("v"))
     got = sample.orderBy("h", "y").limit(FIT_ROWS).toPandas()
     y = got["y"].to_numpy(np.float64)
     if not len(y) or y.min() == y.max():
