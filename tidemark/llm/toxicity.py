@@ -34,6 +34,7 @@ FOLDS = 5
 THRESHOLD = 0.5
 #: Weight of the counterfactual penalty against the loss.
 PENALTY = 1.0
+RIDGE = 1e-4
 
 # Terms for groups of people, in sets whose members may stand for each other.
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
@@ -98,8 +99,8 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(broadcast_if_small(marks), "doc_id")
 
 
-def vocabulary(rows: DataFrame, size: int = FEATURES) -> list[str]:
-    """The ``size`` features whose share among either label's rows differs most, from counts over all ``rows``."""
+def vocabulary(rows: DataFrame, size: int = FEATURES) -> dict[str, float]:
+    """The ``size`` features that tell the labels apart best, from counts over all ``rows``, with how well they do (at most 1)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,7 +125,9 @@ def vocabulary(rows: DataFrame, size: int = FEATURES) -> list[str]:
     # A two-proportion statistic: large where the shares differ by more than chance.
     spread = (p1 - p0) ** 2 / ((F.col("n0") + F.col("n1") + 1) / (t0 + t1))
     best = counted.withColumn("gain", spread).orderBy(F.desc("gain"), "feature").limit(size)
-    return [r["feature"] for r in best.select("feature").collect()]
+    gains = {r["feature"]: r["gain"] for r in best.select("feature", "gain").collect()}
+    top = max(gains.values(), default=1.0)
+    return {f: (g / top) ** 0.5 for f, g in gains.items() if g > 0}
 
 
 def fit(rows: DataFrame, groups: Sequence[Sequence[str]] = IDENTITY_TERMS, penalty: float = PENALTY) -> Model:
@@ -152,7 +155,8 @@ def fit(rows: DataFrame, groups: Sequence[Sequence[str]] = IDENTITY_TERMS, penal
         return Model({}, float(np.log(share / (1 - share))))
     plain = [np.asarray(v[0], np.int64) for v in got["v"]]
     pairs = [(i, np.asarray(s, np.int64)) for i, v in enumerate(got["v"]) for s in v[1:]]
-    weights, bias = _descend(plain, y, pairs, len(vocab), penalty)
+    scale = np.array(list(vocab.values()))
+    weights, bias = _descend(plain, y, pairs, scale, penalty)
     return Model({f: float(w) for f, w in zip(vocab, weights) if w}, float(bias))
 
 
@@ -160,35 +164,41 @@ def _rows(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate([*sets, np.empty(0, np.int64)])
 
 
-def _descend(plain, y, pairs, n, penalty, steps: int = 300, ridge: float = 1e-3, rate: float = 0.2):
-    """Adam on log loss + penalty * mean squared score change under swaps + ridge; labels weigh in inversely to their share."""
+def _descend(plain, y, pairs, scale, penalty, steps: int = 300, ridge: float = RIDGE, rate: float = 0.1):
+    """Adam on log loss + penalty * mean squared score change under swaps + ridge; the rarer label weighs more.
+
+    A feature counts as ``scale`` when present, so one that tells little has to
+    pay more for the same weight; returns weights for presence.
+    """
+    n = len(scale)
     r, c = _rows(plain)
     which = np.array([i for i, _ in pairs], np.int64)
     r2, c2 = _rows([s for _, s in pairs])
     share = y.mean()
     importance = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)) ** 0.5
     importance /= importance.sum()
+    x, x2 = scale[c], scale[c2]
     w = np.zeros(n + 1)
     m, v = np.zeros(n + 1), np.zeros(n + 1)
 
-    def scores(rows, cols, count):
-        return 1 / (1 + np.exp(-np.clip(np.bincount(rows, w[cols], count) + w[n], -30, 30)))
+    def scores(rows, cols, values, count):
+        return 1 / (1 + np.exp(-np.clip(np.bincount(rows, w[cols] * values, count) + w[n], -30, 30)))
 
     for step in range(1, steps + 1):
-        p = scores(r, c, len(y))
+        p = scores(r, c, x, len(y))
         g = importance * (p - y)
         if len(which):
-            p2 = scores(r2, c2, len(which))
+            p2 = scores(r2, c2, x2, len(which))
             change = 2 * penalty / len(y) * (p[which] - p2)
             g = g + np.bincount(which, change, len(y)) * p * (1 - p)
             g2 = -change * p2 * (1 - p2)
-        grad = np.append(np.bincount(c, g[r], n), g.sum())
+        grad = np.append(np.bincount(c, g[r] * x, n), g.sum())
         if len(which):
-            grad += np.append(np.bincount(c2, g2[r2], n), g2.sum())
-        grad[:n] += ridge * w[:n] / n**0.5
+            grad += np.append(np.bincount(c2, g2[r2] * x2, n), g2.sum())
+        grad[:n] += ridge * w[:n]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return w[:n], w[n]
+    return w[:n] * scale, w[n]
 
 
 def scored(docs: DataFrame, model: Model, column: str) -> DataFrame:
