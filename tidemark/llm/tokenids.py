@@ -48,8 +48,9 @@ def encode_block(ranks: np.ndarray) -> tuple[bytes, bytes]:
     codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     codes[: len(ranks)] = lengths - 1
     control = codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
-    octets = ranks.view(np.uint8).reshape(-1, 4)
-    return control.tobytes(), octets[np.arange(4) < lengths[:, None]].tobytes()
+    width = int(lengths.max(initial=1))
+    octets = ranks.view(np.uint8).reshape(-1, 4)[:, :width]
+    return control.tobytes(), octets[np.arange(width) < lengths[:, None]].tobytes()
 
 
 def decode_block(control: bytes, data: bytes, n: int) -> np.ndarray:
@@ -66,27 +67,29 @@ def decode_block(control: bytes, data: bytes, n: int) -> np.ndarray:
     return values
 
 
+#: White space other than single spaces and line feeds.
+_UNCUT = ["  ", "\n\n", " \n", "\n ", *(c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n")]
+
+
 class _Encoder:
     """Token ids of texts, with a bounded memory for the ids of pieces seen before.
 
-    A single space before a character that is no white space always begins a
-    new piece for a byte-level tokenizer, so a text may be cut there and each
-    piece encoded on its own. A comma or full stop after a letter is a piece of
-    its own too. New pieces go to the tokenizer many at a time, with line feeds
-    between them: one token each, at which the ids are cut again.
+    Where white space is single spaces and line feeds between other characters,
+    a space begins a new piece for a byte-level tokenizer and a line feed is a
+    piece of its own, so such a text may be cut there; a comma or full stop
+    after a letter is a piece of its own too. New pieces go to the tokenizer
+    many at a time, with line feeds between them: one token each, at which the
+    ids are cut again. Any other text is encoded whole.
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = id_type(self.tokenizer.get_vocab_size())
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = regex.compile(r" (?:\s|$)")
-        self.cut = regex.compile(r" (?=\S)")
-        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.feed = feed[0] if len(feed) == 1 else None
+        self.feed = self._plain(["\n"])[0]
+        self.cuts = len(self.feed) == self.dtype.itemsize
         self.points = {p: self._plain([p])[0] for p in (",", ".")}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -95,62 +98,69 @@ class _Encoder:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces, each after a space."""
-        if self.feed is None:
-            return self._plain([" " + p for p in pieces])
+    def _pieces(self, pieces: list[str], before: str) -> list[bytes]:
+        """Ids of pieces, each after ``before``."""
         out: list[bytes] = []
-        width = self.dtype.itemsize
-        runs = [" " + "\n ".join(pieces[i : i + 4000]) + "\n" for i in range(0, len(pieces), 4000)]
+        feed, width = np.frombuffer(self.feed, self.dtype)[0], self.dtype.itemsize
+        runs = [before + f"\n{before}".join(pieces[i : i + 4000]) + "\n" for i in range(0, len(pieces), 4000)]
         for encoded in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False):
             ids = np.array(encoded.ids, self.dtype)
             blob, start = ids.tobytes(), 0
-            for stop in (np.flatnonzero(ids == self.feed) * width).tolist():
+            for stop in (np.flatnonzero(ids == feed) * width).tolist():
                 out.append(blob[start:stop])
                 start = stop + width
         return out
 
     def _learn(self, unseen: set[str]) -> None:
-        known, older, stems, lines = self.known, self.older, {}, []
+        """Ids of pieces; those that begin a line are marked by the line feed before them."""
+        known, older, points = self.known, self.older, self.points
+        stems: dict[str, list[str]] = {}
         for p in unseen:
             if (ids := older.get(p)) is not None:
                 known[p] = ids
-            elif p.split() != [p]:
-                lines.append(p)
-            elif p[-1] in self.points and p[-2:-1].isalpha():
+            elif p[-1] in points and p[-2:-1].isalpha():
                 stems.setdefault(p[:-1], []).append(p)
             else:
                 stems.setdefault(p, [])
         fresh = [p for p in stems if p not in known and p not in older]
-        known.update(zip(fresh, self._pieces(fresh)))
+        inner = [p for p in fresh if p[0] != "\n"]
+        first = [p for p in fresh if p[0] == "\n" and len(p) > 1]
+        known.update(zip(inner, self._pieces(inner, " ")))
+        known.update(zip(first, [self.feed + ids for ids in self._pieces([p[1:] for p in first], "")]))
+        known["\n"] = self.feed
         for stem, ends in stems.items():
             ids = known.get(stem) or older[stem]
             known[stem] = ids
             for p in ends:
-                known[p] = ids + self.points[p[-1]]
-        known.update(zip(lines, self._plain([" " + p for p in lines])))
+                known[p] = ids + points[p[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
-        cut, unseen = {}, set()
+        cut, unseen, whole = {}, set(), []
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
         for i, text in enumerate(texts):
-            if any(s in text for s in self.special):
-                out[i] = self._plain([text])[0]
-                continue
-            pieces = self.cut.split(text) if self.odd.search(text) else text.split(" ")
-            cut[i] = pieces
-            unseen.update(pieces[1:])
+            if not self._cuttable(text):
+                whole.append(i)
+            else:
+                cut[i] = pieces = ("\n" + text.replace("\n", " \n")).split(" ")
+                unseen.update(pieces)
         unseen.difference_update(self.known)
         self._learn(unseen)
-        heads = self._plain([pieces[0] for pieces in cut.values()])
-        get = self.known.__getitem__
-        for (i, pieces), head in zip(cut.items(), heads):
-            out[i] = head + b"".join(map(get, pieces[1:]))
+        get, width = self.known.__getitem__, self.dtype.itemsize
+        for i, pieces in cut.items():
+            out[i] = b"".join(map(get, pieces))[width:]
+        for i, ids in zip(whole, self._plain([texts[i] for i in whole])):
+            out[i] = ids
         return out
 
 
+    def _cuttable(self, text: str) -> bool:
+        return self.cuts and not (
+            text[:1].isspace() or text[-1:].isspace() or any(s in text for s in _UNCUT) or any(s in text for s in self.special)
+        )
+
+
 _encoders: dict[str, _Encoder] = {}
 
 
@@ -161,39 +171,58 @@ def _encoder(path: str) -> _Encoder:
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID) -> DataFrame:
-    """``doc_id``, ``tie`` (digest of the text) and ``ids`` (little-endian, 16 or 32 bits by the vocabulary)."""
+    """A row per document (``doc_id``, ``tie``, ``ids``) and rows that only count: ``counts`` of the ids of a task's batches.
+
+    ``ids`` are little-endian, of 16 or 32 bits by the vocabulary; ``tie`` is a
+    digest of the text; ``counts`` are 64-bit, one per id.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    @F.arrow_udf("binary")
-    def ids(texts: pa.Array) -> pa.Array:
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         tail = b"" if end_id is None else np.array([end_id], encoder.dtype).tobytes()
-        return pa.array([b + tail for b in encoder.encode(texts.to_pylist())], pa.binary())
+        total, names = np.zeros(0, np.int64), ["doc_id", "tie", "ids", "counts"]
+        for batch in batches:
+            blobs = [b + tail for b in encoder.encode(batch.column(2).to_pylist())]
+            n = np.bincount(np.frombuffer(b"".join(blobs), encoder.dtype), minlength=len(total))
+            n[: len(total)] += total
+            total = n
+            none = pa.nulls(len(blobs), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(blobs, pa.binary()), none], names=names)
+            key = batch.schema.field(0).type
+        if len(total):
+            empty = [pa.nulls(1, key), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*empty, pa.array([total.astype("<i8").tobytes()], pa.binary())], names=names)
 
-    return docs.select("doc_id", F.xxhash64("text").alias("tie"), ids(F.coalesce("text", F.lit(""))).alias("ids"))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("tie"), F.coalesce("text", F.lit("")).alias("text"))
+    return texts.mapInArrow(ids, f"doc_id {kind}, tie long, ids binary, counts binary")
 
 
-def id_counts(tokens: DataFrame, dtype: np.dtype) -> DataFrame:
-    """``id``, ``n`` over all of ``tokens``; a task hands on at most one row per vocabulary entry."""
+def id_counts(counts: DataFrame) -> DataFrame:
+    """``id``, ``n`` from the ``counts`` of all tasks; a task hands on at most one row per vocabulary entry."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            n = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype), minlength=len(total))
-            n[: len(total)] += total
-            total = n
+            for blob in batch.column(0).to_pylist():
+                n = np.frombuffer(blob, "<i8").copy()
+                longer, shorter = (n, total) if len(n) >= len(total) else (total, n)
+                longer[: len(shorter)] += shorter
+                total = longer
         present = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(present), pa.array(total[present])], names=["id", "n"])
 
-    return tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return counts.mapInArrow(add, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = END_ID) -> np.ndarray:
     """Write the ids of ``docs`` in ascending ``doc_id`` order below ``path``; returns the id of each rank."""
     spark = prepare(docs.sparkSession)
-    tokens = stored(tokenized(docs, tokenizer, end_id), "tokens")
+    both = stored(tokenized(docs, tokenizer, end_id), "tokens")
+    tokens = both.filter("ids is not null").select("doc_id", "tie", "ids")
     dtype = _encoder(tokenizer).dtype
     # One entry per id of the vocabulary, whatever the corpus.
-    counts = id_counts(tokens, dtype).toPandas().sort_values(["n", "id"], ascending=[False, True])
+    counts = id_counts(both.filter("counts is not null").select("counts")).toPandas().sort_values(["n", "id"], ascending=[False, True])
     by_rank = counts["id"].to_numpy(np.uint32)
     rank = np.zeros(int(by_rank.max(initial=0)) + 1, np.uint32)
     rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
