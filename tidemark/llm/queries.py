@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, simhash, tokenids, toxicity
+from . import decontaminate, mixing, repeats, simhash, tokenids, toxicity
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -15,6 +15,10 @@ def op1_simhash(spark: SparkSession, root: str) -> DataFrame:
     return simhash.near_groups(table(spark, root, "documents"))
 
 
+def op2_repeats(spark: SparkSession, root: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, root, "documents")).drop("kept")
+
+
 def op3_token_ids(spark: SparkSession, root: str) -> DataFrame:
     return tokenids.token_digest(table(spark, root, "documents"), TOKENIZER)
 
@@ -33,6 +37,7 @@ def op10_mixing(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_repeats": op2_repeats,
     "op3_token_ids": op3_token_ids,
     "op4_toxicity": op4_toxicity,
     "op8_decontaminate": op8_decontaminate,
