@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, repeats, simhash, tokenids, toxicity
+from . import decontaminate, html, licenses, mixing, repeats, simhash, sketches, tokenids, toxicity
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,18 @@ def op4_toxicity(spark: SparkSession, root: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, root, "documents"), table(spark, root, "labels"))
 
 
+def op5_fingerprints(spark: SparkSession, root: str) -> DataFrame:
+    return sketches.neighbour_sketches(table(spark, root, "documents"))
+
+
+def op6_html(spark: SparkSession, root: str) -> DataFrame:
+    return html.page_texts(table(spark, root, "pages"))
+
+
+def op7_licenses(spark: SparkSession, root: str) -> DataFrame:
+    return licenses.license_lines(table(spark, root, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, root: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, root, "documents"), table(spark, root, "benchmark"))
 
@@ -40,6 +52,9 @@ QUERIES = {
     "op2_repeats": op2_repeats,
     "op3_token_ids": op3_token_ids,
     "op4_toxicity": op4_toxicity,
+    "op5_fingerprints": op5_fingerprints,
+    "op6_html": op6_html,
+    "op7_licenses": op7_licenses,
     "op8_decontaminate": op8_decontaminate,
     "op10_mixing": op10_mixing,
 }
