@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html, licenses, mixing, repeats, simhash, sketches, tokenids, toxicity
+from . import decontaminate, html, language_model, licenses, mixing, repeats, simhash, sketches, tokenids, toxicity
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +43,10 @@ def op8_decontaminate(spark: SparkSession, root: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, root, "documents"), table(spark, root, "benchmark"))
 
 
+def op9_language_model(spark: SparkSession, root: str) -> DataFrame:
+    return language_model.lm_scores(table(spark, root, "documents"))
+
+
 def op10_mixing(spark: SparkSession, root: str) -> DataFrame:
     return mixing.mix_plan(table(spark, root, "documents")).drop("source", "copies")
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op6_html": op6_html,
     "op7_licenses": op7_licenses,
     "op8_decontaminate": op8_decontaminate,
+    "op9_language_model": op9_language_model,
     "op10_mixing": op10_mixing,
 }
 
