@@ -150,7 +150,8 @@ def parse(page: str) -> list[Node]:
             above = nodes[parent]
             beside = above.beside or tag in BESIDE_TAGS and not (tag == "header" and above.main) or bool(BESIDE_NAMES.search(names))
             main = tag in ("article", "main") or bool(names and MAIN_NAMES.search(names))
-            path = f"{above.path}/{_step(tag, names)}"
+            # Pages that leave out the outermost tags share paths with those that do not.
+            path = above.path if tag in ("html", "body") else f"{above.path}/{_step(tag, names)}"
             nodes.append(Node(tag, path, beside, main, parent))
             stack.append((tag, len(nodes) - 1))
     if at < len(page):
