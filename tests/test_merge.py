@@ -13,13 +13,13 @@ from tidemark.operators.ordered import latest
 
 @pytest.fixture
 def target(spark):
-    return spark.createDataFrame([(1, "Ada", "silver", 100.0), (2, "Lin", "gold", 250.0)], "id int, name string, tier string, amount double")
+    return spark.createDataFrame([(1, "north", "raw", -4.5), (2, "south", "final", 0.0)], "id int, name string, tier string, amount double")
 
 
 @pytest.fixture
 def feed(spark):
     return spark.createDataFrame(
-        [(1, "Ada", "silver", 150.0, "2024-01-01"), (1, "Ada", "gold", 180.0, "2024-01-02"), (3, "Sam", "silver", 90.0, "2024-01-01")],
+        [(7, "dam", "raw", 2.25, "2031-05-09"), (1, "north", "final", -3.0, "2031-05-08"), (1, "north", "raw", 8.0, "2031-05-07")],
         "id int, name string, tier string, amount double, event_ts string",
     )
 
@@ -27,7 +27,7 @@ def feed(spark):
 def test_dedup_then_upsert(target, feed):
     newest = latest(feed, ["id"], [F.desc("event_ts")]).drop("event_ts")
     assert rows(m.upsert(target, newest, ["id"])) == [
-        (1, "Ada", "gold", 180.0), (2, "Lin", "gold", 250.0), (3, "Sam", "silver", 90.0)
+        (1, "north", "final", -3.0), (2, "south", "final", 0.0), (7, "dam", "raw", 2.25)
     ]
 
 
@@ -56,13 +56,13 @@ def test_null_key_rows_count_as_not_matched_by_source(spark):
 def test_unknown_condition_is_no(spark, target):
     s = spark.createDataFrame([(1, None, "x", None)], target.schema)
     got = m.merge(target, s, ["id"], matched=[m.Delete("s.amount > 5"), m.Update({"tier": "s.tier"}, "s.name IS NULL")])
-    assert rows(got) == [(1, "Ada", "x", 100.0), (2, "Lin", "gold", 250.0)]
+    assert rows(got) == [(1, "north", "x", -4.5), (2, "south", "final", 0.0)]
 
 
 def test_first_clause_wins(target, spark):
     s = spark.createDataFrame([(1, "n", "t", 5.0)], target.schema)
     got = m.merge(target, s, ["id"], matched=[m.Update({"name": "'first'"}), m.Delete()])
-    assert (1, "first", "silver", 100.0) in rows(got)
+    assert (1, "first", "raw", -4.5) in rows(got)
 
 
 def naive_merge(target, source):
@@ -98,10 +98,12 @@ def test_random_merge(spark, seed):
 
 
 def test_replace_where(spark, target):
-    slice_ = spark.createDataFrame([(3, "Sam", "silver", 95.0)], target.schema)
-    assert rows(m.replace_where(target, slice_, "tier = 'silver'")) == [(2, "Lin", "gold", 250.0), (3, "Sam", "silver", 95.0)]
+    slice_ = spark.createDataFrame([(5, "weir", "raw", 6.0), (6, "lock", "raw", None)], target.schema)
+    assert rows(m.replace_where(target, slice_, "tier = 'raw'")) == sorted(
+        [(2, "south", "final", 0.0), (5, "weir", "raw", 6.0), (6, "lock", "raw", None)], key=repr
+    )
     with pytest.raises(m.SliceViolation):
-        m.replace_where(target, slice_, "tier = 'gold'")
+        m.replace_where(target, slice_, "amount > 0")
 
 
 def test_replace_where_keeps_unknown_rows(spark):
@@ -112,13 +114,25 @@ def test_replace_where_keeps_unknown_rows(spark):
 
 def test_partition_overwrite_excludes_predicate(target, folder):
     with pytest.raises(ValueError):
-        m.overwrite_partitions(target, folder, ["tier"], where="tier = 'gold'")
+        m.overwrite_partitions(target, folder, ["tier"], where="tier = 'final'")
 
 
 def test_staged_overwrite_may_read_its_own_table(spark, target, folder):
     target.write.parquet(folder)
     m.staged_overwrite(m.delete_where(spark.read.parquet(folder), "id = 1"), folder)
-    assert rows(spark.read.parquet(folder)) == [(2, "Lin", "gold", 250.0)]
+    assert rows(spark.read.parquet(folder)) == [(2, "south", "final", 0.0)]
+
+
+def test_old_rows_stay_gone_after_a_crash(spark, target, folder, monkeypatch):
+    """An overwrite that stopped after naming what it replaces is finished by the next one, not after it."""
+    target.write.parquet(folder)
+    with monkeypatch.context() as patch:
+        patch.setattr(m.swap, "_finish", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            m.staged_overwrite(target.withColumn("amount", F.lit(1.0)), folder)
+    m.staged_overwrite(target.withColumn("amount", F.lit(2.0)), folder)
+    m.swap.recover(spark, folder)
+    assert [r["amount"] for r in spark.read.parquet(folder).collect()] == [2.0, 2.0]
 
 
 @pytest.fixture

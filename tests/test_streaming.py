@@ -28,13 +28,21 @@ def test_late_rows_are_dropped_and_counted(spark, ticks, folder):
         land(batch, f"{folder}/in")
         stream = jobs.file_stream(spark, f"{folder}/in", batch.schema, event_time="at")
         counted = jobs.tumbling_counts(stream, "at", "5 minutes", "10 minutes")
-        done = jobs.finish(jobs.to_files(counted, f"{folder}/out", f"{folder}/state"))
-        seen.append(jobs.progress_rows(spark, done))
+        with jobs.ProgressLog(spark) as log:
+            seen.append(log.progress_rows(jobs.finish(jobs.to_files(counted, f"{folder}/out", f"{folder}/state"))))
     closed = spark.read.parquet(f"{folder}/out")
     assert [(str(r["window_start"])[11:16], r["n"]) for r in closed.collect()] == [("10:00", 1)]
     assert seen[1].agg(F.sum("late_rows")).first()[0] == 1
 
 
+def test_progress_of_more_batches_than_spark_remembers(spark, folder):
+    spark.range(0, 130, 1, 130).write.parquet(f"{folder}/in")
+    stream = jobs.file_stream(spark, f"{folder}/in", spark.range(1).schema, max_files=1)
+    with jobs.ProgressLog(spark) as log:
+        seen = log.progress_rows(jobs.finish(jobs.for_each_batch(stream, lambda batch, n: batch.count(), f"{folder}/state")))
+    assert seen.agg(F.sum("input_rows")).first()[0] == 130 and seen.count() >= 130
+
+
 def test_append_needs_a_watermark(spark, ticks, folder):
     batch = ticks((1, "2024-01-01 10:00:00"))
     land(batch, f"{folder}/in")

@@ -119,7 +119,7 @@ class Policy:
 
     ``apply`` takes the matched column (and the columns of ``using``, by name)
     and returns the masked value, or TRUE to keep the row. ``to`` and
-    ``but`` name users or groups; ``to`` of ``account users`` means everyone.
+    ``but`` name users or groups; ``to`` of ``everyone`` means everyone.
     ``when`` restricts the policy to tables with these tags.
     """
 
@@ -127,7 +127,7 @@ class Policy:
     kind: str  # "mask" or "filter"
     apply: Callable[..., Column] = field(compare=False)
     match: Mapping[str, str] = field(default_factory=dict, compare=False)
-    to: tuple[str, ...] = ("account users",)
+    to: tuple[str, ...] = ("everyone",)
     but: tuple[str, ...] = ()
     when: Mapping[str, str] = field(default_factory=dict, compare=False)
     using: tuple[str, ...] = ()
@@ -138,7 +138,7 @@ class PolicyConflict(ValueError):
 
 
 def _names(principal: Principal) -> set[str]:
-    return {principal.user, "account users", *principal.groups}
+    return {principal.user, "everyone", *principal.groups}
 
 
 def _tagged(tags: Sequence[Tag], table: str, column: str | None, wanted: Mapping[str, str]) -> bool:

@@ -205,6 +205,8 @@ def staged_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     crash leaves either the old table or an exchange the next job finishes.
     """
     spark = df.sparkSession
+    # An exchange left half done is finished first, or its old rows would come back later.
+    swap.recover(spark, path)
     old = swap.data_files(spark, path)
     stage = swap.staging(path)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
@@ -225,5 +227,5 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
 
 
 def truncate(df_path: str, schema: T.StructType, spark) -> None:
-    """Empty the table at a path and keep its columns."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(df_path)
+    """Empty the table at a path and keep its columns; staged like any other rewrite."""
+    staged_overwrite(spark.createDataFrame([], schema), df_path)

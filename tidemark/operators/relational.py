@@ -78,16 +78,22 @@ def join_range(
 
     Periods are cut into calendar units and both sides meet on ``(keys, unit)``,
     so a row is compared only with the periods touching its own unit and a hot
-    key is spread over the units. ``open_until`` closes periods without an end.
+    key is spread over the units. Periods without an end stay in force: they are
+    cut after the last time in ``fact``, found in one aggregate, unless
+    ``open_until`` names the instant. Cut periods that are measured to be small
+    go to the rows; larger ones meet them in a shuffle.
     """
-    bound = F.col(end) if open_until is None else F.coalesce(F.col(end), F.lit(open_until).cast(periods.schema[end].dataType))
+    if open_until is None:
+        last = fact.agg(F.date_add(F.max(F.col(at)).cast("date"), 1).cast("string").alias("m")).first()["m"]
+        open_until = last or "1970-01-01"
+    bound = F.coalesce(F.col(end), F.lit(open_until).cast(periods.schema[end].dataType))
     day = {"day": "1 day", "month": "1 month", "year": "1 year"}[unit]
     units = F.sequence(
         F.date_trunc(unit, F.col(start)).cast("date"), F.date_trunc(unit, bound).cast("date"), F.expr(f"INTERVAL {day}")
     )
     cut = periods.withColumn(end, bound).filter(F.col(start) <= F.col(end)).withColumn("_unit", F.explode(units))
     located = fact.withColumn("_unit", F.date_trunc(unit, F.col(at)).cast("date"))
-    joined = located.join(cut, [*keys, "_unit"])
+    joined = located.join(broadcast_if_small(cut), [*keys, "_unit"])
     upper = F.col(at) <= F.col(end) if closed_end else F.col(at) < F.col(end)
     return joined.filter((F.col(at) >= F.col(start)) & upper).drop("_unit")
 
@@ -98,12 +104,8 @@ def join_point_in_time(
 ) -> DataFrame:
     """Rows of ``fact`` with the dimension version valid then: start <= at < end, no end = still valid.
 
-    Open versions are cut at the last time in ``fact``, found in one aggregate,
-    unless ``open_until`` names a later instant.
+    Open versions are cut as in ``join_range``.
     """
-    if open_until is None:
-        last = fact.agg(F.date_add(F.max(F.col(at)).cast("date"), 1).cast("string").alias("m")).first()["m"]
-        open_until = last or "1970-01-01"
     return join_range(fact, history, keys, at, start, end, unit, open_until, closed_end=False)
 
 

@@ -144,10 +144,10 @@ def usage(t):
     WITH {PRICE_CTE}
     SELECT u.brand, p.price_start, count(*) AS n, round(sum(l_quantity), 2) AS qty
     FROM usage u JOIN price p ON u.brand = p.brand
-     AND used_at BETWEEN price_start AND coalesce(price_end, TIMESTAMP '2003-01-01') GROUP BY ALL""")
+     AND used_at >= price_start AND (price_end IS NULL OR used_at <= price_end) GROUP BY ALL""")
 def join_range_price(t):
     joined = rel.join_range(
-        usage(t), price_list(t), ["brand"], "used_at", "price_start", "price_end", "month", open_until="2003-01-01"
+        usage(t), price_list(t), ["brand"], "used_at", "price_start", "price_end", "month"
     )
     return joined.groupBy("brand", "price_start").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty")

@@ -26,12 +26,12 @@ def gen_skewed(t):
 
 @query("inline_rows", """
     SELECT c_mktsegment, v.label, count(*) AS n
-    FROM customer JOIN (VALUES ('BUILDING', 'b'), ('MACHINERY', 'm'), ('HOUSEHOLD', 'h')) AS v(seg, label)
+    FROM customer LEFT JOIN (VALUES ('BUILDING', 'b'), ('MACHINERY', 'm'), ('HOUSEHOLD', 'h')) AS v(seg, label)
       ON c_mktsegment = v.seg GROUP BY ALL""")
 def inline_rows(t):
     rows = [("BUILDING", "b"), ("MACHINERY", "m"), ("HOUSEHOLD", "h")]
     names = generate.inline_rows(t.spark, rows, "seg string, label string")
-    joined = t.customer.join(F.broadcast(names), F.col("c_mktsegment") == F.col("seg"))
+    joined = t.customer.join(F.broadcast(names), F.col("c_mktsegment") == F.col("seg"), "left")
     return joined.groupBy("c_mktsegment", "label").agg(F.count(F.lit(1)).alias("n"))
 
 

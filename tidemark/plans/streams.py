@@ -139,7 +139,7 @@ def stream_append_flows(t):
     }
     for running in jobs.append_flows(flows, out + "/data", out + "/state").values():
         jobs.finish(running)
-    return t.spark.read.parquet(out + "/data").select("flow", "event_id")
+    return jobs.read_flows(t.spark, out + "/data", list(flows)).select("flow", "event_id")
 
 
 @query("stream_restart", "SELECT event_id, event_type FROM events")
@@ -158,8 +158,8 @@ def stream_progress(t):
     path, out = t.scratch("progress-in"), t.scratch("progress")
     t.events.repartition(4).write.parquet(path)
     stream = events_stream(t, path, max_files=1).select("event_id")
-    done = jobs.finish(jobs.to_files(stream, out + "/data", out + "/state"))
-    rows = jobs.progress_rows(t.spark, done)
+    with jobs.ProgressLog(t.spark) as log:
+        rows = log.progress_rows(jobs.finish(jobs.to_files(stream, out + "/data", out + "/state")))
     return rows.agg(F.sum("input_rows").alias("input_rows"), (F.count_if(F.col("input_rows") > 0) > 1).alias("several"))
 
 

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.quality import SchemaMismatch, check_constraints
+from .files import missing_path
 
 MAX_FILES = 1000
 
@@ -16,7 +17,9 @@ def _ledger(spark: SparkSession, state_dir: str) -> DataFrame:
     schema = "path STRING, load_id INT"
     try:
         return spark.read.schema(schema).parquet(f"{state_dir}/ledger")
-    except AnalysisException:
+    except AnalysisException as e:
+        if not missing_path(e):
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -45,7 +48,9 @@ def read_loaded(spark: SparkSession, target: str) -> DataFrame | None:
     """The target table, or None before the first load."""
     try:
         df = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(target)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not missing_path(e):
+            raise
         return None
     return df
 
@@ -91,14 +96,14 @@ def copy_into(
 
 
 def validate(
-    spark: SparkSession, source: str, fmt: str = "parquet", rows: int = 15, schema: T.StructType | str | None = None,
+    spark: SparkSession, source: str, fmt: str = "parquet", rows: int | None = 15, schema: T.StructType | str | None = None,
     select: Sequence[str] | None = None, pattern: str | None = None, files: Sequence[str] | None = None,
     not_null: Sequence[str] = (), checks: Mapping[str, str] | None = None, options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Dry run: the first rows parsed and checked; nothing is written."""
-    paths = [r["path"] for r in _listing(spark, source, pattern, files).orderBy("path").limit(MAX_FILES).collect()]
+    """Dry run: the first rows of all files, or with ``rows=None`` all of them, parsed and checked; nothing is written."""
+    paths = sorted(r["path"] for r in _listing(spark, source, pattern, files).collect())  # names only
     strict = {"mode": "FAILFAST", **(options or {})} if fmt in ("json", "csv") else dict(options or {})
     df = _reader(spark, fmt, schema, strict).load(paths)
     if select is not None:
         df = df.selectExpr(*select)
-    return check_constraints(df.limit(rows), not_null, checks)
+    return check_constraints(df if rows is None else df.limit(rows), not_null, checks)

@@ -10,6 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..operators.skew import row_salt
 
 
+def missing_path(error: Exception) -> bool:
+    """Whether a read failed only because there is nothing at its path."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def scan_parquet(spark: SparkSession, path: str | Sequence[str], merge_schema: bool = False) -> DataFrame:
     reader = spark.read.option("mergeSchema", str(merge_schema).lower())
     return reader.parquet(path) if isinstance(path, str) else reader.parquet(*path)

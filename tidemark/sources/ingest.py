@@ -16,13 +16,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQueryException
 
+from .files import missing_path
+
 RESCUED = "_rescued_data"
 MODES = ("addNewColumns", "addNewColumnsWithTypeWidening", "rescue", "failOnNewColumns", "none")
 
-# Limits of the sample a schema is inferred from: whichever is reached first.
-SAMPLE_FILES = 1000
-SAMPLE_BYTES = 50 * 1024**3
-
 _LISTING = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
@@ -44,7 +42,9 @@ def stored_schemas(spark: SparkSession, state_dir: str) -> list[T.StructType]:
     """All versions of the stored schema, oldest first."""
     try:
         rows = spark.read.schema("version INT, body STRING").json(f"{state_dir}/schemas").collect()
-    except AnalysisException:
+    except AnalysisException as e:
+        if not missing_path(e):
+            raise
         return []
     latest = {r["version"]: r["body"] for r in rows}
     return [T.StructType.fromJson(json.loads(latest[v])) for v in sorted(latest)]
@@ -105,14 +105,8 @@ def evolved(schema: T.StructType, seen: T.StructType, mode: str, pinned: set[str
 
 
 def _infer(spark: SparkSession, files: DataFrame, fmt: str, options: Mapping[str, str]) -> T.StructType:
-    """Schema of a bounded sample of files (newest first)."""
-    chosen, size = [], 0
-    for row in files.orderBy(F.desc("length"), "path").limit(SAMPLE_FILES).collect():
-        if chosen and size + row["length"] > SAMPLE_BYTES:
-            break
-        chosen.append(row["path"])
-        size += row["length"]
-    return _schema_of(spark, chosen, fmt, options)
+    """Schema of all files of a batch, which is about to read them all."""
+    return _schema_of(spark, sorted(r["path"] for r in files.select("path").collect()), fmt, options)
 
 
 def _schema_of(spark: SparkSession, paths: list[str], fmt: str, options: Mapping[str, str]) -> T.StructType:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.ordered import latest
 
@@ -132,10 +135,49 @@ def append_flows(flows: Mapping[str, DataFrame], path: str, state_dir: str) -> d
     }
 
 
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per micro-batch with its rows, rows dropped as late, and watermark."""
-    rows = []
-    for p in query.recentProgress:
+def read_flows(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """All rows of the flows, each folder read by its own log, so that files of failed attempts are left out."""
+    parts = [spark.read.parquet(f"{path}/flow={name}").withColumn("flow", F.lit(name)) for name in names]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+class ProgressLog(StreamingQueryListener):
+    """Every micro-batch of the queries that run inside the block; Spark itself remembers only the last hundred."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.rows, self.ended = spark, {}, set()
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = json.loads(event.progress.json)
         late = sum(s.get("numRowsDroppedByWatermark", 0) for s in p["stateOperators"])
-        rows.append((p["batchId"], p["numInputRows"], late, p["eventTime"].get("watermark") if p["eventTime"] else None))
-    return spark.createDataFrame(rows, "batch_id long, input_rows long, late_rows long, watermark string")
+        row = (p["batchId"], p["numInputRows"], late, p.get("eventTime", {}).get("watermark"))
+        self.rows.setdefault(p["runId"], []).append(row)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+    def progress_rows(self, query: StreamingQuery, wait: float = 60.0) -> DataFrame:
+        """One row per micro-batch of a finished query with its rows, rows dropped as late, and watermark.
+
+        Events arrive after the query has ended, its end last.
+        """
+        until = time.monotonic() + wait
+        while str(query.runId) not in self.ended:
+            if time.monotonic() > until:
+                raise TimeoutError("the end of the query was not reported")
+            time.sleep(0.05)
+        rows = self.rows.get(str(query.runId), [])
+        return self.spark.createDataFrame(rows, "batch_id long, input_rows long, late_rows long, watermark string")
