@@ -9,7 +9,6 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from conftest import ROOT

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.sizes import broadcast_if_small
 from .common import prepare, stored
@@ -86,7 +86,6 @@ def parse(page: str) -> list[Node]:
     stack: list[tuple[str, int]] = [("", 0)]
     text: list[str] = []
     links = place = linked = 0
-    silent = ""
 
     def flush() -> None:
         nonlocal links, place
@@ -120,7 +119,6 @@ def parse(page: str) -> list[Node]:
         if tag in SILENT_TAGS and not closing and not m[3].rstrip().endswith("/"):
             # Skip to the end tag; what holds no text is never read.
             end = regex.compile(rf"</{regex.escape(tag)}\s*>", regex.IGNORECASE).search(page, at)
-            silent = page[at : end.start()] if end else ""
             flush()
             at = end.end() if end else (len(page) if tag in ("script", "style") else at)
         elif tag == "a":
@@ -161,7 +159,7 @@ def parse(page: str) -> list[Node]:
 
 
 def scores(nodes: list[Node]) -> dict[str, float]:
-    """Score of each path that has text: characters of its own blocks without links, twice where the names say article."""
+    """Score of each path that has text: characters of its own blocks less its links, fourfold where tag or names say article."""
     found: dict[str, float] = {}
     for node in nodes:
         if node.blocks and not node.beside:
