@@ -63,10 +63,18 @@ def as_of(
 
 
 def history(log: DataFrame) -> DataFrame:
-    """One row per commit: time and the number of rows inserted, updated and deleted."""
+    """One row per commit: time, operation and the number of rows inserted, updated and deleted.
+
+    A commit of one kind of change is named after it, one of several is a merge.
+    """
     when = F.max("_ts").alias("ts") if "_ts" in log.columns else F.lit(None).cast("timestamp").alias("ts")
+    kinds = F.array_sort(F.collect_set("_op"))  # at most three per commit
+    named = F.when(F.size(kinds) > 1, "MERGE")
+    for op, name in (("I", "WRITE"), ("U", "UPDATE"), ("D", "DELETE")):
+        named = named.when(F.element_at(kinds, 1) == op, name)
     return log.groupBy(F.col("_seq").alias("version")).agg(
         when,
+        named.alias("operation"),
         F.count_if(F.col("_op") == "I").alias("n_inserted"),
         F.count_if(F.col("_op") == "U").alias("n_updated"),
         F.count_if(F.col("_op") == "D").alias("n_deleted"),

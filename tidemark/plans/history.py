@@ -44,7 +44,8 @@ def as_of_timestamp(t):
 
 
 @query("history", f"""
-    WITH {LOG} SELECT _seq AS version, max(_ts) AS ts, count(*) FILTER (_op = 'I') AS n_inserted,
+    WITH {LOG} SELECT _seq AS version, max(_ts) AS ts, CASE WHEN count(DISTINCT _op) > 1 THEN 'MERGE' WHEN min(_op) = 'I' THEN 'WRITE'
+      WHEN min(_op) = 'U' THEN 'UPDATE' ELSE 'DELETE' END AS operation, count(*) FILTER (_op = 'I') AS n_inserted,
       count(*) FILTER (_op = 'U') AS n_updated, count(*) FILTER (_op = 'D') AS n_deleted FROM log GROUP BY 1""")
 def history(t):
     return v.history(change_log(t))

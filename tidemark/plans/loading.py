@@ -8,8 +8,8 @@ from ..sources import ingest as ing
 from .registry import query
 
 
-def land(df, path, name, parts=2):
-    df.repartition(parts).write.json(f"{path}/{name}")
+def land(df, path, name, parts=2, fmt="json"):
+    df.repartition(parts).write.format(fmt).save(f"{path}/{name}")
 
 
 def _dirs(t, name):
@@ -46,16 +46,16 @@ def infer_schema_store(t):
     return t.spark.createDataFrame(rows, "version int, name string, type string, n long")
 
 
-def _two_halves(t, name, mode, first, second, hints=None, retry=True):
+def _two_halves(t, name, mode, first, second, hints=None, retry=True, fmt="json"):
     """Load the first half of the events, then the second with other columns; returns (table, failures)."""
     source, state, table = _dirs(t, name)
-    land(t.events.filter("ts < '2024-01-16'").select(*first), source, "a")
-    ing.ingest(t.spark, source, state, table, mode=mode, hints=hints)
-    land(t.events.filter("ts >= '2024-01-16'").select(*second), source, "b")
+    land(t.events.filter("ts < '2024-01-16'").select(*first), source, "a", fmt=fmt)
+    ing.ingest(t.spark, source, state, table, fmt, mode=mode, hints=hints)
+    land(t.events.filter("ts >= '2024-01-16'").select(*second), source, "b", fmt=fmt)
     failures = 0
     for _ in range(2 if retry else 1):
         try:
-            ing.ingest(t.spark, source, state, table, mode=mode, hints=hints)
+            ing.ingest(t.spark, source, state, table, fmt, mode=mode, hints=hints)
             break
         except ing.UnknownFieldError:
             failures += 1
@@ -73,13 +73,14 @@ def evolve_add(t):
 
 
 @query("evolve_typeWidening", f"""
-    SELECT event_id, round(CASE WHEN {LATER} THEN value + 0.5 ELSE CAST(user_id AS DOUBLE) END, 6) AS amount FROM events""")
+    SELECT event_id, CASE WHEN {LATER} THEN user_id + 9007199254740993 ELSE user_id END AS amount FROM events""")
 def evolve_widening(t):
-    whole = F.col("user_id").alias("amount")
+    narrow = F.col("user_id").cast("int").alias("amount")
+    wide = (F.col("user_id") + F.lit(9007199254740993)).alias("amount")
     df, _ = _two_halves(
-        t, "widen", "addNewColumnsWithTypeWidening", ["event_id", whole], ["event_id", (F.col("value") + 0.5).alias("amount")]
+        t, "widen", "addNewColumnsWithTypeWidening", ["event_id", narrow], ["event_id", wide], fmt="parquet"
     )
-    return df.select("event_id", F.round("amount", 6).alias("amount"))
+    return df.select("event_id", "amount")
 
 
 @query("evolve_rescue", f"""
