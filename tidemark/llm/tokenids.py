@@ -13,10 +13,13 @@ arrays by document order; encode each range into blocks.
 
 from __future__ import annotations
 
+import codecs
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import scratch_path
@@ -27,6 +30,8 @@ END_ID = 2
 BLOCK_IDS = 1 << 18
 #: Pieces after which a worker sets its memory of ids aside; what it set aside before is forgotten.
 REMEMBERED = 500_000
+#: Code points of text a worker gathers before it encodes them together.
+TOGETHER = 8 << 20
 
 
 def id_type(vocabulary: int) -> np.dtype:
@@ -70,6 +75,11 @@ def decode_block(control: bytes, data: bytes, n: int) -> np.ndarray:
 #: White space other than single spaces and line feeds.
 _UNCUT = ["  ", "\n\n", " \n", "\n ", *(c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n")]
 
+_UNSHOWN = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE)]
+#: How a byte-level vocabulary shows each byte: those that do not print take the code points from 256 on, in order.
+_SHOWN = "".join(chr(256 + _UNSHOWN.index(b)) if b in _UNSHOWN else chr(b) for b in range(256))
+_SPACE = _SHOWN[0x20]
+
 
 class _Encoder:
     """Token ids of texts, with a bounded memory for the ids of pieces seen before.
@@ -77,9 +87,11 @@ class _Encoder:
     Where white space is single spaces and line feeds between other characters,
     a space begins a new piece for a byte-level tokenizer and a line feed is a
     piece of its own, so such a text may be cut there; a comma or full stop
-    after a letter is a piece of its own too. New pieces go to the tokenizer
-    many at a time, with line feeds between them: one token each, at which the
-    ids are cut again. Any other text is encoded whole.
+    after a letter is a piece of its own too. Texts are cut and their pieces
+    told apart by Arrow; new words of letters alone go straight to the
+    tokenizer's model, other new pieces to the tokenizer many at a time, with
+    line feeds between them: one token each, at which the ids are cut again.
+    Any other text is encoded whole.
     """
 
     def __init__(self, path: str):
@@ -91,6 +103,15 @@ class _Encoder:
         self.feed = self._plain(["\n"])[0]
         self.cuts = len(self.feed) == self.dtype.itemsize
         self.points = {p: self._plain([p])[0] for p in (",", ".")}
+        parts = json.loads(self.tokenizer.to_str())
+        before = parts["pre_tokenizer"] or {}
+        self.direct = (
+            parts["normalizer"] is None and parts["model"]["type"] == "BPE" and before.get("type") == "ByteLevel"
+            and before.get("use_regex", True) and not before["add_prefix_space"]
+        )
+        self.model = self.tokenizer.model
+        vocabulary = np.arange(max(self.tokenizer.get_vocab().values(), default=0) + 1).astype(self.dtype)
+        self.bytes_of = [i.tobytes() for i in vocabulary]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -111,50 +132,81 @@ class _Encoder:
                 start = stop + width
         return out
 
-    def _learn(self, unseen: set[str]) -> None:
+    def _word(self, piece: str) -> bytes | None:
+        """Ids of a piece that is one word of letters; None for any other.
+
+        Letters of Latin-1 only: of these all versions of Unicode agree that
+        they are letters.
+        """
+        first = piece[:1] == "\n"
+        letters = piece[1:] if first else piece
+        if not letters.isalpha():
+            return None
+        if not letters.isascii():
+            if max(letters) > "\xff":
+                return None
+            letters = codecs.charmap_decode(letters.encode(), "strict", _SHOWN)[0]
+        tokens = self.model.tokenize(letters if first else _SPACE + letters)
+        ids = b"".join([self.bytes_of[t.id] for t in tokens])
+        return self.feed + ids if first else ids
+
+    def _learn(self, unseen: list[str]) -> None:
         """Ids of pieces; those that begin a line are marked by the line feed before them."""
         known, older, points = self.known, self.older, self.points
-        stems: dict[str, list[str]] = {}
+        rest = []
+        known["\n"] = self.feed
         for p in unseen:
-            if (ids := older.get(p)) is not None:
-                known[p] = ids
-            elif p[-1] in points and p[-2:-1].isalpha():
-                stems.setdefault(p[:-1], []).append(p)
+            ids = older.get(p)
+            if ids is None and self.direct:
+                if (point := points.get(p[-1:])) is None:
+                    ids = self._word(p)
+                else:
+                    stem = p[:-1]
+                    ids = known.get(stem) or older.get(stem)
+                    if ids is None and (ids := self._word(stem)) is not None:
+                        known[stem] = ids
+                    ids = None if ids is None or not stem[-1:].isalpha() else ids + point
+            if ids is None:
+                rest.append(p)
             else:
-                stems.setdefault(p, [])
-        fresh = [p for p in stems if p not in known and p not in older]
-        inner = [p for p in fresh if p[0] != "\n"]
-        first = [p for p in fresh if p[0] == "\n" and len(p) > 1]
+                known[p] = ids
+        inner = [p for p in rest if p[0] != "\n"]
+        first = [p for p in rest if p[0] == "\n" and len(p) > 1]
         known.update(zip(inner, self._pieces(inner, " ")))
         known.update(zip(first, [self.feed + ids for ids in self._pieces([p[1:] for p in first], "")]))
-        known["\n"] = self.feed
-        for stem, ends in stems.items():
-            ids = known.get(stem) or older[stem]
-            known[stem] = ids
-            for p in ends:
-                known[p] = ids + points[p[-1]]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        cut, unseen, whole = {}, set(), []
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that may be cut."""
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
+        lines = pa.array(["\n" + t.replace("\n", " \n") for t in texts], pa.large_string())
+        cut = pc.split_pattern(lines, " ")
+        pieces = cut.values.dictionary_encode()
+        # No piece holds a space: one join and one split make Python strings of all.
+        row = pa.ListArray.from_arrays(pa.array([0, len(pieces.dictionary)], pa.int32()), pieces.dictionary)
+        distinct = pc.binary_join(row, pa.scalar(" ", pa.large_string()))[0].as_py().split(" ")
+        known = self.known
+        self._learn([p for p in distinct if p not in known])
+        blobs = list(map(known.__getitem__, distinct))
+        sizes = np.zeros(len(blobs) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, blobs), np.int64, len(blobs)), out=sizes[1:])
+        buffers = [None, pa.py_buffer(sizes), pa.py_buffer(b"".join(blobs))]
+        joined = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(blobs), buffers).take(pieces.indices)
+        at = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset :][cut.offsets.to_numpy()].tolist()
+        data, width = memoryview(joined.buffers()[2]), self.dtype.itemsize
+        return [bytes(data[a + width : b]) for a, b in zip(at, at[1:])]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes | None] = [None] * len(texts)
+        cut, whole = [], []
         for i, text in enumerate(texts):
-            if not self._cuttable(text):
-                whole.append(i)
-            else:
-                cut[i] = pieces = ("\n" + text.replace("\n", " \n")).split(" ")
-                unseen.update(pieces)
-        unseen.difference_update(self.known)
-        self._learn(unseen)
-        get, width = self.known.__getitem__, self.dtype.itemsize
-        for i, pieces in cut.items():
-            out[i] = b"".join(map(get, pieces))[width:]
-        for i, ids in zip(whole, self._plain([texts[i] for i in whole])):
-            out[i] = ids
+            (cut if self._cuttable(text) else whole).append(i)
+        for some, ids in ((cut, self._cut), (whole, self._plain)):
+            if some:
+                for i, blob in zip(some, ids([texts[i] for i in some])):
+                    out[i] = blob
         return out
 
-
     def _cuttable(self, text: str) -> bool:
         return self.cuts and not (
             text[:1].isspace() or text[-1:].isspace() or any(s in text for s in _UNCUT) or any(s in text for s in self.special)
@@ -170,6 +222,20 @@ def _encoder(path: str) -> _Encoder:
     return _encoders[path]
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[list[str], pa.RecordBatch]]]:
+    """Batches with their texts, several at a time until these are ``TOGETHER`` long."""
+    group, size = [], 0
+    for batch in batches:
+        texts = batch.column(2).to_pylist()
+        group.append((texts, batch))
+        size += sum(map(len, texts))
+        if size >= TOGETHER:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID) -> DataFrame:
     """A row per document (``doc_id``, ``tie``, ``ids``) and rows that only count: ``counts`` of the ids of a task's batches.
 
@@ -182,14 +248,16 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID) -> D
         encoder = _encoder(tokenizer)
         tail = b"" if end_id is None else np.array([end_id], encoder.dtype).tobytes()
         total, names = np.zeros(0, np.int64), ["doc_id", "tie", "ids", "counts"]
-        for batch in batches:
-            blobs = [b + tail for b in encoder.encode(batch.column(2).to_pylist())]
+        key = pa.int64()
+        for group in _together(batches):
+            blobs = [b + tail for b in encoder.encode([t for texts, _ in group for t in texts])]
             n = np.bincount(np.frombuffer(b"".join(blobs), encoder.dtype), minlength=len(total))
             n[: len(total)] += total
-            total = n
-            none = pa.nulls(len(blobs), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(blobs, pa.binary()), none], names=names)
-            key = batch.schema.field(0).type
+            total, done = n, 0
+            for texts, batch in group:
+                own, done, key = blobs[done : done + len(texts)], done + len(texts), batch.schema.field(0).type
+                none = pa.nulls(len(own), pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.binary()), none], names=names)
         if len(total):
             empty = [pa.nulls(1, key), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())]
             yield pa.RecordBatch.from_arrays([*empty, pa.array([total.astype("<i8").tobytes()], pa.binary())], names=names)
