@@ -87,6 +87,34 @@ def test_hot_timeline_is_cut(skewed):
     assert max(r["count"] for r in sizes) < 2 * 2800 / 7
 
 
+def test_strings_with_a_long_common_start_are_cut(skewed):
+    named = skewed.withColumn("seq", F.concat(F.lit("event/of/the/year/2024-"), F.lpad(F.col("seq").cast("string"), 9, "0")))
+    slicing = ordered.plan_slices(named, ["k"], "seq", slices=7)
+    sizes = slicing.add(named, "s").filter("k = 0").groupBy("s").count().collect()
+    assert max(r["count"] for r in sizes) < 2 * 2800 / 7
+    w = Window.partitionBy("k").orderBy("seq")
+    want = named.select("k", "seq", F.lag("seq").over(w).alias("p"), F.lead("seq").over(w).alias("n"))
+    linked = ordered.neighbours(named, ["k"], ["seq"], ["seq"])
+    assert rows(linked.select("k", "seq", F.col("_prev.seq").alias("p"), F.col("_next.seq").alias("n"))) == rows(want)
+
+
+def test_threshold_and_pieces_follow_the_shuffle_tasks(spark, skewed):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "100")
+        shares = skew.hot_shares(skewed, ["k"])
+        counts = skew.pieces(skewed, shares)
+        assert len(shares) == 28  # the others hold 1.1 % each, more than half of one task's part
+        task = 4000 / 100
+        salted = skewed.withColumn("s", skew.row_salt(skewed, skew.n_pieces(["k"], counts), ["seq"]))
+        assert max(r["count"] for r in salted.groupBy("k", "s").count().collect()) < 1.5 * task
+        slicing = ordered.plan_slices(skewed, ["k"], "seq")
+        sliced = slicing.add(skewed, "s").groupBy("k", "s").count().collect()
+        assert max(r["count"] for r in sliced) < task
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.mark.parametrize("kind", ["string", "date", "timestamp", "timestamp_ntz", "double"])
 def test_positions_follow_the_order(spark, kind):
     days = spark.range(1, 400).select(F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("d"), "id")

@@ -8,20 +8,26 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
-from .skew import hot_hashes, is_hot, row_salt
+from .skew import hot_shares, n_pieces, pieces, row_salt
 
 
 def repartition_n(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 
 
-def repartition_key(df: DataFrame, keys: Sequence[str], n: int, share: float | None = None, salts: int = 16) -> DataFrame:
-    """Hash partitioning by key. With ``share``, keys above that share of the rows are spread over ``salts``."""
+def repartition_key(
+    df: DataFrame, keys: Sequence[str], n: int, share: float | None = None, salts: int | None = None
+) -> DataFrame:
+    """Hash partitioning by key.
+
+    With ``share``, keys above that share of the rows are spread over ``salts``
+    or, without it, over as many as their share of the rows asks for.
+    """
     cols = [F.col(k) for k in keys]
-    hot = hot_hashes(df, keys, share) if share else []
+    hot = hot_shares(df, keys, min(share, 0.5 / n)) if share else {}
     if not hot:
         return df.repartition(n, *cols)
-    salt = F.when(is_hot(keys, hot), row_salt(df, salts)).otherwise(0)
+    salt = row_salt(df, n_pieces(keys, dict.fromkeys(hot, salts) if salts else pieces(df, hot)))
     return df.withColumn("_salt", salt).repartition(n, *cols, F.col("_salt")).drop("_salt")
 
 

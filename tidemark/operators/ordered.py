@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .skew import hot_hashes, key_hash
+from .skew import SHARE, hot_shares, key_hash, pieces
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
@@ -21,7 +21,7 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int =
 
 
 def position(df: DataFrame, column: str) -> Column:
-    """A number that never decreases along the order of ``column``."""
+    """A number that never decreases along the order of ``column``; the column itself where it has no such number."""
     kind, col = df.schema[column].dataType, F.col(column)
     if isinstance(kind, T.NumericType):
         return col.cast("double")
@@ -31,8 +31,7 @@ def position(df: DataFrame, column: str) -> Column:
         return F.unix_micros(col).cast("double")
     if isinstance(kind, T.TimestampNTZType):
         return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{column}`)").cast("double")
-    prefix = F.rpad(F.hex(F.substring(col.cast("binary"), 1, 6)), 12, "0")
-    return F.conv(prefix, 16, 10).cast("double")
+    return col
 
 
 @dataclass(frozen=True)
@@ -41,40 +40,59 @@ class Slicing:
 
     keys: tuple[str, ...]
     order: str
-    cuts: dict[int, list[float]]
+    cuts: dict[int, list]
 
     def add(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` with its slice number: 0 for every key that is not hot."""
         if not self.cuts:
             return df.withColumn(name, F.lit(0))
-        # At most 1/share rows of a few numbers each.
-        table = df.sparkSession.createDataFrame(list(self.cuts.items()), "_h long, _cuts array<double>")
         value = position(df, self.order)
+        kind = df.select(value).schema[0].dataType
+        # One row per hot key; all of them together have a few cuts per shuffle task.
+        schema = T.StructType().add("_h", T.LongType()).add("_cuts", T.ArrayType(kind))
+        table = df.sparkSession.createDataFrame(list(self.cuts.items()), schema)
         passed = F.size(F.filter("_cuts", lambda c: c <= value))
         number = F.when(F.col("_cuts").isNull() | value.isNull(), F.lit(0)).otherwise(passed)
         located = df.join(F.broadcast(table), key_hash(self.keys) == F.col("_h"), "left")
         return located.withColumn(name, number).drop("_h", "_cuts")
 
 
-def plan_slices(df: DataFrame, keys: Sequence[str], order: str, share: float = 0.02, slices: int = 32) -> Slicing:
-    """Find the hot keys and cut each one along ``order`` at approximate quantiles.
+def _quantiles(at: DataFrame, counts: dict[int, int]) -> dict[int, list]:
+    """Cuts of numbers ``_at`` per key: approximate quantiles, one aggregate for all keys with equally many slices."""
+    by_size = {n: [h for h, m in counts.items() if m == n] for n in set(counts.values())}
+    cuts = [
+        F.percentile_approx(F.when(F.col("_h").isin(hs), F.col("_at")), [i / n for i in range(1, n)], max(1000, 10 * n)).alias(f"n{n}")
+        for n, hs in by_size.items()
+    ]
+    return {r["_h"]: r[f"n{counts[r['_h']]}"] for r in at.groupBy("_h").agg(*cuts).collect()}
 
-    ``share`` bounds the number of hot keys and ``slices`` the cuts of each.
-    Any frame with these columns can use the result.
+
+def _boundaries(at: DataFrame, counts: dict[int, int]) -> dict[int, list]:
+    """Cuts of values ``_at`` of any type per key: where the ranges begin into which Spark sorts them."""
+    ranged = at.filter("_at IS NOT NULL").repartitionByRange(sum(counts.values()), "_h", "_at")
+    starts = ranged.select("_h", "_at", F.spark_partition_id().alias("_p")).groupBy("_h", "_p").agg(F.min("_at").alias("_at"))
+    cuts: dict[int, list] = {}
+    for r in starts.collect():
+        cuts.setdefault(r["_h"], []).append(r["_at"])
+    return cuts
+
+
+def plan_slices(df: DataFrame, keys: Sequence[str], order: str, share: float = SHARE, slices: int | None = None) -> Slicing:
+    """Find the hot keys and cut the timeline of each along ``order``.
+
+    A key gets as many slices as its share of the rows asks for, or ``slices``.
+    Numbers and times are cut at quantiles, other values where ranges of their
+    full values begin. Any frame with these columns can use the result.
     """
     keys = tuple(keys)
-    hot = hot_hashes(df, keys, share)
+    hot = hot_shares(df, keys, share)
     if not hot:
         return Slicing(keys, order, {})
-    cuts = [i / slices for i in range(1, slices)]
-    rows = (
-        df.select(key_hash(keys).alias("_h"), position(df, order).alias("_pos"))
-        .filter(F.col("_h").isin(list(hot)))
-        .groupBy("_h")
-        .agg(F.percentile_approx("_pos", cuts, 1000).alias("cuts"))
-        .collect()
-    )
-    return Slicing(keys, order, {r["_h"]: sorted(set(r["cuts"] or [])) for r in rows})
+    counts = dict.fromkeys(hot, slices) if slices else pieces(df, hot)
+    at = df.select(key_hash(keys).alias("_h"), position(df, order).alias("_at")).filter(F.col("_h").isin(list(hot)))
+    find = _quantiles if isinstance(at.schema["_at"].dataType, T.DoubleType) else _boundaries
+    cuts = find(at, counts)
+    return Slicing(keys, order, {h: sorted(set(cuts.get(h) or [])) for h in hot})
 
 
 def neighbours(
@@ -82,8 +100,8 @@ def neighbours(
     keys: Sequence[str],
     order: Sequence[str],
     carry: Sequence[str],
-    share: float = 0.02,
-    slices: int = 32,
+    share: float = SHARE,
+    slices: int | None = None,
     slicing: Slicing | None = None,
     tie: Sequence[str] | None = None,
     keep_slice: bool = False,
@@ -112,7 +130,7 @@ def neighbours(
     out = cut.withColumn("_prev", F.lag(payload).over(w)).withColumn("_next", F.lead(payload).over(w))
     if not hot:
         return out
-    # One row per slice of a hot key: at most (1/share) * slices rows.
+    # One row per slice of a hot key: a few rows per shuffle task.
     by_key = Window.partitionBy(*keys).orderBy("_slice")
     edges = (
         cut.filter(key_hash(keys).isin(hot))

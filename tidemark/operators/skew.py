@@ -2,36 +2,65 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 _UNHASHABLE = (T.MapType, T.VariantType)
 _NARROW = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
-_MAX_TRACKED = 4096
+#: Highest share of the rows a key may hold without counting as hot, however few the shuffle tasks.
+SHARE = 0.02
+#: Lowest share that is asked for: every task's sketch of frequent keys grows with its inverse.
+LEAST_SHARE = 1 / 2000
 
 
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], share: float = 0.02) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of the rows.
+def shuffle_tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    One pass with a frequent-items sketch; its shuffle is one sketch per task.
-    At most ``1/share`` keys can qualify, so the list is bounded whatever the
-    data. A false positive only salts a key that did not need it.
+
+def hot_shares(df: DataFrame, keys: Sequence[str], share: float = SHARE) -> dict[int, float]:
+    """Hashes of the hot keys, each with its share of the rows.
+
+    Hot is a key with more than ``share`` of the rows, or with more than half
+    of one shuffle task's part if that is less. One pass with a frequent-items
+    sketch; its shuffle is one sketch per task. At most ``1/share`` keys can
+    qualify, so the list is bounded whatever the data. A false positive only
+    salts a key that did not need it.
     """
-    top = int(1 / share) + 1
+    share = max(LEAST_SHARE, min(share, 0.5 / shuffle_tasks(df)))
+    tracked = 1 << max(12, math.ceil(math.log2(8 / share)))
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.call_function("approx_top_k", key_hash(keys), F.lit(top), F.lit(_MAX_TRACKED)).alias("top"),
+        F.call_function("approx_top_k", key_hash(keys), F.lit(int(1 / share) + 1), F.lit(tracked)).alias("top"),
     ).first()
     floor = share * row["n"]
-    return sorted(item["item"] for item in (row["top"] or []) if item["count"] > floor)
+    return {item["item"]: item["count"] / row["n"] for item in (row["top"] or []) if item["count"] > floor}
+
+
+def hot_hashes(df: DataFrame, keys: Sequence[str], share: float = SHARE) -> list[int]:
+    return sorted(hot_shares(df, keys, share))
+
+
+def pieces(df: DataFrame, shares: Mapping[int, float]) -> dict[int, int]:
+    """Into how many pieces each hot key goes: a power of two, at which a piece is at most half of a shuffle task's part."""
+    tasks = shuffle_tasks(df)
+    return {h: 1 << max(1, math.ceil(math.log2(2 * share * tasks))) for h, share in shares.items()}
+
+
+def n_pieces(keys: Sequence[str], counts: Mapping[int, int]) -> Column:
+    """Number of pieces of a row's key: 1 for a key that is not hot."""
+    number = F.lit(1)
+    for n in sorted(set(counts.values())):
+        number = F.when(is_hot(keys, [h for h, m in counts.items() if m == n]), F.lit(n)).otherwise(number)
+    return number
 
 
-def is_hot(keys: Sequence[str], hot: Sequence[int]) -> Column:
+def is_hot(keys: Sequence[str], hot: Collection[int]) -> Column:
     return key_hash(keys).isin(list(hot)) if hot else F.lit(False)
 
 
@@ -50,7 +79,7 @@ def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     return F.xxhash64(*columns, F.spark_partition_id())
 
 
-def row_salt(df: DataFrame, salts: int, columns: Sequence[str] | None = None) -> Column:
+def row_salt(df: DataFrame, salts: int | Column, columns: Sequence[str] | None = None) -> Column:
     return F.pmod(row_hash(df, columns), F.lit(salts)).cast("int")
 
 
@@ -59,24 +88,25 @@ def join_salted(
     dim: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    salts: int = 16,
-    share: float = 0.02,
-    hot: Sequence[int] | None = None,
+    salts: int | None = None,
+    share: float = SHARE,
+    hot: Mapping[int, float] | None = None,
 ) -> DataFrame:
     """Join in which only the hot keys of ``fact`` are salted.
 
     Rows of ``dim`` for those keys are repeated once per salt; all other rows
-    keep salt 0, so both kinds go through one join on ``(keys, salt)``.
+    keep salt 0, so both kinds go through one join on ``(keys, salt)``. Without
+    ``salts`` a key gets as many as its share of the rows asks for.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salting repeats dimension rows, so {how!r} would duplicate them")
     on = list(on)
-    hot = hot_hashes(fact, on, share) if hot is None else list(hot)
+    hot = hot_shares(fact, on, share) if hot is None else hot
     if not hot:
         return fact.join(dim, on, how)
-    left = fact.withColumn("_salt", F.when(is_hot(on, hot), row_salt(fact, salts)).otherwise(0))
-    spread = F.when(is_hot(on, hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = dim.withColumn("_salt", F.explode(spread))
+    n = n_pieces(on, dict.fromkeys(hot, salts) if salts else pieces(fact, hot))
+    left = fact.withColumn("_salt", row_salt(fact, n))
+    right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1)))
     return left.join(right, on + ["_salt"], how).drop("_salt")
 
 
@@ -152,7 +182,7 @@ def join_bucketed(
     tables: Sequence[str],
     paths: Sequence[str],
     buckets: int,
-    share: float = 0.05,
+    share: float = SHARE,
 ) -> DataFrame:
     """Inner join through two bucketed tables, with the hot keys joined apart.
 
@@ -163,7 +193,7 @@ def join_bucketed(
     from ..sources.files import write_bucketed
 
     on = list(on)
-    hot = hot_hashes(left, on, share)
+    hot = hot_shares(left, on, min(share, 0.5 / buckets))
     cold = ~is_hot(on, hot)
     write_bucketed(left.filter(cold), tables[0], paths[0], buckets, on)
     write_bucketed(right.filter(cold), tables[1], paths[1], buckets, on)

@@ -91,7 +91,7 @@ def scd2_intervals(t):
     from ..operators.ordered import neighbours
 
     rows = feed(t).select("user_id", "ts", "event_id", "last_value")
-    linked = neighbours(rows, KEYS, ["ts", "event_id"], ["ts"], share=0.005, slices=8)
+    linked = neighbours(rows, KEYS, ["ts", "event_id"], ["ts"], share=0.005)
     return linked.select(
         "user_id", F.col("ts").alias("__START_AT"), "last_value", F.col("_prev.ts").alias("prev_start"),
         F.col("_next.ts").alias("__END_AT"),
