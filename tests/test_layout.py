@@ -152,3 +152,10 @@ def test_purge_touches_only_affected_files(spark, tables, folder):
 @pytest.mark.parametrize("gb, mb", [(1, 256), (2560, 256), (6280, 640), (10000, 1024), (50000, 1024)])
 def test_target_size(gb, mb):
     assert lay.target_file_bytes(gb * lay.GB) == mb * lay.MB
+
+
+def test_string_cuts_follow_all_values(spark):
+    names = spark.range(6400).select(F.concat(F.lit("a/long/common/start/"), F.lpad(F.col("id").cast("string"), 8, "0")).alias("c"))
+    per = lay.with_zvalue(names.repartition(7), ["c"], "_z").groupBy("_z").count().collect()
+    assert len(per) == 32
+    assert max(r["count"] for r in per) < 2 * 6400 / 32

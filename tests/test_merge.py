@@ -181,9 +181,13 @@ def test_net_changes(log):
 
 
 def test_changes_by_commit(log):
-    assert rows(v.change_feed_by_commit(log, ["id"], 2, 4)) == sorted(
+    feed = v.change_feed_by_commit(log, ["id"], 2, 4)
+    assert rows(feed.drop("_commit_timestamp")) == sorted(
         [(3, 30.0, "insert", 2), (1, 10.0, "update_preimage", 3), (1, 11.0, "update_postimage", 3), (2, 20.0, "delete", 4)], key=repr
     )
+    times = feed.select("_commit_version", F.date_format("_commit_timestamp", "yyyy-MM-dd HH:mm")).distinct()
+    assert rows(times) == [(2, "2024-01-02 10:00"), (3, "2024-01-03 10:00"), (4, "2024-01-04 10:00")]
+    assert "_commit_timestamp" not in v.change_feed_by_commit(log.drop("_ts"), ["id"], 2, 4).columns
 
 
 def test_expired_history(log):

@@ -197,25 +197,18 @@ def _regroup(spark: SparkSession, root: str, paths: Sequence[str], by: Sequence[
 
 
 def _cut_points(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list]:
-    """Approximate quantiles of each column; for strings, of a bounded sample of their values."""
+    """Approximate quantiles of numbers and times; for other columns the values at which Spark's ranges of them begin."""
     shares = [i / buckets for i in range(1, buckets)]
-    strings = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
-    numbers = [c for c in columns if c not in strings]
+    numbers = [c for c in columns if isinstance(df.select(position(df, c)).schema[0].dataType, T.DoubleType)]
     cuts: dict[str, list] = {}
-    row = df.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.percentile_approx(position(df, c), shares, 1000).alias(c) for c in numbers],
-    ).first()
-    for c in numbers:
-        cuts[c] = sorted(set(row[c] or []))
-    if strings:
-        wanted = 200 * buckets
-        fraction = min(1.0, wanted / max(row["_n"], 1))
-        sample = df.select(*strings).sample(fraction, seed=17).limit(4 * wanted).collect()
-        for c in strings:
-            values = sorted(r[c] for r in sample if r[c] is not None)
-            picked = [values[int(len(values) * s)] for s in shares] if values else []
-            cuts[c] = sorted(set(picked))
+    if numbers:
+        row = df.agg(*[F.percentile_approx(position(df, c), shares, 1000).alias(c) for c in numbers]).first()
+        cuts = {c: sorted(set(row[c] or [])) for c in numbers}
+    for c in columns:
+        if c not in cuts:
+            ranged = df.select(F.col(c).alias("_at")).filter("_at IS NOT NULL").repartitionByRange(buckets, "_at")
+            starts = ranged.select("_at", F.spark_partition_id().alias("_p")).groupBy("_p").agg(F.min("_at").alias("_at"))
+            cuts[c] = sorted({r["_at"] for r in starts.collect()})[1:]
     return cuts
 
 
@@ -236,8 +229,7 @@ def with_zvalue(df: DataFrame, columns: Sequence[str], name: str, bits: int = 5)
     cuts = _cut_points(df, columns, 2**bits)
     helpers = [f"_b{i}" for i in range(len(columns))]
     for c, helper in zip(columns, helpers):
-        raw = F.col(c) if isinstance(df.schema[c].dataType, T.StringType) else position(df, c)
-        df = df.withColumn(helper, bucket_number(raw, cuts[c]).cast("long"))
+        df = df.withColumn(helper, bucket_number(position(df, c), cuts[c]).cast("long"))
     z, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     for i, helper in enumerate(helpers):
         for b in range(bits):

@@ -168,8 +168,9 @@ def change_feed(log: DataFrame, keys: Sequence[str], from_version: int, to_versi
 
 
 def change_feed_by_commit(log: DataFrame, keys: Sequence[str], from_version: int, to_version: int) -> DataFrame:
-    """Changes of every commit in ``[from_version, to_version]`` with ``_commit_version``.
+    """Changes of every commit in ``[from_version, to_version]``.
 
+    ``_commit_version`` names the commit, and ``_commit_timestamp`` its time if the log has commit times.
     The row before a change is the adjacent older log row of the key.
     """
     from .ordered import neighbours
@@ -190,9 +191,10 @@ def change_feed_by_commit(log: DataFrame, keys: Sequence[str], from_version: int
         .when(had, F.array(tagged("update_preimage", old), tagged("update_postimage", now)))
         .otherwise(F.array(tagged("insert", now)))
     )
-    rows = linked.select(*keys, F.col("_seq").alias("_commit_version"), F.explode(images).alias("i"))
+    commit = {"_commit_version": "_seq", **({"_commit_timestamp": "_ts"} if "_ts" in log.columns else {})}
+    rows = linked.select(*keys, *[F.col(c).alias(name) for name, c in commit.items()], F.explode(images).alias("i"))
     return rows.select(
-        *keys, *[F.col(f"i.r.{c}").alias(c) for c in rest], F.col("i._change_type").alias("_change_type"), "_commit_version"
+        *keys, *[F.col(f"i.r.{c}").alias(c) for c in rest], F.col("i._change_type").alias("_change_type"), *commit
     )
 
 

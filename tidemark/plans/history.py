@@ -80,10 +80,11 @@ def change_feed(t):
     WITH {LOG}, p AS (SELECT *, lag(_op) OVER w AS po, lag(kind) OVER w AS pk, lag(value) OVER w AS pv FROM log
                       WINDOW w AS (PARTITION BY user_id ORDER BY _seq)),
       r AS (SELECT *, po IS NOT NULL AND po <> 'D' AS had FROM p WHERE _seq BETWEEN {MID} AND {LATE})
-    SELECT user_id, kind, value, 'insert' AS _change_type, _seq AS _commit_version FROM r WHERE _op <> 'D' AND NOT had
-    UNION ALL SELECT user_id, pk, pv, 'delete', _seq FROM r WHERE _op = 'D' AND had
-    UNION ALL SELECT user_id, pk, pv, 'update_preimage', _seq FROM r WHERE _op <> 'D' AND had
-    UNION ALL SELECT user_id, kind, value, 'update_postimage', _seq FROM r WHERE _op <> 'D' AND had""")
+    SELECT user_id, kind, value, 'insert' AS _change_type, _seq AS _commit_version, _ts AS _commit_timestamp
+      FROM r WHERE _op <> 'D' AND NOT had
+    UNION ALL SELECT user_id, pk, pv, 'delete', _seq, _ts FROM r WHERE _op = 'D' AND had
+    UNION ALL SELECT user_id, pk, pv, 'update_preimage', _seq, _ts FROM r WHERE _op <> 'D' AND had
+    UNION ALL SELECT user_id, kind, value, 'update_postimage', _seq, _ts FROM r WHERE _op <> 'D' AND had""")
 def change_feed_by_commit(t):
     return v.change_feed_by_commit(change_log(t), KEYS, MID, LATE)
 
