@@ -31,7 +31,7 @@ BLOCK_IDS = 1 << 18
 #: Pieces after which a worker sets its memory of ids aside; what it set aside before is forgotten.
 REMEMBERED = 500_000
 #: Code points of text a worker gathers before it encodes them together.
-TOGETHER = 8 << 20
+TOGETHER = 4 << 20
 
 
 def id_type(vocabulary: int) -> np.dtype:
