@@ -160,6 +160,31 @@ def test_drop_near_copies(spark, odd, empty):
     assert {100 + i for i in range(60)} <= kept and len(kept) == 61 and 0 in kept
 
 
+def test_near_copies_by_kind_of_edit(spark):
+    """Pairs of Jaccard similarity 0.8 or more are found wherever the edit lies."""
+    kinds = {
+        "cut": lambda w, other: w[: len(w) - int(0.15 * len(w))],
+        "appended": lambda w, other: w + other[: int(0.18 * len(w))],
+        "block": lambda w, other: w[: len(w) - int(0.08 * len(w))] + other[: int(0.08 * len(w))],
+        "scattered": lambda w, other: [f"edit{i}" if i % 51 == 25 else x for i, x in enumerate(w)],
+    }
+    rows, pairs = [], {k: [] for k in kinds}
+    for at, (kind, edit) in enumerate(kinds.items()):
+        for i in range(40):
+            rng = random.Random(1000 * at + i)
+            length = rng.randint(60, 600)
+            draw = [f"w{rng.randrange(10**6)}" for _ in range(2 * length)]
+            one, two = draw[:length], edit(draw[:length], draw[length:])
+            x, y = ({tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (one, two))
+            if len(x & y) >= 0.8 * len(x | y):
+                pairs[kind].append(len(rows))
+            rows += [(len(rows), " ".join(one), "a"), (len(rows) + 1, " ".join(two), "a")]
+    kept = {r["doc_id"] for r in simhash.drop_near_copies(table(spark, rows)).select("doc_id").collect()}
+    assert all(len(p) >= 20 for p in pairs.values())
+    recall = {kind: sum(at + 1 not in kept for at in p) / len(p) for kind, p in pairs.items()}
+    assert recall == dict.fromkeys(kinds, 1.0)
+
+
 # Repeats
 
 

@@ -34,6 +34,9 @@ SAMPLE_PER_SHARD = 48
 MAX_SHARDS = 65_536
 #: Cells compared in one step within a shard.
 CELLS = 1 << 21
+#: Bands of MinHash values that bring texts together by their shingle sets, and values per band: two sets of Jaccard
+#: similarity s share a band with probability 1 - (1 - s ** BAND_ROWS) ** BANDS, at 0.8 all but 5 in 100,000 pairs.
+BANDS, BAND_ROWS = 25, 5
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -316,6 +319,34 @@ def _drop_prints(seeds: tuple[int, ...]):
     return of
 
 
+_draw = np.random.default_rng(64)
+_MIX = _draw.integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64)
+_ODD = _draw.integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64) | np.uint64(1)
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """One key per band of the MinHash values of a set of hashes; equal keys in a band mean equal values."""
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 2048):
+        part = hashes[at : at + 2048]
+        least = np.minimum(least, ((part[:, None] ^ _MIX[None, :]) * _ODD[None, :]).min(axis=0))
+    return [xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(least.reshape(BANDS, BAND_ROWS))]
+
+
+def _band_prints(n: int):
+    """Number of distinct shingles and the keys of the bands."""
+
+    @F.arrow_udf("struct<m:long,keys:array<long>>")
+    def of(texts: pa.Array) -> pa.Array:
+        rows = []
+        for text in texts.to_pylist():
+            hashes = np.unique(shingle_hashes(words(text), n))
+            rows.append({"m": len(hashes), "keys": np.array(band_keys(hashes), np.uint64).view(np.int64).tolist()})
+        return pa.array(rows, pa.struct([("m", pa.int64()), ("keys", pa.list_(pa.int64()))]))
+
+    return of
+
+
 def _set_hashes(n: int):
     @F.arrow_udf("binary")
     def of(texts: pa.Array) -> pa.Array:
@@ -344,11 +375,13 @@ def drop_near_copies(
 
     Two texts are near copies if the sets of their ``n``-word shingles have a
     Jaccard similarity of ``similarity`` or more. Candidates come from
-    fingerprints over distinct words, of which a few changed words flip few
-    bits: one fingerprint per seed, linked at ``distance`` bits. Each distinct
-    text is compared with the first text of its fingerprint, and that with its
-    nearest and its tree's linked fingerprints; the comparison is exact, so no
-    text goes without one at least that similar. Equal texts form one class
+    fingerprints over distinct words, one per seed, linked at ``distance`` bits,
+    and from bands of MinHash values of the shingle sets, which meet with a
+    probability that depends on the similarity alone and not on where a text
+    was edited. Each distinct text is compared with the first text of its
+    fingerprint and of each of its bands, and the first of a fingerprint with
+    its nearest and its tree's linked fingerprints; the comparison is exact, so
+    no text goes without one at least that similar. Equal texts form one class
     beforehand. The row of the smallest id stays, null ids last, then the first
     stored row. Null texts count as empty; texts without words are near copies
     of each other. Repeated rows leave one row; an empty table stays empty.
@@ -358,11 +391,17 @@ def drop_near_copies(
     whole = with_row_id(docs, "docs", rid)
     text = text_bytes()
     keys = [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
-    slim = whole.select(F.col(rid).alias("rid"), F.col("doc_id").alias("id"), *keys, _drop_prints(seeds)(text).alias("fps"))
+    slim = whole.select(F.col(rid).alias("rid"), F.col("doc_id").alias("id"), *keys, _drop_prints(seeds)(text).alias("fps"), _band_prints(n)(text).alias("bands"))
     slim = stored(slim, "prints")
     first = F.struct(F.col("id").isNull(), "id", "rid")
-    classes = stored(slim.groupBy("k1", "k2").agg(F.min_by("rid", first).alias("node"), F.min_by("fps", first).alias("fps")), "classes")
-    parts = []
+    classes = slim.groupBy("k1", "k2").agg(*(F.min_by(c, first).alias(x) for c, x in (("rid", "node"), ("fps", "fps"), ("bands", "bands"))))
+    classes = stored(classes, "classes")
+    met = classes.select("node", F.col("bands.m").alias("m"), F.explode("bands.keys").alias("key"))
+    shared = met.groupBy("key").agg(F.min_by("node", "node").alias("head"), F.min_by("m", "node").alias("hm"), F.count(F.lit(1)).alias("n"))
+    met = met.join(shared.filter("n > 1"), "key").filter("node <> head")
+    # A set is at most as similar to another as the smaller is large.
+    close = F.least("m", "hm") + 1e-9 >= similarity * F.greatest("m", "hm")
+    parts = [met.filter(close).select(F.col("node").alias("a"), F.col("head").alias("b"))]
     for at in range(len(seeds)):
         mine = classes.select(F.element_at("fps", at + 1).alias("fp"), "node")
         heads = stored(mine.groupBy("fp").agg(F.min("node").alias("head")), "heads")
