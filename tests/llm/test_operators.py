@@ -185,6 +185,26 @@ def test_near_copies_by_kind_of_edit(spark):
     assert recall == dict.fromkeys(kinds, 1.0)
 
 
+def test_bit_maps_bound_similarity():
+    rng = np.random.default_rng(1)
+    for shared in (0, 1, 7, 100, 900):
+        for own in ((0, 0), (0, 40), (30, 300)):
+            draw = rng.integers(0, 1 << 64, shared + sum(own), np.uint64)
+            a, b = draw[: shared + own[0]], np.concatenate([draw[:shared], draw[shared + own[0] :]])
+            exact = shared / len(draw) if len(draw) else 1.0
+            assert exact <= simhash.most_alike(len(a), simhash.bit_map(a), len(b), simhash.bit_map(b)) <= 1
+
+
+def test_near_copies_through_chains(spark):
+    """Revisions of which only the second and third are similar across the halves of a chain are one group."""
+    rows = []
+    for i in range(20):
+        w = [f"w{random.Random(f'{i}.{j}').randrange(10**6)}" for j in range(451)]
+        rows += [(len(rows) + k, " ".join(w[at : at + 400]), "a") for k, at in enumerate((0, 4, 47, 51))]
+    kept = {r["doc_id"] for r in simhash.drop_near_copies(table(spark, rows)).select("doc_id").collect()}
+    assert kept == set(range(0, 80, 4))
+
+
 # Repeats
 
 

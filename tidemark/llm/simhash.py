@@ -21,7 +21,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import fresh, hash_share, prepare, shingle_hashes, stored, text_bytes, with_row_id, words
 
@@ -355,6 +355,42 @@ def _set_hashes(n: int):
     return of
 
 
+def bit_map(hashes: np.ndarray) -> bytes:
+    """Which leading bits the hashes of a set have, in 8 to 16 bits per hash."""
+    power = 3 + max(len(hashes) - 1, 0).bit_length()
+    held = np.zeros(1 << power, bool)
+    held[hashes >> np.uint64(64 - power)] = True
+    return np.packbits(held).tobytes()
+
+
+def most_alike(m: int, a: bytes, k: int, b: bytes) -> float:
+    """A bound that the Jaccard similarity of sets of ``m`` and ``k`` hashes cannot exceed, from their bit maps.
+
+    Each bit that only one of the maps has stands for a hash that only its set has.
+    """
+    x, y = np.unpackbits(np.frombuffer(a, np.uint8)), np.unpackbits(np.frombuffer(b, np.uint8))
+    size = min(len(x), len(y))
+    x, y = x.reshape(size, -1).any(axis=1), y.reshape(size, -1).any(axis=1)
+    both = min(m - int((x & ~y).sum()), k - int((y & ~x).sum()))
+    return both / (m + k - both) if m + k else 1.0
+
+
+def _bit_maps():
+    @F.arrow_udf("binary")
+    def of(sets: pa.Array) -> pa.Array:
+        return pa.array([bit_map(np.frombuffer(s, np.uint64)) for s in sets.to_pylist()], pa.binary())
+
+    return of
+
+
+def _most_alike():
+    @F.arrow_udf("double")
+    def of(m: pa.Array, a: pa.Array, k: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([most_alike(*x) for x in zip(*(c.to_pylist() for c in (m, a, k, b)))], pa.float64())
+
+    return of
+
+
 def _jaccard():
     @F.arrow_udf("double")
     def of(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -378,10 +414,11 @@ def drop_near_copies(
     fingerprints over distinct words, one per seed, linked at ``distance`` bits,
     and from bands of MinHash values of the shingle sets, which meet with a
     probability that depends on the similarity alone and not on where a text
-    was edited. Each distinct text is compared with the first text of its
-    fingerprint and of each of its bands, and the first of a fingerprint with
-    its nearest and its tree's linked fingerprints; the comparison is exact, so
-    no text goes without one at least that similar. Equal texts form one class
+    was edited. The links of the fingerprints are compared first. Then the texts
+    of each fingerprint and band are compared across the groups found so far, a
+    few texts of each with all others at a time, until every two texts that
+    share one are in one group or were compared. Comparisons are exact and only
+    similar pairs join groups. Equal texts form one class
     beforehand. The row of the smallest id stays, null ids last, then the first
     stored row. Null texts count as empty; texts without words are near copies
     of each other. Repeated rows leave one row; an empty table stays empty.
@@ -396,29 +433,56 @@ def drop_near_copies(
     first = F.struct(F.col("id").isNull(), "id", "rid")
     classes = slim.groupBy("k1", "k2").agg(*(F.min_by(c, first).alias(x) for c, x in (("rid", "node"), ("fps", "fps"), ("bands", "bands"))))
     classes = stored(classes, "classes")
-    met = classes.select("node", F.col("bands.m").alias("m"), F.explode("bands.keys").alias("key"))
-    shared = met.groupBy("key").agg(F.min_by("node", "node").alias("head"), F.min_by("m", "node").alias("hm"), F.count(F.lit(1)).alias("n"))
-    met = met.join(shared.filter("n > 1"), "key").filter("node <> head")
-    # A set is at most as similar to another as the smaller is large.
-    close = F.least("m", "hm") + 1e-9 >= similarity * F.greatest("m", "hm")
-    parts = [met.filter(close).select(F.col("node").alias("a"), F.col("head").alias("b"))]
+    parts = []
     for at in range(len(seeds)):
-        mine = classes.select(F.element_at("fps", at + 1).alias("fp"), "node")
-        heads = stored(mine.groupBy("fp").agg(F.min("node").alias("head")), "heads")
-        parts.append(mine.join(heads, "fp").filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")))
+        heads = classes.groupBy(F.element_at("fps", at + 1).alias("fp")).agg(F.min("node").alias("head"))
+        heads = stored(heads, "heads")
         links = near_links(heads, distance, nearest=True)
         parts.append(
             links.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a")
             .join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b")
             .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
         )
-    pairs = stored(reduce(DataFrame.unionByName, parts).distinct(), "candidates")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias(rid)).distinct()
-    sets = stored(whole.join(ends, rid, "left_semi").select(F.col(rid).alias("node"), _set_hashes(n)(text).alias("s")), "sets")
-    compared = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b"
-    )
-    roots = stored(star_components(compared.filter(_jaccard()("sa", "sb") >= similarity).select("a", "b")), "roots")
+    tried = stored(reduce(DataFrame.unionByName, parts).filter("a <> b").distinct(), "candidates")
+    same = [F.xxhash64(F.lit(at), F.element_at("fps", at + 1)) for at in range(len(seeds))]
+    met = classes.select("node", F.col("bands.m").alias("m"), F.explode(F.concat(F.array(*same), "bands.keys")).alias("key"))
+    met = stored(met.join(met.groupBy("key").count().filter("count > 1").select("key"), "key", "left_semi"), "met")
+    ends = met.select("node").unionByName(tried.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
+    sets = whole.select(F.col(rid).alias("node"), text.alias("t")).join(ends, "node", "left_semi")
+    sets = stored(sets.select("node", _set_hashes(n)(F.col("t")).alias("s")), "sets")
+    maps = stored(sets.select("node", (F.octet_length("s") / 8).cast("long").alias("m"), _bit_maps()(F.col("s")).alias("bits")), "maps")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        # Maps are an eighth to a quarter of the sets; only pairs they do not rule out carry whole sets.
+        likely = pairs.join(maps.select(F.col("node").alias("a"), F.col("m").alias("ma"), F.col("bits").alias("xa")), "a").join(
+            maps.select(F.col("node").alias("b"), F.col("m").alias("mb"), F.col("bits").alias("xb")), "b"
+        )
+        pairs = stored(likely.filter(_most_alike()("ma", "xa", "mb", "xb") + 1e-9 >= similarity).select("a", "b"), "likely")
+        compared = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(
+            sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b"
+        )
+        return stored(compared.filter(_jaccard()("sa", "sb") >= similarity).select("a", "b"), "alike")
+
+    similar, at_once = alike(tried), 1
+    while True:
+        roots = stored(star_components(similar), "roots")
+        met = met.join(roots, "node", "left").select("key", "node", "m", F.coalesce("root", "node").alias("group"))
+        split_keys = met.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
+        met = stored(met.join(split_keys, "key", "left_semi"), "met")
+        if met.isEmpty():
+            break
+        place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("node"), "node"))
+        heads = stored(met.withColumn("place", place).filter(F.col("place") <= at_once).drop("place"), "heads")
+        other = heads.select("key", F.col("node").alias("head"), F.col("m").alias("hm"), F.col("group").alias("hg"))
+        # A set is at most as similar to another as the smaller is large.
+        close = F.least("m", "hm") + 1e-9 >= similarity * F.greatest("m", "hm")
+        pairs = met.join(other, "key").filter(close & (F.col("group") != F.col("hg")))
+        pairs = pairs.select(F.greatest("node", "head").alias("a"), F.least("node", "head").alias("b")).distinct()
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
+        similar, tried = similar.unionByName(alike(pairs)), tried.unionByName(pairs)
+        # Heads have met everyone of their keys.
+        met = met.join(heads.select("key", "node"), ["key", "node"], "left_anti").select("key", "node", "m")
+        at_once *= 4
     members = slim.join(classes.select("k1", "k2", "node"), ["k1", "k2"]).join(roots, "node", "left")
     kept = members.groupBy(F.coalesce("root", "node").alias("group")).agg(F.min_by("rid", first).alias(rid)).select(rid)
     return whole.join(kept, rid, "left_semi").drop(rid)
