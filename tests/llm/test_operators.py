@@ -465,6 +465,21 @@ def test_licenses(spark, odd, empty):
 # Decontamination
 
 
+def test_wrapped_and_neighbouring_licenses():
+    mit, bsd = licenses.TEMPLATES[3][1], licenses.TEMPLATES[17][1]
+    wrapped = ["# " + " ".join(mit.split()[at : at + 9]) for at in range(0, len(mit.split()), 9)]
+    long = f"{prose(5, 60)} Licensed under CC BY 4.0. {prose(6, 60)} {prose(7, 60)}"
+    text = "\n".join(["intro words", "", *wrapped, "", "Released under the MIT License. Licensed under the Apache License, Version 2.0.", "",
+                      f"Copyright 2020 Someone. All rights reserved. {bsd}", "", long, "no more"])
+    found = licenses.Scanner().scan(text)
+    assert [(r["license"], r["line"]) for r in found] == [
+        ("MIT", 2), ("MIT", 3 + len(wrapped)), ("Apache-2.0", 3 + len(wrapped)), ("proprietary", 5 + len(wrapped)),
+        ("BSD", 5 + len(wrapped)), ("CC-BY-4.0", 7 + len(wrapped)),
+    ]
+    first = found[0]
+    assert text[first["start"] : first["start"] + first["length"]] == "\n".join(wrapped) and first["n_missing"] == first["n_added"] == 0
+
+
 def test_decontamination_odd_rows(spark, odd, empty):
     item = " ".join(LONG.split()[500:540])
     near = " ".join(LONG.split()[900:940][:37]) + " x y z"
