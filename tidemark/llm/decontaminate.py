@@ -1,9 +1,9 @@
 """Benchmark decontamination: short test items found inside long documents.
 
-Items are partitioned by size, that is by their number of distinct shingles m.
-An item of a partition is stood for by its k smallest shingle hashes, its
-MinHash signature, with ``k = m - ceil(t * m) + 1``: a document that holds at
-least a share t of the m shingles lacks fewer than k of them, so it holds at
+There are no partitions by size: each item has a signature of its own length,
+which stands in for them and is exact. An item of m distinct shingles is stood
+for by its k smallest shingle hashes, its MinHash signature, with
+``k = m - ceil(t * m) + 1``: a document that holds at least a share t of the m shingles lacks fewer than k of them, so it holds at
 least one hash of the signature, however long it is. Documents probe their
 shingle hashes against the signatures; what meets is verified by the exact
 share of the item's shingles.
