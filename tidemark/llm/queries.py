@@ -5,10 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html, language_model, licenses, mixing, repeats, simhash, sketches, tokenids, toxicity
+from . import (
+    decontaminate, fim, html, language_model, licenses, mixing, phrases, pieces, repeats, simhash, sketches, tokenids, toxicity,
+)
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_simhash(spark: SparkSession, root: str) -> DataFrame:
@@ -51,6 +54,18 @@ def op10_mixing(spark: SparkSession, root: str) -> DataFrame:
     return mixing.mix_plan(table(spark, root, "documents")).drop("source", "copies")
 
 
+def op11_pieces(spark: SparkSession, root: str) -> DataFrame:
+    return pieces.piece_digests(table(spark, root, "documents"), PIECES)
+
+
+def op12_phrases(spark: SparkSession, root: str) -> DataFrame:
+    return phrases.collocations(table(spark, root, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, root: str) -> DataFrame:
+    return fim.digests(table(spark, root, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_repeats": op2_repeats,
@@ -62,6 +77,9 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_language_model": op9_language_model,
     "op10_mixing": op10_mixing,
+    "op11_pieces": op11_pieces,
+    "op12_phrases": op12_phrases,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
@@ -127,4 +145,68 @@ SQL: dict[str, str] = {
             ((floor(place * rate + u) - floor((place - 1) * rate + u)) * size)::bigint as taken
         from rated
     """,
+    "op12_phrases": r"""
+        with lowered as (
+            select coalesce(lang, 'und') as lang,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents
+        ),
+        pieces as (
+            select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+            from (select lang, unnest(regexp_extract_all(t, '[^.,;:!?\x0A-\x0D]+')) as piece from lowered)
+        ),
+        grams as (
+            select lang, k, array_to_string(w[i : i + k - 1], ' ') as phrase, count(*) as f
+            from pieces, (values (1), (2), (3)) as sizes(k), unnest(range(1, len(w) - k + 2)) as t(i) group by all
+        ),
+        totals as (select lang, sum(f)::bigint as n from grams where k = 1 group by lang),
+        often as (select *, string_split(phrase, ' ') as w from grams where f >= 10),
+        cuts as (
+            select lang, phrase, f as a, c, array_to_string(w[1 : c], ' ') as head, array_to_string(w[c + 1 :], ' ') as tail
+            from often, unnest(range(1, k)) as t(c) where k > 1
+        ),
+        scored as (
+            select lang, cuts.phrase as phrase, a, c, h.f as l, t.f as r, (a::hugeint * a * 1000000) // (h.f::hugeint * t.f) as score
+            from cuts join often h using (lang) join often t using (lang) where h.phrase = head and t.phrase = tail
+        ),
+        lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+        around as (
+            select lang, array_to_string(w[i : i + 1], ' ') as phrase, max(f) as f
+            from often, unnest(range(1, 3)) as t(i) where k = 3 group by all
+        ),
+        kept as (
+            select lowest.* from lowest left join around using (lang, phrase) where around.f is null or 100 * around.f < 50 * a
+        )
+        select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a::bigint as a,
+            l::bigint as l, r::bigint as r, n, score::bigint as score
+        from kept join totals using (lang) qualify rank <= 2000
+    """,
+    "op13_fill_in_middle": """
+        with hashed as (
+            select doc_id, coalesce(text, '') as text, sha256('1:' || coalesce(doc_id::varchar, '')) as h,
+                regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u
+            from documents
+        ),
+        drawn as (
+            select *, len(u) as n, ('0x' || substr(h, 1, 8))::bigint as h1, ('0x' || substr(h, 9, 8))::bigint as h2,
+                ('0x' || substr(h, 17, 8))::bigint as h3, ('0x' || substr(h, 25, 8))::bigint as h4
+            from hashed
+        ),
+        cut as (
+            select *, least(h1 % (n + 1), h2 % (n + 1)) as x, greatest(h1 % (n + 1), h2 % (n + 1)) as y,
+                case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90
+                    then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form
+            from drawn
+        ),
+        parts as (
+            select *, coalesce(array_to_string(u[1 : x], ''), '') as p, coalesce(array_to_string(u[x + 1 : y], ''), '') as m,
+                coalesce(array_to_string(u[y + 1 :], ''), '') as s
+            from cut
+        )
+        select doc_id, n::bigint as n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+            case when form <> 'plain' then length(m) end as middle_chars,
+            sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+            sha256(text) as restored_sha256
+        from parts
+    """,
 }
