@@ -96,7 +96,7 @@ def test_zorder_narrows_both_columns(spark, tables):
 
     def kept(frame, path):
         frame.write.parquet(path)
-        stats = lay.column_file_stats(spark.read.parquet(path), list(ranges))
+        stats = lay.column_file_stats(spark, path, list(ranges))
         return lay.skip_plan(stats, ranges).count()
 
     from tidemark.session import scratch_path
@@ -159,3 +159,85 @@ def test_string_cuts_follow_all_values(spark):
     per = lay.with_zvalue(names.repartition(7), ["c"], "_z").groupBy("_z").count().collect()
     assert len(per) == 32
     assert max(r["count"] for r in per) < 2 * 6400 / 32
+
+
+# --- footer statistics -------------------------------------------------------------
+
+MIXED = "i int, l long, d double, s string, b boolean, day date, at timestamp_ntz, x decimal(12,2), n struct<k: int>, a array<int>"
+
+
+def mixed(spark, n=400):
+    return spark.range(n).selectExpr(
+        "cast(id as int) i", "id * 3000000000 l", "id / 7 d", "'é' || lpad(id, 4, '0') s", "id % 2 = 0 b",
+        "date_add(date'1960-01-01', cast(id as int)) day", "timestamp_ntz'1969-12-31 00:00:00' + make_interval(0, 0, 0, 0, id) at",
+        "cast(id - 100 as decimal(12,2)) / 4 x", "if(id % 3 = 0, null, named_struct('k', cast(id as int))) n", "array(1) a",
+    ).selectExpr(*[f"cast({c} as {k}) {c}" for c, k in (p.split(" ", 1) for p in MIXED.split(", "))])
+
+
+def test_footers_of_all_types(spark, folder):
+    mixed(spark).repartitionByRange(4, "i").write.parquet(folder)
+    names = ["i", "l", "d", "s", "b", "day", "at", "x", "n.k"]
+    got = lay.column_file_stats(spark, folder, names)
+    df = spark.read.parquet(folder)
+    parts = [F.count(F.lit(1)).alias("rows")]
+    for c in names:
+        parts += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"), F.count_if(F.col(c).isNull()).alias(f"nulls_{c}")]
+    assert rows(got.drop("file")) == rows(df.groupBy("_metadata.file_path").agg(*parts).drop("file_path"))
+
+
+def test_statistics_read_no_column(spark, tables, folder):
+    """All bytes before the footer are wiped: a scan fails, the statistics do not."""
+    tables.orders.repartition(3).write.parquet(folder)
+    want = rows(tables.orders.agg(F.min("o_orderkey"), F.max("o_totalprice"), F.count("*")))
+    for name in os.listdir(folder):
+        if name.endswith(".parquet"):
+            with open(f"{folder}/{name}", "r+b") as f:
+                data = f.read()
+                footer = int.from_bytes(data[-8:-4], "little") + 8
+                f.seek(4)
+                f.write(bytes(len(data) - footer - 4))
+            crc = f"{folder}/.{name}.crc"
+            if os.path.exists(crc):
+                os.remove(crc)
+    stats = lay.column_file_stats(spark, folder, ["o_orderkey", "o_totalprice"])
+    assert rows(stats.agg(F.min("min_o_orderkey"), F.max("max_o_totalprice"), F.sum("rows"))) == want
+    with pytest.raises(Exception):
+        spark.read.parquet(folder).agg(F.sum("o_orderkey")).collect()
+
+
+def kept_files(spark, folder):
+    return {r["file"] for r in spark.read.parquet(f"{folder}/_stats").select("file").collect()}
+
+
+def test_kept_statistics_follow_the_files(spark, tables, folder):
+    tables.orders.repartition(3).write.parquet(folder)
+    lay.column_file_stats(spark, folder, ["o_orderkey"]).collect()
+    first = kept_files(spark, folder)
+    parts = len(os.listdir(f"{folder}/_stats"))
+    lay.column_file_stats(spark, folder, ["o_custkey"]).collect()
+    assert len(os.listdir(f"{folder}/_stats")) == parts, "nothing new, nothing read"
+    extra = tables.orders.limit(50).withColumn("added", F.lit(5))
+    extra.coalesce(1).write.mode("append").parquet(folder)
+    os.remove(min(first).removeprefix("file:"))
+    stats = lay.column_file_stats(spark, folder, ["o_orderkey", "added"])
+    assert {r["file"] for r in stats.collect()} == kept_files(spark, folder) - {min(first)}
+    assert stats.filter("min_added = 5").count() == 1
+    assert stats.filter("min_added IS NULL").count() == 2
+    assert "row_group" not in spark.read.parquet(folder).columns
+
+
+def test_skipping_reads_only_the_kept_files(spark, folder):
+    mixed(spark).repartitionByRange(8, "i").write.parquet(folder)
+    found = lay.read_skipping(spark, folder, {"x": (-5, -2), "b": (True, True)})
+    assert rows(found.select("i")) == [(i,) for i in range(80, 93, 2)]
+    assert len(found.inputFiles()) <= 2
+    assert lay.read_skipping(spark, folder, {"i": (4000, None)}).collect() == []
+
+
+def test_files_of_nulls_are_skipped(spark, folder):
+    spark.range(10).select("id", F.lit(None).cast("int").alias("v")).coalesce(1).write.parquet(folder)
+    spark.range(10, 20).select("id", F.lit(1).alias("v")).coalesce(1).write.mode("append").parquet(folder)
+    stats = lay.column_file_stats(spark, folder, ["v"])
+    assert rows(stats.select("min_v", "max_v", "nulls_v")) == [(1, 1, 0), (None, None, 10)]
+    assert lay.skip_plan(stats, {"v": (0, None)}).count() == 1
+    assert lay.skip_plan(stats, {"v": (None, None)}).count() == 2

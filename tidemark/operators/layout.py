@@ -11,6 +11,7 @@ from ..functions.scalar import interpolate
 from ..session import settings
 from ..sources import swap
 from ..sources.files import list_files
+from ..sources.footers import kept_stats
 from .ordered import position
 from .skew import row_hash, row_salt
 
@@ -32,29 +33,44 @@ def file_stats(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def column_file_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows, and min, max and NULL count of each column, per file of a scan."""
-    parts = [F.count(F.lit(1)).alias("rows")]
+def column_file_stats(spark: SparkSession, root: str, columns: Sequence[str]) -> DataFrame:
+    """Rows, and min, max and NULL count of each column, per file of a directory.
+
+    They come from the footers, kept beside the data (``sources.footers``). Min
+    and max are NULL where a file does not state them for all its row groups that
+    hold values, the NULL count where one is missing.
+    """
+    groups = kept_stats(spark, root)
+    parts = [F.sum("rows").alias("rows")]
     for c in columns:
-        parts += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"), F.count_if(F.col(c).isNull()).alias(f"nulls_{c}")]
-    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(*parts)
+        low, high, nulls = (F.col(f"`{kind}_{c}`") for kind in ("min", "max", "nulls"))
+        blank = low.isNull() & ~F.coalesce(nulls == F.col("rows"), F.lit(False))
+        whole = F.count_if(blank) == 0
+        parts += [
+            F.when(whole, F.min(low)).alias(f"min_{c}"), F.when(whole, F.max(high)).alias(f"max_{c}"),
+            F.when(F.count_if(nulls.isNull()) == 0, F.sum(nulls)).alias(f"nulls_{c}"),
+        ]
+    return groups.groupBy("file").agg(*parts)
 
 
 def skip_plan(stats: DataFrame, ranges: Mapping[str, tuple]) -> DataFrame:
     """Files whose values can lie in every ``(low, high)`` range; an open end is None.
 
-    A file without min and max for a column is always kept.
+    A file without min and max for a column is kept, unless all its values are NULL.
     """
     keep = F.lit(True)
     for c, (low, high) in ranges.items():
         kind = stats.schema[f"min_{c}"].dataType
-        unknown = F.col(f"min_{c}").isNull() | F.col(f"max_{c}").isNull()
+        least, most = F.col(f"`min_{c}`"), F.col(f"`max_{c}`")
         hit = F.lit(True)
         if low is not None:
-            hit = hit & (F.col(f"max_{c}") >= F.lit(low).cast(kind))
+            hit = hit & (most >= F.lit(low).cast(kind))
         if high is not None:
-            hit = hit & (F.col(f"min_{c}") <= F.lit(high).cast(kind))
-        keep = keep & (unknown | hit)
+            hit = hit & (least <= F.lit(high).cast(kind))
+        unknown = least.isNull() | most.isNull()
+        if f"nulls_{c}" in stats.columns and (low is not None or high is not None):
+            unknown = unknown & ~F.coalesce(F.col(f"`nulls_{c}`") == F.col("rows"), F.lit(False))
+        keep = keep & F.coalesce(unknown | hit, F.lit(False))
     return stats.filter(keep)
 
 
@@ -69,13 +85,15 @@ def in_ranges(df: DataFrame, ranges: Mapping[str, tuple]) -> Column:
     return ok
 
 
-def read_skipping(spark: SparkSession, root: str, schema: T.StructType, stats: DataFrame, ranges: Mapping[str, tuple]) -> DataFrame:
-    """Scan only the files a skip plan keeps, then apply the ranges to the rows.
+def read_skipping(spark: SparkSession, root: str, ranges: Mapping[str, tuple]) -> DataFrame:
+    """Scan only the files whose kept statistics meet the ranges, then apply the ranges to the rows.
 
     File names are the only thing brought to the driver, which needs them to
     plan any scan.
     """
-    names = [r["file"] for r in skip_plan(stats, ranges).select("file").collect()]
+    schema = spark.read.option("mergeSchema", "true").parquet(root).schema
+    chosen = skip_plan(column_file_stats(spark, root, list(ranges)), ranges)
+    names = [r["file"] for r in chosen.select("file").collect()]
     if not names:
         return spark.createDataFrame([], schema)
     df = spark.read.schema(schema).option("basePath", root).parquet(*names)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import layout as lay
+from ..session import materialize
 from ..sources.files import write_partitioned
 from .registry import query
 
@@ -32,24 +33,38 @@ def file_stats(t):
 
 
 @query("column_file_stats", """
-    SELECT count(*) AS n, min(o_totalprice) AS low, max(o_totalprice) AS high, 24 AS files, 0 AS nulls FROM orders""")
+    SELECT o_orderstatus AS status, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key,
+        min(o_totalprice) AS low, max(o_totalprice) AS high, min(o_orderpriority) AS first_priority,
+        max(o_orderdate) AS newest, count(*) FILTER (o_custkey % 7 = 0) AS nulls FROM orders GROUP BY 1""")
 def column_file_stats(t):
-    stats = lay.column_file_stats(t.spark.read.parquet(_many_files(t, "colstats")), ["o_totalprice"])
-    return stats.agg(
-        F.sum("rows").alias("n"), F.min("min_o_totalprice").alias("low"), F.max("max_o_totalprice").alias("high"),
-        F.count(F.lit(1)).alias("files"), F.sum("nulls_o_totalprice").alias("nulls"),
+    path = t.scratch("colstats")
+    some = F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("some")
+    t.orders.select("*", some).repartition("o_orderstatus", "o_orderkey").write.partitionBy("o_orderstatus").parquet(path)
+    columns = ["o_orderkey", "o_totalprice", "o_orderpriority", "o_orderdate", "some"]
+    stats = lay.column_file_stats(t.spark, path, columns)
+    return stats.groupBy(F.regexp_extract("file", "o_orderstatus=([^/]+)/", 1).alias("status")).agg(
+        F.sum("rows").alias("n"), F.min("min_o_orderkey").alias("first_key"), F.max("max_o_orderkey").alias("last_key"),
+        F.min("min_o_totalprice").alias("low"), F.max("max_o_totalprice").alias("high"),
+        F.min("min_o_orderpriority").alias("first_priority"), F.max("max_o_orderdate").alias("newest"),
+        F.sum("nulls_some").alias("nulls"),
     )
 
 
 @query("skip_plan", """
-    SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice BETWEEN 50000 AND 60000""")
+    SELECT o_orderkey, o_totalprice, 'far' AS found FROM orders WHERE o_totalprice BETWEEN 50000 AND 60000
+    UNION ALL SELECT o_orderkey, o_totalprice, 'new' FROM orders WHERE o_totalprice > 200000 AND o_orderstatus = 'F'
+    UNION ALL SELECT o_orderkey, -o_totalprice, 'new' FROM orders WHERE o_totalprice > 200000""")
 def skip_plan(t):
     path = t.scratch("sorted")
-    t.orders.repartitionByRange(16, "o_totalprice", "o_orderkey").write.parquet(path)
-    df = t.spark.read.parquet(path)
-    stats = lay.column_file_stats(df, ["o_totalprice"])
-    found = lay.read_skipping(t.spark, path, df.schema, stats, {"o_totalprice": (50000, 60000)})
-    return found.select("o_orderkey", "o_totalprice")
+    prices = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    prices.repartitionByRange(16, "o_totalprice", "o_orderkey").write.parquet(path)
+    far = lay.read_skipping(t.spark, path, {"o_totalprice": (50000, 60000)}).withColumn("found", F.lit("far"))
+    far = materialize(far.select("o_orderkey", "o_totalprice", "found"), "far")
+    # Files that come later are read into the kept statistics by the next call.
+    prices.withColumn("o_totalprice", -F.col("o_totalprice")).write.mode("append").parquet(path)
+    new = lay.read_skipping(t.spark, path, {"o_totalprice": (200000.01, None), "o_orderstatus": ("F", "F")})
+    gone = lay.read_skipping(t.spark, path, {"o_totalprice": (None, -200000.01)})
+    return far.unionAll(new.unionAll(gone).select("o_orderkey", "o_totalprice", F.lit("new")))
 
 
 @query("partition_advice", """
@@ -112,7 +127,7 @@ def zorder_rewrite(t):
     ranges = {"o_custkey": (100, 120), "o_totalprice": (20000, 40000)}
 
     def kept():
-        stats = lay.column_file_stats(t.spark.read.parquet(path), list(ranges))
+        stats = lay.column_file_stats(t.spark, path, list(ranges))
         return lay.skip_plan(stats, ranges).count()
 
     before = kept()
