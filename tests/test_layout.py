@@ -149,6 +149,16 @@ def test_purge_touches_only_affected_files(spark, tables, folder):
     assert spark.read.parquet(folder).filter("o_orderkey < 2").count() == 0
 
 
+def test_purge_keeps_the_marks_of_layout_jobs(spark, tables, folder):
+    tables.orders.repartition(6).write.parquet(folder)
+    lay.cluster_rewrite(spark, folder, ["o_custkey"], 3)
+    tables.orders.limit(100).coalesce(1).write.mode("append").parquet(folder)
+    gone = tables.orders.orderBy("o_orderkey").limit(20).select("o_orderkey")
+    lay.purge_deletes(spark, folder, gone, ["o_orderkey"])
+    again = lay.cluster_rewrite(spark, folder, ["o_custkey"], 1)
+    assert again["files_removed"] == 1, "only the file that was never clustered"
+
+
 @pytest.mark.parametrize("gb, mb", [(1, 256), (2560, 256), (6280, 640), (10000, 1024), (50000, 1024)])
 def test_target_size(gb, mb):
     assert lay.target_file_bytes(gb * lay.GB) == mb * lay.MB

@@ -8,10 +8,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.scalar import interpolate
-from ..session import settings
+from ..session import materialize, settings
 from ..sources import swap
 from ..sources.files import list_files
 from ..sources.footers import kept_stats
+from .index import files_holding
 from .ordered import position
 from .skew import row_hash, row_salt
 
@@ -163,27 +164,27 @@ def compact(spark: SparkSession, root: str, target_bytes: int, folder_like: str
     without a new small file, which makes a second call do nothing.
     ``folder_like`` restricts the job to matching partition folders (SQL LIKE).
     """
-    swap.recover(spark, root)
-    small = _listing(spark, root).filter(F.col("length") < target_bytes)
-    if folder_like is not None:
-        small = small.filter(F.col("folder").like(folder_like))
-    bins = F.ceil(F.sum("length") / F.lit(target_bytes)).cast("int")
-    due = (
-        small.groupBy("folder")
-        .agg(F.count(F.lit(1)).alias("files"), bins.alias("bins"), F.count_if(~F.col("leaf").startswith(_MARK)).alias("fresh"))
-        .filter("fresh > 0 AND files > bins")
-    )
-    chosen = small.join(due, "folder", "left_semi").select("path", "folder").collect()
-    if not chosen:
-        return {"files_removed": 0, "files_added": 0}
-    paths = [r["path"] for r in chosen]
-    by = _partition_columns(chosen[0]["folder"])
-    stage = swap.staging(root)
-    if len({r["folder"] for r in chosen}) == 1:
-        _pack(spark, root, paths, by, stage, target_bytes)
-    else:
-        _regroup(spark, root, paths, by, stage, due)
-    return {"files_removed": len(paths), "files_added": swap.exchange(spark, root, stage, paths, _MARK)}
+    with swap.owned(spark, root):
+        small = _listing(spark, root).filter(F.col("length") < target_bytes)
+        if folder_like is not None:
+            small = small.filter(F.col("folder").like(folder_like))
+        bins = F.ceil(F.sum("length") / F.lit(target_bytes)).cast("int")
+        due = (
+            small.groupBy("folder")
+            .agg(F.count(F.lit(1)).alias("files"), bins.alias("bins"), F.count_if(~F.col("leaf").startswith(_MARK)).alias("fresh"))
+            .filter("fresh > 0 AND files > bins")
+        )
+        chosen = small.join(due, "folder", "left_semi").select("path", "folder").collect()
+        if not chosen:
+            return {"files_removed": 0, "files_added": 0}
+        paths = [r["path"] for r in chosen]
+        by = _partition_columns(chosen[0]["folder"])
+        stage = swap.staging(root)
+        if len({r["folder"] for r in chosen}) == 1:
+            _pack(spark, root, paths, by, stage, target_bytes)
+        else:
+            _regroup(spark, root, paths, by, stage, due)
+        return {"files_removed": len(paths), "files_added": swap.exchange(spark, root, stage, paths, _MARK)}
 
 
 # Partition values are copied as they are spelled, never read as numbers and written back another way.
@@ -271,11 +272,11 @@ def zorder_rewrite(
     spark: SparkSession, root: str, columns: Sequence[str], n_files: int, bits: int = 5, folder_like: str | None = None
 ) -> dict[str, int]:
     """Rewrite the files of a directory, or of its matching partition folders, in curve order."""
-    swap.recover(spark, root)
-    files = _listing(spark, root)
-    if folder_like is not None:
-        files = files.filter(F.col("folder").like(folder_like))
-    return _rewrite(spark, root, files, lambda df: zorder(df, columns, n_files, bits))
+    with swap.owned(spark, root):
+        files = _listing(spark, root)
+        if folder_like is not None:
+            files = files.filter(F.col("folder").like(folder_like))
+        return _rewrite(spark, root, files, lambda df: zorder(df, columns, n_files, bits))
 
 
 def _rewrite(spark: SparkSession, root: str, files: DataFrame, change, mark: str = "") -> dict[str, int]:
@@ -306,13 +307,7 @@ def cluster_rewrite(
     """
     if not 1 <= len(keys) <= 4:
         raise ValueError("give one to four clustering keys")
-    swap.recover(spark, root)
     mark = _cluster_mark(keys)
-    files = _listing(spark, root)
-    if folder_like is not None:
-        files = files.filter(F.col("folder").like(folder_like))
-    if not full:
-        files = files.filter(~F.col("leaf").startswith("clustered-"))
 
     def change(df: DataFrame) -> DataFrame:
         flat, helpers = df, []
@@ -323,23 +318,40 @@ def cluster_rewrite(
         names = ["_k_" + k.replace(".", "_") if "." in k else k for k in keys]
         return zorder(flat, names, n_files, bits).drop(*helpers)
 
-    return _rewrite(spark, root, files, change, mark)
+    with swap.owned(spark, root):
+        files = _listing(spark, root)
+        if folder_like is not None:
+            files = files.filter(F.col("folder").like(folder_like))
+        if not full:
+            files = files.filter(~F.col("leaf").startswith("clustered-"))
+        return _rewrite(spark, root, files, change, mark)
 
 
 def purge_deletes(spark: SparkSession, root: str, deleted: DataFrame, keys: Sequence[str]) -> dict[str, int]:
-    """Physically remove rows with the given keys; only files holding such rows are rewritten."""
-    swap.recover(spark, root)
+    """Physically remove rows with the given keys; only files holding such rows are rewritten.
+
+    The kept index names these files (``operators.index``). Rewritten files keep
+    the mark of the job that laid them out, so that it does not take them for new.
+    """
     keys = list(keys)
-    marked = deleted.select(*keys).distinct()
-    touched = (
-        spark.read.parquet(root)
-        .select(*keys, F.col("_metadata.file_path").alias("uri"))
-        .join(marked, keys, "left_semi")
-        .select("uri")
-        .distinct()
-    )
-    files = _listing(spark, root).join(touched, "uri", "left_semi")
-    return _rewrite(spark, root, files, lambda df: df.join(marked, keys, "left_anti").select(*df.columns))
+    with swap.owned(spark, root):
+        marked = materialize(deleted.select(*keys).distinct(), "purged")
+        touched = files_holding(spark, root, marked, keys)
+        marks: dict[str, list[str]] = {}
+        for path in touched:
+            marks.setdefault(mark_of(path), []).append(path)
+        report = {"files_removed": 0, "files_added": 0}
+        for mark, paths in sorted(marks.items()):
+            files = _listing(spark, root).filter(F.col("path").isin(paths))
+            done = _rewrite(spark, root, files, lambda df: df.join(marked, keys, "left_anti").select(*df.columns), mark)
+            report = {k: n + done[k] for k, n in report.items()}
+        return report
+
+
+def mark_of(path: str) -> str:
+    """What a layout job put before the name of a file."""
+    leaf = path.rsplit("/", 1)[-1]
+    return leaf[: leaf.find("part-")] if leaf.startswith((_MARK, "clustered-")) and "part-" in leaf else ""
 
 
 def table_bytes(spark: SparkSession, root: str) -> int:

@@ -56,13 +56,19 @@ def _choice(clauses: Sequence) -> Column:
     return picked
 
 
-def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
-    """Raise if several source rows match one target row. Reads only the key columns."""
+def repeated_matches(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of target rows that several source rows match, and how many do. Reads only the key columns."""
     keys = list(keys)
-    repeated = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    hit = repeated.join(target.select(*keys).distinct(), keys, "left_semi")
-    if not hit.isEmpty():
-        raise MultipleMatchError(f"several source rows match one target row on {keys}")
+    repeated = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("source_rows")).filter("source_rows > 1")
+    return repeated.join(target.select(*keys).distinct(), keys, "left_semi")
+
+
+def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if several source rows match one target row."""
+    some = repeated_matches(target, source, keys).limit(3).collect()
+    if some:
+        named = "; ".join(str(tuple(r)[: len(keys)]) for r in some)
+        raise MultipleMatchError(f"several source rows match one target row on {list(keys)}, such as {named}")
 
 
 def merge(
@@ -206,12 +212,12 @@ def staged_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     """
     spark = df.sparkSession
     # An exchange left half done is finished first, or its old rows would come back later.
-    swap.recover(spark, path)
-    old = swap.data_files(spark, path)
-    stage = swap.staging(path)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(stage)
-    swap.exchange(spark, path, stage, old)
+    with swap.owned(spark, path):
+        old = swap.data_files(spark, path)
+        stage = swap.staging(path)
+        writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+        writer.parquet(stage)
+        swap.exchange(spark, path, stage, old)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], where: str | None = None) -> None:

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from ..operators import merge as m
+from ..operators import rewrite
 from ..session import materialize
-from ..sources import files
+from ..sources import files, swap
 from .registry import query
 
 SOURCE = """s AS (SELECT c_custkey + 300 AS c_custkey, c_name || '*' AS c_name, c_nationkey, round(c_acctbal + 10, 2) AS c_acctbal,
@@ -63,25 +64,69 @@ def merge_not_matched_by_source(t):
 
 
 @query("merge_multi_match_guard", """
-    SELECT o_orderpriority, true AS refused FROM orders GROUP BY 1""")
+    SELECT o_custkey AS c_custkey, count(*) AS source_rows, true AS refused FROM orders
+    WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY 1 HAVING count(*) > 1""")
 def merge_multi_match_guard(t):
-    doubled = t.customer.unionAll(t.customer)
+    """The keys that make the merge of orders into some customers ambiguous, and whether it was refused."""
+    target = t.customer.filter("c_mktsegment = 'BUILDING'").select("c_custkey", "c_acctbal")
+    source = t.orders.select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"))
     try:
-        m.check_single_match(t.customer, doubled, ["c_custkey"])
+        m.upsert(target, source, ["c_custkey"])
         refused = False
     except m.MultipleMatchError:
         refused = True
-    return t.orders.groupBy("o_orderpriority").agg(F.lit(refused).alias("refused"))
+    return m.repeated_matches(target, source, ["c_custkey"]).withColumn("refused", F.lit(refused))
 
 
-@query("merge_pruned", f"""
-    WITH {SOURCE},
-    sl AS (SELECT * FROM customer WHERE c_nationkey < 10)
-    SELECT * FROM customer WHERE c_nationkey >= 10
-    UNION ALL SELECT * FROM sl WHERE c_custkey NOT IN (SELECT c_custkey FROM s)
-    UNION ALL SELECT * FROM s""")
+def _by_nation(t, name):
+    path = t.scratch(name)
+    t.customer.repartition("c_nationkey").write.partitionBy("c_nationkey").parquet(path)
+    return path, swap.data_files(t.spark, path)
+
+
+def _with_touch(t, path, before):
+    """Rows of the table and whether their file was written since ``before``."""
+    uri = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+    kept = uri.isin([n.replace("file:///", "file:/") for n in before])
+    return t.spark.read.parquet(path).select(*t.customer.columns, (~kept).alias("rewritten"))
+
+
+@query("merge_pruned", """
+    WITH s AS (
+      SELECT c_custkey, c_name || '*' AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+        WHERE c_nationkey IN (3, 7) AND c_custkey % 4 = 0
+      UNION ALL SELECT s_suppkey + 10000000, s_name, s_nationkey, s_acctbal, 'NEW' FROM supplier WHERE s_nationkey >= 20),
+    hit AS (SELECT DISTINCT c_nationkey FROM s WHERE c_mktsegment <> 'NEW')
+    SELECT *, c_nationkey IN (SELECT c_nationkey FROM hit) AS rewritten FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM s)
+    UNION ALL SELECT *, true FROM s""")
 def merge_pruned(t):
-    return m.merge(t.customer, _source(t), ["c_custkey"], [m.Update()], [m.Insert()], within="c_nationkey < 10")
+    """A small feed into a table of many files: only files that hold its keys are rewritten."""
+    path, before = _by_nation(t, "merge-path")
+    changed = t.customer.filter("c_nationkey IN (3, 7) AND c_custkey % 4 = 0").withColumn("c_name", F.concat("c_name", F.lit("*")))
+    new = t.supplier.filter("s_nationkey >= 20").select(
+        F.col("s_suppkey") + 10_000_000, "s_name", "s_nationkey", "s_acctbal", F.lit("NEW")
+    )
+    rewrite.merge_path(t.spark, path, changed.unionAll(new), ["c_custkey"])
+    return _with_touch(t, path, before)
+
+
+@query("update_path", """
+    SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_nationkey IN (1, 2) AND c_acctbal < 0 THEN 0.0 ELSE c_acctbal END AS c_acctbal,
+        c_mktsegment, c_nationkey IN (SELECT c_nationkey FROM customer WHERE c_nationkey IN (1, 2) AND c_acctbal < 0) AS rewritten
+    FROM customer""")
+def update_path(t):
+    path, before = _by_nation(t, "update-path")
+    rewrite.update_path(t.spark, path, "c_nationkey IN (1, 2) AND c_acctbal < 0", {"c_acctbal": "0.0"})
+    return _with_touch(t, path, before)
+
+
+@query("delete_path", """
+    SELECT *, c_nationkey IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900) AS rewritten
+    FROM customer WHERE c_acctbal <= 9900""")
+def delete_path(t):
+    path, before = _by_nation(t, "delete-path")
+    rewrite.delete_path(t.spark, path, "c_acctbal > 9900")
+    return _with_touch(t, path, before)
 
 
 @query("merge_evolve", """
