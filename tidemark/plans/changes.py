@@ -8,14 +8,18 @@ from .history import KEYS, LATE, LOG, MID, change_log
 from .registry import query
 
 
-def feed(t):
-    """Feed of user states: ``error`` deletes, ``device`` is a noisy column."""
-    return t.events.select(
+def feed_of(events):
+    """Feed of user states: ``error`` deletes, ``last_value`` is a noisy column."""
+    return events.select(
         "user_id", "event_id", "ts", F.col("event_type").alias("operation"),
         F.when(F.col("value") > 50, "high").otherwise("low").alias("tier"), F.col("value").alias("last_value"),
     )
 
 
+def feed(t):
+    return feed_of(t.events)
+
+
 FEED = """feed AS (SELECT user_id, event_id, ts, event_type AS operation,
     CASE WHEN value > 50 THEN 'high' ELSE 'low' END AS tier, value AS last_value FROM events)"""
 

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from ..operators import ordered
 from ..streaming import cdc as stream_cdc
 from ..streaming import jobs
-from .changes import FEED
+from .changes import FEED, feed_of, scd2_sql
+from .history import KEYS
 from .registry import query
 
 
@@ -122,9 +123,9 @@ def stream_foreach_batch(t):
         sink(batch, batch_id)
         sink(batch, batch_id)  # a replayed batch changes nothing
 
-    rows = events_stream(t).select("user_id", "event_id", "event_type", "ts")
+    rows = events_stream(t, _in_parts(t, 3), max_files=1).select("user_id", "event_id", "event_type", "ts")
     jobs.finish(jobs.for_each_batch(rows, work, out + "/state"))
-    return jobs.read_keyed(t.spark, out + "/data", keys, order).drop("ts")
+    return jobs.read_keyed(t.spark, out + "/data", keys).drop("ts")
 
 
 @query("stream_append_flows", """
@@ -203,17 +204,35 @@ def join_stream_stream(t):
     return t.spark.read.parquet(out + "/data")
 
 
+def _in_parts(t, n):
+    """The events in files of mixed times, so that every micro-batch of one file holds rows that come late."""
+    path = t.scratch("parts")
+    t.events.repartition(n, "event_id").write.parquet(path)
+    return path
+
+
+def _feed_stream(t, n):
+    return feed_of(events_stream(t, _in_parts(t, n), max_files=1))
+
+
 @query("cdc_stream", f"""
     WITH {FEED} SELECT user_id, tier, last_value FROM (
       SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM feed)
     WHERE rn = 1 AND operation <> 'error'""")
 def cdc_stream(t):
     out = t.scratch("cdc")
-    feed = events_stream(t).select(
-        "user_id", "event_id", "ts", F.col("event_type").alias("operation"),
-        F.when(F.col("value") > 50, "high").otherwise("low").alias("tier"), F.col("value").alias("last_value"),
-    )
-    jobs.finish(stream_cdc.collect_changes(feed, out + "/data", out + "/state"))
-    return stream_cdc.current(
-        t.spark, out + "/data", ["user_id"], "ts", deletes="operation = 'error'", except_cols=["operation", "event_id"], tie=["event_id"]
-    )
+    jobs.finish(stream_cdc.keep_current(
+        _feed_stream(t, 4), out + "/data", out + "/state", KEYS, "ts", buckets=8,
+        deletes="operation = 'error'", except_cols=["operation", "event_id"], tie=["event_id"],
+    ))
+    return stream_cdc.read_current(t.spark, out + "/data", KEYS, 8)
+
+
+@query("cdc_stream_history", scd2_sql("tier"))
+def cdc_stream_history(t):
+    out = t.scratch("cdc2")
+    jobs.finish(stream_cdc.keep_history(
+        _feed_stream(t, 3), out + "/data", out + "/state", KEYS, "ts", buckets=8,
+        deletes="operation = 'error'", except_cols=["operation", "event_id", "last_value"], tie=["event_id"],
+    ))
+    return _ntz(stream_cdc.read_history(t.spark, out + "/data", KEYS, 8), "__START_AT", "__END_AT")

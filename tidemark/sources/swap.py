@@ -80,6 +80,34 @@ def release(spark: SparkSession, root: str) -> None:
     fs.delete(Path(f"{root.rstrip('/')}/_owner"), False)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none where there is no such folder."""
+    fs, Path = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(Path(path))] if fs.exists(Path(path)) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, Path = _fs(spark, path)
+    return _text(spark, fs, Path(path))
+
+
+def write_whole(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under another name and rename it, so that nobody reads half of it."""
+    fs, Path = _fs(spark, path)
+    parent, _, leaf = path.rpartition("/")
+    draft = Path(f"{parent}/_{uuid.uuid4().hex}-{leaf}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(draft, Path(path)):
+        raise OSError(f"could not write {path}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, Path = _fs(spark, path)
+    fs.delete(Path(path), True)
+
+
 def staging(root: str) -> str:
     return f"{root.rstrip('/')}/_stage-{uuid.uuid4().hex}"
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.ordered import latest
+from .state import KeyedState
 
 
 def file_stream(
@@ -104,28 +105,28 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def keyed_sink(path: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """Idempotent upsert sink: every batch adds its newest row per key under its own number.
+def keyed_sink(path: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """Idempotent upsert sink: the newest row per key, kept up in key buckets.
 
-    Replaying a batch rewrites the same folder. ``read_keyed`` gives the merged
-    table, so a batch never rewrites older data.
+    A batch rewrites the buckets of its keys, a replayed one nothing, and a read
+    meets one version of each bucket however many batches there were.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        newest = latest(batch, keys, [F.desc(c) for c in order])
-        newest.write.mode("overwrite").parquet(f"{path}/batch={batch_id:08d}")
-
-    return work
+        def change(tables: Mapping[str, DataFrame | None], rows: DataFrame) -> dict[str, DataFrame]:
+            held = tables["rows"]
+            # Of equal rows the later batch wins.
+            rows = rows.withColumn("_batch", F.lit(batch_id).cast("long"))
+            both = rows if held is None else held.unionByName(rows, allowMissingColumns=True)
+            return {"rows": latest(both, keys, [*[F.desc(c) for c in order], F.desc("_batch")])}
 
+        KeyedState(batch.sparkSession, path, keys, buckets).apply(batch, batch_id, change, ["rows"])
 
-def read_keyed(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    return latest(df, keys, [*[F.desc(c) for c in order], F.desc("batch")]).drop("batch")
+    return work
 
 
-def compact_keyed(spark: SparkSession, path: str, out: str, keys: Sequence[str], order: Sequence[str]) -> None:
-    """Write the merged table elsewhere, one row per key, for cheap reads."""
-    read_keyed(spark, path, keys, order).write.mode("errorifexists").parquet(out)
+def read_keyed(spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64) -> DataFrame:
+    return KeyedState(spark, path, keys, buckets).read("rows").drop("_batch")
 
 
 def append_flows(flows: Mapping[str, DataFrame], path: str, state_dir: str) -> dict[str, StreamingQuery]:
