@@ -405,5 +405,8 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, share: int
         .select("lang", "phrase", "a", "cut.*")
     )
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    best = kept.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
-    return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
+    # The plain row number against a number: Spark then keeps the best of each task before the shuffle by language.
+    best = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    return best.join(totals, "lang").select(
+        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score")
+    )
