@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..session import materialize
+from ..session import materialize, scratch_path
 from .ordered import latest
 from .sizes import measured_bytes
 
@@ -83,9 +84,26 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.asarray(np.stack(column.to_numpy()), dtype=np.float64)
 
 
-def _scan_with_shared_queries(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Each task holds the (small) query matrix and sends on only its best k rows per query."""
-    rows = queries.orderBy("query_id").collect()  # measured before: at most QUERY_BYTES
+def _in_chunks(asked: DataFrame, key: str, row_bytes: float, limit: int, search, schema: str) -> DataFrame:
+    """``search`` of every chunk of the queries; the index stays where it is and is read once per chunk.
+
+    Chunks are cut by hash so that each takes about ``limit`` bytes in the tasks.
+    The hits of all but a single chunk are stored, so that a lost executor costs
+    one chunk and the plan does not grow with their number.
+    """
+    chunks = max(1, math.ceil(asked.count() * row_bytes / max(limit, 1)))
+    if chunks == 1:
+        return search(asked)
+    path = scratch_path(asked.sparkSession, "hits")
+    for i in range(chunks):
+        part = asked.filter(F.pmod(F.xxhash64(key), F.lit(chunks)) == i)
+        search(part).write.mode("append").parquet(path)
+    return asked.sparkSession.read.schema(schema).parquet(path)
+
+
+def _scan(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """Each task holds the query matrix, at most a chunk, and sends on only its best k rows per query."""
+    rows = queries.orderBy("query_id").collect()
     query_ids = [r["query_id"] for r in rows]
     matrix = np.array([r["_v"] for r in rows], dtype=np.float64)
     shared = index.sparkSession.sparkContext.broadcast((query_ids, matrix))
@@ -103,57 +121,28 @@ def _scan_with_shared_queries(index: DataFrame, queries: DataFrame, k: int) -> D
     return index.mapInPandas(search, _HITS)
 
 
-def _scan_in_blocks(index: DataFrame, queries: DataFrame, k: int, query_blocks: int, index_blocks: int) -> DataFrame:
-    """Query sets too large to share: every block of queries meets every block of the index in a task of its own.
-
-    The blocks are cut by hash, so their sizes are bounded by the counts that
-    set their numbers; each meeting sends on at most k rows per query.
-    """
-    left = index.withColumn("_i", F.pmod(F.xxhash64("id"), F.lit(index_blocks)).cast("int")).withColumn(
-        "_q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
-    )
-    right = queries.withColumn("_q", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")).withColumn(
-        "_i", F.explode(F.sequence(F.lit(0), F.lit(index_blocks - 1)))
-    )
-
-    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        best = _TopK(len(b), k)
-        if len(a) and len(b):
-            block, names, vectors = _matrix(a["_v"]), a["id"].to_numpy(), _matrix(b["_v"])
-            for n in range(len(b)):
-                best.add(n, names, _distances(block, vectors[n]))
-        return best.rows(b["query_id"].tolist())
-
-    return left.groupBy("_i", "_q").cogroup(right.groupBy("_i", "_q")).applyInPandas(meet, _HITS)
-
-
 def knn(
     index: DataFrame, queries: DataFrame, k: int, metric: str = "l2", where: str | None = None,
     key: str = "id", vector: str = "embedding", query_key: str = "query_id", columns: Sequence[str] = (),
-    query_bytes: int = QUERY_BYTES, block_rows: int = 20_000,
+    query_bytes: int = QUERY_BYTES,
 ) -> DataFrame:
     """Exact ``k`` nearest index rows per query, ties by id, with ``rank`` and ``distance``.
 
     ``where`` filters the index before the search. No pair table is ever built:
     tasks keep the best k per query, and a second ranking merges those few.
-    Query sets within ``query_bytes`` are shared with every task; larger ones
-    go block by block through a shuffle, with the same result.
+    Queries are shared with every task ``query_bytes`` at a time; the index is
+    never shuffled.
     """
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
     if where is not None:
         index = index.filter(where)
-    asking, dims = _query_shape(queries, vector)
+    _, dims = _query_shape(queries, vector)
     if metric == "cosine":
         index, queries = normalise(index, vector), normalise(queries, vector)
     base = index.select(F.col(key).cast("long").alias("id"), _checked(vector, dims).alias("_v"))
     asked = queries.select(F.col(query_key).cast("long").alias("query_id"), F.col(vector).cast("array<double>").alias("_v"))
-    if asking * (dims + 2) * 8 <= query_bytes:
-        hits = _scan_with_shared_queries(base, asked, k)
-    else:
-        query_blocks = max(1, math.ceil(asking / block_rows))
-        index_blocks = max(1, math.ceil(base.count() / block_rows))
-        hits = _scan_in_blocks(base, asked, k, query_blocks, index_blocks)
+    hits = _in_chunks(asked, "query_id", (dims + 2) * 8, query_bytes, lambda part: _scan(base, part, k), _HITS)
     ranked = _ranked(hits, k, F.asc("distance"))
     if columns:
         extra = index.select(F.col(key).cast("long").alias("id"), *columns)
@@ -171,50 +160,149 @@ def _ranked(hits: DataFrame, k: int, first: Column) -> DataFrame:
 # --- approximate search --------------------------------------------------------
 
 
-def knn_ann(
-    index: DataFrame, queries: DataFrame, k: int, key: str = "id", vector: str = "embedding", query_key: str = "query_id",
-    cells: int = 16, probes: int = 4, seed: int = 3,
-) -> DataFrame:
-    """Approximate neighbours: the index is divided into k-means cells and a query searches its nearest cells.
+#: Vectors the cells are fitted on at most, and entries of one piece of a cell.
+FIT_ROWS = 20_000
+PIECE_ROWS = 50_000
 
-    Queries travel to the cells they probe; a cell is spread over many salted
-    pieces, so a crowded cell is no single task, and every piece returns at
-    most k rows per query.
-    """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
 
+@dataclass(frozen=True)
+class Cells:
+    """An inverted index: the centres of the cells, its rows ``cell, piece, id, _v``, and how many pieces each cell has."""
+
+    centres: np.ndarray
+    rows: DataFrame
+    pieces: dict[int, int]
+
+
+def _centres(sample: np.ndarray, cells: int, seed: int, turns: int = 12) -> np.ndarray:
+    """Centres of k-means over a sample; a cell that runs empty starts again at the vector farthest from its centre."""
+    rng = np.random.default_rng(seed)
+    centres = sample[rng.choice(len(sample), min(cells, len(sample)), replace=False)]
+    for _ in range(turns):
+        gap = _gaps(sample, centres)
+        nearest = gap.argmin(axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, sample)
+        counts = np.bincount(nearest, minlength=len(centres))
+        held = counts > 0
+        centres = centres.copy()
+        centres[held] = sums[held] / counts[held, None]
+        far = np.argsort(-gap.min(axis=1))[: (~held).sum()]
+        centres[np.flatnonzero(~held)[: len(far)]] = sample[far]
+    return centres
+
+
+def _gaps(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, up to rounding."""
+    return (vectors**2).sum(axis=1)[:, None] + (centres**2).sum(axis=1) - 2 * vectors @ centres.T
+
+
+def _placed(rows: DataFrame, centres: np.ndarray, most: int, stretch: float | None) -> DataFrame:
+    """Rows ``id, _v`` once per cell: the ``most`` nearest ones, or of these only those within ``stretch`` of the nearest."""
+    shared = rows.sparkSession.sparkContext.broadcast(centres)
+    schema = T.StructType([T.StructField("cell", T.IntegerType()), *rows.schema.fields])
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            gap = np.sqrt(np.maximum(_gaps(_matrix(batch["_v"]), shared.value), 0))
+            near = np.argsort(gap, axis=1, kind="stable")[:, :most]
+            kept = np.ones(near.shape, bool)
+            if stretch is not None:
+                own = np.take_along_axis(gap, near, axis=1)
+                kept = own <= own[:, :1] * stretch
+            row, place = np.nonzero(kept)
+            out = batch.iloc[row].reset_index(drop=True)
+            out.insert(0, "cell", near[row, place].astype(np.int32))
+            yield out
+
+    return rows.mapInPandas(place, schema)
+
+
+def build_cells(
+    index: DataFrame, key: str = "id", vector: str = "embedding", cells: int | None = None, copies: int = 4, stretch: float = 1.25,
+    seed: int = 3,
+) -> Cells:
+    """Divide the index into k-means cells and store it by cell.
+
+    A vector near a border lies in up to ``copies`` cells: those whose centres
+    are at most ``stretch`` times as far as the nearest one. The centres are
+    fitted on the ``FIT_ROWS`` rows of smallest hash; every row is placed. There
+    are ``sqrt(rows)`` cells by default, at least 16. Large cells are cut into
+    pieces, so that none is a single task.
+    """
     base = index.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("_v"))
-    asked = queries.select(F.col(query_key).cast("long").alias("query_id"), F.col(vector).cast("array<double>").alias("_v"))
     rows = base.count()
-    model = KMeans(k=cells, seed=seed, maxIter=10, featuresCol="_f", predictionCol="_cell").fit(
-        base.withColumn("_f", array_to_vector("_v"))
-    )
-    centres = [c.tolist() for c in model.clusterCenters()]  # as many as cells
-    placed = model.transform(base.withColumn("_f", array_to_vector("_v"))).select("id", "_v", "_cell")
-
-    def distance_to(centre):
-        point = F.array(*[F.lit(x) for x in centre])
-        return F.aggregate(F.zip_with("_v", point, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    if not rows:
+        raise ValueError("an index without rows has no cells")
+    sample = base.orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).collect()
+    vectors = np.array([r["_v"] for r in sample], dtype=np.float64)
+    cells = cells or max(16, math.isqrt(rows))
+    centres = _centres(vectors, min(cells, len(vectors)), seed)
+    placed = materialize(_placed(base, centres, copies, stretch), "cells")
+    sizes = placed.groupBy("cell").count().collect()  # one row per cell
+    pieces = {r["cell"]: math.ceil(r["count"] / PIECE_ROWS) for r in sizes}
+    number = F.pmod(F.xxhash64("id"), _pieces_of(pieces)).cast("int")
+    laid = placed.withColumn("piece", number).repartition("cell", "piece").sortWithinPartitions("cell", "piece")
+    return Cells(centres, materialize(laid, "cells-laid"), pieces)
+
+
+def _pieces_of(pieces: dict[int, int]) -> Column:
+    """Pieces of the cell of a row: only cells of several pieces are listed."""
+    listed = [x for c, n in sorted(pieces.items()) if n > 1 for x in (F.lit(c), F.lit(n))]
+    return F.coalesce(F.create_map(*listed)[F.col("cell")], F.lit(1)) if listed else F.lit(1)
+
+
+def search_cells(
+    held: Cells, queries: DataFrame, k: int, probes: int | None = None, vector: str = "embedding", query_key: str = "query_id",
+    chunk_rows: int = 200_000,
+) -> DataFrame:
+    """Nearest rows among the ``probes`` nearest cells of each query, a quarter of the cells by default.
 
-    by_distance = F.array_sort(F.array(*[F.struct(distance_to(c).alias("d"), F.lit(i).alias("c")) for i, c in enumerate(centres)]))
-    wanted = asked.withColumn("_near", F.slice(by_distance, 1, probes)).select(
-        "query_id", "_v", F.explode(F.transform("_near", lambda s: s["c"])).alias("_cell")
-    )
-    pieces = max(1, math.ceil(rows / 20_000))
-    left = placed.withColumn("_p", F.pmod(F.xxhash64("id"), F.lit(pieces)).cast("int"))
-    right = wanted.withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
+    Distances are exact; only rows in cells that were not probed can be missed.
+    Queries go to the cells they probe, ``chunk_rows`` of them at a time, and
+    every piece returns at most k rows per query.
+    """
+    probes = probes or max(1, len(held.centres) // 4)
+    asked = queries.select(F.col(query_key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("_v"))
+
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        best = _TopK(b.num_rows, k)
+        if a.num_rows and b.num_rows:
+            block, vectors = _table_matrix(a), _table_matrix(b)
+            names = a.column("id").to_numpy()
+            gap = _gaps(vectors, block)
+            some = min(k + 8, a.num_rows)
+            for n in range(b.num_rows):
+                # Rounding moves close distances: all within its reach of the k-th are measured again.
+                limit = np.partition(gap[n], some - 1)[some - 1]
+                near = np.flatnonzero(gap[n] <= limit + 1e-9 * (1 + abs(limit) + (vectors[n] ** 2).sum()))
+                best.add(n, names[near], _distances(block[near], vectors[n]))
+        return pa.Table.from_pandas(best.rows(b.column("id").to_pylist()), schema=_HITS_ARROW, preserve_index=False)
+
+    def search(part: DataFrame) -> DataFrame:
+        wanted = _placed(part, held.centres, probes, None)
+        wanted = wanted.withColumn("piece", F.explode(F.sequence(F.lit(0), _pieces_of(held.pieces) - 1)))
+        return held.rows.groupBy("cell", "piece").cogroup(wanted.groupBy("cell", "piece")).applyInArrow(meet, _HITS)
+
+    hits = _in_chunks(asked, "id", 1, chunk_rows, search, _HITS)
+    once = hits.groupBy("query_id", "id").agg(F.min("distance").alias("distance"))  # copies of a border vector
+    return _ranked(once, k, F.asc("distance"))
+
+
+def _table_matrix(table: pa.Table) -> np.ndarray:
+    column = table.column("_v").combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
-    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        best = _TopK(len(b), k)
-        if len(a) and len(b):
-            block, names, vectors = _matrix(a["_v"]), a["id"].to_numpy(), _matrix(b["_v"])
-            for n in range(len(b)):
-                best.add(n, names, _distances(block, vectors[n]))
-        return best.rows(b["query_id"].tolist())
 
-    hits = left.groupBy("_cell", "_p").cogroup(right.groupBy("_cell", "_p")).applyInPandas(meet, _HITS)
-    return _ranked(hits, k, F.asc("distance"))
+def knn_ann(
+    index: DataFrame, queries: DataFrame, k: int, key: str = "id", vector: str = "embedding", query_key: str = "query_id",
+    cells: int | None = None, probes: int | None = None, copies: int = 4, stretch: float = 1.25,
+) -> DataFrame:
+    """Approximate neighbours of every query, from cells built for this search."""
+    held = build_cells(index, key, vector, cells, copies, stretch)
+    return search_cells(held, queries, k, probes, vector, query_key)
 
 
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
@@ -237,172 +325,159 @@ def tokens(text: str | Column) -> Column:
     return F.array_remove(F.split(F.lower(text), _NOT_WORD), "")
 
 
-def _count_words(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word counts of lower-cased texts: ``(doc, word, count)`` triples in order, and the length of each text."""
-    lists = pc.split_pattern_regex(texts, _NOT_WORD)
-    pieces = lists.flatten()
-    doc = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
-    lengths = np.bincount(doc[pc.binary_length(pieces).to_numpy(zero_copy_only=False) > 0], minlength=len(texts))
-    word = pc.fill_null(pc.index_in(pieces, value_set=vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    size = max(len(vocabulary), 1)
-    pairs, tf = np.unique(doc[word >= 0] * size + word[word >= 0], return_counts=True)
-    return pairs // size, pairs % size, tf, lengths
-
-
-class _WordScorer:
-    """BM25 of blocks of counted documents against a set of queries, in array arithmetic."""
-
-    def __init__(self, queries: list[list[int]], idf: np.ndarray, k1: float, b: float, mean: float):
-        """``queries`` holds the word numbers of each query."""
-        self.idf, self.k1, self.b, self.mean = idf, k1, b, mean
-        asking = np.repeat(np.arange(len(queries)), [len(q) for q in queries])
-        words = np.array([w for q in queries for w in q], dtype=np.int64)
-        order = np.argsort(words, kind="stable")
-        self.asking = asking[order].astype(np.int64)
-        self.counts = np.bincount(words, minlength=len(idf)).astype(np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.counts)]).astype(np.int64)
-
-    def add(self, ids: np.ndarray, doc: np.ndarray, word: np.ndarray, tf: np.ndarray, lengths: np.ndarray, best: _TopK) -> None:
-        """Score the documents and offer the hits to ``best``."""
-        if not len(doc):
-            return
-        damping = self.k1 * (1 - self.b + self.b * lengths[doc] / self.mean)
-        weight = self.idf[word] * tf * (self.k1 + 1) / (tf + damping)
-        # Spread each (document, word) over the queries asking for the word.
-        n = self.counts[word]
-        first = np.repeat(self.starts[word] - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
-        query = self.asking[first + np.arange(n.sum())]
-        hits, inverse = np.unique(query * len(ids) + np.repeat(doc, n), return_inverse=True)
-        value = np.round(np.bincount(inverse, weights=np.repeat(weight, n), minlength=len(hits)), 9)
-        query, doc = hits // len(ids), hits % len(ids)
-        for q, part in zip(*_runs(query)):
-            best.add(int(q), ids[doc[part]], -value[part])
-
-
-def _runs(ordered: np.ndarray) -> tuple[np.ndarray, list[slice]]:
-    names, starts = np.unique(ordered, return_index=True)
-    ends = np.append(starts[1:], len(ordered))
-    return names, [slice(a, b) for a, b in zip(starts, ends)]
-
-
-_DOC_CHUNK = 1024
-_COUNTED = pa.schema([
-    ("id", pa.int64()), ("size", pa.int64()), ("words", pa.list_(pa.int32())), ("tf", pa.list_(pa.int32())),
-])
-
-
-def _counted(docs: DataFrame, words: list[str]) -> DataFrame:
-    """Every document with its length and the counts of the given words."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+@dataclass(frozen=True)
+class Postings:
+    """Words of documents in blocks: ``word, block, docs, best``; ``docs`` are structs of id and weight, ``best`` the highest weight."""
+
+    rows: DataFrame
+    documents: int
+    blocks: int
+
+    def idf(self) -> DataFrame:
+        held = self.rows.groupBy("word").agg(F.sum(F.size("docs")).alias("df"))
+        n = F.lit(float(self.documents))
+        return held.select("word", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+
+
+BLOCK_DOCS = 4096
+_PAIRS = "id long, word string, tf int, size long"
+_PAIRS_ARROW = pa.schema([("id", pa.int64()), ("word", pa.string()), ("tf", pa.int32()), ("size", pa.int64())])
+
+
+def _word_counts(docs: DataFrame, vocabulary: list[str] | None) -> DataFrame:
+    """A row for every word of every document, or of the vocabulary, with its count and the words of the document.
+
+    Each document also has a row of the empty word, which no text contains.
+    """
+    shared = None if vocabulary is None else docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = pa.array(shared.value, pa.string())
+        asked = None if shared is None else pa.array(shared.value, pa.string())
         for batch in batches:
-            doc, word, tf, lengths = _count_words(batch.column("_t"), vocabulary)
-            ends = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x.astype(np.int32))) for x in (word, tf)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(lengths.astype(np.int64)), *lists], schema=_COUNTED)
-
-    return docs.mapInArrow(count, "id long, size long, words array<int>, tf array<int>")
-
-
-def _keyword_shared(docs: DataFrame, asked: DataFrame, k: int, k1: float, b: float) -> DataFrame:
-    """Queries small enough for every task: one pass over the texts, then one over the word counts."""
-    pairs = asked.collect()  # measured by the caller
-    words = sorted({r["word"] for r in pairs})
-    number = {w: i for i, w in enumerate(words)}
-    per_query: dict[int, list[int]] = {}
-    for r in pairs:
-        per_query.setdefault(r["query_id"], []).append(number[r["word"]])
-    query_ids = sorted(per_query)
-    counted = materialize(_counted(docs, words), "word-counts")
-    totals = counted.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("length")).first()
-    n, mean = totals["n"], ((totals["length"] or 0) / totals["n"] if totals["n"] else 0.0) or 1.0
-    df = np.zeros(len(words))
-    for r in counted.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df")).collect():
-        df[r["w"]] = r["df"]  # at most one row per query word
-    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-    shared = docs.sparkSession.sparkContext.broadcast((query_ids, [per_query[q] for q in query_ids], idf))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, queries, weights = shared.value
-        scorer, best = _WordScorer(queries, weights, k1, b, mean), _TopK(len(names), k)
-        for batch in batches:
-            for start in range(0, batch.num_rows, _DOC_CHUNK):
-                part = batch.slice(start, _DOC_CHUNK)
-                lists = part.column("words")
-                doc = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
-                word, tf = (part.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("words", "tf"))
-                ids, size = (part.column(c).to_numpy(zero_copy_only=False) for c in ("id", "size"))
-                scorer.add(ids, doc, word, tf, size, best)
-        yield pa.RecordBatch.from_pandas(best.rows(names), schema=_HITS_ARROW, preserve_index=False)
-
-    return counted.mapInArrow(score, _HITS)
-
-
-def _keyword_blocks(docs: DataFrame, asked: DataFrame, k: int, k1: float, b: float, block_rows: int) -> DataFrame:
-    """Query sets of any size: word statistics by a join, then blocks of queries meet blocks of documents."""
-    marker = asked.sparkSession.createDataFrame([("",)], "word string")
-    words = asked.select("word").distinct().unionAll(marker)
-    held = docs.withColumn("_w", tokens("_t")).select(
-        F.size("_w").cast("long").alias("length"), F.explode(F.concat(F.array_distinct("_w"), F.array(F.lit("")))).alias("word")
-    )
-    # Partial counts per task come first, so a common word reaches the join as few rows.
-    # The empty word, which no text contains, carries the number and length of all documents.
-    per_word = held.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.sum("length").alias("length"))
-    held_by = materialize(per_word.join(words, "word", "left_semi"), "words")
-    totals = held_by.filter("word = ''").first()
-    n = totals["df"] if totals else 0
-    mean = (totals["length"] / n if n else 0.0) or 1.0
-    idf = held_by.filter("word <> ''").select("word", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    # One list per query, as long as the query has words.
-    weighted = asked.join(idf, "word").groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("word", "idf"))).alias("words"))
-    query_blocks = max(1, math.ceil(weighted.count() / block_rows))
-    doc_blocks = max(1, math.ceil(n / block_rows))
-    left = docs.withColumn("_i", F.pmod(F.xxhash64("id"), F.lit(doc_blocks)).cast("int")).withColumn(
-        "_q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
-    )
-    right = weighted.withColumn("_q", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")).withColumn(
-        "_i", F.explode(F.sequence(F.lit(0), F.lit(doc_blocks - 1)))
+            lists = pc.split_pattern_regex(batch.column("_t"), _NOT_WORD)
+            pieces = lists.flatten()
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            real = pc.greater(pc.binary_length(pieces), 0)
+            doc, pieces = doc[real.to_numpy(zero_copy_only=False)], pieces.filter(real)
+            sizes = np.bincount(doc, minlength=batch.num_rows)
+            if asked is None:
+                coded = pieces.dictionary_encode()
+                names, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            else:
+                names = asked
+                codes = pc.fill_null(pc.index_in(pieces, value_set=asked), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+                doc, codes = doc[codes >= 0], codes[codes >= 0]
+            width = max(len(names), 1)
+            pairs, tf = np.unique(doc * width + codes, return_counts=True)
+            owner = np.concatenate((pairs // width, np.arange(batch.num_rows)))
+            words = pa.concat_arrays([names.take(pa.array(pairs % width)), pa.array([""] * batch.num_rows, pa.string())])
+            tf = np.concatenate((tf, np.zeros(batch.num_rows, tf.dtype)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(pa.array(owner)), words, pa.array(tf.astype(np.int32)), pa.array(sizes[owner].astype(np.int64))],
+                schema=_PAIRS_ARROW,
+            )
+
+    return docs.mapInArrow(count, _PAIRS)
+
+
+def build_postings(
+    documents: DataFrame, key: str = "id", text: str = "text", k1: float = 1.2, b: float = 0.75, block_docs: int = BLOCK_DOCS,
+    words: DataFrame | None = None,
+) -> Postings:
+    """Read the texts once and store the weight of every word in every document, by word and block.
+
+    Documents fall into blocks of about ``block_docs`` by hash; a row lists the
+    documents of one block that hold a word, so a common word is many rows and
+    none is long. ``words`` (a column ``word``) limits the postings to those
+    words. Weights are those of BM25 without the share of the word.
+    """
+    docs = documents.select(F.col(key).cast("long").alias("id"), F.coalesce(F.lower(text), F.lit("")).alias("_t"))
+    vocabulary = None
+    if words is not None:
+        words = words.select("word").distinct()
+        if measured_bytes(words) <= QUERY_BYTES:
+            vocabulary = [r["word"] for r in words.collect()]
+    pairs = materialize(_word_counts(docs, vocabulary), "word-counts")
+    totals = pairs.filter("word = ''").agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean")).first()
+    n, mean = totals["n"], totals["mean"] or 1.0
+    pairs = pairs.filter("word <> ''")
+    if words is not None and vocabulary is None:
+        pairs = pairs.join(words, "word", "left_semi")
+    damping = k1 * (1 - b + b * F.col("size") / F.lit(float(mean)))
+    weight = F.col("tf") * (k1 + 1) / (F.col("tf") + damping)
+    blocks = max(1, math.ceil(n / block_docs))
+    held = (
+        pairs.select("word", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.struct("id", weight.alias("weight")).alias("doc"))
+        .groupBy("word", "block")
+        .agg(F.collect_list("doc").alias("docs"), F.max("doc.weight").alias("best"))
     )
+    return Postings(materialize(held, "postings"), n, blocks)
 
-    def meet(a: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        weights = {p["word"]: p["idf"] for ws in c["words"] for p in ws}
-        names = sorted(weights)
-        number = {w: i for i, w in enumerate(names)}
-        queries = [[number[p["word"]] for p in ws] for ws in c["words"]]
-        scorer = _WordScorer(queries, np.array([weights[w] for w in names]), k1, b, mean)
-        best, vocabulary = _TopK(len(queries), k), pa.array(names, pa.string())
-        for start in range(0, len(a), _DOC_CHUNK):
-            part = a.iloc[start : start + _DOC_CHUNK]
-            doc, word, tf, lengths = _count_words(pa.array(part["_t"], pa.string()), vocabulary)
-            scorer.add(part["id"].to_numpy(), doc, word, tf, lengths, best)
-        return best.rows(c["query_id"].tolist())
 
-    return left.groupBy("_i", "_q").cogroup(right.groupBy("_i", "_q")).applyInPandas(meet, _HITS)
+def _weighted(held: Postings, asked: DataFrame) -> DataFrame:
+    """Words of the queries that some document holds, with their weight; a chunk of queries, small enough for every task."""
+    return asked.join(held.idf(), "word")
+
+
+def block_bounds(held: Postings, asked: DataFrame) -> DataFrame:
+    """The most a document of each block can score for each query."""
+    words = F.broadcast(_weighted(held, asked))
+    best = held.rows.select("word", "block", "best").join(words, "word")
+    return best.groupBy("query_id", "block").agg(F.sum(F.col("idf") * F.col("best")).alias("bound"))
+
+
+def _scored(held: Postings, asked: DataFrame, blocks: DataFrame | None) -> DataFrame:
+    """Scores of the documents in the given blocks of each query, or in all."""
+    chosen = held.rows.join(F.broadcast(_weighted(held, asked)), "word")
+    if blocks is not None:
+        chosen = chosen.join(blocks.select("query_id", "block"), ["query_id", "block"])
+    parts = chosen.select("query_id", "idf", F.explode("docs").alias("d"))
+    return parts.groupBy("query_id", F.col("d.id").alias("id")).agg(F.round(F.sum(F.col("idf") * F.col("d.weight")), 9).alias("score"))
+
+
+def needed_blocks(held: Postings, asked: DataFrame, k: int, lead: int = 2) -> DataFrame:
+    """Blocks that can hold one of the best ``k`` documents of a query.
+
+    The ``lead`` blocks of highest bound are scored first; blocks whose bound
+    does not reach the k-th best score found there cannot change the result.
+    """
+    bounds = materialize(block_bounds(held, asked), "bounds")
+    first = latest(bounds, ["query_id"], [F.desc("bound"), F.asc("block")], lead)
+    known = _ranked(_scored(held, asked, first), k, F.desc("score"))
+    # Bounds and scores are sums in different orders.
+    least = known.filter(F.col("rank") == k).select("query_id", (F.col("score") - 1e-6).alias("least"))
+    return bounds.join(least, "query_id", "left").filter(F.coalesce(F.col("bound") >= F.col("least"), F.lit(True)))
+
+
+def search_postings(held: Postings, asked: DataFrame, k: int, query_bytes: int = QUERY_BYTES) -> DataFrame:
+    """Best ``k`` documents for queries ``query_id, word``, ties by id; queries go ``query_bytes`` at a time."""
+
+    def search(part: DataFrame) -> DataFrame:
+        if held.blocks == 1:
+            return _ranked(_scored(held, part, None), k, F.desc("score"))
+        part = materialize(part, "asked")
+        return _ranked(_scored(held, part, needed_blocks(held, part, k)), k, F.desc("score"))
+
+    schema = "query_id long, id long, score double, rank int"
+    each = measured_bytes(asked) / max(asked.count(), 1)
+    return _in_chunks(asked, "query_id", each, query_bytes, search, schema).select("query_id", "id", "score", "rank")
 
 
 def keyword_search(
     documents: DataFrame, queries: DataFrame, k: int, key: str = "id", text: str = "text", query_key: str = "query_id",
-    query_text: str = "text", k1: float = 1.2, b: float = 0.75, query_bytes: int = QUERY_BYTES, block_rows: int = 20_000,
+    query_text: str = "text", k1: float = 1.2, b: float = 0.75, query_bytes: int = QUERY_BYTES, block_docs: int = BLOCK_DOCS,
 ) -> DataFrame:
     """Best ``k`` documents per query by BM25, ties by id, with ``rank`` and ``score``.
 
-    Texts are read once: a task turns them into counts of the words the queries
-    ask for. Documents are then scored where those counts lie and every task
-    keeps its best k per query, so nothing is shuffled by word, however common
-    a word is. Query sets above ``query_bytes`` meet the documents block by
-    block instead, with the same result.
+    Texts are read once, into postings of the words the queries ask for. Blocks
+    that cannot reach a query's k-th score are not scored for it. A NULL text
+    counts as empty.
     """
-    docs = documents.select(F.col(key).cast("long").alias("id"), F.coalesce(F.lower(text), F.lit("")).alias("_t"))
     asked = queries.select(
         F.col(query_key).cast("long").alias("query_id"), F.explode(F.array_distinct(tokens(query_text))).alias("word")
     )
-    if measured_bytes(asked) <= query_bytes:
-        hits = _keyword_shared(docs, asked, k, k1, b)
-    else:
-        hits = _keyword_blocks(docs, asked, k, k1, b, block_rows)
-    return _ranked(hits.select("query_id", "id", (-F.col("distance")).alias("score")), k, F.desc("score"))
+    held = build_postings(documents, key, text, k1, b, block_docs, asked)
+    return search_postings(held, asked, k, query_bytes)
 
 
 def fuse(rankings: Sequence[DataFrame], k: int, constant: int = 60) -> DataFrame:
@@ -419,9 +494,13 @@ def hybrid_search(
     index: DataFrame, queries: DataFrame, k: int, depth: int = 50, key: str = "id", text: str = "text",
     vector: str = "embedding", query_key: str = "query_id",
 ) -> DataFrame:
-    """Keyword and vector rankings, each ``depth`` deep, fused by rank."""
-    by_word = keyword_search(index, queries, depth, key, text, query_key)
-    by_vector = knn(index, queries, depth, key=key, vector=vector, query_key=query_key)
+    """Keyword and vector rankings, each ``depth`` deep, fused by rank.
+
+    Rows and queries may lack the text or the vector; they take part in the other ranking.
+    """
+    by_word = keyword_search(index.filter(F.col(text).isNotNull()), queries, depth, key, text, query_key)
+    with_vector = F.col(vector).isNotNull()
+    by_vector = knn(index.filter(with_vector), queries.filter(with_vector), depth, key=key, vector=vector, query_key=query_key)
     return fuse([by_word, by_vector], k)
 
 

@@ -8,21 +8,14 @@ from .registry import query
 
 K = 10
 
-CENTRES = """
-    q AS (SELECT label AS query_id, list(m ORDER BY pos) AS v FROM (
-            SELECT label, pos, avg(x) AS m FROM (
-              SELECT label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS pos FROM embeddings) GROUP BY ALL)
-          GROUP BY 1),
-    e AS (SELECT vec_id AS id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings)"""
+#: Every twentieth row asks, all rows answer.
+ASKED = """
+    e AS (SELECT vec_id AS id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+    q AS (SELECT id AS query_id, v FROM e WHERE id % 20 = 0)"""
 
 
-def centres(t):
-    """One query per label: the mean of its vectors."""
-    spread = t.embeddings.select("label", F.posexplode("embedding").alias("pos", "x"))
-    means = spread.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    # One row per label and dimension: the lists below are as long as a vector.
-    ordered = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("p"))
-    return ordered.select(F.col("label").cast("long").alias("query_id"), F.transform("p", lambda s: s["m"]).alias("embedding"))
+def asked(t):
+    return t.embeddings.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
 
 
 def _rounded(df):
@@ -30,47 +23,51 @@ def _rounded(df):
 
 
 @query("knn_exact", f"""
-    WITH {CENTRES} SELECT query_id, id, CAST(rank AS INT) AS rank, round(distance, 6) AS distance, label FROM (
+    WITH {ASKED} SELECT query_id, id, CAST(rank AS INT) AS rank, round(distance, 6) AS distance, label FROM (
       SELECT query_id, id, label, list_distance(q.v, e.v) AS distance,
              row_number() OVER (PARTITION BY query_id ORDER BY list_distance(q.v, e.v), id) AS rank FROM q, e) WHERE rank <= {K}""")
 def knn_exact(t):
-    return _rounded(vec.knn(t.embeddings, centres(t), K, key="vec_id", columns=["label"]))
+    return _rounded(vec.knn(t.embeddings, asked(t), K, key="vec_id", columns=["label"]))
 
 
 @query("knn_exact_blocks", f"""
-    WITH {CENTRES} SELECT query_id, id, CAST(rank AS INT) AS rank, round(distance, 6) AS distance FROM (
+    WITH {ASKED} SELECT query_id, id, CAST(rank AS INT) AS rank, round(distance, 6) AS distance FROM (
       SELECT query_id, id, list_distance(q.v, e.v) AS distance,
              row_number() OVER (PARTITION BY query_id ORDER BY list_distance(q.v, e.v), id) AS rank FROM q, e) WHERE rank <= {K}""")
 def knn_exact_blocks(t):
-    """The path for query sets too large to share with every task."""
-    return _rounded(vec.knn(t.embeddings, centres(t), K, key="vec_id", query_bytes=0, block_rows=20_000))
+    """Queries in chunks of a few kilobytes."""
+    return _rounded(vec.knn(t.embeddings, asked(t), K, key="vec_id", query_bytes=16_384))
 
 
 @query("knn_cosine", f"""
-    WITH {CENTRES}, n AS (SELECT id, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS v FROM e),
+    WITH {ASKED}, n AS (SELECT id, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS v FROM e),
     m AS (SELECT query_id, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS v FROM q)
     SELECT query_id, id, CAST(rank AS INT) AS rank, round(distance, 6) AS distance FROM (
       SELECT query_id, id, list_distance(m.v, n.v) AS distance,
              row_number() OVER (PARTITION BY query_id ORDER BY list_distance(m.v, n.v), id) AS rank FROM m, n) WHERE rank <= {K}""")
 def knn_cosine(t):
-    return _rounded(vec.knn(t.embeddings, centres(t), K, metric="cosine", key="vec_id"))
+    return _rounded(vec.knn(t.embeddings, asked(t), K, metric="cosine", key="vec_id"))
 
 
 @query("knn_filtered", f"""
-    WITH {CENTRES} SELECT query_id, id, CAST(rank AS INT) AS rank, round(distance, 6) AS distance FROM (
+    WITH {ASKED} SELECT query_id, id, CAST(rank AS INT) AS rank, round(distance, 6) AS distance FROM (
       SELECT query_id, id, list_distance(q.v, e.v) AS distance,
              row_number() OVER (PARTITION BY query_id ORDER BY list_distance(q.v, e.v), id) AS rank FROM q, e WHERE e.label = 3)
     WHERE rank <= {K}""")
 def knn_filtered(t):
-    return _rounded(vec.knn(t.embeddings, centres(t), K, key="vec_id", where="label = 3"))
+    return _rounded(vec.knn(t.embeddings, asked(t), K, key="vec_id", where="label = 3"))
 
 
-@query("knn_ann", "SELECT true AS good FROM embeddings GROUP BY 1")
+@query("knn_ann")
 def knn_ann(t):
-    queries = centres(t)
-    near = vec.knn_ann(t.embeddings, queries, K, key="vec_id", cells=10, probes=6)
-    exact = vec.knn(t.embeddings, queries, K, key="vec_id")
-    return vec.recall(near, exact).select((F.col("recall") >= 0.7).alias("good"))
+    """Neighbours out of a quarter of the cells; what share of them is right is ``knn_ann_recall``."""
+    return _rounded(vec.knn_ann(t.embeddings, asked(t), K, key="vec_id"))
+
+
+@query("knn_ann_recall", f"SELECT count(*) * {K} AS wanted, true AS enough FROM embeddings WHERE vec_id % 20 = 0")
+def knn_ann_recall(t):
+    near, exact = (f(t.embeddings, asked(t), K, key="vec_id") for f in (vec.knn_ann, vec.knn))
+    return vec.recall(near, exact).select("wanted", (F.col("recall") >= 0.9).alias("enough"))
 
 
 BM25 = """
@@ -96,15 +93,15 @@ def keyword_search(t):
 @query("keyword_search_blocks", f"""
     WITH {BM25.format(where='', ask='')} SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM kw WHERE rank <= {K}""")
 def keyword_search_blocks(t):
-    """The path for query sets too large to share with every task."""
-    found = vec.keyword_search(t.documents, t.benchmark, K, key="doc_id", query_key="item_id", query_bytes=0)
+    """Queries in chunks of a kilobyte against blocks of few documents, most of which are skipped."""
+    found = vec.keyword_search(t.documents, t.benchmark, K, key="doc_id", query_key="item_id", query_bytes=16_384, block_docs=16)
     return found.withColumn("score", F.round("score", 6))
 
 
 @query("hybrid_search", f"""
-    WITH {BM25.format(where='WHERE doc_id IN (SELECT vec_id FROM embeddings)', ask='WHERE item_id IN (SELECT vec_id FROM embeddings)')},
-    e AS (SELECT vec_id AS id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents)),
-    q AS (SELECT vec_id AS query_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings WHERE vec_id IN (SELECT item_id FROM benchmark)),
+    WITH {BM25.format(where='', ask='')},
+    e AS (SELECT vec_id AS id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+    q AS (SELECT id AS query_id, v FROM e WHERE id % 20 = 0),
     vr AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY list_distance(q.v, e.v), id) AS rank FROM q, e),
     f AS (SELECT query_id, id, round(sum(part), 9) AS score FROM (
             SELECT query_id, id, 1.0::DOUBLE / (rank + 60) AS part FROM kw WHERE rank <= 50
@@ -112,10 +109,11 @@ def keyword_search_blocks(t):
     SELECT query_id, id, score, CAST(rank AS INT) AS rank FROM (
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM f) WHERE rank <= {K}""")
 def hybrid_search(t):
+    """All documents and vectors, all questions and every twentieth vector as one more; who lacks one side keeps the other."""
     vectors = t.embeddings.select(F.col("vec_id").alias("id"), "embedding")
-    index = t.documents.select(F.col("doc_id").alias("id"), "text").join(vectors, "id")
-    asked = t.benchmark.select(F.col("item_id").alias("id"), "text").join(vectors, "id").withColumnRenamed("id", "query_id")
-    return vec.hybrid_search(index, asked, K)
+    index = t.documents.select(F.col("doc_id").alias("id"), "text").join(vectors, "id", "full")
+    questions = t.benchmark.select(F.col("item_id").alias("query_id"), "text")
+    return vec.hybrid_search(index, questions.join(asked(t), "query_id", "full"), K)
 
 
 @query("index_sync", """
