@@ -4,6 +4,7 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,19 +159,30 @@ def test_keyword_search(spark, size):
     assert rows(got.select("query_id", "id", "rank", F.round("score", 6))) == bm25(3)
 
 
-@pytest.mark.parametrize("block_docs", [4, 64, 10_000])
+@pytest.mark.parametrize("block_docs", [3, 10_000])
 def test_blocks_below_the_kth_score_are_skipped(spark, tables, block_docs):
-    """The same hits whatever the blocks; small blocks are mostly not scored at all."""
-    docs = tables.documents.select(F.col("doc_id").alias("id"), "text")
+    """The same hits whatever the blocks; small blocks are mostly passed over."""
+    docs = tables.documents.select(F.col("doc_id").alias("id"), "text").coalesce(1)
     ask = tables.benchmark.select(F.col("item_id").alias("query_id"), "text")
     held = vec.build_postings(docs, block_docs=block_docs)
     words = ask.select("query_id", F.explode(F.array_distinct(vec.tokens("text"))).alias("word"))
     want = rows(vec.keyword_search(docs, ask, 3))
     assert rows(vec.search_postings(held, words, 3)) == want
-    if block_docs == 4:
-        bounds, needed = vec.block_bounds(held, words), vec.needed_blocks(held, words, 3)
-        assert needed.count() < bounds.count() / 2
-        assert held.rows.agg(F.max(F.size("docs"))).first()[0] <= 20
+    _, scorer = vec._scorer(words, held, 3, 1.2, 0.75)
+    for r in held.rows.collect():
+        assert len(r["ids"]) <= block_docs
+        scorer.add({c: pa.array(r[c], pa.string() if c == "words" else pa.int64()) for c in r.asDict()})
+    if block_docs == 3:
+        assert 0 < scorer.scored < 0.7 * scorer.met
+    else:
+        assert scorer.scored == scorer.met
+
+
+def test_word_frequencies(spark, tables):
+    held = vec.build_postings(tables.documents, "doc_id", block_docs=7)
+    split = tables.documents.select(F.explode(F.array_distinct(vec.tokens("text"))).alias("word"))
+    assert rows(held.frequencies()) == rows(split.groupBy("word").count())
+    assert held.n == tables.documents.count()
 
 
 def test_hybrid_keeps_what_only_one_side_knows(spark):

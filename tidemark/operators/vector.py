@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -327,140 +328,202 @@ def tokens(text: str | Column) -> Column:
 
 @dataclass(frozen=True)
 class Postings:
-    """Words of documents in blocks: ``word, block, docs, best``; ``docs`` are structs of id and weight, ``best`` the highest weight."""
+    """Words of documents by block, ``n`` documents of ``mean`` words.
+
+    A row is a block of documents that lay together: their ids and lengths, the
+    block's words, and for each word, from its place in ``starts`` on, the
+    documents (as places in ``ids``) that hold it, with their counts.
+    """
 
     rows: DataFrame
-    documents: int
-    blocks: int
+    n: int
+    mean: float
 
-    def idf(self) -> DataFrame:
-        held = self.rows.groupBy("word").agg(F.sum(F.size("docs")).alias("df"))
-        n = F.lit(float(self.documents))
-        return held.select("word", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    def frequencies(self) -> DataFrame:
+        """Documents that hold a word."""
+        ends = F.concat(F.slice("starts", 2, F.greatest(F.size("starts") - 1, F.lit(0))), F.array(F.size("docs")))
+        held = self.rows.select(F.explode(F.arrays_zip("words", F.zip_with(ends, "starts", lambda a, b: a - b).alias("df"))).alias("w"))
+        return held.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.df").alias("df"))
 
 
+#: Documents of a block, and words at which it is closed earlier.
 BLOCK_DOCS = 4096
-_PAIRS = "id long, word string, tf int, size long"
-_PAIRS_ARROW = pa.schema([("id", pa.int64()), ("word", pa.string()), ("tf", pa.int32()), ("size", pa.int64())])
-
-
-def _word_counts(docs: DataFrame, vocabulary: list[str] | None) -> DataFrame:
-    """A row for every word of every document, or of the vocabulary, with its count and the words of the document.
-
-    Each document also has a row of the empty word, which no text contains.
-    """
-    shared = None if vocabulary is None else docs.sparkSession.sparkContext.broadcast(vocabulary)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = None if shared is None else pa.array(shared.value, pa.string())
-        for batch in batches:
-            lists = pc.split_pattern_regex(batch.column("_t"), _NOT_WORD)
-            pieces = lists.flatten()
-            doc = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            real = pc.greater(pc.binary_length(pieces), 0)
-            doc, pieces = doc[real.to_numpy(zero_copy_only=False)], pieces.filter(real)
-            sizes = np.bincount(doc, minlength=batch.num_rows)
-            if asked is None:
-                coded = pieces.dictionary_encode()
-                names, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            else:
-                names = asked
-                codes = pc.fill_null(pc.index_in(pieces, value_set=asked), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-                doc, codes = doc[codes >= 0], codes[codes >= 0]
-            width = max(len(names), 1)
-            pairs, tf = np.unique(doc * width + codes, return_counts=True)
-            owner = np.concatenate((pairs // width, np.arange(batch.num_rows)))
-            words = pa.concat_arrays([names.take(pa.array(pairs % width)), pa.array([""] * batch.num_rows, pa.string())])
-            tf = np.concatenate((tf, np.zeros(batch.num_rows, tf.dtype)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(owner)), words, pa.array(tf.astype(np.int32)), pa.array(sizes[owner].astype(np.int64))],
-                schema=_PAIRS_ARROW,
-            )
-
-    return docs.mapInArrow(count, _PAIRS)
+BLOCK_WORDS = 1 << 20
+_BLOCK = "ids array<long>, sizes array<long>, words array<string>, starts array<int>, docs array<int>, tf array<int>"
+_BLOCK_ARROW = pa.schema([
+    ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("words", pa.list_(pa.string())),
+    ("starts", pa.list_(pa.int32())), ("docs", pa.list_(pa.int32())), ("tf", pa.list_(pa.int32())),
+])
+
+
+def _block(ids: pa.Array, texts: pa.Array, asked: pa.Array | None) -> pa.RecordBatch:
+    """One block of lower-cased texts; only the asked words are listed, all are counted for the lengths."""
+    lists = pc.split_pattern_regex(texts, _NOT_WORD)
+    pieces = lists.flatten()
+    doc = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    real = pc.greater(pc.binary_length(pieces), 0)
+    doc, pieces = doc[real.to_numpy(zero_copy_only=False)], pieces.filter(real)
+    sizes = np.bincount(doc, minlength=len(texts))
+    if asked is None:
+        coded = pieces.dictionary_encode()
+        names, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    else:
+        names = asked
+        codes = pc.fill_null(pc.index_in(pieces, value_set=asked), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        doc, codes = doc[codes >= 0], codes[codes >= 0]
+    pairs, tf = np.unique(codes * len(texts) + doc, return_counts=True)
+    found, starts = np.unique(pairs // len(texts), return_index=True)
+    parts = [
+        ids, pa.array(sizes, pa.int64()), names.take(pa.array(found)), pa.array(starts.astype(np.int32)),
+        pa.array((pairs % len(texts)).astype(np.int32)), pa.array(tf.astype(np.int32)),
+    ]
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(p)], pa.int32()), p) for p in parts]
+    return pa.RecordBatch.from_arrays(lists, schema=_BLOCK_ARROW)
 
 
 def build_postings(
-    documents: DataFrame, key: str = "id", text: str = "text", k1: float = 1.2, b: float = 0.75, block_docs: int = BLOCK_DOCS,
-    words: DataFrame | None = None,
+    documents: DataFrame, key: str = "id", text: str = "text", block_docs: int = BLOCK_DOCS, words: DataFrame | None = None
 ) -> Postings:
-    """Read the texts once and store the weight of every word in every document, by word and block.
+    """Read the texts once and store which words they hold, block by block; nothing is shuffled.
 
-    Documents fall into blocks of about ``block_docs`` by hash; a row lists the
-    documents of one block that hold a word, so a common word is many rows and
-    none is long. ``words`` (a column ``word``) limits the postings to those
-    words. Weights are those of BM25 without the share of the word.
+    A block takes at most ``block_docs`` documents of one task and ends earlier
+    where they are long. ``words`` (a column ``word``) limits the postings to
+    those words, as long as they are few enough for every task.
     """
     docs = documents.select(F.col(key).cast("long").alias("id"), F.coalesce(F.lower(text), F.lit("")).alias("_t"))
-    vocabulary = None
+    shared = None
     if words is not None:
         words = words.select("word").distinct()
         if measured_bytes(words) <= QUERY_BYTES:
-            vocabulary = [r["word"] for r in words.collect()]
-    pairs = materialize(_word_counts(docs, vocabulary), "word-counts")
-    totals = pairs.filter("word = ''").agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean")).first()
-    n, mean = totals["n"], totals["mean"] or 1.0
-    pairs = pairs.filter("word <> ''")
-    if words is not None and vocabulary is None:
-        pairs = pairs.join(words, "word", "left_semi")
-    damping = k1 * (1 - b + b * F.col("size") / F.lit(float(mean)))
-    weight = F.col("tf") * (k1 + 1) / (F.col("tf") + damping)
-    blocks = max(1, math.ceil(n / block_docs))
-    held = (
-        pairs.select("word", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.struct("id", weight.alias("weight")).alias("doc"))
-        .groupBy("word", "block")
-        .agg(F.collect_list("doc").alias("docs"), F.max("doc.weight").alias("best"))
-    )
-    return Postings(materialize(held, "postings"), n, blocks)
-
+            shared = docs.sparkSession.sparkContext.broadcast([r["word"] for r in words.collect()])
 
-def _weighted(held: Postings, asked: DataFrame) -> DataFrame:
-    """Words of the queries that some document holds, with their weight; a chunk of queries, small enough for every task."""
-    return asked.join(held.idf(), "word")
-
-
-def block_bounds(held: Postings, asked: DataFrame) -> DataFrame:
-    """The most a document of each block can score for each query."""
-    words = F.broadcast(_weighted(held, asked))
-    best = held.rows.select("word", "block", "best").join(words, "word")
-    return best.groupBy("query_id", "block").agg(F.sum(F.col("idf") * F.col("best")).alias("bound"))
-
-
-def _scored(held: Postings, asked: DataFrame, blocks: DataFrame | None) -> DataFrame:
-    """Scores of the documents in the given blocks of each query, or in all."""
-    chosen = held.rows.join(F.broadcast(_weighted(held, asked)), "word")
-    if blocks is not None:
-        chosen = chosen.join(blocks.select("query_id", "block"), ["query_id", "block"])
-    parts = chosen.select("query_id", "idf", F.explode("docs").alias("d"))
-    return parts.groupBy("query_id", F.col("d.id").alias("id")).agg(F.round(F.sum(F.col("idf") * F.col("d.weight")), 9).alias("score"))
-
-
-def needed_blocks(held: Postings, asked: DataFrame, k: int, lead: int = 2) -> DataFrame:
-    """Blocks that can hold one of the best ``k`` documents of a query.
-
-    The ``lead`` blocks of highest bound are scored first; blocks whose bound
-    does not reach the k-th best score found there cannot change the result.
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = None if shared is None else pa.array(shared.value, pa.string())
+        held, docs, size = [], 0, 0
+        for batch in batches:
+            bytes_ = pc.binary_length(batch.column("_t")).to_numpy(zero_copy_only=False)
+            start = 0
+            for at in range(batch.num_rows):
+                docs, size = docs + 1, size + int(bytes_[at])
+                if docs >= block_docs or size >= 8 * BLOCK_WORDS:
+                    held.append(batch.slice(start, at + 1 - start))
+                    yield _joined(held, asked)
+                    held, docs, size, start = [], 0, 0, at + 1
+            if start < batch.num_rows:
+                held.append(batch.slice(start))
+        if held:
+            yield _joined(held, asked)
+
+    rows = materialize(docs.mapInArrow(blocks, _BLOCK), "postings")
+    length = F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x)
+    total = rows.agg(F.sum(F.size("ids")).alias("n"), F.sum(length).alias("words")).first()
+    n = total["n"] or 0
+    return Postings(rows, n, (total["words"] or 0) / max(n, 1) or 1.0)
+
+
+def _joined(parts: list[pa.RecordBatch], asked: pa.Array | None) -> pa.RecordBatch:
+    table = pa.Table.from_batches(parts).combine_chunks()
+    return _block(table.column("id").combine_chunks(), table.column("_t").combine_chunks(), asked)
+
+
+class _BlockScorer:
+    """BM25 of one chunk of queries against blocks; a block is scored only for the queries it can matter to."""
+
+    def __init__(self, queries: Sequence[np.ndarray], vocabulary: pa.Array, idf: np.ndarray, k: int, k1: float, b: float, mean: float):
+        """``queries`` hold places in the vocabulary."""
+        self.vocabulary, self.idf, self.k1, self.b, self.mean = vocabulary, idf, k1, b, mean
+        asking = np.repeat(np.arange(len(queries)), [len(q) for q in queries])
+        words = np.concatenate([*queries, np.empty(0, np.int64)]).astype(np.int64)
+        order = np.argsort(words, kind="stable")
+        self.asking = asking[order]
+        self.counts = np.bincount(words, minlength=len(idf))
+        self.first = np.cumsum(self.counts) - self.counts
+        self.best = _TopK(len(queries), k)
+        self.met = self.scored = 0
+
+    def _pairs(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The queries that ask for each word, flat, and the place of the word each belongs to."""
+        n = self.counts[word]
+        at = np.repeat(self.first[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return self.asking[at], np.repeat(np.arange(len(word)), n)
+
+    def add(self, block: dict[str, pa.Array]) -> None:
+        number = pc.fill_null(pc.index_in(block["words"], value_set=self.vocabulary), -1).to_numpy(zero_copy_only=False)
+        known = np.flatnonzero(number >= 0)
+        if not len(known):
+            return
+        ids, sizes, starts, docs, tf = (
+            block[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("ids", "sizes", "starts", "docs", "tf")
+        )
+        weight = tf * (self.k1 + 1) / (tf + self.k1 * (1 - self.b + self.b * sizes[docs] / self.mean))
+        highest = np.maximum.reduceat(weight, starts)[known]
+        ends = np.append(starts[1:], len(docs))[known]
+        starts, word = starts[known], number[known].astype(np.int64)
+        query, place = self._pairs(word)
+        bound = np.bincount(query, weights=self.idf[word[place]] * highest[place], minlength=len(self.best.ids))
+        # Bounds and scores are sums in different orders.
+        least = np.array([-d[-1] if len(d) >= self.best.k else -np.inf for d in self.best.dist])
+        needed = (bound > 0) & (bound >= least - 1e-6)
+        self.met += int((bound > 0).sum())
+        self.scored += int(needed.sum())
+        keep = needed[query]
+        query, place = query[keep], place[keep]
+        n = ends[place] - starts[place]
+        post = np.repeat(starts[place] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        value = np.repeat(self.idf[word[place]], n) * weight[post]
+        hits, inverse = np.unique(np.repeat(query, n) * len(ids) + docs[post], return_inverse=True)
+        score = np.round(np.bincount(inverse, weights=value, minlength=len(hits)), 9)
+        names, parts = _runs(hits // len(ids))
+        for q, part in zip(names.tolist(), parts):
+            self.best.add(q, ids[hits[part] % len(ids)], -score[part])
+
+
+def _runs(ordered: np.ndarray) -> tuple[np.ndarray, list[slice]]:
+    names, starts = np.unique(ordered, return_index=True)
+    ends = np.append(starts[1:], len(ordered))
+    return names, [slice(a, b) for a, b in zip(starts, ends)]
+
+
+def _scorer(asked: DataFrame, held: Postings, k: int, k1: float, b: float) -> tuple[list[int], _BlockScorer]:
+    """Query ids and a scorer for one chunk of queries."""
+    pairs = asked.join(held.frequencies(), "word").collect()  # a chunk, cut by size
+    df = {r["word"]: r["df"] for r in pairs}
+    words = sorted(df)
+    number = {w: i for i, w in enumerate(words)}
+    per_query: dict[int, list[int]] = {}
+    for r in pairs:
+        per_query.setdefault(r["query_id"], []).append(number[r["word"]])
+    names = sorted(per_query)
+    often = np.array([df[w] for w in words], float)
+    idf = np.log(1 + (held.n - often + 0.5) / (often + 0.5))
+    queries = [np.array(per_query[q], np.int64) for q in names]
+    return names, _BlockScorer(queries, pa.array(words, pa.string()), idf, k, k1, b, held.mean)
+
+
+def search_postings(held: Postings, asked: DataFrame, k: int, query_bytes: int = QUERY_BYTES, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """Best ``k`` documents for queries ``query_id, word``, ties by id.
+
+    Queries go ``query_bytes`` at a time to where the blocks lie. The highest
+    weight of each word of a block bounds what its documents can score; a block
+    that cannot reach the k-th score a task has found is passed over.
     """
-    bounds = materialize(block_bounds(held, asked), "bounds")
-    first = latest(bounds, ["query_id"], [F.desc("bound"), F.asc("block")], lead)
-    known = _ranked(_scored(held, asked, first), k, F.desc("score"))
-    # Bounds and scores are sums in different orders.
-    least = known.filter(F.col("rank") == k).select("query_id", (F.col("score") - 1e-6).alias("least"))
-    return bounds.join(least, "query_id", "left").filter(F.coalesce(F.col("bound") >= F.col("least"), F.lit(True)))
 
+    def search(part: DataFrame) -> DataFrame:
+        shared = part.sparkSession.sparkContext.broadcast(_scorer(part, held, k, k1, b))
 
-def search_postings(held: Postings, asked: DataFrame, k: int, query_bytes: int = QUERY_BYTES) -> DataFrame:
-    """Best ``k`` documents for queries ``query_id, word``, ties by id; queries go ``query_bytes`` at a time."""
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, scorer = shared.value
+            scorer = copy.deepcopy(scorer)
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    scorer.add({c: batch.column(c)[row].values for c in batch.schema.names})
+            yield pa.RecordBatch.from_pandas(scorer.best.rows(names), schema=_HITS_ARROW, preserve_index=False)
 
-    def search(part: DataFrame) -> DataFrame:
-        if held.blocks == 1:
-            return _ranked(_scored(held, part, None), k, F.desc("score"))
-        part = materialize(part, "asked")
-        return _ranked(_scored(held, part, needed_blocks(held, part, k)), k, F.desc("score"))
+        return held.rows.mapInArrow(score, _HITS)
 
-    schema = "query_id long, id long, score double, rank int"
     each = measured_bytes(asked) / max(asked.count(), 1)
-    return _in_chunks(asked, "query_id", each, query_bytes, search, schema).select("query_id", "id", "score", "rank")
+    hits = _in_chunks(asked, "query_id", each, query_bytes, search, _HITS)
+    return _ranked(hits.select("query_id", "id", (-F.col("distance")).alias("score")), k, F.desc("score"))
 
 
 def keyword_search(
@@ -469,15 +532,14 @@ def keyword_search(
 ) -> DataFrame:
     """Best ``k`` documents per query by BM25, ties by id, with ``rank`` and ``score``.
 
-    Texts are read once, into postings of the words the queries ask for. Blocks
-    that cannot reach a query's k-th score are not scored for it. A NULL text
-    counts as empty.
+    Texts are read once, into postings of the words the queries ask for; these
+    are what every chunk of queries meets. A NULL text counts as empty.
     """
     asked = queries.select(
         F.col(query_key).cast("long").alias("query_id"), F.explode(F.array_distinct(tokens(query_text))).alias("word")
     )
-    held = build_postings(documents, key, text, k1, b, block_docs, asked)
-    return search_postings(held, asked, k, query_bytes)
+    held = build_postings(documents, key, text, block_docs, asked)
+    return search_postings(held, asked, k, query_bytes, k1, b)
 
 
 def fuse(rankings: Sequence[DataFrame], k: int, constant: int = 60) -> DataFrame:
