@@ -123,3 +123,45 @@ def test_all_privileges_imply(access, spark):
     more = grants.unionAll(spark.createDataFrame([("bob", "USE CATALOG", "catalog"), ("bob", "ALL PRIVILEGES", "t2")], grants.schema))
     got = rows(g.effective_access(more, tree, members, NEEDS))
     assert ("bob", "t1") in got and ("bob", "t2") in got
+
+
+def test_conflict_report(spark):
+    df = spark.createDataFrame([(1.0, "ab"), (2.5, "AB"), (None, None)], "price double, word string")
+    tags = [g.Tag("t", "price", "k", "p"), g.Tag("t", "word", "k", "w")]
+    masks = [
+        g.Policy("floor", "mask", F.floor, {"k": "p"}), g.Policy("half", "mask", lambda c: F.when(c > 2, 2.0).otherwise(c), {"k": "p"}),
+        g.Policy("zero", "mask", lambda c: F.lit(0.0), {"k": "p"}), g.Policy("up", "mask", F.upper, {"k": "w"}),
+    ]
+    found = g.resolve("t", df.columns, tags, masks, g.Principal("u"))
+    assert rows(g.conflict_report(df, found)) == [("price", "floor", "half", 0), ("price", "floor", "zero", 3), ("price", "half", "zero", 3)]
+    assert g.conflict_report(df, found[-1:]).collect() == []
+
+
+def test_a_tag_on_every_column_meets_few_policies(spark):
+    """Each policy is looked up by its rarest tag; the result is that of counting all matches."""
+    tags = [("t", f"c{i}", "all", "x") for i in range(200)] + [("t", f"c{i}", "mod", str(i % 20)) for i in range(200)]
+    tags += [("t", "c7", "one", "y"), ("t", "c7", "one", "y"), ("t", "c9", "one", "z")]
+    column_tags = spark.createDataFrame(tags, "table string, column string, tag string, value string")
+    wanted = [(f"p{i}", "all", "x") for i in range(30)] + [(f"p{i}", "mod", str(i)) for i in range(30)]
+    wanted += [("p7", "one", "y"), ("p9", "one", "y"), ("lone", "all", "x"), ("none", "all", "x"), ("none", "absent", "?"), ("lone", "all", "x")]
+    policy_tags = spark.createDataFrame(wanted, "policy string, tag string, value string")
+    have = {}
+    for t, c, k, v in tags:
+        have.setdefault((t, c), set()).add((k, v))
+    need = {}
+    for p, k, v in wanted:
+        need.setdefault(p, set()).add((k, v))
+    want = sorted((p, t, c) for p, n in need.items() for (t, c), h in have.items() if n <= h)
+    assert rows(g.policy_hits(column_tags, policy_tags)) == want
+    candidates = g.policy_candidates(column_tags, policy_tags)
+    assert {r["policy"] for r in candidates.filter("tag = 'all'").collect()} == {"lone"}
+    assert candidates.count() == 200 + 18 * 10 + 1 + 1
+
+
+def test_profiled_tags(spark):
+    df = spark.range(100).select("id", (F.col("id") % 3).alias("m"), F.when(F.col("id") > 5, 1).alias("g"))
+    got = {(r["column"], r["tag"]): r["value"] for r in g.profile_tags(df, "t").collect()}
+    assert got[("id", "values")] == "many" and got[("m", "values")] == "few" and got[("g", "gaps")] == "some" and got[("m", "gaps")] == "none"
+    columns = g.schema_inventory(spark, {"t": df, "u": df.select("id")})
+    found = g.tag_inventory(columns, g.profile_tags(df, "t"))
+    assert found.filter("table = 'u'").collect()[0]["tag"] is None and found.count() == 7

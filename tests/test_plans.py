@@ -106,6 +106,15 @@ def test_cached_result_is_reused(tables):
 
 
 
+def test_change_feed_aggregates_numbers_only(spark):
+    from tidemark.operators import versions as v
+
+    log = spark.createDataFrame([("a", 1, "I", "x"), ("a", 2, "U", "y"), ("b", 2, "I", "z")], "id string, _seq long, _op string, val string")
+    feed = v.change_feed(log, ["id"], 1, 2)
+    assert "SortAggregate" not in plan(feed) and "ObjectHashAggregate" not in plan(feed)
+    assert sorted(tuple(r) for r in feed.collect()) == [("a", "x", "update_preimage"), ("a", "y", "update_postimage"), ("b", "z", "insert")]
+
+
 def test_no_cartesian_products(spark):
     from conftest import ROOT
 

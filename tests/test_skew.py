@@ -6,6 +6,7 @@ from pyspark.sql import Window, functions as F
 from conftest import rows
 from tidemark.operators import cdc, distribution, ordered, skew
 from tidemark.operators import relational as rel
+from tidemark.sources import files
 
 
 @pytest.fixture(scope="module")
@@ -150,6 +151,75 @@ def test_scd2_of_a_hot_key(skewed):
     assert rows(got) == naive_scd2(skewed)
 
 
+@pytest.fixture
+def many_tasks(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    yield 2000
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_key_of_less_than_a_sketch_can_tell(spark, many_tasks):
+    """0.04 % of the rows are more than half of one of 2,000 parts: counted exactly, and split."""
+    n = 100_000
+    rows_ = spark.range(n).select(F.when(F.col("id") < 40, -1).otherwise(F.col("id")).alias("k"), "id")
+    shares = skew.hot_shares(rows_, ["k"])
+    assert list(shares.values()) == [40 / n]
+    slicing = ordered.plan_slices(rows_, ["k"], "id")
+    sizes = slicing.add(rows_.filter("k = -1"), "s").groupBy("s").count().collect()
+    assert len(sizes) >= 2 and max(r["count"] for r in sizes) <= 25
+
+
+def test_ties_of_one_sequence_value_leave_before_the_shuffle(spark):
+    """A hot key whose rows all have one sequence: every task sends one row of it, and the highest tie wins."""
+    n = 4000
+    df = spark.range(n).repartition(6).select(
+        F.when(F.col("id") % 4 != 0, 0).otherwise(F.col("id")).alias("k"), F.lit(7).alias("seq"), F.col("id").alias("tie"),
+        F.concat(F.lit("v"), "id").alias("v"),
+    )
+    got = cdc.scd2(df, ["k"], "seq", except_cols=["tie"], tie=["tie"])
+    want = {0: n - 1} | {i: i for i in range(4, n, 4)}
+    assert rows(got) == sorted(((k, f"v{t}", 7, None) for k, t in want.items()), key=repr)
+    slicing = ordered.plan_slices(df, ["k"], "seq")
+    assert list(slicing.cuts) == [df.filter("k = 0").select(skew.key_hash(["k"])).first()[0]]
+    before_shuffle = ordered.latest(df.filter("k = 0"), ["k", "seq"], [F.desc("tie")])
+    text = before_shuffle._jdf.queryExecution().executedPlan().toString()
+    assert text.index("WindowGroupLimit") < text.rindex("Exchange") or "Partial" in text
+
+
+@pytest.mark.parametrize("second", ["number", "text"])
+def test_one_first_value_is_cut_by_the_second(spark, second):
+    """All rows of the hot key share the first order column, so slices follow both."""
+    n = 3000
+    name = F.col("id") if second == "number" else F.lpad(F.col("id").cast("string"), 6, "0")
+    df = spark.range(n).select(F.when(F.col("id") % 10 != 0, 0).otherwise(1).alias("k"), F.lit(1.5).alias("at"), name.alias("n"))
+    slicing = ordered.plan_slices(df, ["k"], ["at", "n"], slices=8)
+    sizes = slicing.add(df.filter("k = 0"), "s").groupBy("s").count().collect()
+    assert len(sizes) >= 6 and max(r["count"] for r in sizes) < 0.3 * n
+    got = ordered.neighbours(df, ["k"], ["at", "n"], ["n"], slicing=slicing)
+    plain = Window.partitionBy("k").orderBy("at", "n")
+    want = df.select("k", "n", F.lag("n").over(plain), F.lead("n").over(plain))
+    assert rows(got.select("k", "n", "_prev.n", "_next.n")) == rows(want)
+
+
+def test_hot_buckets_are_written_by_several_tasks(spark, folder):
+    df = spark.range(8000).select(F.when(F.col("id") % 10 < 6, 3).otherwise(F.col("id")).alias("k"), "id").repartition(5)
+    spread = files.bucket_spread(df, 8, ["k"])
+    hot = df.filter("k = 3").select(F.pmod(F.hash("k"), F.lit(8))).first()[0]
+    assert spread[hot] >= 3 and sorted(spread.values())[-2] == 1
+    name = "spread_" + folder.rsplit("-", 1)[-1]
+    files.write_bucketed(df, name, folder, 8, ["k"])
+    try:
+        per_file = spark.read.table(name).groupBy("_metadata.file_path").agg(F.count("*").alias("n"), F.max((F.col("k") == 3).cast("int")).alias("hot"))
+        sizes = [(r["n"], r["hot"]) for r in per_file.collect()]
+        assert sum(n for n, _ in sizes) == 8000 and sum(h for _, h in sizes) == spread[hot]
+        assert max(n for n, _ in sizes) < 8000 / 8 * 2.2
+        joined = spark.read.table(name).join(spark.read.table(name).select("k").distinct(), "k")
+        assert joined.count() == 8000
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_scd1_of_a_hot_key(skewed):
     newest = {}
     for r in skewed.collect():

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -167,6 +168,29 @@ def check_conflicts(found: Sequence[tuple[Policy, str]]) -> None:
         raise PolicyConflict(f"several masks on {twice}")
 
 
+def conflict_report(df: DataFrame, found: Sequence[tuple[Policy, str]]) -> DataFrame:
+    """Every two masks on one column, with the rows they would show differently; all pairs in one scan."""
+    by_column: dict[str, list[Policy]] = {}
+    for p, column in found:
+        if p.kind == "mask":
+            by_column.setdefault(column, []).append(p)
+    pairs = [
+        (column, a, b) for column, held in sorted(by_column.items()) for a, b in combinations(sorted(held, key=lambda p: p.name), 2)
+    ]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "column string, first string, second string, differing long")
+
+    def shown(p: Policy, column: str) -> Column:
+        return p.apply(F.col(column), *[F.col(c) for c in p.using]).cast(df.schema[column].dataType)
+
+    counted = df.agg(*[F.count_if(~shown(a, c).eqNullSafe(shown(b, c))).alias(f"_{i}") for i, (c, a, b) in enumerate(pairs)])
+    entries = [
+        F.struct(F.lit(c).alias("column"), F.lit(a.name).alias("first"), F.lit(b.name).alias("second"), F.col(f"_{i}").alias("differing"))
+        for i, (c, a, b) in enumerate(pairs)
+    ]
+    return counted.select(F.explode(F.array(*entries)).alias("c")).select("c.*")
+
+
 def abac_apply(df: DataFrame, table: str, tags: Sequence[Tag], policies: Sequence[Policy], principal: Principal) -> DataFrame:
     """What the caller sees: rows filtered on real values, then masked columns. No match = unchanged."""
     found = resolve(table, df.columns, tags, policies, principal)
@@ -185,9 +209,24 @@ def abac_apply(df: DataFrame, table: str, tags: Sequence[Tag], policies: Sequenc
     )
 
 
-def tag_inventory(spark, tags: Sequence[Tag]) -> DataFrame:
-    rows = [(t.table, t.column, t.key, t.value) for t in tags]
-    return spark.createDataFrame(rows, "table string, column string, tag string, value string")
+def profile_tags(df: DataFrame, table: str, few: int = 30) -> DataFrame:
+    """Tags of every column that its values earn, as rows: how many distinct ones there are, and whether some are NULL."""
+    parts = [F.count(F.lit(1)).alias("_n")]
+    for i, c in enumerate(df.columns):
+        parts += [F.approx_count_distinct(c, 0.02).alias(f"_d{i}"), F.count(c).alias(f"_f{i}")]
+    row = df.agg(*parts)
+    entries = []
+    for i, c in enumerate(df.columns):
+        size = F.when(F.col(f"_d{i}") <= few, "few").otherwise("many")
+        gaps = F.when(F.col(f"_f{i}") < F.col("_n"), "some").otherwise("none")
+        for tag, value in (("values", size), ("gaps", gaps)):
+            entries.append(F.struct(F.lit(table).alias("table"), F.lit(c).alias("column"), F.lit(tag).alias("tag"), value.alias("value")))
+    return row.select(F.explode(F.array(*entries)).alias("t")).select("t.*")
+
+
+def tag_inventory(columns: DataFrame, tags: DataFrame) -> DataFrame:
+    """Every column with each of its tags; columns without one keep a row without a tag."""
+    return columns.select("table", "column").join(tags.select("table", "column", "tag", "value"), ["table", "column"], "left")
 
 
 def schema_inventory(spark, frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -203,24 +242,50 @@ def schema_inventory(spark, frames: Mapping[str, DataFrame]) -> DataFrame:
 # --- policies and grants kept as tables --------------------------------------
 
 
+def policy_candidates(column_tags: DataFrame, policy_tags: DataFrame) -> DataFrame:
+    """Columns that carry the rarest tag of a policy: ``policy, table, column, tag, value``.
+
+    A tag that is on every column meets only the policies that have no rarer one.
+    """
+    wanted = policy_tags.select("policy", "tag", "value").distinct()
+    found = column_tags.groupBy("tag", "value").agg(F.count(F.lit(1)).alias("_n"))
+    # A tag no column has comes first: such a policy meets nothing.
+    counted = wanted.join(found, ["tag", "value"], "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    rarest = counted.groupBy("policy").agg(F.min(F.struct("_n", "tag", "value")).alias("r"))
+    rarest = rarest.filter("r._n > 0").select("policy", "r.tag", "r.value")
+    return column_tags.select("table", "column", "tag", "value").distinct().join(rarest, ["tag", "value"])
+
+
+def policy_hits(column_tags: DataFrame, policy_tags: DataFrame) -> DataFrame:
+    """Columns that carry all tags of a policy: ``policy, table, column``."""
+    candidates = policy_candidates(column_tags, policy_tags)
+    wanted = policy_tags.select("policy", "tag", "value").distinct()
+    needed = wanted.groupBy("policy").agg((F.count(F.lit(1)) - 1).alias("_more"))
+    rest = (
+        candidates.withColumnRenamed("tag", "_tag").withColumnRenamed("value", "_value")
+        .join(wanted, "policy")
+        .filter(~(F.col("tag").eqNullSafe(F.col("_tag")) & F.col("value").eqNullSafe(F.col("_value"))))
+        .join(column_tags.select("table", "column", "tag", "value").distinct(), ["table", "column", "tag", "value"], "left_semi")
+        .groupBy("policy", "table", "column").agg(F.count(F.lit(1)).alias("_held"))
+    )
+    met = candidates.select("policy", "table", "column").join(needed, "policy").join(rest, ["policy", "table", "column"], "left")
+    return met.filter(F.coalesce("_held", F.lit(0)) == F.col("_more")).select("policy", "table", "column")
+
+
+def policy_scope(scopes: DataFrame) -> DataFrame:
+    """Principals a policy is for: ``policy, principal``; one exception takes a principal out."""
+    who = scopes.groupBy("policy", "principal").agg(F.max("excepted").alias("_out"))
+    return who.filter("NOT _out").select("policy", "principal")
+
+
 def effective_policies(column_tags: DataFrame, policy_tags: DataFrame, scopes: DataFrame) -> DataFrame:
     """Which policy resolves for which column and principal.
 
     ``column_tags(table, column, tag, value)``, ``policy_tags(policy, tag,
-    value)`` (all must match), ``scopes(policy, principal, excepted)``.
+    value)`` (all must match), ``scopes(policy, principal, excepted)``. The two
+    sides stay apart in ``policy_hits`` and ``policy_scope``; this is their join.
     """
-    needed = policy_tags.groupBy("policy").agg(F.count(F.lit(1)).alias("_needed"))
-    hits = (
-        column_tags.join(policy_tags, ["tag", "value"])
-        .select("policy", "table", "column", "tag", "value").distinct()
-        .groupBy("policy", "table", "column")
-        .agg(F.count(F.lit(1)).alias("_hits"))
-        .join(needed, "policy")
-        .filter(F.col("_hits") == F.col("_needed"))
-        .select("policy", "table", "column")
-    )
-    who = scopes.groupBy("policy", "principal").agg(F.max("excepted").alias("_out")).filter("NOT _out")
-    return hits.join(who.select("policy", "principal"), "policy")
+    return policy_hits(column_tags, policy_tags).join(policy_scope(scopes), "policy")
 
 
 def effective_access(grants: DataFrame, hierarchy: DataFrame, members: DataFrame, needs: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -34,19 +34,26 @@ def position(df: DataFrame, column: str) -> Column:
     return col
 
 
+def _place(df: DataFrame, order: Sequence[str]) -> Column:
+    return position(df, order[0]) if len(order) == 1 else F.struct(*order)
+
+
 @dataclass(frozen=True)
 class Slicing:
-    """Hot keys of a frame, by hash, each with the points at which its timeline is cut."""
+    """Hot keys of a frame, by hash, each with the points at which its timeline is cut.
+
+    Several ``order`` columns are cut together, as structs.
+    """
 
     keys: tuple[str, ...]
-    order: str
+    order: tuple[str, ...]
     cuts: dict[int, list]
 
     def add(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` with its slice number: 0 for every key that is not hot."""
         if not self.cuts:
             return df.withColumn(name, F.lit(0))
-        value = position(df, self.order)
+        value = _place(df, self.order)
         kind = df.select(value).schema[0].dataType
         # One row per hot key; all of them together have a few cuts per shuffle task.
         schema = T.StructType().add("_h", T.LongType()).add("_cuts", T.ArrayType(kind))
@@ -77,22 +84,31 @@ def _boundaries(at: DataFrame, counts: dict[int, int]) -> dict[int, list]:
     return cuts
 
 
-def plan_slices(df: DataFrame, keys: Sequence[str], order: str, share: float = SHARE, slices: int | None = None) -> Slicing:
+def plan_slices(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], share: float = SHARE, slices: int | None = None) -> Slicing:
     """Find the hot keys and cut the timeline of each along ``order``.
 
     A key gets as many slices as its share of the rows asks for, or ``slices``.
     Numbers and times are cut at quantiles, other values where ranges of their
-    full values begin. Any frame with these columns can use the result.
+    full values begin. With several order columns the first one is cut, unless
+    too few values of it hold a hot key's rows; then all are cut together. Any
+    frame with these columns can use the result.
     """
-    keys = tuple(keys)
+    keys, order = tuple(keys), (order,) if isinstance(order, str) else tuple(order)
     hot = hot_shares(df, keys, share)
     if not hot:
-        return Slicing(keys, order, {})
+        return Slicing(keys, order[:1], {})
     counts = dict.fromkeys(hot, slices) if slices else pieces(df, hot)
-    at = df.select(key_hash(keys).alias("_h"), position(df, order).alias("_at")).filter(F.col("_h").isin(list(hot)))
-    find = _quantiles if isinstance(at.schema["_at"].dataType, T.DoubleType) else _boundaries
-    cuts = find(at, counts)
-    return Slicing(keys, order, {h: sorted(set(cuts.get(h) or [])) for h in hot})
+
+    def cut(columns: tuple[str, ...]) -> dict[int, list]:
+        at = df.select(key_hash(keys).alias("_h"), _place(df, columns).alias("_at")).filter(F.col("_h").isin(list(hot)))
+        find = _quantiles if isinstance(at.schema["_at"].dataType, T.DoubleType) else _boundaries
+        found = find(at, counts)
+        return {h: sorted(set(found.get(h) or [])) for h in hot}
+
+    cuts = cut(order[:1])
+    if len(order) > 1 and any(len(cuts[h]) < counts[h] / 2 for h in hot):
+        return Slicing(keys, order, cut(order))
+    return Slicing(keys, order[:1], cuts)
 
 
 def neighbours(
@@ -109,21 +125,26 @@ def neighbours(
     """Add ``_prev`` and ``_next``: structs of ``carry`` from the adjacent rows of a key.
 
     ``order`` must be unique per key, unless ``tie`` is given: then of rows
-    equal in ``order`` only the one highest in ``tie`` stays. A hot key is cut
-    into slices along its first order column; neighbours inside a slice come
+    equal in ``order`` only the one highest in ``tie`` stays; those of a hot key
+    lose the others before the shuffle, however many there are. A hot key is cut
+    into slices along its order columns; neighbours inside a slice come
     from a window over the slice, and neighbours across a cut from a small
     table with the first and last row of every slice. ``keep_slice`` leaves the
     ``_slice`` column in place, so a second call on the result reuses its
     partitioning and order.
     """
     keys, order, carry = list(keys), list(order), list(carry)
-    slicing = slicing or plan_slices(df, keys, order[0], share, slices)
+    slicing = slicing or plan_slices(df, keys, order, share, slices)
     hot = list(slicing.cuts)
     cut = df if not hot or "_slice" in df.columns else slicing.add(df, "_slice")
     by = [*keys, "_slice"] if hot else keys
     if tie is not None:
         ranked = Window.partitionBy(*by).orderBy(*order, *[F.desc(c) for c in tie])
         here = F.struct(*order)
+        if hot:
+            crowded = key_hash(keys).isin(hot)
+            once = latest(cut.filter(crowded), [*by, *order], [F.desc(c) for c in tie])
+            cut = cut.filter(~crowded).unionByName(once)
         cut = cut.withColumn("_same", F.lag(here).over(ranked).eqNullSafe(here)).filter("NOT _same").drop("_same")
     w = Window.partitionBy(*by).orderBy(*order)
     payload = F.struct(*carry)

@@ -61,7 +61,7 @@ def expect(df: DataFrame, rules: Mapping[str, str], action: str = WARN) -> tuple
     if action == FAIL:
         if not df.filter(~ok).isEmpty():
             broken = [r["rule"] for r in metrics(df, rules).filter("failed > 0").collect()]
-            raise ExpectationFailed(f"rules violated: {broken}")
+            raise ExpectationFailed(f"rules violated: {broken}", broken)
         return df, df.filter(F.lit(False)), metrics(df, rules)
     raise ValueError(f"unknown action {action!r}")
 

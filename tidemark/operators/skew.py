@@ -11,8 +11,8 @@ _UNHASHABLE = (T.MapType, T.VariantType)
 _NARROW = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 #: Highest share of the rows a key may hold without counting as hot, however few the shuffle tasks.
 SHARE = 0.02
-#: Lowest share that is asked for: every task's sketch of frequent keys grows with its inverse.
-LEAST_SHARE = 1 / 2000
+#: Lowest share a sketch is asked for, as every task's sketch grows with its inverse; lower ones are counted exactly.
+SKETCH_SHARE = 1 / 2000
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -28,11 +28,15 @@ def hot_shares(df: DataFrame, keys: Sequence[str], share: float = SHARE) -> dict
 
     Hot is a key with more than ``share`` of the rows, or with more than half
     of one shuffle task's part if that is less. One pass with a frequent-items
-    sketch; its shuffle is one sketch per task. At most ``1/share`` keys can
-    qualify, so the list is bounded whatever the data. A false positive only
-    salts a key that did not need it.
+    sketch; its shuffle is one sketch per task. With many shuffle tasks the
+    share is too low for a sketch: then the keys are counted by their hashes,
+    16 bytes a key through a shuffle. At most ``1/share`` keys can qualify, so
+    the list is bounded whatever the data. A false positive only salts a key
+    that did not need it.
     """
-    share = max(LEAST_SHARE, min(share, 0.5 / shuffle_tasks(df)))
+    share = min(share, 0.5 / shuffle_tasks(df))
+    if share < SKETCH_SHARE:
+        return _counted_shares(df, keys, share)
     tracked = 1 << max(12, math.ceil(math.log2(8 / share)))
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
@@ -42,6 +46,12 @@ def hot_shares(df: DataFrame, keys: Sequence[str], share: float = SHARE) -> dict
     return {item["item"]: item["count"] / row["n"] for item in (row["top"] or []) if item["count"] > floor}
 
 
+def _counted_shares(df: DataFrame, keys: Sequence[str], share: float) -> dict[int, float]:
+    counts = df.groupBy(key_hash(keys).alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    total = df.count()
+    return {r["h"]: r["n"] / total for r in counts.filter(F.col("n") > share * total).collect()}
+
+
 def hot_hashes(df: DataFrame, keys: Sequence[str], share: float = SHARE) -> list[int]:
     return sorted(hot_shares(df, keys, share))
 

@@ -135,30 +135,39 @@ def change_feed(log: DataFrame, keys: Sequence[str], from_version: int, to_versi
     """Net changes after ``from_version`` up to ``to_version``; an update gives its row before and after.
 
     ``from_version`` may lie before the first commit, which then counts as an empty table.
+    A commit holds a key once.
     """
     keys = list(keys)
     rest = payload(log, keys)
-    row = F.struct("_op", *rest)
-    # Both images of a key come out of one aggregation over the log.
-    both = (
+    # The aggregate over the log carries two numbers a key; only rows of keys that changed are fetched afterwards.
+    places = (
         log.filter(F.col("_seq") <= to_version)
         .groupBy(*keys)
-        .agg(
-            F.max_by(row, F.when(F.col("_seq") <= from_version, F.col("_seq"))).alias("_old"),
-            F.max_by(row, F.col("_seq")).alias("_new"),
-            F.max("_seq").alias("_last"),
-        )
-        .filter(F.col("_last") > from_version)
+        .agg(F.max(F.when(F.col("_seq") <= from_version, F.col("_seq"))).alias("_from"), F.max("_seq").alias("_to"))
+        .filter(F.col("_to") > from_version)
     )
+
+    def image(name: str, at: str) -> DataFrame:
+        old = F.col("_seq") <= from_version
+        rows = log.filter(old if at == "_from" else ~old & (F.col("_seq") <= to_version))
+        return rows.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_seq").alias("_at"), F.struct("_op", *rest).alias(name))
+
+    def fetch(left: DataFrame, name: str, at: str, how: str) -> DataFrame:
+        match = F.col(at) == F.col("_at")
+        for k in keys:
+            match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        return left.join(image(name, at), match, how).drop("_at", *[f"_k_{k}" for k in keys])
+
+    both = fetch(fetch(places, "_new", "_to", "inner"), "_old", "_from", "left")
     had, has = (F.col(c).isNotNull() & (F.col(f"{c}._op") != "D") for c in ("_old", "_new"))
     op = F.when(has & ~had, "I").when(had & ~has, "D").when(had & has & _differs(rest, "_old", "_new"), "U")
-    image = [F.struct(*[F.col(f"{c}.{x}").alias(x) for x in rest]) for c in ("_old", "_new")]
+    images_ = [F.struct(*[F.col(f"{c}.{x}").alias(x) for x in rest]) for c in ("_old", "_new")]
     changed = both.withColumn("_op", op).filter(F.col("_op").isNotNull())
     before = F.struct(
-        F.when(F.col("_op") == "D", "delete").otherwise("update_preimage").alias("_change_type"), image[0].alias("r")
+        F.when(F.col("_op") == "D", "delete").otherwise("update_preimage").alias("_change_type"), images_[0].alias("r")
     )
     after = F.struct(
-        F.when(F.col("_op") == "I", "insert").otherwise("update_postimage").alias("_change_type"), image[1].alias("r")
+        F.when(F.col("_op") == "I", "insert").otherwise("update_postimage").alias("_change_type"), images_[1].alias("r")
     )
     images = F.when(F.col("_op") == "I", F.array(after)).when(F.col("_op") == "D", F.array(before)).otherwise(
         F.array(before, after)

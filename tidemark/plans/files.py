@@ -70,8 +70,11 @@ def skip_plan(t):
 @query("partition_advice", """
     SELECT 'o_orderstatus' AS "column", true AS advised FROM orders GROUP BY 1 UNION ALL SELECT 'o_orderkey', false""")
 def partition_advice(t):
-    size = 100 * lay.MB * t.orders.count()  # as if every row took 100 MB
-    return lay.partition_advice(t.orders, ["o_orderstatus", "o_orderkey"], size).select("column", "advised")
+    """The measured bytes of the table against a floor of a tenth of them for each directory."""
+    path = _many_files(t, "advice", 4)
+    size = lay.table_bytes(t.spark, path)
+    table = t.spark.read.parquet(path)
+    return lay.partition_advice(table, ["o_orderstatus", "o_orderkey"], size, size // 10).select("column", "advised")
 
 
 @query("compact", f"""

@@ -1,6 +1,8 @@
 """Masks, row filters, tag policies and access over the star-schema tables."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators import governance as g
 from .registry import query
@@ -85,47 +87,59 @@ def dynamic_view(t):
     return g.dynamic_view(df, ANALYST, rows, masks)
 
 
-TAGS = (
-    g.Tag("customer", "c_name", "domain", "HR"), g.Tag("customer", "c_name", "sensitivity", "internal"),
-    g.Tag("customer", "c_mktsegment", "domain", "finance"), g.Tag("customer", "c_mktsegment", "sensitivity", "confidential"),
-    g.Tag("customer", "c_acctbal", "domain", "finance"), g.Tag("customer", "c_acctbal", "sensitivity", "internal"),
-    g.Tag("customer", "c_nationkey", "geo", "nation"), g.Tag("customer", None, "certified", "yes"),
+#: Who may see what of the orders: prices by band, buyers by bucket, priorities by rank, and days of one half-year.
+ORDER_TAGS = (
+    g.Tag("orders", "o_totalprice", "measure", "money"), g.Tag("orders", "o_custkey", "link", "buyer"),
+    g.Tag("orders", "o_orderpriority", "rank", "urgency"), g.Tag("orders", "o_orderdate", "grain", "day"),
+    g.Tag("orders", "o_orderdate", "measure", "time"), g.Tag("orders", None, "stage", "booked"),
 )
+CLERK = g.Principal("clerk-12", frozenset({"desk"}))
+TREASURER = g.Principal("treasurer-1", frozenset({"desk", "treasury", "collections"}))
 
 
-def _policies():
-    internal, secret = {"sensitivity": "internal"}, {"sensitivity": "confidential"}
+def _order_policies():
     return (
-        g.Policy("internal_hr", "mask", g.first_letter, {"domain": "HR", **internal}, but=("hr_grp",)),
-        g.Policy("secret_finance", "mask", g.full_mask, {"domain": "finance", **secret}, but=("finance_grp",)),
-        g.Policy("internal_finance", "mask", lambda c: g.coarse(c, "manager"), {"domain": "finance", **internal}, but=("finance_grp",)),
-        g.Policy("rich_only", "filter", lambda nation, balance: (nation < 20) & (balance > 100), {"geo": "nation"},
-                 to=("analysts",), when={"certified": "yes"}, using=("c_acctbal",)),
+        g.Policy("price_band", "mask", lambda c: F.floor(c / 25000) * 25000, {"measure": "money"}, but=("treasury",)),
+        g.Policy("buyer_bucket", "mask", lambda c: -F.pmod(c, F.lit(16)), {"link": "buyer"}, but=("collections",)),
+        g.Policy("rank_only", "mask", lambda c: F.substring(c, 1, 1), {"rank": "urgency"}, to=("desk", "lobby"), but=("treasury",)),
+        g.Policy("settled_first_half", "filter", lambda day, status: (F.month(day) <= 6) & (status != "P"),
+                 {"grain": "day", "measure": "time"}, but=("treasury",), when={"stage": "booked"}, using=("o_orderstatus",)),
+        g.Policy("archive_only", "filter", lambda day: F.year(day) < 1900, {"grain": "day"}, when={"stage": "archived"}),
     )
 
 
 @query("abac_apply", """
-    SELECT c_custkey, left(c_name, 1) || '****' AS c_name, c_nationkey, round(c_acctbal / 1000) * 1000 AS c_acctbal,
-           '****' AS c_mktsegment FROM customer WHERE c_nationkey < 20 AND c_acctbal > 100""")
+    SELECT o_orderkey, -(o_custkey % 16) AS o_custkey, o_orderstatus, floor(o_totalprice / 25000) * 25000 AS o_totalprice, o_orderdate,
+           left(o_orderpriority, 1) AS o_orderpriority
+    FROM orders WHERE month(o_orderdate) <= 6 AND o_orderstatus <> 'P'""")
 def abac_apply(t):
-    return g.abac_apply(t.customer, "customer", TAGS, _policies(), ANALYST)
+    return g.abac_apply(t.orders, "orders", ORDER_TAGS, _order_policies(), CLERK)
 
 
-@query("abac_apply_owner", """
-    SELECT c_custkey, left(c_name, 1) || '****' AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+@query("abac_apply_owner", "SELECT * FROM orders")
 def abac_apply_owner(t):
-    return g.abac_apply(t.customer, "customer", TAGS, _policies(), g.Principal("fin", frozenset({"finance_grp"})))
+    return g.abac_apply(t.orders, "orders", ORDER_TAGS, _order_policies(), TREASURER)
 
 
-@query("abac_conflicts", "SELECT c_mktsegment, count(*) AS n, true AS blocked FROM customer GROUP BY 1")
+@query("abac_conflicts", """
+    SELECT 'o_totalprice' AS "column", 'cap' AS first, 'price_band' AS second, true AS refused,
+        count(*) FILTER (least(o_totalprice, 90000) IS DISTINCT FROM floor(o_totalprice / 25000) * 25000) AS differing FROM orders
+    UNION ALL SELECT 'o_orderpriority', 'rank_only', 'shout', true,
+        count(*) FILTER (left(o_orderpriority, 1) IS DISTINCT FROM upper(o_orderpriority)) FROM orders""")
 def abac_conflicts(t):
-    extra = g.Policy("second", "mask", g.full_mask, {"domain": "HR"})
+    """The masks that meet on one column, how many rows they would show differently, and whether the table was refused."""
+    more = (
+        g.Policy("cap", "mask", lambda c: F.least(c, F.lit(90000.0)), {"measure": "money"}),
+        g.Policy("shout", "mask", F.upper, {"rank": "urgency"}),
+    )
+    policies = (*_order_policies(), *more)
     try:
-        g.abac_apply(t.customer, "customer", TAGS, (*_policies(), extra), ANALYST)
-        blocked = False
+        g.abac_apply(t.orders, "orders", ORDER_TAGS, policies, CLERK)
+        refused = False
     except g.PolicyConflict:
-        blocked = True
-    return t.customer.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.lit(blocked).alias("blocked"))
+        refused = True
+    found = g.resolve("orders", t.orders.columns, ORDER_TAGS, policies, CLERK)
+    return g.conflict_report(t.orders, found).withColumn("refused", F.lit(refused))
 
 
 @query("effective_policies", """
@@ -194,25 +208,56 @@ def effective_access(t):
     return g.effective_access(grants, tree, members, needs)
 
 
-@query("tag_inventory", """
-    SELECT 'customer' AS "table", * FROM (VALUES ('c_name', 'domain', 'HR'), ('c_name', 'sensitivity', 'internal'),
-      ('c_mktsegment', 'domain', 'finance'), ('c_mktsegment', 'sensitivity', 'confidential'), ('c_acctbal', 'domain', 'finance'),
-      ('c_acctbal', 'sensitivity', 'internal'), ('c_nationkey', 'geo', 'nation')) v("column", tag, value),
-      (SELECT count(*) AS n_rows, count(DISTINCT c_nationkey) AS n_nations FROM customer)""")
+PROFILED = {
+    "nation": ("n_nationkey", "n_name", "n_regionkey"),
+    "supplier": ("s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+    "labels": ("doc_id", "quality", "toxic"),
+}
+
+_TAGGED = " UNION ALL ".join(
+    f"""SELECT '{table}' AS "table", '{c}' AS "column", 'values' AS tag,
+        CASE WHEN count(DISTINCT {c}) <= 30 THEN 'few' ELSE 'many' END AS value FROM {table}
+        UNION ALL SELECT '{table}', '{c}', 'gaps', CASE WHEN count({c}) < count(*) THEN 'some' ELSE 'none' END FROM {table}"""
+    for table, columns in PROFILED.items() for c in columns
+)
+
+
+@query("tag_inventory", f"""
+    WITH tags AS ({_TAGGED}), held AS (SELECT * FROM tags WHERE tag <> 'values' OR value = 'few'),
+    columns AS (SELECT DISTINCT "table", "column" FROM tags)
+    SELECT c."table", c."column", tag, value FROM columns c LEFT JOIN held h ON c."table" = h."table" AND c."column" = h."column"
+    """)
 def tag_inventory(t):
-    tags = g.tag_inventory(t.spark, TAGS).filter("column IS NOT NULL")
-    facts = t.customer.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("c_nationkey").alias("n_nations")).first()
-    return tags.withColumn("n_rows", F.lit(facts["n_rows"])).withColumn("n_nations", F.lit(facts["n_nations"]))
+    """Tags earned by the values of four tables, joined with all their columns."""
+    tags = reduce(DataFrame.unionAll, [g.profile_tags(getattr(t, name), name) for name in PROFILED])
+    columns = g.schema_inventory(t.spark, {name: getattr(t, name) for name in PROFILED})
+    return g.tag_inventory(columns, tags.filter("tag <> 'values' OR value = 'few'"))
+
+
+INVENTORY = {
+    **{name: PROFILED[name] for name in ("customer", "supplier")},
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+    "events": ("event_id", "ts", "user_id", "event_type", "value", "props"),
+    "documents": ("doc_id", "text", "lang", "source", "n_chars"),
+}
+
+_FILLED = " UNION ALL ".join(
+    f"""SELECT '{table}' AS "table", '{c}' AS "column", count({c}) AS n_filled FROM {table}""" for table, columns in INVENTORY.items() for c in columns
+)
 
 
-@query("schema_inventory")
+@query("schema_inventory", f"""
+    WITH filled AS ({_FILLED})
+    SELECT "table", CAST(ordinal_position AS INT) AS position, "column",
+        CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+            WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE data_type END AS type, is_nullable = 'YES' AS nullable, n_filled
+    FROM filled JOIN information_schema.columns ON table_name = "table" AND column_name = "column" """)
 def schema_inventory(t):
-    names = ["customer", "orders", "lineitem", "events", "documents"]
-    columns = g.schema_inventory(t.spark, {n: getattr(t, n) for n in names})
-    filled = None
-    for n in names:
-        df = getattr(t, n)
-        counts = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "column", "n_filled")
-        counts = counts.withColumn("table", F.lit(n))
-        filled = counts if filled is None else filled.unionByName(counts)
-    return columns.join(filled, ["table", "column"])
+    columns = g.schema_inventory(t.spark, {name: getattr(t, name) for name in INVENTORY})
+    filled = []
+    for name in INVENTORY:
+        df = getattr(t, name)
+        counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+        filled.append(counts.unpivot([], df.columns, "column", "n_filled").withColumn("table", F.lit(name)))
+    return columns.join(reduce(DataFrame.unionByName, filled), ["table", "column"])

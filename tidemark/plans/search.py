@@ -189,9 +189,9 @@ def eval_sample(t):
     SELECT conv_id, count(*) AS answer_spans, round(sum(length(text)), 6) AS answer_total, max(length(text)) AS answer_max
     FROM conversations WHERE role = 'assistant' GROUP BY 1""")
 def eval_trace_spans(t):
-    # Every turn carries its own span list, so a long conversation is never gathered into one row.
-    spans = F.array(F.struct(F.col("role").alias("kind"), F.length("text").alias("size")))
-    traces = t.conversations.select("conv_id", spans.alias("spans"))
+    # A trace is a question with its answers: spans of several kinds, at most six turns, however long the conversation.
+    span = F.struct("turn", F.col("role").alias("kind"), F.length("text").alias("size"))
+    traces = t.conversations.groupBy("conv_id", F.floor(F.col("turn") / 6).alias("part")).agg(F.array_sort(F.collect_list(span)).alias("spans"))
     return ev.span_scores(traces, "conv_id", "spans", "assistant", F.col("span.size"), "answer")
 
 

@@ -1,5 +1,8 @@
 """Structured Streaming queries driven by the events table."""
 
+import time
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..operators import ordered
@@ -83,7 +86,8 @@ def stream_dedup(t):
 
 @query("stream_output_modes", """
     WITH c AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1)
-    SELECT 'complete' AS mode, event_type, n FROM c UNION ALL SELECT 'update', event_type, n FROM c""")
+    SELECT 'complete' AS mode, event_type, n FROM c UNION ALL SELECT 'update', event_type, n FROM c
+    UNION ALL SELECT 'append refused', event_type, 0 FROM c""")
 def stream_output_modes(t):
     """Complete rewrites the whole result, update sends changed rows, append refuses an unwindowed aggregate."""
     found = None
@@ -98,16 +102,32 @@ def stream_output_modes(t):
         last = ordered.latest(t.spark.read.parquet(out + "/data"), ["event_type"], [F.desc("batch")])
         part = last.select(F.lit(mode).alias("mode"), "event_type", "n")
         found = part if found is None else found.unionAll(part)
-    return found
+    out = t.scratch("append")
+    try:
+        jobs.finish(jobs.for_each_batch(counts, lambda batch, batch_id: None, out, "append"))
+        state = "append"
+    except AnalysisException:
+        state = "append refused"
+    return found.unionAll(last.select(F.lit(state), "event_type", F.lit(0).cast("long")))
 
 
-@query("stream_trigger", "SELECT event_id, user_id FROM events")
+@query("stream_trigger", """
+    SELECT 'once' AS trigger, event_id, user_id FROM events UNION ALL SELECT 'interval', event_id, user_id FROM events""")
 def stream_trigger(t):
+    """Everything available and then stop, twice; and every second, until files that land while it runs are through."""
     out = t.scratch("trigger")
     stream = events_stream(t).select("event_id", "user_id")
     for _ in range(2):  # the second run finds nothing and stops
         jobs.finish(jobs.to_files(stream, out + "/data", out + "/state"))
-    return t.spark.read.parquet(out + "/data")
+    once = t.spark.read.parquet(out + "/data").select(F.lit("once").alias("trigger"), "event_id", "user_id")
+
+    path, half = t.scratch("interval-in"), F.col("event_id") % 2 == 0
+    t.events.filter(half).write.parquet(path)
+    running = jobs.to_files(events_stream(t, path).select("event_id", "user_id"), out + "/live", out + "/live-state", every="1 second")
+    t.events.filter(~half).write.mode("append").parquet(path)
+    jobs.run_until(running, lambda: running.lastProgress is not None and running.lastProgress.batchId >= 0)
+    live = t.spark.read.parquet(out + "/live").select(F.lit("interval"), "event_id", "user_id")
+    return once.unionAll(live)
 
 
 NEWEST = """SELECT user_id, event_id, event_type FROM (
@@ -154,14 +174,19 @@ def stream_restart(t):
     return t.spark.read.parquet(out + "/data")
 
 
-@query("stream_progress", "SELECT count(*) AS input_rows, true AS several FROM events")
+@query("stream_progress", """
+    WITH e AS (SELECT event_id % 4 AS part, count(*) AS n FROM events GROUP BY 1)
+    SELECT part AS batch_id, n AS input_rows, (SELECT sum(n) FROM e) - sum(n) OVER (ORDER BY part) AS lag_rows FROM e""")
 def stream_progress(t):
+    """Rows of every batch and what the source still holds after it; each batch is one landed file."""
     path, out = t.scratch("progress-in"), t.scratch("progress")
-    t.events.repartition(4).write.parquet(path)
+    for part in range(4):  # a file stream takes older files first
+        t.events.filter(F.col("event_id") % 4 == part).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.01)
     stream = events_stream(t, path, max_files=1).select("event_id")
     with jobs.ProgressLog(t.spark) as log:
         rows = log.progress_rows(jobs.finish(jobs.to_files(stream, out + "/data", out + "/state")))
-    return rows.agg(F.sum("input_rows").alias("input_rows"), (F.count_if(F.col("input_rows") > 0) > 1).alias("several"))
+    return jobs.with_lag(rows.filter("input_rows > 0"), t.events.count()).select("batch_id", "input_rows", "lag_rows")
 
 
 @query("stream_rate_limit", "SELECT count(*) AS n, 3 AS batches FROM events")

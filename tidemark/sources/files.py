@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.skew import row_salt
+from . import swap
 
 
 def missing_path(error: Exception) -> bool:
@@ -97,20 +99,35 @@ def write_partitioned(
     df.write.mode(mode).partitionBy(*by).parquet(path)
 
 
+def bucket_spread(df: DataFrame, buckets: int, keys: Sequence[str], most: float = 1.5) -> dict[int, int]:
+    """Tasks that share the writing of each bucket: none gets more than about ``most`` times an even part of the rows."""
+    number = F.pmod(F.hash(*keys), F.lit(buckets)).alias("b")
+    sizes = {r["b"]: r["n"] for r in df.groupBy(number).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per bucket
+    even = max(sum(sizes.values()) / buckets, 1)
+    return {b: max(1, math.ceil(n / (most * even))) for b, n in sizes.items()}
+
+
 def write_bucketed(
-    df: DataFrame, table: str, path: str, buckets: int, keys: Sequence[str], sort: Sequence[str] = (), spread: int = 1
+    df: DataFrame, table: str, path: str, buckets: int, keys: Sequence[str], sort: Sequence[str] = (), spread: int | None = None
 ) -> None:
     """Bucketed and sorted table, one file per bucket and task.
 
-    Rows are sent straight to the task of their bucket, so no task writes more
-    than one bucket. ``spread`` above 1 lets that many tasks share each bucket.
+    Rows are sent straight to a task of their bucket, so no task writes more
+    than one bucket. How many tasks share a bucket follows from its measured
+    size, so that a hot key is written by several; ``spread`` sets one number
+    for all buckets instead.
     """
-    task = F.pmod(F.hash(*keys), F.lit(buckets)) * spread
-    laid = df
-    if spread > 1:
-        laid = laid.withColumn("_salt", row_salt(df, spread))
-        task = task + F.col("_salt")
-    laid = laid.repartitionById(buckets * spread, task.cast("int")).select(*df.columns)
+    shared = dict.fromkeys(range(buckets), spread) if spread else bucket_spread(df, buckets, keys)
+    parts = [shared.get(b, 1) for b in range(buckets)]
+    starts = [sum(parts[:b]) for b in range(buckets)]
+    laid, salt = df, F.lit(0)
+    if max(parts) > 1:
+        laid = laid.withColumn("_salt", row_salt(df, max(parts)))
+        salt = F.pmod(F.col("_salt"), F.get(F.array(*map(F.lit, parts)), F.col("_b")))
+    laid = laid.withColumn("_b", F.pmod(F.hash(*keys), F.lit(buckets)))
+    task = F.get(F.array(*map(F.lit, starts)), F.col("_b")) + salt
+    laid = laid.withColumn("_task", task.cast("int"))
+    laid = laid.repartitionById(sum(parts), "_task").select(*df.columns)
     (
         laid.write.mode("overwrite")
         .format("parquet")
@@ -122,9 +139,21 @@ def write_bucketed(
 
 
 def create_table_as(df: DataFrame, path: str, replace: bool = False) -> DataFrame:
-    """New table from a query; ``replace`` also accepts an existing one of another schema."""
-    df.write.mode("overwrite" if replace else "errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """New table from a query.
+
+    ``replace`` also accepts an existing one of another schema: the new files are
+    staged and exchanged for the old ones, so the query may read the old table,
+    and one that fails leaves it as it was.
+    """
+    spark = df.sparkSession
+    if replace and swap.exists(spark, path):
+        with swap.owned(spark, path):
+            stage = swap.staging(path)
+            df.write.parquet(stage)
+            swap.exchange(spark, path, stage, swap.data_files(spark, path))
+    else:
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def create_like(df: DataFrame, path: str) -> DataFrame:

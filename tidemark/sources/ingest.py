@@ -186,7 +186,7 @@ def _read(spark: SparkSession, paths: list[str], fmt: str, schema: T.StructType,
 
 def ingest(
     spark: SparkSession, source: str, state_dir: str, target: str, fmt: str = "json", mode: str = "addNewColumns",
-    hints: str | None = None, max_files: int = 1000, max_bytes: str | None = None, glob: str | None = None,
+    hints: str | None = None, max_files: int | None = None, max_bytes: str | None = None, glob: str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> IngestResult:
     """Load files not seen before, then stop.
@@ -198,6 +198,8 @@ def ingest(
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}, expected one of {MODES}")
+    if max_files is not None and max_bytes is not None:
+        raise ValueError("limit a batch by files or by bytes, not by both")
     options = dict(options or {})
     done = {"files": 0, "rows": 0}
     rescue = mode != "none"
@@ -206,7 +208,7 @@ def ingest(
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         files = batch.select("path", "length")
-        paths = [r["path"] for r in files.collect()]  # at most max_files names
+        paths = [r["path"] for r in files.collect()]  # of one batch: bounded by max_files or max_bytes
         if not paths:
             return
         versions = stored_schemas(session, state_dir)
@@ -235,7 +237,7 @@ def ingest(
         done["files"] += len(paths)
         done["rows"] += session.read.parquet(out).count()
 
-    reader = spark.readStream.schema(_LISTING).format("binaryFile").option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.schema(_LISTING).format("binaryFile").option("maxFilesPerTrigger", max_files or 1000)
     if max_bytes:
         reader = spark.readStream.schema(_LISTING).format("binaryFile").option("maxBytesPerTrigger", max_bytes)
     if glob:

@@ -7,7 +7,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.ordered import latest
@@ -105,6 +105,23 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
+def run_until(query: StreamingQuery, done: Callable[[], bool], wait: float = 120.0) -> StreamingQuery:
+    """Let an interval query go on until ``done`` holds, then stop it."""
+    until = time.monotonic() + wait
+    try:
+        while not done():
+            if not query.isActive:
+                query.awaitTermination()
+                raise RuntimeError("the query ended before it was done")
+            if time.monotonic() > until:
+                raise TimeoutError("the query did not get done")
+            time.sleep(0.1)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 def keyed_sink(path: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
     """Idempotent upsert sink: the newest row per key, kept up in key buckets.
 
@@ -142,6 +159,12 @@ def read_flows(spark: SparkSession, path: str, names: Sequence[str]) -> DataFram
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def with_lag(progress: DataFrame, landed: int) -> DataFrame:
+    """Progress with the rows of the source that no batch has read yet, after each batch; ``landed`` rows are there in all."""
+    before = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)  # one row per batch
+    return progress.withColumn("lag_rows", F.lit(landed) - F.sum("input_rows").over(before))
+
+
 class ProgressLog(StreamingQueryListener):
     """Every micro-batch of the queries that run inside the block; Spark itself remembers only the last hundred."""
 
