@@ -109,6 +109,67 @@ def test_zorder_narrows_both_columns(spark, tables):
     )
 
 
+@pytest.mark.parametrize("dims, bits", [(2, 4), (3, 2), (4, 2)])
+def test_hilbert_visits_every_cell_by_single_steps(spark, dims, bits):
+    """All cells once, each one step in one direction from the last."""
+    names = [f"c{i}" for i in range(dims)]
+    side = 1 << bits
+    cells = spark.range(side**dims).select(*[(F.floor(F.col("id") / side**i) % side).cast("long").alias(n) for i, n in enumerate(names)])
+    axes = [f"a{n}" for n in names]
+    placed = lay.along_hilbert(cells.withColumns(dict(zip(axes, map(F.col, names)))), axes, "h", bits)
+    got = sorted((r["h"], tuple(r[n] for n in names)) for r in placed.collect())
+    assert [h for h, _ in got] == list(range(side**dims))
+    steps = [sum(abs(a - b) for a, b in zip(x, y)) for (_, x), (_, y) in zip(got, got[1:])]
+    assert set(steps) == {1}
+
+
+@pytest.mark.parametrize("n_files", [8, 64])
+def test_hilbert_skips_more_than_interleaving(spark, tables, n_files):
+    """Boxes over both columns: fewer files on average, whose ranges come from the curve's partitions."""
+    df = spark.range(60_000).select((F.xxhash64("id") % 1000).cast("double").alias("x"), (F.xxhash64("id", F.lit(1)) % 1000).cast("double").alias("y"))
+
+    def touched(curve):
+        laid = lay.zorder(df, ["x", "y"], n_files, curve=curve)
+        boxes = laid.groupBy(F.spark_partition_id()).agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).collect()
+        hits = 0
+        for i in range(-9, 10):
+            for j in range(-9, 10):
+                hits += sum(b[1] <= i * 100 + 60 and b[2] >= i * 100 and b[3] <= j * 100 + 60 and b[4] >= j * 100 for b in boxes)
+        return hits, len(boxes)
+
+    (hilbert, a), (z, b) = touched("hilbert"), touched("z")
+    assert a >= 0.8 * n_files and hilbert < z
+
+
+def test_bits_follow_the_files():
+    assert lay.curve_bits(2, 8) == 4 and lay.curve_bits(2, 800) == 7 and lay.curve_bits(4, 800) == 4
+    assert lay.curve_bits(1, 10**9) == 12 and lay.curve_bits(6, 10**9) * 6 <= 62
+
+
+def test_bins(spark):
+    """No bin is empty, shared by folders or filled further once it is full."""
+    sizes = {"a": [5, 9, 40, 41, 3, 60], "b": [99, 98], "c": [1] * 7}
+    listed = [(f"{f}/{i}", n, f) for f, ns in sizes.items() for i, n in enumerate(ns)]
+    got = lay.plan_bins(spark.createDataFrame(listed, "path string, length long, folder string"), 100).collect()
+    bins = {}
+    for r in got:
+        bins.setdefault(r["bin"], []).append(r)
+    assert sorted(bins) == list(range(len(bins))) and len(got) == len(listed)
+    for held in bins.values():
+        assert len({r["folder"] for r in held}) == 1
+        assert sum(r["length"] for r in held) - max(r["length"] for r in held) < 100
+    assert len({r["bin"] for r in got if r["folder"] == "c"}) == 1
+
+
+def test_every_bin_is_one_file(spark, tables, folder):
+    tables.orders.repartition(10).write.partitionBy("o_orderstatus").parquet(folder)
+    small = lay._listing(spark, folder)
+    target = small.agg(F.sum("length")).first()[0] // 6
+    bins = lay.plan_bins(small, target).select("bin").distinct().count()
+    report = lay.compact(spark, folder, target)
+    assert report["files_added"] == bins and rows(spark.read.parquet(folder).select("o_orderkey")) == rows(tables.orders.select("o_orderkey"))
+
+
 def test_zorder_splits_one_hot_value(spark):
     df = spark.range(20000).select(F.lit(1).alias("a"), F.lit("x").alias("b"), "id")
     sizes = lay.zorder(df, ["a", "b"], 8).groupBy(F.spark_partition_id()).count().collect()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.scalar import interpolate
 from ..session import materialize, settings
@@ -14,7 +14,8 @@ from ..sources.files import list_files
 from ..sources.footers import kept_stats
 from .index import files_holding
 from .ordered import position
-from .skew import row_hash, row_salt
+from .sizes import broadcast_if_small
+from .skew import row_salt
 
 MB = 1024 * 1024
 GB = 1024 * MB
@@ -157,59 +158,67 @@ def _partition_columns(folder: str) -> list[str]:
 _MARK = "compacted-"
 
 
+def plan_bins(files: DataFrame, target_bytes: int) -> DataFrame:
+    """``files`` with ``bin`` and ``tasks``: the bin of a file, numbered over all folders, and how many bins there are.
+
+    A folder's files follow each other by size, and a bin is a stretch of about
+    ``target_bytes`` of their running sum: no bin is empty, none is shared by two
+    folders, and none takes a second file once it is full.
+    """
+    order = Window.partitionBy("folder").orderBy("length", "path").rowsBetween(Window.unboundedPreceding, -1)
+    cut = files.withColumn("_b", F.floor(F.coalesce(F.sum("length").over(order), F.lit(0)) / F.lit(target_bytes)))
+    # Bins and folders are few beside rows: numbers of the bins that exist, one after the other.
+    bins = cut.select("folder", "_b").distinct()
+    per_folder = bins.groupBy("folder").agg(F.count(F.lit(1)).alias("_n"))
+    before = per_folder.withColumn("_before", F.sum("_n").over(Window.orderBy("folder")) - F.col("_n"))
+    within = F.dense_rank().over(Window.partitionBy("folder").orderBy("_b")) - 1
+    placed = cut.withColumn("_w", within).join(before, "folder")
+    return placed.withColumn("bin", (F.col("_before") + F.col("_w")).cast("int")).drop("_b", "_w", "_before", "_n")
+
+
 def compact(spark: SparkSession, root: str, target_bytes: int, folder_like: str | None = None) -> dict[str, int]:
     """Merge the small files of every directory partition into files of about ``target_bytes``.
 
     Files of the target size or more are left alone, and so are directories
-    without a new small file, which makes a second call do nothing.
-    ``folder_like`` restricts the job to matching partition folders (SQL LIKE).
+    without a new small file, which makes a second call do nothing. Whole files
+    go to a bin, so rows keep their neighbours; each bin is one task and one
+    file. ``folder_like`` restricts the job to matching partition folders (SQL
+    LIKE).
     """
     with swap.owned(spark, root):
         small = _listing(spark, root).filter(F.col("length") < target_bytes)
         if folder_like is not None:
             small = small.filter(F.col("folder").like(folder_like))
-        bins = F.ceil(F.sum("length") / F.lit(target_bytes)).cast("int")
+        planned = plan_bins(small, target_bytes)
         due = (
-            small.groupBy("folder")
-            .agg(F.count(F.lit(1)).alias("files"), bins.alias("bins"), F.count_if(~F.col("leaf").startswith(_MARK)).alias("fresh"))
-            .filter("fresh > 0 AND files > bins")
+            planned.groupBy("folder")
+            .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("bin").alias("bins"), F.count_if(~F.col("leaf").startswith(_MARK)).alias("fresh"))
+            .filter("fresh > 0 AND n > bins")
         )
-        chosen = small.join(due, "folder", "left_semi").select("path", "folder").collect()
-        if not chosen:
+        # Bins of the folders that are due, numbered anew without gaps.
+        chosen = materialize(plan_bins(small.join(due.select("folder"), "folder", "left_semi"), target_bytes), "bins")
+        # Names of the files to read; a scan needs them in the driver.
+        names = chosen.select("path", "folder", "bin").collect()
+        if not names:
             return {"files_removed": 0, "files_added": 0}
-        paths = [r["path"] for r in chosen]
-        by = _partition_columns(chosen[0]["folder"])
+        paths = [r["path"] for r in names]
         stage = swap.staging(root)
-        if len({r["folder"] for r in chosen}) == 1:
-            _pack(spark, root, paths, by, stage, target_bytes)
-        else:
-            _regroup(spark, root, paths, by, stage, due)
+        _pack(spark, root, paths, chosen, 1 + max(r["bin"] for r in names), _partition_columns(names[0]["folder"]), stage)
         return {"files_removed": len(paths), "files_added": swap.exchange(spark, root, stage, paths, _MARK)}
 
 
 # Partition values are copied as they are spelled, never read as numbers and written back another way.
 _AS_SPELLED = {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}
-_PACKING = {"spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1", **_AS_SPELLED}
-
-
-def _pack(spark: SparkSession, root: str, paths: Sequence[str], by: Sequence[str], stage: str, target_bytes: int) -> None:
-    """One directory: the scan itself packs small files into tasks of the target size, so nothing is shuffled."""
-    with settings(spark, {**_PACKING, "spark.sql.files.maxPartitionBytes": str(target_bytes)}):
-        rows = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths)
-        (rows.write.partitionBy(*by) if by else rows.write).parquet(stage)
 
 
-def _regroup(spark: SparkSession, root: str, paths: Sequence[str], by: Sequence[str], stage: str, due: DataFrame) -> None:
-    """Several directories: rows meet by directory and bin, so each task writes one directory."""
+def _pack(spark: SparkSession, root: str, paths: Sequence[str], bins: DataFrame, tasks: int, by: Sequence[str], stage: str) -> None:
+    """Send the rows of every file to the task of its bin, which writes one file."""
     with settings(spark, _AS_SPELLED):
         rows = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths)
-        folder = F.array_join(F.regexp_extract_all("_metadata.file_path", F.lit(_PARTS), F.lit(1)), "/")
-        located = rows.withColumn("_folder", folder)
-        # One row per partition directory: as many as the driver already lists files for.
-        sized = located.join(F.broadcast(due.select(F.col("folder").alias("_folder"), "bins")), "_folder")
-        total = due.agg(F.sum("bins").alias("b")).first()["b"]
-        placed = sized.withColumn("_bin", F.pmod(row_hash(rows), F.col("bins"))).repartition(max(total, 1), "_folder", "_bin")
-        placed.drop("_folder", "bins", "_bin").write.partitionBy(*by).parquet(stage)
+        numbered = broadcast_if_small(bins.select(F.col("uri").alias("_uri"), F.col("bin").alias("_bin")))
+        placed = rows.withColumn("_uri", F.col("_metadata.file_path")).join(numbered, "_uri")
+        laid = placed.repartitionById(tasks, "_bin").select(*rows.columns)
+        (laid.write.partitionBy(*by) if by else laid.write).parquet(stage)
 
 
 # --- multi-dimensional clustering -------------------------------------------------
@@ -245,31 +254,83 @@ def bucket_number(value: Column, cuts: Sequence) -> Column:
 
 def with_zvalue(df: DataFrame, columns: Sequence[str], name: str, bits: int = 5) -> DataFrame:
     """Add the interleaved bits of the columns' quantile buckets."""
+    df, helpers = _bucketed(df, columns, bits)
+    return df.withColumn(name, _interleaved([F.col(h) for h in helpers], bits)).drop(*helpers)
+
+
+def _bucketed(df: DataFrame, columns: Sequence[str], bits: int) -> tuple[DataFrame, list[str]]:
     cuts = _cut_points(df, columns, 2**bits)
     helpers = [f"_b{i}" for i in range(len(columns))]
     for c, helper in zip(columns, helpers):
         df = df.withColumn(helper, bucket_number(position(df, c), cuts[c]).cast("long"))
-    z, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    for i, helper in enumerate(helpers):
+    return df, helpers
+
+
+def _interleaved(values: Sequence[Column], bits: int) -> Column:
+    """Bits of the values in turn, the first value's highest bit on top."""
+    z, one, n = F.lit(0).cast("long"), F.lit(1).cast("long"), len(values)
+    for i, v in enumerate(values):
         for b in range(bits):
-            z = z.bitwiseOR(F.shiftleft(F.shiftright(helper, b).bitwiseAND(one), b * len(columns) + i))
-    return df.withColumn(name, z).drop(*helpers)
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(v, b).bitwiseAND(one), b * n + n - 1 - i))
+    return z
 
 
-def zorder(df: DataFrame, columns: Sequence[str], n_files: int, bits: int = 5) -> DataFrame:
+def with_hilbert(df: DataFrame, columns: Sequence[str], name: str, bits: int) -> DataFrame:
+    """Add the place of the columns' quantile buckets along a Hilbert curve, on which neighbours always touch."""
+    df, axes = _bucketed(df, columns, bits)
+    return along_hilbert(df, axes, name, bits).drop(*axes)
+
+
+def along_hilbert(df: DataFrame, axes: Sequence[str], name: str, bits: int) -> DataFrame:
+    """Add the place along a Hilbert curve of cells whose coordinates, longs of ``bits`` bits, stand in ``axes``.
+
+    The coordinates are turned into the curve's axes bit by bit from the top, so that
+    interleaving their bits gives the place. Every step is a column expression
+    on the last one, and ``axes`` are used up.
+    """
+    first = axes[0]
+    for level in range(bits - 1, 0, -1):
+        q, low = 1 << level, (1 << level) - 1
+        for axis in axes:
+            set_ = F.col(axis).bitwiseAND(F.lit(q)) != 0
+            swap_ = F.col(first).bitwiseXOR(F.col(axis)).bitwiseAND(F.lit(low))
+            flipped = F.col(first).bitwiseXOR(F.when(set_, F.lit(low).cast("long")).otherwise(swap_))
+            moved = F.col(axis).bitwiseXOR(F.when(set_, F.lit(0).cast("long")).otherwise(swap_))
+            if axis == first:
+                df = df.withColumn(first, F.when(set_, F.col(first).bitwiseXOR(F.lit(low))).otherwise(F.col(first)))
+            else:
+                df = df.withColumns({first: flipped, axis: moved})
+    for before, axis in zip(axes, axes[1:]):
+        df = df.withColumn(axis, F.col(axis).bitwiseXOR(F.col(before)))
+    turn = F.lit(0).cast("long")
+    for level in range(bits - 1, 0, -1):
+        turn = F.when(F.col(axes[-1]).bitwiseAND(F.lit(1 << level)) != 0, turn.bitwiseXOR(F.lit((1 << level) - 1))).otherwise(turn)
+    df = df.withColumn("_turn", turn)
+    place = _interleaved([F.col(a).bitwiseXOR(F.col("_turn")) for a in axes], bits)
+    return df.withColumn(name, place).drop("_turn")
+
+
+def curve_bits(columns: int, n_files: int) -> int:
+    """Bits a column: enough cells for sixteen to a file, at most 62 bits in all and 4096 cuts a column."""
+    return max(2, min(math.ceil(math.log2(16 * max(n_files, 2)) / columns), 62 // columns, 12))
+
+
+def zorder(df: DataFrame, columns: Sequence[str], n_files: int, bits: int | None = None, curve: str = "hilbert") -> DataFrame:
     """The same rows, range-partitioned along a space-filling curve over the columns.
 
-    A salt follows the curve value, so many rows with one value still spread
-    over several partitions.
+    The number of bits follows the number of files. A salt follows the curve
+    value, so many rows with one value still spread over several partitions.
     """
+    bits = bits or curve_bits(len(columns), n_files)
     if len(columns) * bits > 62:
         raise ValueError("too many bits for one curve value")
-    curved = with_zvalue(df.withColumn("_s", row_salt(df, 1024)), columns, "_z", bits)
+    place = {"hilbert": with_hilbert, "z": with_zvalue}[curve]
+    curved = place(df.withColumn("_s", row_salt(df, 1024)), columns, "_z", bits)
     return curved.repartitionByRange(n_files, "_z", "_s").sortWithinPartitions("_z", *columns).drop("_z", "_s")
 
 
 def zorder_rewrite(
-    spark: SparkSession, root: str, columns: Sequence[str], n_files: int, bits: int = 5, folder_like: str | None = None
+    spark: SparkSession, root: str, columns: Sequence[str], n_files: int, bits: int | None = None, folder_like: str | None = None
 ) -> dict[str, int]:
     """Rewrite the files of a directory, or of its matching partition folders, in curve order."""
     with swap.owned(spark, root):
@@ -297,7 +358,7 @@ def _cluster_mark(keys: Sequence[str]) -> str:
 
 
 def cluster_rewrite(
-    spark: SparkSession, root: str, keys: Sequence[str], n_files: int, full: bool = False, folder_like: str | None = None, bits: int = 5
+    spark: SparkSession, root: str, keys: Sequence[str], n_files: int, full: bool = False, folder_like: str | None = None, bits: int | None = None
 ) -> dict[str, int]:
     """Cluster by up to four keys, nested fields included.
 
