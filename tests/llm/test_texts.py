@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -12,7 +13,7 @@ import sentencepiece
 
 from conftest import ROOT, rows
 from oracle import _rows, connect
-from tidemark.llm import fim, phrases, pieces, queries
+from tidemark.llm import fim, html, phrases, pieces, queries
 
 ODD = "doc_id long, text string, lang string, n_chars string, h string"
 ODD_ROWS = [
@@ -258,6 +259,69 @@ def test_trie_bursts_and_runs(monkeypatch):
         assert got == want
 
 
+# --- pages -----------------------------------------------------------------------
+
+LONG = "word " * 60
+
+SHAPES = [
+    ("<body class='page right-sidebar'><article><h1>T</h1><p>lead<div class=post-body><p>{L}</div></article>", "T\nlead\n{L}"),
+    ("<html class=no-overlay><body class='single has-cookie-banner'><section class=a><p>A {L}</section><section class=b><p>B</section>", "A {L}\nB"),
+    ("<body><article><header><h1>Head</h1></header><div><p>{L}</div></article>", "Head\n{L}"),
+    ("<form><h1>H</h1><p>{L}</p></form><footer>f</footer>", "H\n{L}"),
+    ("<div id=page class='content-with-sidebar'><h1>H</h1><p>{L}</p></div><div class=reader-feedback><p>{L} {L}</div>", "H\n{L}"),
+    ("<div class='post share-open'><h1>H</h1><p>{L}</div><div class=share><p>s</div>", "H\n{L}"),
+    ("<nav><ul><li>a</ul></nav><div class=ad>x</div><aside>y</aside><div><div><p>{L}</div></div>", "{L}"),
+    ("<article><h1>T</h1><p>{L}<section id=comments><h3>c</h3><p>{L} {L} {L}</section></article>", "T\n{L}"),
+    ("<nav><ul><li>only this", ""), ("plain &amp; simple", "plain & simple"), ("<p>a <b>b", "a b"), ("a < b <c", "a < b <c"),
+    ("<p>x<!-- never closed <p>y", "x"), ("<p title='>'>x</p><p title='a>y", "x\ny"), ("<![CDATA[ 1 < 2 ]]>", "1 < 2"),
+]
+
+
+@pytest.mark.parametrize("page, want", SHAPES)
+def test_page_shapes(page, want):
+    words = LONG.strip()
+    assert html.main_text(html.parse(page.replace("{L}", words)), None) == want.replace("{L}", words)
+
+
+def test_paths_give_way_to_the_story(spark):
+    """A teaser on the host's path does not stand for an article elsewhere; a short article on it does."""
+    words = LONG.strip()
+    usual = [f"<div class=post><h1>N{i}</h1><p>{words} {i}</div>" for i in range(4)]
+    pages = [*usual, f"<div class=post><p>teaser</div><article><h1>S</h1><p>{words} {words}</article>", "<div class=post><h1>Short</h1></div><p>stray text</p>"]
+    df = spark.createDataFrame([(i, "http://h.example/x", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.page_texts(df).collect()}
+    assert got[0] == f"N0\n{words} 0" and got[4] == f"S\n{words} {words}" and got[5] == "Short"
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<a \"" * 250_000, "<div>" * 100_000 + "x" + "</div>" * 100_000, '<div class="c1 d">' * 50_000 + "x",
+    "<div>" * 50_000 + "</p>" * 50_000, "<select>" * 100_000, "<div " + "a" * 1_000_000 + ">x", "<!-" * 300_000, '<p class="menu">' * 30_000,
+])
+def test_long_pages_take_time_in_proportion(page):
+    """Twice the page takes about twice the time: quadratic scans of these would take minutes."""
+    start = time.perf_counter()
+    html.main_text(html.parse(page), None)
+    assert time.perf_counter() - start < 15
+
+
+def words_of(page):
+    """Visible words of a page without markup, plainly: what may be in a text at all."""
+    page = re.sub("(?s)<(script|style|head)\\b.*?</\\1>|<!--.*?-->", " ", page)
+    return html.entities.unescape(re.sub("<[^>]*>", " ", page)).split()
+
+
+def test_no_article_loses_text(tables):
+    """Against the article elements of the test pages, cut out by hand."""
+    seen = 0
+    for r in tables.pages.collect():
+        found = re.findall("(?s)<article>(.*?)</article>", r["html"] or "")
+        if len(found) != 1 or re.search("<(aside|nav|form|header|footer)|class=", found[0]):
+            continue
+        seen += 1
+        assert html.main_text(html.parse(r["html"]), None).split() == words_of(found[0])
+    assert seen >= 40
+
+
 @pytest.mark.parametrize("name", ["op12_phrases", "op13_fill_in_middle"])
 def test_sql(spark, name):
     df = queries.QUERIES[name](spark, ROOT)
