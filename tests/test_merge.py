@@ -55,6 +55,14 @@ def test_duplicates_without_a_match_are_fine(target, feed):
     assert m.upsert(target, feed.filter("bin = 'C9'").drop("scan"), ["bin", "lot"]).count() == 7
 
 
+def test_a_random_source_is_read_once(spark):
+    """Matched and new rows come from one draw: no key is lost or doubled."""
+    t = spark.range(0, 400, 2).select("id", F.lit(0.0).alias("v"))
+    s = spark.range(400).filter(F.rand() < 0.5).select("id", F.rand().alias("v"))
+    got = m.upsert(t, s, ["id"]).select("id").collect()
+    assert len(got) == len({r["id"] for r in got}) and {r["id"] for r in got} >= set(range(0, 400, 2))
+
+
 def test_null_keys_never_match(spark):
     t = spark.createDataFrame([(None, "a"), (1, "b")], "id int, v string")
     s = spark.createDataFrame([(None, "c"), (1, "d")], "id int, v string")

@@ -43,6 +43,13 @@ def test_strategies(tables, no_automatic_broadcast, strategy, node):
     assert node in plan(rel.join_hinted(a, b, "k", "inner", strategy))
 
 
+def test_a_large_side_of_an_unequal_join_is_refused(tables):
+    from tidemark.operators import relational as rel
+
+    with pytest.raises(ValueError, match="limited"):
+        rel.join_unequal(tables.region, tables.orders, F.col("r_regionkey") < F.col("o_orderkey"), limit=10_000)
+
+
 def test_unknown_strategy(tables):
     with pytest.raises(ValueError):
         rel.join_hinted(tables.orders, tables.orders, "o_orderkey", "inner", "sort")

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..sources.files import missing_path
+from ..sources.files import read_kept
 from ..sources.footers import data_files
 from .ordered import position
 
@@ -123,15 +123,7 @@ def kept_index(spark: SparkSession, root: str, keys: Sequence[str], schema: T.St
     keys = list(keys)
     place, here = _folder(root, keys), data_files(spark, root).select("file")
 
-    def held() -> DataFrame | None:
-        try:
-            return spark.read.parquet(place)
-        except Exception as error:
-            if not (hasattr(error, "getCondition") and missing_path(error)):
-                raise
-            return None
-
-    before = held()
+    before = read_kept(spark, place)
     fresh = [r["file"] for r in (here if before is None else here.join(before.select("file"), "file", "left_anti")).collect()]
     if fresh or before is None:
         if fresh:
@@ -146,7 +138,7 @@ def kept_index(spark: SparkSession, root: str, keys: Sequence[str], schema: T.St
         else:
             runs = spark.createDataFrame([], _ROW)
         runs.write.mode("append").parquet(place)
-    return held().join(here, "file", "left_semi")
+    return read_kept(spark, place).join(here, "file", "left_semi")
 
 
 def files_with(spark: SparkSession, root: str, wanted: DataFrame, keys: Sequence[str], schema: T.StructType | None = None) -> list[str]:

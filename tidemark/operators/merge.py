@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..session import settled
 from ..sources import swap
 
 
@@ -91,9 +92,12 @@ def merge(
 
     A left join keeps and changes target rows and an anti join finds new ones.
     Adaptive execution can split a hot key in both, which it cannot do in a
-    full outer join; rows with NULL keys skip the joins altogether.
+    full outer join; rows with NULL keys skip the joins altogether. The source is
+    read by several of these steps, so one that could differ from read to read is
+    stored first.
     """
     keys = list(keys)
+    source = settled(source, "merge-source")
     extra = [f for f in source.schema.fields if f.name not in target.columns]
     if evolve:
         for field in extra:

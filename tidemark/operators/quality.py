@@ -59,10 +59,12 @@ def expect(df: DataFrame, rules: Mapping[str, str], action: str = WARN) -> tuple
     if action == DROP:
         return df.filter(ok), df.filter(~ok), metrics(df, rules)
     if action == FAIL:
-        if not df.filter(~ok).isEmpty():
-            broken = [r["rule"] for r in metrics(df, rules).filter("failed > 0").collect()]
+        counted = metrics(df, rules)
+        rows = counted.collect()  # one row per rule, from the only scan
+        broken = [r["rule"] for r in rows if r["failed"]]
+        if broken:
             raise ExpectationFailed(f"rules violated: {broken}", broken)
-        return df, df.filter(F.lit(False)), metrics(df, rules)
+        return df, df.filter(F.lit(False)), df.sparkSession.createDataFrame(rows, counted.schema)
     raise ValueError(f"unknown action {action!r}")
 
 

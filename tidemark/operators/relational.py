@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .sizes import broadcast_if_small
+from .sizes import BROADCAST_BYTES, broadcast_if_small, measured_bytes
 
 
 def any_ilike(column: str, patterns: Sequence[str]) -> Column:
@@ -58,6 +58,14 @@ def join_broadcast(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> D
     return fact.join(broadcast_if_small(dim), on, how)
 
 
+def join_unequal(left: DataFrame, right: DataFrame, condition: Column, how: str = "inner", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Join on a condition without an equality; ``right`` must be small, as every row of it meets every row of ``left``."""
+    size = measured_bytes(right)
+    if size > limit:
+        raise ValueError(f"the right side takes {size} bytes; a join without an equality is limited to {limit}")
+    return left.join(F.broadcast(right), condition, how)
+
+
 _STRATEGIES = ("broadcast", "merge", "shuffle_hash")
 
 

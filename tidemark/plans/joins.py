@@ -104,8 +104,7 @@ def join_shuffle_hash(t):
 def join_non_equi(t):
     a = t.region.select(F.col("r_regionkey").alias("a_key"), F.col("r_name").alias("from_region"))
     b = t.region.select(F.col("r_regionkey").alias("b_key"), F.col("r_name").alias("to_region"))
-    # Only valid because region is a closed list; join_broadcast checks its size.
-    pairs = rel.join_broadcast(a, b, F.col("a_key") < F.col("b_key"))
+    pairs = rel.join_unequal(a, b, F.col("a_key") < F.col("b_key"))
     found = t.nation.join(pairs, F.col("n_regionkey") == F.col("a_key"))
     return found.groupBy("from_region", "to_region").agg(F.count(F.lit(1)).alias("n"))
 

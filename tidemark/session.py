@@ -92,6 +92,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``df``, stored first if its plan holds an expression that may give other rows at every read, such as ``rand()``."""
+    return df if df._jdf.queryExecution().analyzed().deterministic() else materialize(df, name)
+
+
 class Tables:
     """Lazy access to the Parquet tables below one directory."""
 

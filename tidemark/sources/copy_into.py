@@ -49,7 +49,8 @@ def read_loaded(spark: SparkSession, target: str) -> DataFrame | None:
     try:
         df = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(target)
     except AnalysisException as e:
-        if not missing_path(e):
+        # A load that died before its first file leaves a folder without a schema.
+        if not missing_path(e) and e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         return None
     return df

@@ -6,15 +6,26 @@ import math
 import warnings
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.skew import row_salt
 from . import swap
 
 
-def missing_path(error: Exception) -> bool:
-    """Whether a read failed only because there is nothing at its path."""
-    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+def missing_path(error: AnalysisException) -> bool:
+    """Whether a read failed only because its path does not exist."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def read_kept(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table an earlier call may have kept; None if none did, or if one died before it wrote a file."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as error:
+        if missing_path(error) or error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
 
 
 def scan_parquet(spark: SparkSession, path: str | Sequence[str], merge_schema: bool = False) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .files import missing_path
+from .files import read_kept
 
 FOLDER = "_stats"
 
@@ -156,19 +156,11 @@ def kept_stats(spark: SparkSession, root: str, schema: T.StructType | None = Non
     here = data_files(spark, root)
     same = ["file", "length", "modified"]
 
-    def held() -> DataFrame | None:
-        try:
-            return spark.read.option("mergeSchema", "true").parquet(place)
-        except Exception as error:
-            if not (hasattr(error, "getCondition") and missing_path(error)):
-                raise
-            return None
-
-    before = held()
+    before = read_kept(spark, place)
     fresh = here if before is None else here.join(before.select(*same), same, "left_anti")
     if before is None or not fresh.isEmpty():
         read_footers(fresh, schema).write.mode("append").parquet(place)
-    known = held()
+    known = read_kept(spark, place)
     for name in (n for c in leaves(schema) for n in (f"min_{c}", f"max_{c}", f"nulls_{c}")):
         if name not in known.columns:
             kind = "long" if name.startswith("nulls_") else leaves(schema)[name[4:]]

@@ -268,8 +268,10 @@ def read_ingested(spark: SparkSession, state_dir: str, target: str, mode: str =
         stored = T.StructType([*schema.fields, *([T.StructField(RESCUED, T.StringType())] if mode != "none" else [])])
         try:
             part = spark.read.schema(stored).option("recursiveFileLookup", "true").parquet(f"{target}/schema_version={n}")
-        except AnalysisException:
-            continue
+        except AnalysisException as e:
+            if not missing_path(e):
+                raise
+            continue  # no file came with this version of the schema
         shaped = part.select(
             *[
                 (F.col(f.name) if f.name in schema.names else F.lit(None)).cast(f.dataType).alias(f.name)
