@@ -374,16 +374,22 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
         for text, own in zip(texts.to_pylist(), spans.to_pylist()):
-            kept, removed, runs = keep(text, [(r["a"], r["b"]) for r in own or ()])
+            if own is None:
+                out.append(None)
+                continue
+            kept, removed, runs = keep(text, [(r["a"], r["b"]) for r in own])
             out.append({"kept": kept, "n_removed": removed, "n_spans": runs})
         return pa.array(out, pa.struct([("kept", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64())]))
 
-    joined = texts.join(ranges, ["k1", "k2"], "left").select("doc_id", "t", cut("t", "ranges").alias("c"))
+    # Texts without a repeat stay as they are and never leave the JVM.
+    touched = F.when(F.col("ranges").isNotNull(), F.col("t"))
+    joined = texts.join(ranges, ["k1", "k2"], "left").select("doc_id", "t", cut(touched, "ranges").alias("c"))
+    kept = F.coalesce("c.kept", "t")
     return joined.select(
         "doc_id",
         F.octet_length("t").cast("long").alias("n_bytes"),
-        "c.n_removed",
-        "c.n_spans",
-        F.sha2("c.kept", 256).alias("kept_sha256"),
-        "c.kept",
+        F.coalesce("c.n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("c.n_spans", F.lit(0)).cast("long").alias("n_spans"),
+        F.sha2(kept, 256).alias("kept_sha256"),
+        kept.alias("kept"),
     )
