@@ -217,6 +217,17 @@ def test_scratch_paths_are_fresh(spark):
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
 
 
+def test_scratch_folders(spark):
+    from tidemark import session
+
+    with session.scratch_folder(spark, "stage") as outer:
+        with session.scratch_folder(spark, "part") as inner:
+            table = session.materialize(spark.range(3), "t")
+        assert inner.startswith(outer + "/") and table.inputFiles()[0].removeprefix("file://").startswith(inner + "/")
+        assert session.scratch_path(spark, "x").rsplit("/", 1)[0] == outer
+    assert not session.scratch_path(spark, "x").startswith(outer)
+
+
 def test_message_round_trip(spark):
     from tidemark.sources import messages
 

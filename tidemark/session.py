@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,10 +75,24 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_folder: ContextVar[str | None] = ContextVar("scratch_folder", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unused path below the shared folder."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/tidemark/{app}/{name}-{uuid.uuid4().hex}"
+    """A fresh, unused path below the shared folder, or below the folder of the ``scratch_folder`` around."""
+    below = _folder.get() or f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}"
+    return f"{below}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str):
+    """Gather the tables stored inside the block in one folder, so that they can be deleted together; yields its path."""
+    path = scratch_path(spark, name)
+    token = _folder.set(path)
+    try:
+        yield path
+    finally:
+        _folder.reset(token)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
