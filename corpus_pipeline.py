@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import decontaminate, mixing, simhash, tokenids, toxicity
 from tidemark.llm.common import stored, table
 from tidemark.llm.queries import TOKENIZER
+from tidemark.session import scratch_folder
+from tidemark.sources.swap import remove
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +49,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Result of the last stage. A stage's own tables and its input go once its output is stored."""
+    docs, kept = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with scratch_folder(spark, name) as own:
+            found = stage(spark, docs, sf_dir)
+        with scratch_folder(spark, f"{name}-output") as output:
+            docs = stored(found, name)
+        for done in (own, kept):
+            if done is not None:
+                remove(spark, done)
+        kept = output
     return STAGES[-1][1](spark, docs, sf_dir)
