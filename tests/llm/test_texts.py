@@ -13,7 +13,7 @@ import sentencepiece
 
 from conftest import ROOT, rows
 from oracle import _rows, connect
-from tidemark.llm import fim, html, phrases, pieces, queries
+from tidemark.llm import fim, html, phrases, pieces, queries, simhash
 
 ODD = "doc_id long, text string, lang string, n_chars string, h string"
 ODD_ROWS = [
@@ -259,6 +259,48 @@ def test_trie_bursts_and_runs(monkeypatch):
         assert got == want
 
 
+# --- near copies -----------------------------------------------------------------
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_prefix_pairs_miss_nothing(spark, seed):
+    """Sets of all sizes around shared cores, similarities on both sides of 0.8 and exactly at it."""
+    rnd = random.Random(seed)
+    made = {0: set(range(4)), 1: set(range(5)), 2: {1}, 3: {1}, 4: set(range(100, 109)), 5: set(range(100, 110)) - {101}, 6: set(range(100, 110))}
+    for i in range(7, 160):
+        core = range(1000 * rnd.randrange(4), 1000 * rnd.randrange(4) + rnd.randrange(1, 260))
+        own = [rnd.randrange(10**9) for _ in range(rnd.randrange(0, max(len(core) // 3, 2)))]
+        made[i] = {x for x in core if rnd.random() > 0.06} | set(own)
+        if i % 5 == 0 and made[i - 1]:
+            base = sorted(made[i - 1])
+            made[i] = set(base[: max(1, int(len(base) * rnd.uniform(0.78, 1)))])
+    made = {i: s for i, s in made.items() if s}
+    groups = {i: i % 9 if rnd.random() < 0.5 else i for i in made}
+    rows_ = [(i, np.array(sorted(s), np.int64).tobytes()) for i, s in made.items()]
+    sets = spark.createDataFrame(rows_, "node long, s binary")
+    found = simhash.prefix_pairs(sets, spark.createDataFrame(list(groups.items()), "node long, group long"), 0.8)
+    got = {(r["a"], r["b"]) for r in found.collect()}
+    want = {(a, b) for a in made for b in made if a > b and groups[a] != groups[b] and jaccard(made[a], made[b]) >= 0.8}
+    assert want <= got and all(groups[a] != groups[b] for a, b in got)
+
+
+def test_sets_that_share_a_core_do_not_meet(spark):
+    """300 sets just below 0.8 to each other: without a similar pair there is hardly a pair to compare."""
+    rnd = random.Random(6)
+    core = list(range(200))
+    made = {i: set(core[:172]) | {rnd.randrange(10**6, 10**12) for _ in range(28)} for i in range(300)}
+    assert 0.74 < jaccard(made[0], made[1]) < 0.8
+    made[300] = set(list(made[7])[:-3]) | {5 * 10**12}
+    rows_ = [(i, np.array(sorted(s), np.int64).tobytes()) for i, s in made.items()]
+    groups = spark.createDataFrame([(i, i) for i in made], "node long, group long")
+    got = [tuple(r) for r in simhash.prefix_pairs(spark.createDataFrame(rows_, "node long, s binary"), groups, 0.8).collect()]
+    assert (300, 7) in got and len(got) < 30
+
+
 # --- pages -----------------------------------------------------------------------
 
 LONG = "word " * 60

@@ -15,13 +15,14 @@ sample decides how even the shards are, not what is found.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import fresh, hash_share, prepare, shingle_hashes, stored, text_bytes, with_row_id, words
 
@@ -37,6 +38,9 @@ CELLS = 1 << 21
 #: Bands of MinHash values that bring texts together by their shingle sets, and values per band: two sets of Jaccard
 #: similarity s share a band with probability 1 - (1 - s ** BAND_ROWS) ** BANDS, at 0.8 all but 5 in 100,000 pairs.
 BANDS, BAND_ROWS = 25, 5
+#: Rounds in which one text of each fingerprint and band meets the others, and the step between classes of set sizes.
+HEAD_ROUNDS = 2
+SIZE_STEP = 1.02
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -404,6 +408,63 @@ def _jaccard():
     return of
 
 
+def _occurrences(sets: DataFrame) -> DataFrame:
+    """``node``, ``m``, ``s``: a row for every shingle of every set, with the size of its set."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [np.frombuffer(s, np.int64) for s in batch.column("s").to_pylist()]
+            sizes = np.array([len(h) for h in held], np.int64)
+            nodes = np.repeat(np.asarray(batch.column("node")), sizes)
+            hashes = np.concatenate([*held, np.empty(0, np.int64)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes), pa.array(np.repeat(sizes, sizes)), pa.array(hashes)], names=["node", "m", "s"]
+            )
+
+    return sets.select("node", "s").mapInArrow(spread, "node long, m long, s long")
+
+
+def prefix_pairs(sets: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``a > b`` of sets (``node``, ``s``) of different groups, among them all whose Jaccard similarity reaches ``similarity``.
+
+    In any one order of all shingles, two similar sets of m and k share one of
+    the first ``m - o + 1`` and ``k - o + 1``, where ``o`` is the overlap their
+    sizes ask for. Rare shingles come first, so sets that differ in shingles of
+    their own do not meet, though they share all others. Sizes go by classes of
+    2 %, each pair of classes with prefixes of its own length; shingles of a
+    single set are counted for their places, but make no rows. Under a shingle
+    the sets of its largest group only meet those of others.
+    """
+    t = similarity / (1 + similarity)
+    occurrences = _occurrences(sets)
+    often = occurrences.groupBy("s").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    mine = Window.partitionBy("node")
+    place = F.col("m") - F.count(F.lit(1)).over(mine) + F.row_number().over(mine.orderBy("c", "s"))
+    placed = occurrences.join(often, "s").withColumn("place", place)
+    placed = placed.filter(F.col("place") <= F.col("m") - F.ceil(similarity * F.col("m") - 1e-6) + 1)
+
+    def size_class(m: Column) -> Column:
+        return F.floor(F.log(m.cast("double")) / math.log(SIZE_STEP)).cast("int")
+
+    placed = placed.withColumn("own", size_class(F.col("m")))
+    lowest, highest = size_class(F.ceil(similarity * F.col("m") - 1e-6)), size_class(F.floor(F.col("m") / similarity + 1e-6))
+    aimed = placed.withColumn("other", F.explode(F.sequence(lowest, highest)))
+    least = F.greatest(F.pow(F.lit(SIZE_STEP), F.col("other")) * (1 - 1e-9), similarity * F.col("m"))
+    aimed = aimed.filter(F.col("place") <= F.col("m") - F.ceil(t * (F.col("m") + least) - 1e-6) + 1)
+    key = ["low", "high", "s"]
+    rows = aimed.select(F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "s", "node", "m", "own")
+    rows = stored(rows.join(groups, "node"), "prefixes")
+    counted = rows.groupBy(*key, "group").agg(F.count(F.lit(1)).alias("n"))
+    largest = counted.groupBy(*key).agg(F.max(F.struct("n", "group")).alias("g"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    largest = largest.select(*key, F.col("g.group").alias("largest"))
+    fewer = rows.join(largest, key).filter("group <> largest")
+    fewer = fewer.select(*key, F.col("node").alias("x"), F.col("m").alias("xm"), F.col("own").alias("xo"), F.col("group").alias("xg"))
+    close = F.least("m", "xm") + 1e-9 >= similarity * F.greatest("m", "xm")
+    apart = (F.col("group") != F.col("xg")) & ((F.col("low") == F.col("high")) | (F.col("own") != F.col("xo")))
+    pairs = fewer.join(rows, key).filter(close & apart)
+    return pairs.select(F.greatest("node", "x").alias("a"), F.least("node", "x").alias("b")).distinct()
+
+
 def drop_near_copies(
     docs: DataFrame, n: int = 5, similarity: float = 0.8, distance: int = 5, seeds: tuple[int, ...] = (42, 43)
 ) -> DataFrame:
@@ -414,12 +475,12 @@ def drop_near_copies(
     fingerprints over distinct words, one per seed, linked at ``distance`` bits,
     and from bands of MinHash values of the shingle sets, which meet with a
     probability that depends on the similarity alone and not on where a text
-    was edited. The links of the fingerprints are compared first. Then the texts
-    of each fingerprint and band are compared across the groups found so far, a
-    few texts of each with all others at a time, until every two texts that
-    share one are in one group or were compared. Comparisons are exact and only
-    similar pairs join groups. Equal texts form one class
-    beforehand. The row of the smallest id stays, null ids last, then the first
+    was edited. The links of the fingerprints are compared first, then ``HEAD_ROUNDS``
+    times one text of each fingerprint and band with all others of it that are
+    not in its group yet. What still shares one across groups goes through an
+    exact join on rare shingles, which finds every similar pair among these
+    texts without comparing all that share a band. Comparisons are exact and
+    only similar pairs join groups. Equal texts form one class beforehand. The row of the smallest id stays, null ids last, then the first
     stored row. Null texts count as empty; texts without words are near copies
     of each other. Repeated rows leave one row; an empty table stays empty.
     """
@@ -463,16 +524,20 @@ def drop_near_copies(
         )
         return stored(compared.filter(_jaccard()("sa", "sb") >= similarity).select("a", "b"), "alike")
 
-    similar, at_once = alike(tried), 1
-    while True:
+    # Texts of one set of shingles, and all without shingles, hang on their first.
+    twins = sets.withColumn("h", F.xxhash64("s")).withColumn("head", F.min("node").over(Window.partitionBy("h")))
+    twins = twins.filter("head < node").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    tried = stored(tried.unionByName(twins).distinct(), "candidates")
+    similar = alike(tried)
+    for turn in range(HEAD_ROUNDS + 1):
         roots = stored(star_components(similar), "roots")
         met = met.join(roots, "node", "left").select("key", "node", "m", F.coalesce("root", "node").alias("group"))
         split_keys = met.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
         met = stored(met.join(split_keys, "key", "left_semi"), "met")
-        if met.isEmpty():
+        if turn == HEAD_ROUNDS or met.isEmpty():
             break
         place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("node"), "node"))
-        heads = stored(met.withColumn("place", place).filter(F.col("place") <= at_once).drop("place"), "heads")
+        heads = stored(met.withColumn("place", place).filter("place = 1").drop("place"), "heads")
         other = heads.select("key", F.col("node").alias("head"), F.col("m").alias("hm"), F.col("group").alias("hg"))
         # A set is at most as similar to another as the smaller is large.
         close = F.least("m", "hm") + 1e-9 >= similarity * F.greatest("m", "hm")
@@ -482,7 +547,11 @@ def drop_near_copies(
         similar, tried = similar.unionByName(alike(pairs)), tried.unionByName(pairs)
         # Heads have met everyone of their keys.
         met = met.join(heads.select("key", "node"), ["key", "node"], "left_anti").select("key", "node", "m")
-        at_once *= 4
+    open_ = met.select("node", "group").distinct()
+    if not open_.isEmpty():
+        pairs = prefix_pairs(sets.join(open_, "node", "left_semi"), open_, similarity)
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
+        roots = stored(star_components(similar.unionByName(alike(pairs))), "roots")
     members = slim.join(classes.select("k1", "k2", "node"), ["k1", "k2"]).join(roots, "node", "left")
     kept = members.groupBy(F.coalesce("root", "node").alias("group")).agg(F.min_by("rid", first).alias(rid)).select(rid)
     return whole.join(kept, rid, "left_semi").drop(rid)
