@@ -13,7 +13,7 @@ import sentencepiece
 
 from conftest import ROOT, rows
 from oracle import _rows, connect
-from tidemark.llm import fim, html, phrases, pieces, queries, simhash
+from tidemark.llm import fim, html, licenses, phrases, pieces, queries, simhash
 
 ODD = "doc_id long, text string, lang string, n_chars string, h string"
 ODD_ROWS = [
@@ -301,6 +301,41 @@ def test_sets_that_share_a_core_do_not_meet(spark):
     assert (300, 7) in got and len(got) < 30
 
 
+# --- licenses --------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("text, want", [
+    ("Licensed under CC BY 3.0.", []), ("Licensed under CC BY 4.0.", ["CC-BY-4.0"]), ("Licensed under CC BY-SA 4.0. All rights reserved.", ["CC-BY-SA-4.0", "proprietary"]),
+    ("This work is licensed under the GNU General Public License, version 9.", []), ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0"]),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]),
+    ("Licensed under the Apache License, Version 1.1.", []), ("// SPDX-License-Identifier: Apache-2.0", ["Apache-2.0"]), ("Licensed under the ISC License.", ["ISC"]),
+    ("Released under the BSD 4-Clause License.", ["BSD-4-Clause"]), ("some words before All rights reserved.", ["proprietary"]), ("a license to read", []),
+])
+def test_licenses_by_savings_with_exact_versions(text, want):
+    assert [r["license"] for r in licenses.Scanner().scan(text)] == want
+
+
+def test_every_template_is_found_whole():
+    """Each wording, its slots filled, names its own license and differs in no word."""
+    scanner = licenses.Scanner()
+    for name, wording in licenses.TEMPLATES:
+        found = scanner.scan("intro words\n\n" + wording.format("2031", "Somebody") + "\n\nmore words")
+        assert [r["license"] for r in found][:1] == [name] and found[0]["n_missing"] + found[0]["n_added"] == 0
+
+
+def test_long_lines_are_aligned_in_windows(monkeypatch):
+    rnd = random.Random(3)
+    words = [rnd.choice(["alpha", "beta", "license", "copyright"]) for _ in range(3000)]
+    for at in (5, 99, 100, 640, 1023, 1500, 2980):
+        words[at : at + 5] = "Released under the MIT License.".split()
+    text = " ".join(words)
+    whole = licenses.Scanner().scan(text)
+    monkeypatch.setattr(licenses, "WINDOW", 64)
+    cut = licenses.Scanner().scan(text)
+    key = [(r["license"], r["matched"]) for r in whole]
+    assert key == [(r["license"], r["matched"]) for r in cut] and len([k for k in key if k[0] == "MIT"]) >= 6
+
+
 # --- pages -----------------------------------------------------------------------
 
 LONG = "word " * 60

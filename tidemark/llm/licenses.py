@@ -2,14 +2,17 @@
 
 Lines of a text that carry a word of licensing, and the lines next to them as
 far as a template reaches, are candidate blocks; a line without words ends a
-block, as templates are single paragraphs. Every template of which a block holds
-enough words is aligned with the block at the lowest cost: the words that must
-be inserted or deleted to turn the template into a passage of the block, of
-which a small share is allowed. Of passages that overlap the one with the
-smallest share stays; among equal shares decides conditional compression: the
-passage is compressed alone and with each template as a raw zstandard
-dictionary, and the more of a template it repeats, the more bytes the dictionary
-saves. Years, names and version numbers in a template stand as slots.
+block, as templates are single paragraphs. A block is compressed alone and with
+each template as a raw zstandard dictionary: the more of a template it repeats,
+the more bytes the dictionary saves. In order of these savings the templates are
+confirmed by wording: a template is aligned with the block at the lowest cost,
+the words that must be inserted or deleted to turn it into a passage of the
+block, of which a small share is allowed. Savings count by the share of words confirmed,
+and the passage that counts most is taken before those it overlaps.
+Every template that the block has enough words for is tried, none is cut off by
+its rank. Words with digits, such as versions, must be there as they are. Years,
+names and places in a template stand as slots; the words around a slot must be
+there, too.
 """
 
 from __future__ import annotations
@@ -30,11 +33,13 @@ CUES = r"(?i)licen[sc]|copyright|copyleft|\(c\)\s*\d|©|permission|warrant|redis
 SLOT = 6
 #: Share of words that may differ.
 DIFFERENT = 0.2
+#: Words that are aligned at a time; a longer block goes in windows that overlap by the longest match.
+WINDOW = 1024
 #: Compression level.
 LEVEL = 3
 
 # Wordings of common licenses and notices; {} stands for a name, year or place.
-TEMPLATES: tuple[tuple[str, str], ...] = (
+WORDINGS: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "This project is licensed under the MIT License - see the LICENSE file for details."),
@@ -65,6 +70,13 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("proprietary", "All rights reserved."),
     ("proprietary", "Copyright {} {}. All rights reserved."),
+    ("BSD-4-Clause", "Released under the BSD 4-Clause License."),
+    ("ISC", "Licensed under the ISC License."),
+)
+
+#: The wordings and a tag line for every license of a name of its own.
+TEMPLATES = WORDINGS + tuple(
+    (name, f"SPDX-License-Identifier: {name}") for name in dict.fromkeys(n for n, _ in WORDINGS) if name not in ("BSD", "proprietary")
 )
 
 _CUE = regex.compile(CUES)
@@ -84,6 +96,10 @@ class Scanner:
         # A slot is a row of steps that each take any word, or none, at no cost.
         self.steps = [[x for w in ws for x in ([w] * SLOT if w == "{}" else [w])] for ws in self.words]
         self.bags = [Counter(w for w in ws if w != "{}") for ws in self.words]
+        # Words that may not be missing: those with digits, and those next to a slot, which say where it begins and ends.
+        self.needed = [
+            {w for w in ws if _has_digit(w)} | {w for pair in zip(ws, ws[1:]) if "{}" in pair for w in pair if w != "{}"} for ws in self.words
+        ]
         self.allowed = [int(DIFFERENT * len(ws) + 1e-9) for ws in self.words]
         self.reach = max((len(st) + cost for st, cost in zip(self.steps, self.allowed)), default=0)
         self.alone = zstandard.ZstdCompressor(level=LEVEL)
@@ -99,11 +115,11 @@ class Scanner:
     def plain(text: str) -> str:
         return " ".join(text.lower().split())
 
-    def saving(self, block: str, i: int) -> float:
-        """Share of the compressed block that a template as a dictionary saves."""
+    def savings(self, block: str) -> list[float]:
+        """Share of the compressed block that each template as a dictionary saves."""
         data = self.plain(block).encode()
         size = len(self.alone.compress(data))
-        return (size - len(self.given[i].compress(data))) / size
+        return [(size - len(g.compress(data))) / size for g in self.given]
 
     def align(self, i: int, block: list[str]) -> tuple[int, int, list[str], list[str]] | None:
         """Words of the block that the template matches best (from, to), and words missing and added; None beyond the allowed cost."""
@@ -135,17 +151,36 @@ class Scanner:
 
     def matches(self, i: int, block: list[str], low: int, high: int) -> list[tuple[int, int, list[str], list[str]]]:
         """Passages of ``block[low:high]`` that a template matches, none of which overlap."""
+        longest = len(self.steps[i]) + self.allowed[i]
+        if high - low <= WINDOW + longest:
+            return self._matches(i, block, low, high)
+        found = []
+        for at in range(low, high, WINDOW):
+            found += self._matches(i, block, at, min(at + WINDOW + longest, high))
+        # Windows share their edges: of passages found twice or in part the better one stays.
+        kept, taken = [], np.zeros(high - low, bool)
+        for m in sorted(found, key=lambda m: (len(m[2]) + len(m[3]), m[0] - m[1], m[0])):
+            part = taken[m[0] - low : m[1] - low]
+            if not part.any():
+                part[:] = True
+                kept.append(m)
+        return kept
+
+    def _matches(self, i: int, block: list[str], low: int, high: int) -> list[tuple[int, int, list[str], list[str]]]:
         found, todo = [], [(low, high)]
         while todo:
             low, high = todo.pop()
-            # A match lacks at most the allowed number of words, so fewer in the whole part rule the template out.
+            # A match lacks at most the allowed number of words, so fewer in the whole part rule the template out;
+            # so does a needed word that is not there at all.
             held = Counter(w for w in block[low:high] if w in self.bags[i])
-            if sum((self.bags[i] - held).values()) > self.allowed[i]:
+            lacking = self.bags[i] - held
+            if sum(lacking.values()) > self.allowed[i] or not self.needed[i].isdisjoint(lacking):
                 continue
             best = self.align(i, block[low:high])
             if best and best[1] > best[0]:
                 begin, end = low + best[0], low + best[1]
-                found.append((begin, end, *best[2:]))
+                if self.needed[i].isdisjoint(best[2]):
+                    found.append((begin, end, *best[2:]))
                 todo += [(low, begin), (end, high)]
         return found
 
@@ -183,15 +218,15 @@ class Scanner:
         for block, at, parts in self.blocks([wording(r) for r in rows], cued):
             tried = []
             for low, high in parts:
-                for i in range(len(self.templates)):
+                saved = self.savings("\n".join(rows[at[low] : at[high - 1] + 1]))
+                for i in sorted(range(len(self.templates)), key=lambda i: (-saved[i], i)):
                     for begin, end, missing, added in self.matches(i, block, low, high):
-                        first, last = at[begin], at[end - 1]
-                        if any(cued[first : last + 1]):
-                            saved = self.saving("\n".join(rows[first : last + 1]), i)
+                        if any(cued[at[begin] : at[end - 1] + 1]):
+                            # Close savings are settled by the share of the wording that is confirmed.
                             share = (len(missing) + len(added)) / max(len(self.words[i]), 1)
-                            tried.append((share, -saved, i, begin, end, missing, added))
+                            tried.append((saved[i] * (1 - share), saved[i], i, begin, end, missing, added))
             taken = np.zeros(len(block), bool)
-            for _, saved, i, begin, end, missing, added in sorted(tried):
+            for _, saving, i, begin, end, missing, added in sorted(tried, key=lambda t: -t[0]):
                 if taken[begin:end].any():
                     continue
                 taken[begin:end] = True
@@ -203,7 +238,7 @@ class Scanner:
                         "length": starts[last + 1] - 1 - starts[first],
                         "license": self.templates[i][0],
                         "template": i,
-                        "saving": float(-saved),
+                        "saving": float(saving),
                         "n_missing": len(missing),
                         "n_added": len(added),
                         "missing": " ".join(missing),
@@ -214,6 +249,10 @@ class Scanner:
         return [row for *_, row in sorted(found, key=lambda f: f[:2])]
 
 
+def _has_digit(word: str) -> bool:
+    return any(c.isdigit() for c in word)
+
+
 _SPAN = (
     "array<struct<line:int,start:long,length:long,license:string,template:int,saving:double,n_missing:int,n_added:int,"
     "missing:string,added:string,matched:string>>"
@@ -227,10 +266,11 @@ def license_lines(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     Every line with a licensing word is tried together with the lines around
     it, whatever the length of the text; several passages of a line each give a
     row. A passage whose wording differs from every template in more than a
-    fifth of its words gives none. Of overlapping passages that fit equally
-    well the one whose template saves more is named, of equal savings the first
-    listed. Null and empty texts give none. Repeated rows each give their
-    passages; other columns are ignored.
+    fifth of its words, or lacks one with a digit or next to a slot, gives none. Of
+    overlapping passages the one whose template saves the block more is named,
+    savings less the share of words that differ, of equal ones the first listed. Null and empty texts give none, and so
+    does an empty table. Repeated rows each give their passages; other columns
+    are ignored.
     """
     prepare(docs.sparkSession)
 
