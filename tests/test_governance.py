@@ -165,3 +165,11 @@ def test_profiled_tags(spark):
     columns = g.schema_inventory(spark, {"t": df, "u": df.select("id")})
     found = g.tag_inventory(columns, g.profile_tags(df, "t"))
     assert found.filter("table = 'u'").collect()[0]["tag"] is None and found.count() == 7
+
+
+def test_all_privileges_do_not_manage(access, spark):
+    grants, tree, members = access
+    more = grants.unionAll(spark.createDataFrame([("bob", "ALL PRIVILEGES", "catalog"), ("ann", "MANAGE", "t2"), ("team", "MODIFY", "t1")], grants.schema))
+    got = set(rows(g.access_levels(more, tree, members)))
+    assert {level for user, _, level in got if user == "bob"} == {"browse", "read", "edit"}
+    assert ("ann", "t2", "manage") in got and ("ann", "t1", "edit") in got and ("ann", "t2", "edit") not in got

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -328,6 +329,30 @@ def effective_access(grants: DataFrame, hierarchy: DataFrame, members: DataFrame
     return pairs
 
 
+#: Levels of access and the privileges each needs; all privileges together imply every one but the right to manage.
+LEVELS = {
+    "browse": ("BROWSE",),
+    "read": ("USE CATALOG", "USE SCHEMA", "SELECT"),
+    "edit": ("USE CATALOG", "USE SCHEMA", "SELECT", "MODIFY"),
+    "manage": ("MANAGE",),
+}
+
+
+def access_levels(
+    grants: DataFrame, hierarchy: DataFrame, members: DataFrame, levels: Mapping[str, Sequence[str]] = LEVELS, all_but: Sequence[str] = ("MANAGE",)
+) -> DataFrame:
+    """``(user, object, level)`` for every level of which a user holds all privileges on an object.
+
+    Frames as in ``effective_access``. ``ALL PRIVILEGES`` implies each privilege
+    that is not in ``all_but``.
+    """
+    found = []
+    for level, needed in levels.items():
+        needs = {n: [] if n in all_but else ["ALL PRIVILEGES"] for n in needed}
+        found.append(effective_access(grants, hierarchy, members, needs).withColumn("level", F.lit(level)))
+    return reduce(DataFrame.unionAll, found)
+
+
 def revoke(grants: DataFrame, principal: str, privilege: str, obj: str) -> DataFrame:
     """Grants without one entry; the same privilege granted on a parent stays."""
     gone = (F.col("principal") == principal) & (F.col("privilege") == privilege) & (F.col("object") == obj)

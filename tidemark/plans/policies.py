@@ -208,6 +208,37 @@ def effective_access(t):
     return g.effective_access(grants, tree, members, needs)
 
 
+@query("access_levels", """
+    WITH home AS (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey),
+      gr AS (SELECT DISTINCT c_mktsegment AS principal, 'USE CATALOG' AS privilege, 'r' || n_regionkey AS obj FROM home WHERE c_acctbal > 9000
+        UNION SELECT 'c' || c_custkey, 'USE SCHEMA', 'n' || n_nationkey FROM home
+        UNION SELECT 'c' || c_custkey, 'ALL PRIVILEGES', 'n' || n_nationkey FROM home WHERE c_acctbal > 5000
+        UNION SELECT 'c' || o_custkey, 'SELECT', 's' || l_suppkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        UNION SELECT 'c' || c_custkey, 'MODIFY', 'r' || n_regionkey FROM home WHERE c_acctbal BETWEEN 0 AND 3000
+        UNION SELECT c_mktsegment, 'BROWSE', 'n' || n_nationkey FROM home WHERE c_acctbal < 0
+        UNION SELECT 'c' || c_custkey, 'MANAGE', 'n' || n_nationkey FROM home WHERE c_acctbal > 9500),
+      tree AS (SELECT 's' || s_suppkey AS obj, unnest(['s' || s_suppkey, 'n' || n_nationkey, 'r' || n_regionkey]) AS anc
+               FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+      mem AS (SELECT 'c' || c_custkey AS usr, unnest(['c' || c_custkey, c_mktsegment]) AS principal FROM customer),
+      lv(level, need, n) AS (VALUES ('browse', 'BROWSE', 1), ('read', 'USE CATALOG', 3), ('read', 'USE SCHEMA', 3), ('read', 'SELECT', 3),
+        ('edit', 'USE CATALOG', 4), ('edit', 'USE SCHEMA', 4), ('edit', 'SELECT', 4), ('edit', 'MODIFY', 4), ('manage', 'MANAGE', 1)),
+      held AS (SELECT DISTINCT usr, tree.obj AS obj, privilege FROM gr JOIN tree ON gr.obj = anc JOIN mem USING (principal))
+    SELECT usr AS "user", obj AS "object", level FROM held
+    JOIN lv ON privilege = need OR (privilege = 'ALL PRIVILEGES' AND need <> 'MANAGE')
+    GROUP BY usr, obj, level, n HAVING count(DISTINCT need) = n""")
+def access_levels(t):
+    grants, tree, members = access_frames(t)
+    homes = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    user = F.concat(F.lit("c"), F.col("c_custkey").cast("string"))
+    schema, catalog = (F.concat(F.lit(p), F.col(c).cast("string")) for p, c in (("n", "n_nationkey"), ("r", "n_regionkey")))
+    more = (
+        homes.filter("c_acctbal BETWEEN 0 AND 3000").select(user, F.lit("MODIFY"), catalog)
+        .unionAll(homes.filter("c_acctbal < 0").select("c_mktsegment", F.lit("BROWSE"), schema))
+        .unionAll(homes.filter("c_acctbal > 9500").select(user, F.lit("MANAGE"), schema))
+    )
+    return g.access_levels(grants.unionAll(more).distinct(), tree, members)
+
+
 PROFILED = {
     "nation": ("n_nationkey", "n_name", "n_regionkey"),
     "supplier": ("s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
