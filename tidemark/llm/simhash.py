@@ -24,6 +24,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import scratch_folder
+from ..sources.swap import remove
 from .common import fresh, hash_share, prepare, shingle_hashes, stored, text_bytes, with_row_id, words
 
 WORDS = 3
@@ -484,14 +486,27 @@ def drop_near_copies(
     stored row. Null texts count as empty; texts without words are near copies
     of each other. Repeated rows leave one row; an empty table stays empty.
     """
-    prepare(docs.sparkSession)
+    spark = prepare(docs.sparkSession)
     rid = fresh(docs.columns)
     whole = with_row_id(docs, "docs", rid)
+    first = F.struct(F.col("id").isNull(), "id", "rid")
+    with scratch_folder(spark, "near-copies") as own:
+        slim, classes, roots = _near_copies(whole, rid, first, n, similarity, distance, seeds)
+    members = slim.join(classes.select("k1", "k2", "node"), ["k1", "k2"]).join(roots, "node", "left")
+    kept = members.groupBy(F.coalesce("root", "node").alias("group")).agg(F.min_by("rid", first).alias(rid)).select(rid)
+    kept = stored(kept, "kept")
+    remove(spark, own)
+    return whole.join(kept, rid, "left_semi").drop(rid)
+
+
+def _near_copies(
+    whole: DataFrame, rid: str, first: Column, n: int, similarity: float, distance: int, seeds: tuple[int, ...]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with their text's hashes, the classes of equal texts, and the group of each class that is in one."""
     text = text_bytes()
     keys = [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
     slim = whole.select(F.col(rid).alias("rid"), F.col("doc_id").alias("id"), *keys, _drop_prints(seeds)(text).alias("fps"), _band_prints(n)(text).alias("bands"))
     slim = stored(slim, "prints")
-    first = F.struct(F.col("id").isNull(), "id", "rid")
     classes = slim.groupBy("k1", "k2").agg(*(F.min_by(c, first).alias(x) for c, x in (("rid", "node"), ("fps", "fps"), ("bands", "bands"))))
     classes = stored(classes, "classes")
     parts = []
@@ -552,6 +567,4 @@ def drop_near_copies(
         pairs = prefix_pairs(sets.join(open_, "node", "left_semi"), open_, similarity)
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
         roots = stored(star_components(similar.unionByName(alike(pairs))), "roots")
-    members = slim.join(classes.select("k1", "k2", "node"), ["k1", "k2"]).join(roots, "node", "left")
-    kept = members.groupBy(F.coalesce("root", "node").alias("group")).agg(F.min_by("rid", first).alias(rid)).select(rid)
-    return whole.join(kept, rid, "left_semi").drop(rid)
+    return slim, classes, roots
