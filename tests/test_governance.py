@@ -173,3 +173,13 @@ def test_all_privileges_do_not_manage(access, spark):
     got = set(rows(g.access_levels(more, tree, members)))
     assert {level for user, _, level in got if user == "bob"} == {"browse", "read", "edit"}
     assert ("ann", "t2", "manage") in got and ("ann", "t1", "edit") in got and ("ann", "t2", "edit") not in got
+
+
+def test_an_owner_is_out_of_some_policies_only(tables):
+    from tidemark.plans import policies as p
+
+    found = g.resolve("orders", tables.orders.columns, p.ORDER_TAGS, p._order_policies(), p.TREASURER)
+    assert [(policy.name, column) for policy, column in found] == [("buyer_bucket", "o_custkey")]
+    seen = p.abac_apply_owner(tables)
+    assert seen.count() == tables.orders.count() and seen.filter("o_custkey NOT BETWEEN -15 AND 0").count() == 0
+    assert seen.drop("o_custkey").exceptAll(tables.orders.drop("o_custkey")).count() == 0

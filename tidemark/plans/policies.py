@@ -94,7 +94,8 @@ ORDER_TAGS = (
     g.Tag("orders", "o_orderdate", "measure", "time"), g.Tag("orders", None, "stage", "booked"),
 )
 CLERK = g.Principal("clerk-12", frozenset({"desk"}))
-TREASURER = g.Principal("treasurer-1", frozenset({"desk", "treasury", "collections"}))
+#: Out of most policies, but not of the one that hides buyers.
+TREASURER = g.Principal("treasurer-1", frozenset({"desk", "treasury"}))
 
 
 def _order_policies():
@@ -116,7 +117,8 @@ def abac_apply(t):
     return g.abac_apply(t.orders, "orders", ORDER_TAGS, _order_policies(), CLERK)
 
 
-@query("abac_apply_owner", "SELECT * FROM orders")
+@query("abac_apply_owner", """
+    SELECT o_orderkey, -(o_custkey % 16) AS o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
 def abac_apply_owner(t):
     return g.abac_apply(t.orders, "orders", ORDER_TAGS, _order_policies(), TREASURER)
 
