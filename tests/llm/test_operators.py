@@ -524,6 +524,32 @@ def test_language_model_rare_words(spark, small, monkeypatch):
         assert r["n_known"] == before[r["doc_id"]]["n_known"]
 
 
+def test_language_model_counts_pairs_of_all_words(spark, small, monkeypatch):
+    """No pair is lost to the size of the vocabulary or of the filter: scores are the same with hardly any room for either."""
+    docs, rows = small
+    texts = docs.selectExpr("cast(text as binary) as t").filter("t is not null")
+    want = collections.Counter()
+    for _, t, _ in rows:
+        if t is not None:
+            tokens = [*words(t.encode()), b"\n"]
+            want.update(zip(tokens, tokens[1:]))
+    want = sorted(n for n in want.values() if n >= language_model.LEAST_PAIRS)
+    monkeypatch.setattr(language_model, "HEAD", 20)
+    model, lexicon = language_model.train(texts)[:2]
+    monkeypatch.setattr(language_model, "GROUP_PAIRS", model.n // 5)
+    found = language_model.pair_counts(texts, lexicon, model.n).collect()
+    assert sorted(r["c"] for r in found) == want and any(r["first"] < 0 for r in found)
+    monkeypatch.undo()
+    before = {r["doc_id"]: r["score"] for r in got(language_model.lm_scores(docs))}
+    for head, bits in ((20, language_model.PAIR_BITS), (50, 1 << 12), (language_model.HEAD, 1 << 3)):
+        monkeypatch.setattr(language_model, "HEAD", head)
+        monkeypatch.setattr(language_model, "PAIR_BITS", bits)
+        after = {r["doc_id"]: r["score"] for r in got(language_model.lm_scores(docs))}
+        # The filter's rare false hits differ, as different pairs are in it.
+        assert all(math.isclose(s, before[d], rel_tol=5e-3) for d, s in after.items()), (head, bits)
+        assert np.mean([math.isclose(s, before[d], rel_tol=1e-6) for d, s in after.items()]) > 0.9, (head, bits)
+
+
 def test_log_filter(spark):
     rng = np.random.default_rng(1)
     keys = rng.integers(-(2**62), 2**62, 5000)

@@ -6,23 +6,25 @@ up to its own, so a level is read back by probing one level after another until
 a probe fails. A false positive needs all probes of a level to hit by chance,
 and each further level as many again, so errors are small and rare.
 
-The model is a pair model over a closed vocabulary of the most frequent words,
-interpolated with single words::
+The model is a pair model over all words, interpolated with single words::
 
     P(w | v) = (q(v, w) + (C(v) - S(v)) * P(w)) / C(v),  C(v) = max(c(v), S(v)) + T(v)
     P(w)     = (q(w) + 1/2) / (Q + (V + 1) / 2)
 
 with q the middle of a level, c(v) the count of v, S, T sum and number of the
-kept pairs that begin with v, and Q, V sum and number of all words. What the
-kept pairs leave of v goes to single words. All sums run over quantised values,
-so probabilities add up to one but for false positives. Words outside the
-vocabulary have no pairs.
+kept pairs that begin with v, and Q, V sum and number of all words. Pairs of
+any two words count, if seen ``LEAST_PAIRS`` times; what the kept pairs leave
+of v goes to single words. All sums run over quantised values, so probabilities
+add up to one but for false positives.
 
 Everything the corpus gives is counted over all training rows. What is sent to
-the workers is bounded: the filter has at most ``MAX_BITS`` bits and the
-vocabulary ``HEAD`` words. Up to there the filter grows with the number of
-n-grams; beyond, the pairs of the lowest levels are left out of the filter, as
-many levels as it takes, and back off to single words.
+the workers is bounded: the filters of words and of pairs have at most
+``MAX_BITS`` and ``PAIR_BITS`` bits, and exact counts and sums go out for
+``HEAD`` words. Up to there the filters grow with the number of n-grams. What
+does not go out is looked up exactly: pairs whose levels have no room in the
+filter, pairs that begin with a word beyond the ``HEAD`` and the sums of such
+words are kept in a table, and a document's n-grams that may be in it leave as
+(row, key) and meet them in a join.
 
 The base score needs the exact count of every word. Counts of the vocabulary go
 to the workers; rarer words leave a document as (row, word, times) and meet
@@ -38,24 +40,32 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from .common import fold, prepare, stored, text_bytes, words
 
 #: The end of a text; holds white space, so it is no word.
 END = b"\n"
-#: Words whose exact counts go to the workers, and of these the ones that form pairs.
+#: Words whose exact counts and sums of pairs go to the workers.
 HEAD = 1 << 17
-PAIRED = 1 << 15
 PROBES = 2
 BITS_PER_ENTRY = 8
+#: Bits of the filter of words, and at most of the filter of pairs.
 MIN_BITS, MAX_BITS = 1 << 20, 1 << 28
+PAIR_BITS = 1 << 28
 #: Pairs seen less often are left out; a pair seen once says little.
 LEAST_PAIRS = 2
+LEAST_LEVEL = LEAST_PAIRS.bit_length()
 TRAIN_FOLD, FOLDS = 1, 5
 #: Segments of the filter, each put together by one task.
 SEGMENTS = 64
 
+#: Set in the numbers of words beyond the head.
+BEYOND = np.uint64(1 << 63)
+#: Pairs gathered in a task before they are summed and sent, and pairs that one group gets at most.
+HELD_PAIRS, GROUP_PAIRS = 400_000, 1_000_000
+
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -86,8 +96,8 @@ def word_key(word: bytes) -> int:
 
 
 def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Numbers of pairs of vocabulary words; the words' own keys are hashes, so the two kinds hardly meet."""
-    return _spread((first.astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64))
+    """Keys of pairs of words, from the numbers of the words."""
+    return _spread(_spread(first + np.uint64(0xC2B2AE3D27D4EB4F)) + second)
 
 
 class LogFilter:
@@ -112,55 +122,87 @@ class LogFilter:
         return found
 
 
-class Model:
-    """What the workers get: the filter, the vocabulary with exact counts, and sums."""
+class Lexicon:
+    """What the workers know of single words: the filter of all, and exact counts of the most frequent."""
 
-    def __init__(self, filter_: LogFilter, head: dict[bytes, int], counts: np.ndarray, totals: tuple, sums: np.ndarray, kinds: np.ndarray):
-        self.filter, self.head, self.counts = filter_, head, counts
-        self.n, self.v, self.q = totals
-        self.sums, self.kinds = sums, kinds
-        self.base = np.log10((counts + 0.5) / (self.n + 0.5 * (self.v + 1)))
+    def __init__(self, filter_: LogFilter, head: dict[bytes, int]):
+        self.filter, self.head = filter_, head
+
+    def read(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of the texts, where each text begins, and each token's place in the head (or -1), number and level.
 
-    def score_batch(self, texts: list[bytes]) -> Iterator[tuple[int, int, float, float, dict[bytes, int]]]:
-        """Per text: tokens, known vocabulary tokens, base score of these, score, and its other words with their numbers."""
+        The number of a word of the head is its place, that of any other its hash with the highest bit set.
+        """
+        if not hasattr(self, "keys"):
+            # The last place stands for a word beyond the head.
+            self.keys = np.fromiter(map(word_key, [*self.head, b""]), np.uint64, len(self.head) + 1)
+            self.levels = self.filter.levels(self.keys)
         get = self.head.get
         tokens: list[bytes] = []
-        ends = np.zeros(len(texts), np.int64)
+        starts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
+            starts[i] = len(tokens)
             tokens += words(text)
             tokens.append(END)
-            ends[i] = len(tokens)
-        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
         ids = np.fromiter((get(t, -1) for t in tokens), np.int64, len(tokens))
+        numbers, levels = ids.astype(np.uint64), self.levels[ids]
         rare = np.flatnonzero(ids < 0)
-        keys = self._word_keys(tokens, ids, rare)
-        p = (middle(self.filter.levels(keys)) + 0.5) / (self.q + 0.5 * (self.v + 1))
-        before = np.concatenate([[-1], ids[:-1]])
-        before[starts] = -1
-        paired = np.flatnonzero((before >= 0) & (before < PAIRED) & (ids >= 0) & (ids < PAIRED))
-        known = (before >= 0) & (before < PAIRED)
-        v = before[known]
-        s, c = np.zeros(len(ids)), np.ones(len(ids))
-        s[known], c[known] = self.sums[v], np.maximum(self.counts[v], self.sums[v]) + self.kinds[v]
-        q = np.zeros(len(ids))
-        q[paired] = middle(self.filter.levels(pair_keys(before[paired], ids[paired])))
+        keys = np.fromiter((word_key(tokens[k]) for k in rare.tolist()), np.uint64, len(rare))
+        numbers[rare] = keys | BEYOND
+        levels[rare] = self.filter.levels(keys)
+        return tokens, starts, ids, numbers, levels
+
+
+class Model:
+    """What the workers get for scores: counts and sums of the head, and the filter of pairs."""
+
+    def __init__(self, pairs: LogFilter, counts: np.ndarray, totals: tuple, sums: np.ndarray, kinds: np.ndarray, lowest: int, whole: bool):
+        self.pairs, self.counts, self.sums, self.lowest, self.whole = pairs, counts, sums, lowest, whole
+        self.n, self.v, self.q = totals
+        self.all = np.maximum(counts, sums) + kinds
+        self.base = np.log10((counts + 0.5) / (self.n + 0.5 * (self.v + 1)))
+
+    def score_batch(self, lexicon: Lexicon, texts: list[bytes]) -> Iterator[tuple]:
+        """Per text: tokens, known vocabulary tokens, base score of these, score, its other words with their numbers, and
+        the keys to look up, each with 1 / P(w) for a pair and 0 for the word a pair begins with.
+        """
+        tokens, starts, ids, numbers, levels = lexicon.read(texts)
+        ends = np.append(starts[1:], len(tokens))
+        rare = np.flatnonzero(ids < 0)
+        p = (middle(levels) + 0.5) / (self.q + 0.5 * (self.v + 1))
+        # Words seen less often than any kept pair are in none.
+        often = levels >= LEAST_LEVEL
+        follows = np.ones(len(ids), bool)
+        follows[starts] = False
+        later = np.flatnonzero(follows)
+        later = later[often[later - 1]]
+        v = ids[later - 1]
+        inside = v >= 0
+        ratio = 1.0 / p
+        s, c = self.sums[v[inside]], self.all[v[inside]]
+        paired = np.flatnonzero(often[later])
+        asked = pair_keys(numbers[later - 1][paired], numbers[later][paired])
+        found = np.zeros(len(later), np.int64)
+        found[paired] = self.pairs.levels(asked)
+        found[found < self.lowest] = 0  # the filter has no pair of so low a level
+        at = later[inside]
         seen = s > 0
-        p[seen] = (q[seen] + (c[seen] - s[seen]) * p[seen]) / c[seen]
+        p[at[seen]] = ((middle(found[inside]) + (c - s) * p[at])[seen]) / c[seen]
+        # To be looked up: what the filter may not hold, and all pairs that begin with a word beyond the head.
+        outside = ~inside[paired]
+        open_ = np.where(outside, (found[paired] > 0) | (not self.whole), (found[paired] == 0) & (not self.whole))
+        where = np.concatenate([later[paired][open_], later[~inside]])
+        sought = np.concatenate([asked[open_], numbers[later[~inside] - 1]])
+        weight = np.concatenate([ratio[later[paired][open_]], np.zeros(int((~inside).sum()))])
+        order = np.argsort(where, kind="stable")
+        where, sought, weight = where[order], sought[order], weight[order]
         logs = np.log10(np.minimum(p, 1.0))
-        base = np.where(ids >= 0, self.base[np.maximum(ids, 0)], 0.0)
+        base = np.where(ids >= 0, self.base[np.maximum(ids, 0)], 0.0) if len(self.base) else np.zeros(len(ids))
         for a, b in zip(starts.tolist(), ends.tolist()):
             i, j = np.searchsorted(rare, (a, b))
-            others = Counter(tokens[k] for k in rare[i:j].tolist())
-            yield b - a, b - a - (j - i), float(base[a:b].sum()), float(logs[a:b].sum()), others
-
-    def _word_keys(self, tokens, ids, rare) -> np.ndarray:
-        if not hasattr(self, "keys"):
-            self.keys = np.fromiter(map(word_key, self.head), np.uint64, len(self.head))
-        out = np.empty(len(ids), np.uint64)
-        if len(self.keys):
-            out[:] = self.keys[np.maximum(ids, 0)]
-        out[rare] = np.fromiter((word_key(tokens[k]) for k in rare.tolist()), np.uint64, len(rare))
-        return out
+            k, m = np.searchsorted(where, (a, b))
+            others = Counter(tokens[x] for x in rare[i:j].tolist())
+            yield b - a, b - a - (j - i), float(base[a:b].sum()), float(logs[a:b].sum()), others, sought[k:m], weight[k:m]
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -187,35 +229,64 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("t").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def pair_counts(texts: DataFrame, head: dict[bytes, int]) -> DataFrame:
-    """``pair`` (first << 32 | second), ``c`` over pairs of the first ``PAIRED`` words, summed in each task before the shuffle."""
-    small = {w: i for w, i in head.items() if i < PAIRED}
-    shared = texts.sparkSession.sparkContext.broadcast(small)
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers byte by byte: the highest bytes of all, and so on down, as the zeros of small ones compress well that way."""
+    return x.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(">u8").reshape(-1).astype(np.uint64)
+
+
+def pair_counts(texts: DataFrame, lexicon: Broadcast, n: int) -> DataFrame:
+    """``key``, ``first`` (number of the first word), ``c`` of all pairs of words seen ``LEAST_PAIRS`` times in ``n`` tokens.
+
+    Pairs of any words count, summed in each task before the shuffle. A pair
+    with a word that the filter knows to be too rare for that does not leave
+    its task. Pairs travel in blocks, one for each range of keys; the number of
+    ranges follows ``n``, so that no group gets more than ``GROUP_PAIRS`` on average.
+    """
+    width = -(-(1 << 64) // max(1, -(-n // GROUP_PAIRS)))
+    bounds = np.array(range(width, 1 << 64, width), np.uint64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def hand_on() -> pa.RecordBatch:
-            pairs, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], names=["pair", "c"])
+            first, second = (np.concatenate(x) for x in zip(*held))
+            key, at, c = np.unique(pair_keys(first, second), return_index=True, return_counts=True)
+            cuts = [0, *np.searchsorted(key, bounds).tolist(), len(key)]
+            first, second, c = first[at], second[at], c.astype(np.uint64)
+            ranges = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+            columns = [pa.array([i for i, _, _ in ranges], pa.int32())]
+            columns += [pa.array([_planes(x[a:b]) for _, a, b in ranges], pa.binary()) for x in (first, second, c)]
+            return pa.RecordBatch.from_arrays(columns, names=["part", "a", "b", "n"])
 
         for batch in batches:
-            get = shared.value.get
-            tokens: list[bytes] = []
-            for text in batch.column(0).to_pylist():
-                tokens += words(text)
-                tokens += (END, b" ")  # the second is no word, so no pair crosses texts
-            ids = np.fromiter((get(t, -1) for t in tokens), np.int64, len(tokens))
-            both = (ids[:-1] >= 0) & (ids[1:] >= 0)
-            held.append((ids[:-1][both] << 32) | ids[1:][both])
-            size += len(held[-1])
-            if size > 1_000_000:
+            _, starts, _, numbers, levels = lexicon.value.read(batch.column(0).to_pylist())
+            often = levels >= LEAST_LEVEL
+            both = often[:-1] & often[1:]
+            both[starts[1:] - 1] = False
+            at = np.flatnonzero(both)
+            held.append((numbers[at], numbers[at + 1]))
+            size += len(at)
+            if size > HELD_PAIRS:
                 yield hand_on()
                 held, size = [], 0
         if size:
             yield hand_on()
 
-    return texts.select("t").mapInArrow(count, "pair long, c long").groupBy("pair").agg(F.sum("c").alias("c"))
+    def add(part: tuple, blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[_from_planes(x) for x in row] for block in blocks for row in zip(*(block.column(c).to_pylist() for c in ("a", "b", "n")))]
+        first, second, c = (np.concatenate(x) for x in zip(*held))
+        key, at, back = np.unique(pair_keys(first, second), return_index=True, return_inverse=True)
+        c = np.bincount(back, weights=c).astype(np.int64)
+        kept = c >= LEAST_PAIRS
+        columns = [pa.array(key[kept].view(np.int64)), pa.array(first[at][kept].view(np.int64)), pa.array(c[kept])]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", "first", "c"])
+
+    blocks = texts.select("t").mapInArrow(count, "part int, a binary, b binary, n binary")
+    return blocks.groupBy("part").applyInArrow(add, "key long, first long, c long")
 
 
 def _level(column: str):
@@ -228,14 +299,14 @@ def _middle(column: str):
     return F.when(lv == 1, F.lit(1.0)).otherwise(0.75 * F.pow(F.lit(2.0), lv))
 
 
-def build_filter(entries: DataFrame, n_entries: int) -> LogFilter:
+def build_filter(entries: DataFrame, n_entries: int, most: int | None = None) -> LogFilter:
     """Filter of ``entries`` (``key``, ``level``, each standing for all levels up to it).
 
     Tasks turn entries into bits by segment, a segment is put together by one
     task from bit arrays of a fixed size, and the driver gets ``SEGMENTS``
-    arrays of at most ``MAX_BITS / SEGMENTS`` bits.
+    arrays of at most ``most / SEGMENTS`` bits (``MAX_BITS`` without ``most``).
     """
-    bits = 1 << max(int(math.log2(MIN_BITS)), min(int(math.log2(MAX_BITS)), math.ceil(math.log2(max(n_entries * BITS_PER_ENTRY, 1)))))
+    bits = 1 << max(int(math.log2(MIN_BITS)), min(int(math.log2(most or MAX_BITS)), math.ceil(math.log2(max(n_entries * BITS_PER_ENTRY, 1)))))
     piece = bits // SEGMENTS // 8
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,17 +346,11 @@ def _word_keys_udf():
     return of
 
 
-def _pair_keys_udf():
-    @F.arrow_udf("long")
-    def of(pairs: pa.Array) -> pa.Array:
-        x = pairs.to_numpy(zero_copy_only=False)
-        return pa.array(pair_keys(x >> 32, x & 0xFFFFFFFF).view(np.int64))
-
-    return of
-
+def train(texts: DataFrame) -> tuple[Model, Broadcast, DataFrame, DataFrame]:
+    """Model of the training rows ``t``, its lexicon, the counts of all their words (stored), and what documents look up (stored).
 
-def train(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """Model of the training rows ``t``, and the counts of all their words (stored)."""
+    The last has ``key`` and ``gain``: of a pair (v, w) q(v, w) / (C(v) - S(v)), of a word v log10 of (C(v) - S(v)) / C(v).
+    """
     spark = texts.sparkSession
     counts = stored(word_counts(texts), "words")
     total = counts.agg(
@@ -296,23 +361,36 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame]:
     top = counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()
     head = {bytes(r["word"]): i for i, r in enumerate(top)}
     exact = np.array([r["c"] for r in top], np.float64)
-    pairs = stored(pair_counts(texts, head).filter(F.col("c") >= LEAST_PAIRS), "pairs")
+    keyed = counts.select(_word_keys_udf()("word").alias("key"), "c")
+    single = build_filter(keyed.select("key", _level("c").alias("level")), int(total["e"]))
+    lexicon = spark.sparkContext.broadcast(Lexicon(single, head))
+
+    pairs = stored(pair_counts(texts, lexicon, int(total["n"])), "pairs")
     by_level = {r["lv"]: r["n"] for r in pairs.groupBy(_level("c").alias("lv")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    room = MAX_BITS // BITS_PER_ENTRY
-    lowest = 1
-    while lowest < max(by_level, default=1) and total["e"] + sum(lv * n for lv, n in by_level.items() if lv >= lowest) > room:
+    lowest, room = LEAST_LEVEL, PAIR_BITS // BITS_PER_ENTRY
+    # The lowest levels go as far as the filter has no room; they are looked up instead.
+    while lowest <= max(by_level, default=0) and sum(lv * n for lv, n in by_level.items() if lv >= lowest) > room:
         lowest += 1
+    n_entries = sum(lv * n for lv, n in by_level.items() if lv >= lowest)
     kept = pairs.filter(_level("c") >= lowest)
-    per = kept.groupBy(F.shiftright("pair", 32).alias("v")).agg(F.sum(_middle("c")).alias("s"), F.count(F.lit(1)).alias("t")).collect()
-    sums, kinds = np.zeros(min(PAIRED, max(len(head), 1))), np.zeros(min(PAIRED, max(len(head), 1)))
-    for r in per:
-        sums[r["v"]], kinds[r["v"]] = r["s"], r["t"]
-    n_entries = int(total["e"]) + sum(lv * n for lv, n in by_level.items() if lv >= lowest)
-    entries = counts.select(_word_keys_udf()("word").alias("key"), _level("c").alias("level")).unionByName(
-        kept.select(_pair_keys_udf()("pair").alias("key"), _level("c").alias("level"))
-    )
-    filter_ = build_filter(entries, n_entries)
-    return Model(filter_, head, exact, (total["n"], total["v"], total["q"]), sums, kinds), counts
+    filter_ = build_filter(kept.select("key", _level("c").alias("level")), n_entries, PAIR_BITS)
+
+    # Exact counts of all words a pair may begin with, by number; those of the head by their place.
+    beyond = keyed.filter(F.col("c") >= LEAST_PAIRS).select(F.col("key").bitwiseOR(F.lit(-(1 << 63))).alias("first"), "c")
+    numbered = beyond.unionByName(spark.createDataFrame([(i, r["c"]) for i, r in enumerate(top)], "first long, c long"))
+    firsts = pairs.groupBy("first").agg(F.sum(_middle("c")).alias("s"), F.count(F.lit(1)).alias("t"))
+    firsts = stored(firsts.join(numbered, "first"), "firsts")
+    sums, kinds = np.zeros(len(head)), np.zeros(len(head))
+    for r in firsts.filter("first >= 0").select("first", "s", "t").collect():  # at most HEAD rows
+        sums[r["first"]], kinds[r["first"]] = r["s"], r["t"]
+    every = F.greatest(F.col("c").cast("double"), "s") + F.col("t")
+    firsts = firsts.select("first", (every - F.col("s")).alias("left"), every.alias("every"))
+    aside = pairs.filter((F.col("first") < 0) | (_level("c") < lowest)).select("key", "first", _middle("c").alias("q"))
+    aside = aside.join(firsts.select("first", "left"), "first").select("key", (F.col("q") / F.col("left")).alias("gain"))
+    begun = firsts.filter("first < 0").select(F.col("first").alias("key"), F.log10(F.col("left") / F.col("every")).alias("gain"))
+    sought = stored(aside.unionByName(begun), "sought")
+    whole = not any(lv < lowest for lv in by_level)
+    return Model(filter_, exact, (total["n"], total["v"], total["q"]), sums, kinds, lowest, whole), lexicon, counts, sought
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
@@ -325,39 +403,51 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     """
     spark = prepare(docs.sparkSession)
     rows = docs.select("doc_id", (fold("doc_id", FOLDS) == TRAIN_FOLD).alias("held_out"), text_bytes().alias("t"))
-    model, counts = train(rows.filter("not held_out"))
+    model, lexicon, counts, sought = train(rows.filter("not held_out"))
     shared = spark.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = list(shared.value.score_batch(batch.column(2).to_pylist()))
-            sizes = np.array([len(o[4]) for o in out], np.int64)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+            out = list(shared.value.score_batch(lexicon.value, batch.column(2).to_pylist()))
+
+            def offsets(at: int) -> pa.Array:
+                return pa.array(np.concatenate([[0], np.cumsum([len(o[at]) for o in out])]), pa.int32())
+
             ws = pa.array([w for o in out for w in o[4]], pa.binary())
             ns = pa.array([n for o in out for n in o[4].values()], pa.int32())
+            keys = pa.array(np.concatenate([o[5] for o in out]).view(np.int64))
+            ratios = pa.array(np.concatenate([o[6] for o in out]))
             columns = [
                 batch.column(0), batch.column(1), pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
                 pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.float64()),
-                pa.ListArray.from_arrays(offsets, ws), pa.ListArray.from_arrays(offsets, ns),
+                pa.ListArray.from_arrays(offsets(4), ws), pa.ListArray.from_arrays(offsets(4), ns),
+                pa.ListArray.from_arrays(offsets(5), keys), pa.ListArray.from_arrays(offsets(5), ratios),
             ]
-            names = ["doc_id", "held_out", "n_tokens", "n_head", "base_head", "score", "ws", "ns"]
+            names = ["doc_id", "held_out", "n_tokens", "n_head", "base_head", "score", "ws", "ns", "keys", "ratios"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     shape = f"doc_id {kind}, held_out boolean, n_tokens long, n_head long, base_head double, score double, ws array<binary>, ns array<int>"
+    shape += ", keys array<long>, ratios array<double>"
     scored = stored(rows.mapInArrow(score, shape).withColumn("row", F.monotonically_increasing_id()), "scored")
     floor = model.n + 0.5 * (model.v + 1)
     rare = scored.select("row", F.explode(F.arrays_zip("ws", "ns")).alias("x")).select("row", F.col("x.ws").alias("word"), F.col("x.ns").alias("k"))
-    rare = rare.join(counts, "word", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0)).alias("n_rare"),
-        F.sum(F.col("k") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(floor))).alias("base_rare"),
+    rare = rare.join(counts, "word", "left").select(
+        "row",
+        F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0).alias("n"),
+        (F.col("k") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(floor))).alias("base"),
+        F.lit(0.0).alias("more"),
     )
-    return scored.drop("ws", "ns").join(rare, "row", "left").select(
+    asked = scored.select("row", F.explode(F.arrays_zip("keys", "ratios")).alias("x")).select("row", F.col("x.keys").alias("key"), F.col("x.ratios").alias("r"))
+    more = F.when(F.col("r") > 0, F.log10(1 + F.col("gain") * F.col("r"))).otherwise(F.col("gain"))
+    found = asked.join(sought, "key").select("row", F.lit(0).alias("n"), F.lit(0.0).alias("base"), more.alias("more"))
+    rare = rare.unionByName(found).groupBy("row").agg(F.sum("n").alias("n_rare"), F.sum("base").alias("base_rare"), F.sum("more").alias("more"))
+    return scored.drop("ws", "ns", "keys", "ratios").join(rare, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_head") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
         F.lit(int(model.n)).cast("long").alias("train_tokens"),
         (F.col("base_head") + F.coalesce("base_rare", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
     )
