@@ -301,6 +301,20 @@ def test_sets_that_share_a_core_do_not_meet(spark):
     assert (300, 7) in got and len(got) < 30
 
 
+def test_sets_that_share_rare_shingles_only_make_no_pairs(spark):
+    """Sets out of one pool share shingles in their prefixes; maps of their hashes tell that they are not alike."""
+    rnd = random.Random(9)
+    pool = [rnd.randrange(-(2**63), 2**63) for _ in range(40)]
+    made = {i: set(rnd.sample(pool, 20)) for i in range(80)}
+    made[80] = set(pool[:20])
+    made[81] = set(pool[:19]) | {pool[25]}
+    rows_ = [(i, np.array(sorted(s), np.int64).tobytes()) for i, s in made.items()]
+    groups = spark.createDataFrame([(i, i) for i in made], "node long, group long")
+    got = {tuple(r) for r in simhash.prefix_pairs(spark.createDataFrame(rows_, "node long, s binary"), groups, 0.8).collect()}
+    want = {(a, b) for a in made for b in made if a > b and jaccard(made[a], made[b]) >= 0.8}
+    assert (81, 80) in got and want <= got and len(got) < 20
+
+
 # --- licenses --------------------------------------------------------------------
 
 
