@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -15,6 +16,7 @@ from conftest import ROOT
 from tidemark.llm import decontaminate, html, language_model, licenses, mixing, repeats, simhash, sketches, tokenids, toxicity
 from tidemark.llm.common import shingle_hashes, stored, words
 from tidemark.llm.queries import QUERIES, SQL, TOKENIZER
+from tidemark.session import scratch_folder
 
 SCHEMA = "doc_id long, text string, source string, rid long, fp long, k1 long, t string"
 
@@ -247,6 +249,14 @@ def test_repeats_hard_cases(spark):
     assert ranked(result) == ranked(plain_repeats(rows, 200))
 
 
+def test_repeats_leave_only_their_ranges(spark, small):
+    """Tables go as soon as those made from them are stored; on disk they would add up."""
+    with scratch_folder(spark, "repeats") as folder:
+        result = repeats.without_repeats(small[0])
+    left = sorted(p.parent.relative_to(folder).parts[0].rsplit("-", 1)[0] for p in Path(folder).rglob("_SUCCESS"))
+    assert left == ["ranges"] and result.count() == small[0].count()
+
+
 def test_repeats_odd_rows(odd, empty):
     result = [tuple(r) for r in repeats.without_repeats(odd).select(*REPEATS).collect()]
     assert ranked(result) == ranked(plain_repeats(ODD, 200))

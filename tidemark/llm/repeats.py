@@ -42,6 +42,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import scratch_folder
+from ..sources.swap import remove
 from .common import prepare, stored, text_bytes
 
 LENGTH = 200
@@ -292,16 +294,25 @@ def _several(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*keys)
 
 
+def _held(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` stored in a folder of its own, and that folder, to be removed as soon as nothing reads it any more."""
+    with scratch_folder(df.sparkSession, name) as path:
+        return stored(df, name), path
+
+
 def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``k1``, ``k2``, ``ranges`` (start, end in bytes) of the texts ``t`` known as ``k1``, ``k2`` that hold repeated strings.
+    """``k1``, ``k2``, ``ranges`` (start, end in bytes) of the texts ``t`` known as ``k1``, ``k2`` that hold repeated strings (stored).
 
-    Rows that are equal in all columns are occurrences of their own.
+    Rows that are equal in all columns are occurrences of their own. Each table goes once those made from it are stored.
     """
-    found = stored(texts.select("k1", "k2", "t").mapInArrow(_anchor_rows(length, gram), ANCHORS), "anchors")
-    held = stored(found.join(_several(found, ["gram"]), "gram", "left_semi"), "buckets")
+    spark = texts.sparkSession
+    found, found_at = _held(texts.select("k1", "k2", "t").mapInArrow(_anchor_rows(length, gram), ANCHORS), "anchors")
+    held, held_at = _held(found.join(_several(found, ["gram"]), "gram", "left_semi"), "buckets")
+    remove(spark, found_at)
     one = F.min(F.struct("k1", "k2", "first", "windows", "offset")).alias("one")
-    classes = stored(held.groupBy("gram", "run").agg(F.count(F.lit(1)).alias("members"), one), "classes")
-    marks = [classes.filter("members > 1").select("gram", "run", F.lit(0).alias("lead"), F.col("one.windows").alias("windows"))]
+    classes, classes_at = _held(held.groupBy("gram", "run").agg(F.count(F.lit(1)).alias("members"), one), "classes")
+    mark = classes.filter("members > 1").select("gram", "run", F.lit(0).alias("lead"), F.col("one.windows").alias("windows"))
+    marks = [_held(mark, "marks")]
 
     vary = classes.join(_several(classes, ["gram"]), "gram", "left_semi")
     wanted = vary.select("one.k1", "one.k2", F.struct("gram", "run", "one.first", "one.windows", "one.offset").alias("r"))
@@ -312,27 +323,35 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     rows = once.join(wanted, ["k1", "k2"]).select("t", "runs")
     rows = rows.mapInArrow(_bytes_of_runs(length), "gram long, run long, lead int, windows int, offset int, bytes binary")
 
-    bucket = ["gram", "strip", "core"]
+    bucket, read = ["gram", "strip", "core"], [classes_at]
     for width in STRIPS:
         strips = rows.select("gram", "run", "lead", "windows", "offset", "bytes").mapInArrow(_strips(length, width), STRIP_ROWS)
-        strips = stored(strips, "strips")
+        strips, strips_at = _held(strips, "strips")
+        for path in read:
+            remove(spark, path)
         kinds = strips.groupBy(*bucket, "whole").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("run", "lead")).alias("one"))
-        kinds = stored(kinds, "kinds")
+        kinds, kinds_at = _held(kinds, "kinds")
+        read = [strips_at, kinds_at]
         full = kinds.filter("members > 1").select(*bucket, "whole")
-        marks.append(strips.join(full, [*bucket, "whole"], "left_semi").select("gram", "run", "lead", "windows"))
+        marks.append(_held(strips.join(full, [*bucket, "whole"], "left_semi").select("gram", "run", "lead", "windows"), "marks"))
         left = kinds.join(_several(kinds, bucket), bucket, "left_semi").select(*bucket, "one.run", "one.lead")
         rows = strips.join(left, [*bucket, "run", "lead"], "left_semi")
 
-    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.select("gram", "run", "lead", "windows", "bytes", "strip", "core").repartition(tasks, *bucket)
     dealt = dealt.sortWithinPartitions(*bucket)
-    marks.append(dealt.mapInArrow(_sort_strips(length, SORT_BYTES), "gram long, run long, lead int, windows int"))
+    marks.append(_held(dealt.mapInArrow(_sort_strips(length, SORT_BYTES), "gram long, run long, lead int, windows int"), "marks"))
+    for path in read:
+        remove(spark, path)
 
-    marked = stored(reduce(DataFrame.unionByName, marks), "marks")
+    marked = reduce(DataFrame.unionByName, [df for df, _ in marks])
     spans = held.select("gram", "run", "k1", "k2", "first").join(marked, ["gram", "run"])
     start = F.col("first") + F.col("lead")
     span = F.struct(start.alias("a"), (start + F.col("windows") - 1 + length).alias("b"))
-    return spans.groupBy("k1", "k2").agg(F.collect_set(span).alias("ranges"))
+    ranges = stored(spans.groupBy("k1", "k2").agg(F.collect_set(span).alias("ranges")), "ranges")
+    for path in (held_at, *(path for _, path in marks)):
+        remove(spark, path)
+    return ranges
 
 
 def _merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -368,7 +387,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     prepare(docs.sparkSession)
     t = text_bytes()
     texts = docs.select("doc_id", F.xxhash64(t).alias("k1"), F.xxhash64(F.lit(1), t).alias("k2"), t.alias("t"))
-    ranges = stored(repeated_ranges(texts.filter(F.octet_length("t") >= length), length, gram), "ranges")
+    ranges = repeated_ranges(texts.filter(F.octet_length("t") >= length), length, gram)
 
     @F.arrow_udf("struct<kept:binary,n_removed:long,n_spans:long>")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
