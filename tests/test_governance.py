@@ -183,3 +183,43 @@ def test_an_owner_is_out_of_some_policies_only(tables):
     seen = p.abac_apply_owner(tables)
     assert seen.count() == tables.orders.count() and seen.filter("o_custkey NOT BETWEEN -15 AND 0").count() == 0
     assert seen.drop("o_custkey").exceptAll(tables.orders.drop("o_custkey")).count() == 0
+
+
+def test_access_equals_brute_force(spark):
+    """Grants of users and groups on objects and parents in all combinations, members and parents listed twice."""
+    import random
+
+    rnd = random.Random(5)
+    users, groups = [f"u{i}" for i in range(9)], ["g1", "g2", "g3"]
+    parents = {f"t{i}": [f"s{i % 3}", f"c{i % 2}"] for i in range(8)} | {"s0": ["c0"], "lone": []}
+    tree = [(o, a) for o, up in parents.items() for a in (o, *up)] * 2
+    members = [(u, p) for u in users for p in (u, *rnd.sample(groups, rnd.randrange(3)))] * 2
+    members = [m for m in members if m != ("u8", "u8")] + [("u7", "u6")]  # one user is not its own principal, one is another's too
+    places = sorted({a for _, a in tree})
+    privileges = ["BROWSE", "USE CATALOG", "USE SCHEMA", "SELECT", "MODIFY", "MANAGE", "ALL PRIVILEGES", "OTHER"]
+    grants = [(rnd.choice(users + groups), rnd.choice(privileges), rnd.choice(places)) for _ in range(150)]
+    held = {(u, o, p) for w, p, a in grants for u, x in members if x == w for o, b in tree if b == a}
+    want = set()
+    for level, needed in g.LEVELS.items():
+        for u in users:
+            for o in parents:
+                if all((u, o, n) in held or (n != "MANAGE" and (u, o, "ALL PRIVILEGES") in held) for n in needed):
+                    want.add((u, o, level))
+    frames = (
+        spark.createDataFrame(grants, "principal string, privilege string, object string"),
+        spark.createDataFrame(tree, "object string, ancestor string"), spark.createDataFrame(members, "user string, principal string"),
+    )
+    got = rows(g.access_levels(*frames))
+    assert len(got) == len(set(got)) and set(got) == want
+    read = {n: ["ALL PRIVILEGES"] for n in g.LEVELS["read"]}
+    assert rows(g.effective_access(*frames, read)) == sorted((u, o) for u, o, level in want if level == "read")
+
+
+def test_wide_grants_are_not_spread(spark):
+    """Everything for a group of 3,000 on a catalog of 3,000 is settled between one team and one class."""
+    members = spark.range(3000).selectExpr("concat('u', id) AS user", "explode(array(concat('u', id), 'all')) AS principal")
+    tree = spark.range(3000).selectExpr("concat('t', id) AS object", "explode(array(concat('t', id), 'cat')) AS ancestor")
+    grants = spark.createDataFrame([("all", "USE CATALOG", "cat"), ("all", "SELECT", "cat")], "principal string, privilege string, object string")
+    got = g.effective_access(grants, tree, members, {"USE CATALOG": [], "SELECT": []})
+    assert "Exchange hashpartitioning(user" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 9_000_000
