@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from conftest import ROOT
+from conftest import ROOT, plan
 from tidemark.llm import decontaminate, html, language_model, licenses, mixing, repeats, simhash, sketches, tokenids, toxicity
 from tidemark.llm.common import shingle_hashes, stored, words
 from tidemark.llm.queries import QUERIES, SQL, TOKENIZER
@@ -560,6 +560,32 @@ def test_language_model_counts_pairs_of_all_words(spark, small, monkeypatch):
         assert np.mean([math.isclose(s, before[d], rel_tol=1e-6) for d, s in after.items()]) > 0.9, (head, bits)
 
 
+def test_language_model_tasks_have_one_python_step(spark, small, monkeypatch):
+    """Each Python step of a task has a worker with models of its own: what the filter's tasks read comes without one."""
+    docs, _ = small
+    plans, build = [], language_model.build_filter
+    monkeypatch.setattr(language_model, "build_filter", lambda entries, *rest: plans.append(plan(entries)) or build(entries, *rest))
+    model, lexicon, counts, _ = language_model.train(docs.selectExpr("coalesce(cast(text as binary), cast('' as binary)) as t"))
+    assert len(plans) == 2 and not any("Python" in p or "Arrow" in p for p in plans)
+    found = counts.select("word", "c", language_model.word_keys("word").alias("key")).collect()
+    assert all(r["key"] % 2**64 == language_model.word_key(bytes(r["word"])) for r in found)
+    assert (model.n, model.v) == (sum(r["c"] for r in found), len(found))
+    assert list(lexicon.value.head) == [bytes(r["word"]) for r in sorted(found, key=lambda r: (-r["c"], bytes(r["word"])))]
+
+
+def test_language_model_long_texts_in_runs(spark):
+    """A batch of long texts is not in words all at once, and scores are the same."""
+    assert list(language_model.runs([])) == [] and list(language_model.runs([b"", b""])) == [(0, 2)]
+    texts = [b"a " * n for n in (0, 9, 300_000, 5, 100_000, 200_000, 1, 0)]
+    assert list(language_model.runs(texts)) == [(0, 3), (3, 6), (6, 8)]
+    docs = table(spark, [(i, LONG[i * 7000 : i * 7000 + 90_000], "a") for i in range(12)]).coalesce(1)
+    together, apart = (
+        {r["doc_id"]: (r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in got(language_model.lm_scores(d))}
+        for d in (docs, docs.repartition(12, "doc_id"))
+    )
+    assert len(together) == 12 and all(np.allclose(together[i], apart[i], rtol=1e-9) for i in together)
+
+
 def test_log_filter(spark):
     rng = np.random.default_rng(1)
     keys = rng.integers(-(2**62), 2**62, 5000)

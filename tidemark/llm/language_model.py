@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import fold, prepare, stored, text_bytes, words
 
@@ -61,10 +61,14 @@ TRAIN_FOLD, FOLDS = 1, 5
 #: Segments of the filter, each put together by one task.
 SEGMENTS = 64
 
+#: A number whose xxhash64 is 1.
+HASHED_1 = -7682426122119481604
 #: Set in the numbers of words beyond the head.
 BEYOND = np.uint64(1 << 63)
 #: Pairs gathered in a task before they are summed and sent, and pairs that one group gets at most.
 HELD_PAIRS, GROUP_PAIRS = 400_000, 1_000_000
+#: Bytes of text that a task cuts into words at a time, if texts are not longer.
+HELD_BYTES = 1 << 19
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
@@ -95,6 +99,21 @@ def word_key(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, 1)
 
 
+def word_keys(column: str):
+    """``word_key`` of a column. Spark's ``xxhash64`` takes the hash of one column as the seed of the next; that of ``HASHED_1`` is 1."""
+    return F.xxhash64(F.lit(HASHED_1), column)
+
+
+def runs(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Where runs of texts begin and end that hold ``HELD_BYTES`` or one text more, so that long texts are not all in words at once."""
+    begin = size = 0
+    for i, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= HELD_BYTES or i == len(texts):
+            yield begin, i
+            begin, size = i, 0
+
+
 def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Keys of pairs of words, from the numbers of the words."""
     return _spread(_spread(first + np.uint64(0xC2B2AE3D27D4EB4F)) + second)
@@ -220,9 +239,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 tally.update(words(text))
                 tally[END] += 1
-            if len(tally) > 200_000:
-                yield hand_on()
-                tally.clear()
+                if len(tally) > 200_000:
+                    yield hand_on()
+                    tally.clear()
         if tally:
             yield hand_on()
 
@@ -263,26 +282,33 @@ def pair_counts(texts: DataFrame, lexicon: Broadcast, n: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, names=["part", "a", "b", "n"])
 
         for batch in batches:
-            _, starts, _, numbers, levels = lexicon.value.read(batch.column(0).to_pylist())
-            often = levels >= LEAST_LEVEL
-            both = often[:-1] & often[1:]
-            both[starts[1:] - 1] = False
-            at = np.flatnonzero(both)
-            held.append((numbers[at], numbers[at + 1]))
-            size += len(at)
-            if size > HELD_PAIRS:
-                yield hand_on()
-                held, size = [], 0
+            texts = batch.column(0).to_pylist()
+            for begin, end in runs(texts):
+                _, starts, _, numbers, levels = lexicon.value.read(texts[begin:end])
+                often = levels >= LEAST_LEVEL
+                both = often[:-1] & often[1:]
+                both[starts[1:] - 1] = False
+                at = np.flatnonzero(both)
+                held.append((numbers[at], numbers[at + 1]))
+                size += len(at)
+                if size > HELD_PAIRS:
+                    yield hand_on()
+                    held, size = [], 0
         if size:
             yield hand_on()
 
     def add(part: tuple, blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [[_from_planes(x) for x in row] for block in blocks for row in zip(*(block.column(c).to_pylist() for c in ("a", "b", "n")))]
         first, second, c = (np.concatenate(x) for x in zip(*held))
-        key, at, back = np.unique(pair_keys(first, second), return_index=True, return_inverse=True)
-        c = np.bincount(back, weights=c).astype(np.int64)
+        key = pair_keys(first, second)
+        del held, second
+        order = np.argsort(key)
+        key = key[order]
+        at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        c = np.add.reduceat(c[order], at).astype(np.int64)
         kept = c >= LEAST_PAIRS
-        columns = [pa.array(key[kept].view(np.int64)), pa.array(first[at][kept].view(np.int64)), pa.array(c[kept])]
+        at = at[kept]
+        columns = [pa.array(key[at].view(np.int64)), pa.array(first[order[at]].view(np.int64)), pa.array(c[kept])]
         yield pa.RecordBatch.from_arrays(columns, names=["key", "first", "c"])
 
     blocks = texts.select("t").mapInArrow(count, "part int, a binary, b binary, n binary")
@@ -338,14 +364,6 @@ def build_filter(entries: DataFrame, n_entries: int, most: int | None = None) ->
     return LogFilter(data, bits)
 
 
-def _word_keys_udf():
-    @F.arrow_udf("long")
-    def of(ws: pa.Array) -> pa.Array:
-        return pa.array(np.fromiter((word_key(w) for w in ws.to_pylist()), np.uint64, len(ws)).view(np.int64))
-
-    return of
-
-
 def train(texts: DataFrame) -> tuple[Model, Broadcast, DataFrame, DataFrame]:
     """Model of the training rows ``t``, its lexicon, the counts of all their words (stored), and what documents look up (stored).
 
@@ -353,19 +371,22 @@ def train(texts: DataFrame) -> tuple[Model, Broadcast, DataFrame, DataFrame]:
     """
     spark = texts.sparkSession
     counts = stored(word_counts(texts), "words")
-    total = counts.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"),
-        F.coalesce(F.sum(_middle("c")), F.lit(0.0)).alias("q"), F.coalesce(F.sum(_level("c")), F.lit(0)).alias("e"),
-    ).first()
-    # The vocabulary is bounded by HEAD.
-    top = counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()
-    head = {bytes(r["word"]): i for i, r in enumerate(top)}
-    exact = np.array([r["c"] for r in top], np.float64)
-    keyed = counts.select(_word_keys_udf()("word").alias("key"), "c")
-    single = build_filter(keyed.select("key", _level("c").alias("level")), int(total["e"]))
+    at_level = counts.groupBy(_level("c").alias("lv")).agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).collect()
+    n, v, e = (sum(x) for x in zip((0, 0, 0), *((r["n"], r["v"], r["v"] * r["lv"]) for r in at_level)))
+    q = sum(r["v"] * float(middle(np.array(r["lv"]))) for r in at_level)
+    # The vocabulary is bounded by HEAD. Lower levels than it reaches are not sorted for it.
+    reached = max((r["lv"] for r in at_level if sum(x["v"] for x in at_level if x["lv"] >= r["lv"]) >= HEAD), default=0)
+    place = F.row_number().over(Window.orderBy(F.desc("c"), "word")) - 1
+    top = stored(counts.filter(_level("c") >= reached).orderBy(F.desc("c"), "word").limit(HEAD).withColumn("first", place.cast("long")), "head")
+    known = top.orderBy("first").toArrow()
+    head = {w: i for i, w in enumerate(known["word"].to_pylist())}
+    exact = known["c"].to_numpy().astype(np.float64)
+    # Hashed by Spark: a task of the filter has one Python worker then, not a second one for the hashes.
+    keyed = counts.select(word_keys("word").alias("key"), "c")
+    single = build_filter(keyed.select("key", _level("c").alias("level")), e)
     lexicon = spark.sparkContext.broadcast(Lexicon(single, head))
 
-    pairs = stored(pair_counts(texts, lexicon, int(total["n"])), "pairs")
+    pairs = stored(pair_counts(texts, lexicon, n), "pairs")
     by_level = {r["lv"]: r["n"] for r in pairs.groupBy(_level("c").alias("lv")).agg(F.count(F.lit(1)).alias("n")).collect()}
     lowest, room = LEAST_LEVEL, PAIR_BITS // BITS_PER_ENTRY
     # The lowest levels go as far as the filter has no room; they are looked up instead.
@@ -377,12 +398,13 @@ def train(texts: DataFrame) -> tuple[Model, Broadcast, DataFrame, DataFrame]:
 
     # Exact counts of all words a pair may begin with, by number; those of the head by their place.
     beyond = keyed.filter(F.col("c") >= LEAST_PAIRS).select(F.col("key").bitwiseOR(F.lit(-(1 << 63))).alias("first"), "c")
-    numbered = beyond.unionByName(spark.createDataFrame([(i, r["c"]) for i, r in enumerate(top)], "first long, c long"))
+    numbered = beyond.unionByName(top.select("first", "c"))
     firsts = pairs.groupBy("first").agg(F.sum(_middle("c")).alias("s"), F.count(F.lit(1)).alias("t"))
     firsts = stored(firsts.join(numbered, "first"), "firsts")
     sums, kinds = np.zeros(len(head)), np.zeros(len(head))
-    for r in firsts.filter("first >= 0").select("first", "s", "t").collect():  # at most HEAD rows
-        sums[r["first"]], kinds[r["first"]] = r["s"], r["t"]
+    of_head = firsts.filter("first >= 0").select("first", "s", "t").toArrow()  # at most HEAD rows
+    at = of_head["first"].to_numpy()
+    sums[at], kinds[at] = of_head["s"].to_numpy(), of_head["t"].to_numpy()
     every = F.greatest(F.col("c").cast("double"), "s") + F.col("t")
     firsts = firsts.select("first", (every - F.col("s")).alias("left"), every.alias("every"))
     aside = pairs.filter((F.col("first") < 0) | (_level("c") < lowest)).select("key", "first", _middle("c").alias("q"))
@@ -390,7 +412,7 @@ def train(texts: DataFrame) -> tuple[Model, Broadcast, DataFrame, DataFrame]:
     begun = firsts.filter("first < 0").select(F.col("first").alias("key"), F.log10(F.col("left") / F.col("every")).alias("gain"))
     sought = stored(aside.unionByName(begun), "sought")
     whole = not any(lv < lowest for lv in by_level)
-    return Model(filter_, exact, (total["n"], total["v"], total["q"]), sums, kinds, lowest, whole), lexicon, counts, sought
+    return Model(filter_, exact, (n, v, q), sums, kinds, lowest, whole), lexicon, counts, sought
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
@@ -407,25 +429,28 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    def scored_rows(batch: pa.RecordBatch, out: list[tuple]) -> pa.RecordBatch:
+        def offsets(at: int) -> pa.Array:
+            return pa.array(np.concatenate([[0], np.cumsum([len(o[at]) for o in out])]), pa.int32())
+
+        ws = pa.array([w for o in out for w in o[4]], pa.binary())
+        ns = pa.array([n for o in out for n in o[4].values()], pa.int32())
+        keys = pa.array(np.concatenate([o[5] for o in out]).view(np.int64))
+        ratios = pa.array(np.concatenate([o[6] for o in out]))
+        columns = [
+            batch.column(0), batch.column(1), pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
+            pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.float64()),
+            pa.ListArray.from_arrays(offsets(4), ws), pa.ListArray.from_arrays(offsets(4), ns),
+            pa.ListArray.from_arrays(offsets(5), keys), pa.ListArray.from_arrays(offsets(5), ratios),
+        ]
+        names = ["doc_id", "held_out", "n_tokens", "n_head", "base_head", "score", "ws", "ns", "keys", "ratios"]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = list(shared.value.score_batch(lexicon.value, batch.column(2).to_pylist()))
-
-            def offsets(at: int) -> pa.Array:
-                return pa.array(np.concatenate([[0], np.cumsum([len(o[at]) for o in out])]), pa.int32())
-
-            ws = pa.array([w for o in out for w in o[4]], pa.binary())
-            ns = pa.array([n for o in out for n in o[4].values()], pa.int32())
-            keys = pa.array(np.concatenate([o[5] for o in out]).view(np.int64))
-            ratios = pa.array(np.concatenate([o[6] for o in out]))
-            columns = [
-                batch.column(0), batch.column(1), pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
-                pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.float64()),
-                pa.ListArray.from_arrays(offsets(4), ws), pa.ListArray.from_arrays(offsets(4), ns),
-                pa.ListArray.from_arrays(offsets(5), keys), pa.ListArray.from_arrays(offsets(5), ratios),
-            ]
-            names = ["doc_id", "held_out", "n_tokens", "n_head", "base_head", "score", "ws", "ns", "keys", "ratios"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            texts = batch.column(2).to_pylist()
+            for begin, end in runs(texts):
+                yield scored_rows(batch.slice(begin, end - begin), list(shared.value.score_batch(lexicon.value, texts[begin:end])))
 
     shape = f"doc_id {kind}, held_out boolean, n_tokens long, n_head long, base_head double, score double, ws array<binary>, ns array<int>"
     shape += ", keys array<long>, ratios array<double>"
