@@ -36,6 +36,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +70,8 @@ BEYOND = np.uint64(1 << 63)
 HELD_PAIRS, GROUP_PAIRS = 400_000, 1_000_000
 #: Bytes of text that a task cuts into words at a time, if texts are not longer.
 HELD_BYTES = 1 << 19
+#: Entries of the filter that a task turns into bits at a time.
+HELD_ENTRIES = 1 << 16
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
@@ -88,11 +91,16 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def places(keys: np.ndarray, levels: np.ndarray, bits: int) -> np.ndarray:
-    """Bits of each (n-gram, level), one row per probe."""
-    h = _spread(keys + levels.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
-    step = _spread(h ^ np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
-    return np.stack([(h + np.uint64(i) * step) & np.uint64(bits - 1) for i in range(PROBES)])
+def hashed(keys: np.ndarray, at: int) -> np.ndarray:
+    """Hash of each n-gram at a level."""
+    return _spread(keys + np.uint64(at * 0xD1342543DE82EF95 % (1 << 64)))
+
+
+def places(h: np.ndarray, probe: int, bits: int) -> np.ndarray:
+    """Bit that a probe looks at for each hash."""
+    if probe:
+        h = h + np.uint64(probe) * (_spread(h ^ np.uint64(0xA0761D6478BD642F)) | np.uint64(1))
+    return h & np.uint64(bits - 1)
 
 
 def word_key(word: bytes) -> int:
@@ -119,6 +127,13 @@ def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return _spread(_spread(first + np.uint64(0xC2B2AE3D27D4EB4F)) + second)
 
 
+def alike(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal keys stand together, and where each key begins in it."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    return order, np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+
+
 class LogFilter:
     """Quantised counts of n-grams behind one bit array."""
 
@@ -131,11 +146,11 @@ class LogFilter:
         alive = np.arange(len(keys))
         at = 1
         while len(alive):
-            where = places(keys[alive], np.full(len(alive), at), self.bits)
-            hit = np.ones(len(alive), bool)
-            for row in where:
-                hit &= (self.data[row >> np.uint64(3)] >> (row & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-            alive = alive[hit]
+            h = hashed(keys[alive], at)
+            for probe in range(PROBES):
+                row = places(h, probe, self.bits)
+                hit = (self.data[row >> np.uint64(3)] >> (row & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                alive, h = alive[hit], h[hit]
             found[alive] = at
             at += 1
         return found
@@ -163,7 +178,7 @@ class Lexicon:
             starts[i] = len(tokens)
             tokens += words(text)
             tokens.append(END)
-        ids = np.fromiter((get(t, -1) for t in tokens), np.int64, len(tokens))
+        ids = np.fromiter(map(get, tokens, repeat(-1)), np.int64, len(tokens))
         numbers, levels = ids.astype(np.uint64), self.levels[ids]
         rare = np.flatnonzero(ids < 0)
         keys = np.fromiter((word_key(tokens[k]) for k in rare.tolist()), np.uint64, len(rare))
@@ -186,7 +201,6 @@ class Model:
         the keys to look up, each with 1 / P(w) for a pair and 0 for the word a pair begins with.
         """
         tokens, starts, ids, numbers, levels = lexicon.read(texts)
-        ends = np.append(starts[1:], len(tokens))
         rare = np.flatnonzero(ids < 0)
         p = (middle(levels) + 0.5) / (self.q + 0.5 * (self.v + 1))
         # Words seen less often than any kept pair are in none.
@@ -217,9 +231,9 @@ class Model:
         where, sought, weight = where[order], sought[order], weight[order]
         logs = np.log10(np.minimum(p, 1.0))
         base = np.where(ids >= 0, self.base[np.maximum(ids, 0)], 0.0) if len(self.base) else np.zeros(len(ids))
-        for a, b in zip(starts.tolist(), ends.tolist()):
-            i, j = np.searchsorted(rare, (a, b))
-            k, m = np.searchsorted(where, (a, b))
+        bounds = np.append(starts, len(tokens))
+        cuts = [x.tolist() for x in (bounds, np.searchsorted(rare, bounds), np.searchsorted(where, bounds))]
+        for a, b, i, j, k, m in zip(*(x[at:][: len(texts)] for x in cuts for at in (0, 1))):
             others = Counter(tokens[x] for x in rare[i:j].tolist())
             yield b - a, b - a - (j - i), float(base[a:b].sum()), float(logs[a:b].sum()), others, sought[k:m], weight[k:m]
 
@@ -273,9 +287,12 @@ def pair_counts(texts: DataFrame, lexicon: Broadcast, n: int) -> DataFrame:
 
         def hand_on() -> pa.RecordBatch:
             first, second = (np.concatenate(x) for x in zip(*held))
-            key, at, c = np.unique(pair_keys(first, second), return_index=True, return_counts=True)
+            key = pair_keys(first, second)
+            order, at = alike(key)
+            c = np.diff(np.append(at, len(key))).astype(np.uint64)
+            at = order[at]
+            first, second, key = first[at], second[at], key[at]
             cuts = [0, *np.searchsorted(key, bounds).tolist(), len(key)]
-            first, second, c = first[at], second[at], c.astype(np.uint64)
             ranges = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
             columns = [pa.array([i for i, _, _ in ranges], pa.int32())]
             columns += [pa.array([_planes(x[a:b]) for _, a, b in ranges], pa.binary()) for x in (first, second, c)]
@@ -302,13 +319,11 @@ def pair_counts(texts: DataFrame, lexicon: Broadcast, n: int) -> DataFrame:
         first, second, c = (np.concatenate(x) for x in zip(*held))
         key = pair_keys(first, second)
         del held, second
-        order = np.argsort(key)
-        key = key[order]
-        at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        order, at = alike(key)
         c = np.add.reduceat(c[order], at).astype(np.int64)
         kept = c >= LEAST_PAIRS
-        at = at[kept]
-        columns = [pa.array(key[at].view(np.int64)), pa.array(first[order[at]].view(np.int64)), pa.array(c[kept])]
+        at = order[at[kept]]
+        columns = [pa.array(key[at].view(np.int64)), pa.array(first[at].view(np.int64)), pa.array(c[kept])]
         yield pa.RecordBatch.from_arrays(columns, names=["key", "first", "c"])
 
     blocks = texts.select("t").mapInArrow(count, "part int, a binary, b binary, n binary")
@@ -337,12 +352,23 @@ def build_filter(entries: DataFrame, n_entries: int, most: int | None = None) ->
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = np.zeros(bits // 8, np.uint8)
-        for batch in batches:
-            keys = batch.column(0).to_numpy().view(np.uint64)
-            levels = batch.column(1).to_numpy().astype(np.int64)
+        held, size = [], 0
+
+        def put():
+            keys, levels = (np.concatenate(x) for x in zip(*held))
             for at in range(1, int(levels.max(initial=0)) + 1):
-                for row in places(keys[levels >= at], np.full(int((levels >= at).sum()), at), bits):
+                h = hashed(keys[levels >= at], at)
+                for row in (places(h, probe, bits) for probe in range(PROBES)):
                     np.bitwise_or.at(data, row >> np.uint64(3), np.uint8(1) << (row & np.uint64(7)).astype(np.uint8))
+
+        for batch in batches:
+            held.append((batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy().astype(np.int64)))
+            size += len(batch)
+            if size > HELD_ENTRIES:
+                put()
+                held, size = [], 0
+        if size:
+            put()
         for s in range(SEGMENTS):
             part = data[s * piece : (s + 1) * piece]
             if part.any():
