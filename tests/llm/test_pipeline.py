@@ -2,10 +2,13 @@
 
 import collections
 import random
+import tracemalloc
 
 import corpus_pipeline
-from conftest import ROOT
+import numpy as np
+from conftest import ROOT, plan
 from test_operators import ODD, got, plain_ids, prose, table
+from tidemark.llm import simhash, tokenids, toxicity
 from tidemark.llm.common import stored
 
 
@@ -63,3 +66,42 @@ def test_odd_rows(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, ROOT), name)
     assert docs.count() == 0
+
+
+def test_near_copies_meet_without_the_driver(spark, monkeypatch):
+    plans, before = [], spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+    def seen(df, name, *more):
+        df.collect()
+        plans.append(plan(df))
+        return stored(df, name, *more)
+
+    monkeypatch.setattr(simhash, "stored", seen)
+    rows = [(i, prose(i, 150), "a") for i in range(40)]
+    rows += [(100 + i, rows[i][1] + " more", "b") for i in range(20)]
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, table(spark, rows), ROOT).collect()}
+    assert kept == set(range(40))
+    assert any("Join" in p for p in plans) and not any("BroadcastExchange" in p for p in plans)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
+
+
+def test_driver_needs_no_tokenizer(spark, monkeypatch):
+    monkeypatch.setattr(tokenids, "_encoders", {})
+    rows = [(i, prose(i, 50), "a") for i in range(20)]
+    assert corpus_pipeline.token_ids(spark, table(spark, rows), ROOT).count() == 20
+    assert not tokenids._encoders
+
+
+def test_fit_holds_little_in_the_driver(monkeypatch):
+    rng = np.random.default_rng(5)
+    sets = [np.sort(rng.choice(6000, 200, replace=False)).astype(np.int32) for _ in range(5000)] + [np.empty(0, np.int32)]
+    y, scale = (rng.random(len(sets)) < 0.1).astype(float), rng.random(6000)
+    pairs = [(i, sets[i][::2]) for i in range(0, 5000, 50)]
+    tracemalloc.start()
+    weights, bias = toxicity._descend(sets, y, pairs, scale, 1.0, steps=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * sum(map(len, sets))
+    monkeypatch.setattr(toxicity, "FIT_ENTRIES", 1 << 40)
+    again, same = toxicity._descend(sets, y, pairs, scale, 1.0, steps=2)
+    assert np.array_equal(weights, again) and bias == same

@@ -288,7 +288,6 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = E
     spark = prepare(docs.sparkSession)
     both = stored(tokenized(docs, tokenizer, end_id), "tokens")
     tokens = both.filter("ids is not null").select("doc_id", "tie", "ids")
-    dtype = _encoder(tokenizer).dtype
     # One entry per id of the vocabulary, whatever the corpus.
     counts = id_counts(both.filter("counts is not null").select("counts")).toPandas().sort_values(["n", "id"], ascending=[False, True])
     by_rank = counts["id"].to_numpy(np.uint32)
@@ -299,6 +298,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = E
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        # The tokenizer stays with the tasks: they hold it already, the driver never needs it.
+        dtype = _encoder(tokenizer).dtype
         part, block, held, blobs, size = TaskContext.get().partitionId(), 0, [], [], 0
 
         def close() -> pa.RecordBatch:

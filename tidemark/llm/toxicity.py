@@ -27,6 +27,8 @@ from .common import fold, fresh, hash_share, prepare, stored
 
 #: Labelled rows the classifier is fitted on, at most; taken by smallest hash of the id.
 FIT_ROWS = 20_000
+#: Entries of the fitted rows that one step of the fit computes on at a time.
+FIT_ENTRIES = 1 << 17
 #: Features kept, by how far their presence tells the labels apart.
 FEATURES = 6_000
 PREFIXES = (4, 5, 6)
@@ -148,20 +150,30 @@ def fit(rows: DataFrame, groups: Sequence[Sequence[str]] = IDENTITY_TERMS, penal
     # The share leaves a few more rows than wanted, so that only few are turned and sorted.
     sample = rows.filter(hash_share(1.1 * FIT_ROWS / max(rows.count(), 1), "doc_id", "text"))
     sample = sample.select(F.xxhash64("doc_id", "text").alias("h"), "y", vectors("text").alias("v"))
-    got = sample.orderBy("h", "y").limit(FIT_ROWS).toPandas()
-    y = got["y"].to_numpy(np.float64)
+    got = sample.orderBy("h", "y").limit(FIT_ROWS).toArrow()
+    y = got.column("y").to_numpy().astype(np.float64)
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1)
         return Model({}, float(np.log(share / (1 - share))))
-    plain = [np.asarray(v[0], np.int64) for v in got["v"]]
-    pairs = [(i, np.asarray(s, np.int64)) for i, v in enumerate(got["v"]) for s in v[1:]]
+    of_row = got.column("v").combine_chunks()
+    columns, ends, starts = of_row.values.values.to_numpy(), of_row.values.offsets.to_numpy(), of_row.offsets.to_numpy()
+    sets = [columns[a:b] for a, b in zip(ends, ends[1:])]
+    plain = [sets[a] for a in starts[:-1]]
+    pairs = [(i, sets[k]) for i, (a, b) in enumerate(zip(starts, starts[1:])) for k in range(a + 1, b)]
     scale = np.array(list(vocab.values()))
     weights, bias = _descend(plain, y, pairs, scale, penalty)
     return Model({f: float(w) for f, w in zip(vocab, weights) if w}, float(bias))
 
 
-def _rows(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate([*sets, np.empty(0, np.int64)])
+def _parts(sets: list[np.ndarray]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of sets with about ``FIT_ENTRIES`` entries: first set, number of sets, and of each entry the set within the run and the column."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    run = (np.cumsum(sizes) - sizes) // FIT_ENTRIES
+    edges = [*np.flatnonzero(np.diff(run, prepend=-1)).tolist(), len(sets)]
+    return [
+        (a, b - a, np.repeat(np.arange(b - a, dtype=np.int32), sizes[a:b]), np.concatenate(sets[a:b], dtype=np.int32))
+        for a, b in zip(edges, edges[1:])
+    ]
 
 
 def _descend(plain, y, pairs, scale, penalty, steps: int = 300, ridge: float = RIDGE, rate: float = 0.1):
@@ -171,30 +183,38 @@ def _descend(plain, y, pairs, scale, penalty, steps: int = 300, ridge: float = R
     pay more for the same weight; returns weights for presence.
     """
     n = len(scale)
-    r, c = _rows(plain)
+    own = _parts(plain)
     which = np.array([i for i, _ in pairs], np.int64)
-    r2, c2 = _rows([s for _, s in pairs])
+    other = _parts([s for _, s in pairs])
     share = y.mean()
     importance = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)) ** 0.5
     importance /= importance.sum()
-    x, x2 = scale[c], scale[c2]
     w = np.zeros(n + 1)
     m, v = np.zeros(n + 1), np.zeros(n + 1)
 
-    def scores(rows, cols, values, count):
-        return 1 / (1 + np.exp(-np.clip(np.bincount(rows, w[cols] * values, count) + w[n], -30, 30)))
+    def scores(parts, count):
+        total = np.zeros(count)
+        for at, k, r, c in parts:
+            total[at : at + k] = np.bincount(r, w[c] * scale[c], k)
+        return 1 / (1 + np.exp(-np.clip(total + w[n], -30, 30)))
+
+    def gradient(parts, g):
+        total = np.zeros(n)
+        for at, k, r, c in parts:
+            np.add.at(total, c.astype(np.intp), g[at : at + k][r] * scale[c])
+        return total
 
     for step in range(1, steps + 1):
-        p = scores(r, c, x, len(y))
+        p = scores(own, len(y))
         g = importance * (p - y)
         if len(which):
-            p2 = scores(r2, c2, x2, len(which))
+            p2 = scores(other, len(which))
             change = 2 * penalty / len(y) * (p[which] - p2)
             g = g + np.bincount(which, change, len(y)) * p * (1 - p)
             g2 = -change * p2 * (1 - p2)
-        grad = np.append(np.bincount(c, g[r] * x, n), g.sum())
+        grad = np.append(gradient(own, g), g.sum())
         if len(which):
-            grad += np.append(np.bincount(c2, g2[r2] * x2, n), g2.sum())
+            grad += np.append(gradient(other, g2), g2.sum())
         grad[:n] += ridge * w[:n]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
