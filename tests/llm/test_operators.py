@@ -272,6 +272,58 @@ def test_bucket_pointers_sort():
     assert len(set(zip(numbers.tolist(), strings))) == len(set(numbers.tolist())) == len(set(strings))
 
 
+def test_bucket_pointers_sort_only_what_strings_reach(monkeypatch):
+    """Of strips with four strings each, the rounds sort fewer positions together than two passes over the bytes would."""
+    rng = np.random.default_rng(7)
+    data = np.concatenate([rng.integers(97, 99, 203)] * 30 + [rng.integers(97, 99, 203) for _ in range(30)]).astype(np.uint8)
+    starts = (np.arange(60)[:, None] * 203 + np.arange(4)).reshape(-1)
+    sizes, unique, lexsort = [], np.unique, np.lexsort
+    monkeypatch.setattr(np, "unique", lambda x, **more: (sizes.append(len(x)), unique(x, **more))[1])
+    monkeypatch.setattr(np, "lexsort", lambda keys: (sizes.append(len(keys[0])), lexsort(keys))[1])
+    numbers = repeats.refine(data, starts, 200)
+    monkeypatch.undo()
+    strings = [data[s : s + 200].tobytes() for s in starts]
+    assert len(set(zip(numbers.tolist(), strings))) == len(set(numbers.tolist())) == len(set(strings)) == 4 + 120
+    assert sum(sizes) < 2 * len(data)
+
+
+def test_anchors_of_texts_together():
+    """Texts handled together have the runs that each has alone, and these hold every window once."""
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(97, 100, n).astype(np.uint8) for n in (200, 3000, 201, 777)] + [np.full(900, 97, np.uint8)]
+    together = repeats.anchors(np.concatenate(texts), np.array([len(t) for t in texts]), 200, 32)
+    for i, t in enumerate(texts):
+        own = [c[together[0] == i].tolist() for c in together[1:]]
+        alone = repeats.anchors(t, np.array([len(t)]), 200, 32)
+        assert own == [c.tolist() for c in alone[1:]]
+        assert [w for f, n in zip(own[2], own[3]) for w in range(f, f + n)] == list(range(len(t) - 199))
+
+
+def test_repeats_of_texts_in_pieces(spark):
+    """Texts longer than what anchors are chosen in at a time, cut at other places in each copy."""
+    rng = random.Random(9)
+    body = "".join(rng.choices("abcdefgh ", k=repeats.PIECE + 5000))
+    rows = [(1, body, "a"), (2, "x" * 77 + body[60_000:] + "y" * 300, "a"), (3, prose(3, 60) + body[-4000:-1000], "a")]
+    result = [tuple(r) for r in repeats.without_repeats(table(spark, rows)).select(*REPEATS).collect()]
+    assert ranked(result) == ranked(plain_repeats(rows, 200))
+
+
+def test_merged_ranges():
+    rng = np.random.default_rng(10)
+    of, a = rng.integers(0, 20, 200) * 2, rng.integers(0, 900, 200)
+    b = a + rng.integers(1, 30, 200)
+    expected = []
+    for i in sorted(set(of.tolist())):
+        hit = np.zeros(1000, bool)
+        for x, y in zip(a[of == i], b[of == i]):
+            hit[x:y] = True
+        turns = np.flatnonzero(np.diff(hit.astype(int), prepend=0))
+        expected += [(i, x, y) for x, y in turns.reshape(-1, 2).tolist()]
+    assert list(zip(*(c.tolist() for c in repeats.merged(of, a, b)))) == expected
+    empty = np.empty(0, np.int64)
+    assert [len(c) for c in repeats.merged(empty, empty, empty)] == [0, 0, 0]
+
+
 # Token ids
 
 

@@ -18,9 +18,10 @@ needs, so the suffixes are bucketed and refined only where buckets stay large:
    of each class goes on to narrower strips, whose cores reach further.
 3. **Bucket-pointer refinement proper.** What is left shares all but a few bytes.
    Its windows are sorted by bucket pointers: positions are bucketed by their
-   first bytes; a bucket of several positions is refined by the bucket numbers
-   at a later offset, whose depth is what has been sorted so far, so each round
-   reuses all earlier updates and doubles the depth until ``LENGTH`` is covered.
+   first bytes; buckets are refined by the bucket numbers at a later offset,
+   whose depth is what has been sorted so far, so each round reuses the earlier
+   ones and doubles the depth until ``LENGTH`` is covered. A round sorts only
+   the positions that the windows still reach.
 
 Counts are aggregated before they are shuffled and a class goes on with one
 member, so neither thousands of copies of a text nor a passage found in a third
@@ -34,13 +35,14 @@ present; hashes of runs and q-grams have 64 bits each and are compared together.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import scratch_folder
 from ..sources.swap import remove
@@ -48,8 +50,10 @@ from .common import prepare, stored, text_bytes
 
 LENGTH = 200
 GRAM = 32
-#: Bytes of one text handled at a time when anchors are chosen; pieces overlap, so no window is missed.
-PIECE = 4 << 20
+#: Bytes handled at a time when anchors are chosen: short texts go together, long ones in pieces that overlap, so no window is missed.
+PIECE = 1 << 17
+#: Stretches cut into strips at a time.
+STRETCHES = 1024
 #: Windows of a strip, level by level, and bytes that a task sorts at once.
 STRIPS = (24, 4)
 SORT_BYTES = 4 << 20
@@ -93,55 +97,71 @@ def _hashes(sums: np.ndarray, down: np.ndarray, starts: np.ndarray, ends: np.nda
 
 
 def _slide_min(x: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of each ``width`` consecutive values."""
-    n = len(x) - width + 1
-    padded = np.full(-(-len(x) // width) * width, np.iinfo(np.uint64).max, np.uint64)
-    padded[: len(x)] = x
-    blocks = padded.reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, axis=1).reshape(-1)
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
-
-
-def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor: hash of its q-gram, hash of the run, first window, windows, offset of the anchor."""
-    places = len(data) - gram + 1
-    windows = len(data) - length + 1
+    """Minimum of each ``width`` consecutive values: minima of 2, 4, 8, ... values, the last two may overlap."""
+    reach = 1
+    while reach < width:
+        step = min(reach, width - reach)
+        x = np.minimum(x[:-step], x[step:])
+        reach += step
+    return x
+
+
+def anchors(data: np.ndarray, sizes: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Runs of windows with one anchor, in pieces of ``sizes`` bytes (``length`` at least) that stand one after the other.
+
+    Piece, hash of the anchor's q-gram, hash of the run, first window in the piece, windows, offset of the anchor.
+    """
     sums, down = _sums(data)
-    at = np.arange(places)
-    grams = _hashes(sums, down, at, at + gram)
+    places = len(data) - gram + 1
+    grams = _mix((sums[gram:] - sums[:-gram]) * down[:places])
     low = np.uint64(PIECE * 2 - 1)
-    keyed = (grams & ~low) | at.astype(np.uint64)
-    chosen = (_slide_min(keyed, length - gram + 1) & low).astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
-    anchor = chosen[first]
-    count = np.diff(np.append(first, windows))
+    least = _slide_min((grams & ~low) | np.arange(places, dtype=np.uint64), length - gram + 1)
+    begins = np.cumsum(sizes) - sizes
+    stops = begins + sizes - length + 1
+    # Runs end where the anchor changes and where pieces end; windows across two pieces are dropped.
+    edges = np.unique(np.concatenate([np.flatnonzero(least[1:] != least[:-1]) + 1, begins, stops]))
+    first, count = edges[:-1], np.diff(edges)
+    piece = np.searchsorted(begins, first, "right") - 1
+    inside = first < stops[piece]
+    piece, first, count = piece[inside], first[inside], count[inside]
+    anchor = (least[first] & low).astype(np.int64)
     runs = _hashes(sums, down, first, first + count + length - 1)
     # The place of the anchor in the run tells apart runs of equal bytes but different anchors.
     runs = _mix(runs + (anchor - first).astype(np.uint64) * _BASE)
-    return grams[anchor], runs, first, count, anchor - first
+    return piece, grams[anchor], runs, first - begins[piece], count, anchor - first
+
+
+def _pieces(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Number of the text, start and bytes of pieces, as many together as ``PIECE`` allows."""
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        for start in range(0, max(len(text) - length + 1, 0), PIECE):
+            part = text[start : start + PIECE + length - 1]
+            if held and size + len(part) > PIECE + length - 1:
+                yield held
+                held, size = [], 0
+            held.append((i, start, part))
+            size += len(part)
+    if held:
+        yield held
 
 
 def _anchor_rows(length: int, gram: int):
+    names = ["gram", "run", "k1", "k2", "first", "windows", "offset"]
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, keys = [], []
-            for k1, k2, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for start in range(0, max(len(text) - length + 1, 0), PIECE):
-                    piece = np.frombuffer(text, np.uint8)[start : start + PIECE + length - 1]
-                    grams, runs, first, count, offset = anchors(piece, length, gram)
-                    found.append((grams, runs, first + start, count, offset))
-                    keys.append((k1, k2, len(grams)))
-            if not found:
-                continue
-            grams, runs, first, count, offset = map(np.concatenate, zip(*found))
-            k1, k2, n = (np.array(k, np.int64) for k in zip(*keys))
-            columns = [
-                grams.view(np.int64), runs.view(np.int64), np.repeat(k1, n), np.repeat(k2, n),
-                first, count.astype(np.int32), offset.astype(np.int32),
-            ]
-            names = ["gram", "run", "k1", "k2", "first", "windows", "offset"]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+            k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for held in _pieces(batch.column(2).to_pylist(), length):
+                text, start = (np.array([h[i] for h in held], np.int64) for i in (0, 1))
+                data = np.frombuffer(b"".join([h[2] for h in held]), np.uint8)
+                sizes = np.array([len(h[2]) for h in held], np.int64)
+                piece, grams, runs, first, count, offset = anchors(data, sizes, length, gram)
+                columns = [
+                    grams.view(np.int64), runs.view(np.int64), k1[text[piece]], k2[text[piece]],
+                    first + start[piece], count.astype(np.int32), offset.astype(np.int32),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     return rows
 
@@ -152,89 +172,100 @@ ANCHORS = "gram long, run long, k1 long, k2 long, first long, windows int, offse
 def refine(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """Bucket numbers of the strings of ``length`` bytes at ``starts``: equal numbers for equal strings.
 
-    Every position of ``data`` gets a bucket by its first four bytes. Round by
-    round a bucket is refined by the bucket of the position as many bytes
-    later as have been sorted; positions alone in their bucket keep it.
-    Positions near the end are sorted as if followed by zeros, which the
-    strings asked for never reach.
+    Positions get buckets by their first eight bytes. Round by round a bucket
+    is refined by the bucket of the position as many bytes later as have been
+    sorted. Each round sorts only the positions that a later one looks at, so
+    far fewer than ``data`` has.
     """
-    n = len(data)
-    tail = np.zeros(n + length + 8, np.uint8)
-    tail[:n] = data
-    word = tail[:n].astype(np.uint32)
-    for i in (1, 2, 3):
-        word = word << np.uint32(8) | tail[i : n + i]
-    _, pointer = np.unique(word, return_inverse=True)
-    pointer = pointer.astype(np.int64)
-    depth = 4
+    depth, steps = min(8, length), []
     while depth < length:
         # The last step may overlap what is sorted: the depth need not pass the length.
-        step = min(depth, length - depth)
-        sizes = np.bincount(pointer)
-        open_ = np.flatnonzero(sizes[pointer] > 1)
-        if not len(open_):
-            break
-        later = open_ + step
-        beyond = np.where(later < n, pointer[np.minimum(later, n - 1)] + 1, 0)
-        order = np.lexsort((beyond, pointer[open_]))
-        a, b = pointer[open_][order], beyond[order]
-        new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-        # Numbers of refined buckets start above all that are in use, so those left alone keep theirs.
-        fresh = pointer.copy()
-        fresh[open_[order]] = len(sizes) + np.cumsum(new) - 1
-        _, pointer = np.unique(fresh, return_inverse=True)
-        depth += step
-    return pointer[starts]
+        steps.append(min(depth, length - depth))
+        depth += steps[-1]
+    asked = np.zeros(len(data) + 1, bool)
+    asked[starts] = True
+    rounds = [np.flatnonzero(asked)]
+    for step in reversed(steps):
+        asked[rounds[-1] + step] = True
+        rounds.append(np.flatnonzero(asked))
+    at = rounds.pop()
+    word = np.zeros(len(at), np.uint64)
+    for i in range(min(8, length)):
+        word = word << np.uint64(8) | data[at + i]
+    pointer = np.zeros(len(asked), np.uint64)
+    pointer[at] = np.unique(word, return_inverse=True)[1]
+    for step in steps:
+        at = rounds.pop()
+        pairs = pointer[at] * np.uint64(len(asked)) + pointer[at + step]
+        pointer[at] = np.unique(pairs, return_inverse=True)[1]
+    return pointer[starts].astype(np.int64)
 
 
 STRIP_ROWS = "gram long, strip int, core long, whole long, run long, lead int, windows int, offset int, bytes binary"
 
 
 def _strips(length: int, width: int):
-    """Cut stretches (gram, run, lead, windows, offset, bytes) into strips of ``width`` offsets of the anchor."""
+    """Cut stretches into strips of ``width`` offsets of the anchor.
+
+    Of stretches come the bytes that hold them, then for each the number of its bytes, its start in them and its
+    gram, run, lead, windows and offset.
+    """
     names = ["gram", "strip", "core", "whole", "run", "lead", "windows", "offset", "bytes"]
-    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    number = xxhash.xxh64_intdigest
 
-    def number(data: bytes, seed: int) -> int:
-        h = xxhash.xxh64_intdigest(data, seed)
-        return h - (1 << 64) if h >> 63 else h
+    def hashes(values: Iterable[int]) -> np.ndarray:
+        return np.fromiter(values, np.uint64).view(np.int64)
 
-    def cut(gram, run, lead, windows, offset, data) -> Iterator[tuple]:
+    def cut(texts: list[bytes], of: np.ndarray, start: np.ndarray, *more: np.ndarray) -> pa.RecordBatch:
+        gram, run, lead, windows, offset = more
         # The window i after the first of the stretch has its anchor at offset - i.
         low = offset - (windows - 1)
-        for at in range(low // width, offset // width + 1):
-            top, bottom = min(offset, at * width + width - 1), max(low, at * width)
-            skip, n = offset - top, top - bottom + 1
-            part = data[skip : skip + n + length - 1]
-            # Bytes that every window of a full strip covers, as seen from this one.
-            begin = top - at * width
-            core = part[begin : begin + length - width + 1]
-            whole = number(part, top * 65536 + bottom)
-            yield gram, at, number(core, 0), whole, run, lead + skip, n, top, part
+        strips = offset // width - low // width + 1
+        row = np.repeat(np.arange(len(of)), strips)
+        at = low[row] // width + np.arange(len(row)) - np.repeat(np.cumsum(strips) - strips, strips)
+        top, bottom = np.minimum(offset[row], at * width + width - 1), np.maximum(low[row], at * width)
+        skip, n = offset[row] - top, top - bottom + 1
+        begin = start[row] + skip
+        owners = of[row].tolist()
+        parts = [texts[i][a:b] for i, a, b in zip(owners, begin.tolist(), (begin + n + length - 1).tolist())]
+        # Bytes that every window of a full strip covers, as seen from this one.
+        shift = top - at * width
+        core = hashes(number(p[a:b], 0) for p, a, b in zip(parts, shift.tolist(), (shift + length - width + 1).tolist()))
+        whole = hashes(number(p, seed) for p, seed in zip(parts, (top * 65536 + bottom).tolist()))
+        small = (x.astype(np.int32) for x in (lead[row] + skip, n, top))
+        columns = [gram[row], at.astype(np.int32), core, whole, run[row], *small, pa.array(parts, pa.binary())]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    def several(texts: list[bytes], *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        columns = [c.astype(np.int64) for c in columns]
+        for i in range(0, len(columns[0]), STRETCHES):
+            yield cut(texts, *(c[i : i + STRETCHES] for c in columns))
+
+    return several
+
+
+def _strips_of_runs(length: int, width: int):
+    """The strips of a text's runs: rows (t, runs)."""
+    strips = _strips(length, width)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [strip for row in zip(*(c.to_pylist() for c in batch.columns)) for strip in cut(*row)]
-            columns = list(zip(*out)) if out else [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+            runs = batch.column(1)
+            of = np.repeat(np.arange(len(runs)), runs.value_lengths().to_numpy())
+            gram, run, first, windows, offset = (c.to_numpy() for c in runs.flatten().flatten())
+            yield from strips(batch.column(0).to_pylist(), of, first, gram, run, np.zeros_like(of), windows, offset)
 
     return rows
 
 
-def _bytes_of_runs(length: int):
-    """The bytes of a text's runs: (t, runs) to (gram, run, lead, windows, offset, bytes)."""
+def _strips_of_strips(length: int, width: int):
+    """Narrower strips of strips: rows (bytes, gram, run, lead, windows, offset)."""
+    strips = _strips(length, width)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
         for batch in batches:
-            for text, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                out = [
-                    (r["gram"], r["run"], 0, r["windows"], r["offset"], text[r["first"] : r["first"] + r["windows"] + length - 1])
-                    for r in runs
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), types)], names=["gram", "run", "lead", "windows", "offset", "bytes"]
-                )
+            of = np.arange(batch.num_rows)
+            yield from strips(batch.column(0).to_pylist(), of, np.zeros_like(of), *(c.to_numpy() for c in batch.columns[1:]))
 
     return rows
 
@@ -294,6 +325,11 @@ def _several(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*keys)
 
 
+def _one(*columns: str) -> list[Column]:
+    """The columns of one row of a group; a hash aggregate holds them, as it does not the least of a struct."""
+    return [F.first(c).alias(c) for c in columns]
+
+
 def _held(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` stored in a folder of its own, and that folder, to be removed as soon as nothing reads it any more."""
     with scratch_folder(df.sparkSession, name) as path:
@@ -309,36 +345,34 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     found, found_at = _held(texts.select("k1", "k2", "t").mapInArrow(_anchor_rows(length, gram), ANCHORS), "anchors")
     held, held_at = _held(found.join(_several(found, ["gram"]), "gram", "left_semi"), "buckets")
     remove(spark, found_at)
-    one = F.min(F.struct("k1", "k2", "first", "windows", "offset")).alias("one")
-    classes, classes_at = _held(held.groupBy("gram", "run").agg(F.count(F.lit(1)).alias("members"), one), "classes")
-    mark = classes.filter("members > 1").select("gram", "run", F.lit(0).alias("lead"), F.col("one.windows").alias("windows"))
+    members = F.count(F.lit(1)).alias("members")
+    classes, classes_at = _held(held.groupBy("gram", "run").agg(members, *_one("k1", "k2", "first", "windows", "offset")), "classes")
+    mark = classes.filter("members > 1").select("gram", "run", F.lit(0).alias("lead"), "windows")
     marks = [_held(mark, "marks")]
 
     vary = classes.join(_several(classes, ["gram"]), "gram", "left_semi")
-    wanted = vary.select("one.k1", "one.k2", F.struct("gram", "run", "one.first", "one.windows", "one.offset").alias("r"))
+    wanted = vary.select("k1", "k2", F.struct("gram", "run", "first", "windows", "offset").alias("r"))
     wanted = wanted.groupBy("k1", "k2").agg(F.collect_list("r").alias("runs"))
     # One row of each text: copies are dropped in their tasks, before the shuffle that the join needs anyway.
     turn = F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.lit(0)))
     once = texts.select("k1", "k2", "t", turn.alias("turn")).filter("turn = 1")
     rows = once.join(wanted, ["k1", "k2"]).select("t", "runs")
-    rows = rows.mapInArrow(_bytes_of_runs(length), "gram long, run long, lead int, windows int, offset int, bytes binary")
 
-    bucket, read = ["gram", "strip", "core"], [classes_at]
+    bucket, read, cut = ["gram", "strip", "core"], [classes_at], _strips_of_runs
     for width in STRIPS:
-        strips = rows.select("gram", "run", "lead", "windows", "offset", "bytes").mapInArrow(_strips(length, width), STRIP_ROWS)
-        strips, strips_at = _held(strips, "strips")
+        strips, strips_at = _held(rows.mapInArrow(cut(length, width), STRIP_ROWS), "strips")
         for path in read:
             remove(spark, path)
-        kinds = strips.groupBy(*bucket, "whole").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("run", "lead")).alias("one"))
-        kinds, kinds_at = _held(kinds, "kinds")
+        kinds, kinds_at = _held(strips.groupBy(*bucket, "whole").agg(members, *_one("run", "lead")), "kinds")
         read = [strips_at, kinds_at]
         full = kinds.filter("members > 1").select(*bucket, "whole")
         marks.append(_held(strips.join(full, [*bucket, "whole"], "left_semi").select("gram", "run", "lead", "windows"), "marks"))
-        left = kinds.join(_several(kinds, bucket), bucket, "left_semi").select(*bucket, "one.run", "one.lead")
-        rows = strips.join(left, [*bucket, "run", "lead"], "left_semi")
+        left = kinds.join(_several(kinds, bucket), bucket, "left_semi").select(*bucket, "run", "lead")
+        left = strips.join(left, [*bucket, "run", "lead"], "left_semi")
+        rows, cut = left.select("bytes", "gram", "run", "lead", "windows", "offset"), _strips_of_strips
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select("gram", "run", "lead", "windows", "bytes", "strip", "core").repartition(tasks, *bucket)
+    dealt = left.select("gram", "run", "lead", "windows", "bytes", "strip", "core").repartition(tasks, *bucket)
     dealt = dealt.sortWithinPartitions(*bucket)
     marks.append(_held(dealt.mapInArrow(_sort_strips(length, SORT_BYTES), "gram long, run long, lead int, windows int"), "marks"))
     for path in read:
@@ -354,25 +388,26 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     return ranges
 
 
-def _merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    merged: list[list[int]] = []
-    for a, b in sorted(ranges):
-        if merged and a <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], b)
-        else:
-            merged.append([a, b])
-    return [(a, b) for a, b in merged]
+def merged(of: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges from ``a`` to ``b`` of the texts ``of``, joined where they touch or overlap, in order."""
+    order = np.lexsort((a, of))
+    of, a, b = of[order], a[order], b[order]
+    # Ends of later texts lie above all of earlier ones.
+    far = of * (int(b.max(initial=0)) + 1)
+    reach = np.maximum.accumulate(far + b)
+    opens = np.flatnonzero(np.concatenate([[True], far[1:] + a[1:] > reach[:-1]])[: len(of)])
+    closes = np.append(opens, len(of))[1:] - 1
+    return of[opens], a[opens], (reach - far)[closes]
 
 
-def keep(text: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """The text without the ranges, the bytes removed, and the number of maximal removed runs."""
-    merged = _merge(ranges)
+def keep(text: bytes, ranges: list[tuple[int, int]]) -> bytes:
+    """The text without the ranges, which are apart and in order."""
     parts, at = [], 0
-    for a, b in merged:
+    for a, b in ranges:
         parts.append(text[at:a])
         at = b
     parts.append(text[at:])
-    return b"".join(parts), sum(b - a for a, b in merged), len(merged)
+    return b"".join(parts)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -391,14 +426,19 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
 
     @F.arrow_udf("struct<kept:binary,n_removed:long,n_spans:long>")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        out = []
-        for text, own in zip(texts.to_pylist(), spans.to_pylist()):
-            if own is None:
-                out.append(None)
-                continue
-            kept, removed, runs = keep(text, [(r["a"], r["b"]) for r in own])
-            out.append({"kept": kept, "n_removed": removed, "n_spans": runs})
-        return pa.array(out, pa.struct([("kept", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64())]))
+        sizes = pc.fill_null(spans.value_lengths(), 0).to_numpy()
+        rows = np.repeat(np.arange(len(sizes)), sizes)
+        of, a, b = merged(rows, *(c.to_numpy().astype(np.int64) for c in spans.flatten().flatten()))
+        n_spans = np.bincount(of, minlength=len(sizes))
+        ends = np.cumsum(n_spans)
+        gone = np.concatenate([[0], np.cumsum(b - a)])
+        ranges = list(zip(a.tolist(), b.tolist()))
+        kept = [
+            keep(text, ranges[end - n : end]) if n else text
+            for text, n, end in zip(texts.to_pylist(), n_spans.tolist(), ends.tolist())
+        ]
+        columns = [pa.array(kept, pa.binary()), pa.array(gone[ends] - gone[ends - n_spans]), pa.array(n_spans)]
+        return pa.StructArray.from_arrays(columns, names=["kept", "n_removed", "n_spans"])
 
     # Texts without a repeat stay as they are and never leave the JVM.
     touched = F.when(F.col("ranges").isNotNull(), F.col("t"))
