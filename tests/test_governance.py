@@ -223,3 +223,51 @@ def test_wide_grants_are_not_spread(spark):
     got = g.effective_access(grants, tree, members, {"USE CATALOG": [], "SELECT": []})
     assert "Exchange hashpartitioning(user" not in got._jdf.queryExecution().executedPlan().toString()
     assert got.count() == 9_000_000
+
+
+def _bytes(paths, wanted):
+    import os
+
+    return sum(os.path.getsize(f"{top}/{x}") for path in paths for top, _, names in os.walk(path) for x in names if wanted(x))
+
+
+def test_grants_that_tell_nothing_take_no_disk_for_long(spark):
+    """150,000 grants on objects whose parents nobody may use: neither their table nor their shuffle files stay."""
+    import time
+    from urllib.parse import urlparse
+
+    from tidemark.session import scratch_folder
+
+    dirs = [d.getAbsolutePath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return _bytes(dirs, lambda x: x.startswith("shuffle_") and x.endswith(".data"))
+
+    members = spark.range(3000).selectExpr("concat('u', id) AS user", "explode(array(concat('u', id), 'all')) AS principal")
+    tree = spark.range(3000).selectExpr("concat('t', id) AS object", "explode(array(concat('t', id), 's' || id % 7)) AS ancestor")
+    grants = spark.range(150_000).selectExpr("concat('u', id % 3000) AS principal", "'SELECT' AS privilege", "concat('t', id * 7919 % 2999) AS object")
+    grants = grants.unionAll(spark.createDataFrame([("u1", "USE SCHEMA", "s1"), ("u2", "USE SCHEMA", "s2")], grants.schema))
+    before = shuffled()
+    with scratch_folder(spark, "test") as path:
+        got = g.effective_access(grants, tree, members, {"USE SCHEMA": [], "SELECT": []})
+    for _ in range(50):  # files are deleted behind the scenes
+        if shuffled() - before < 300_000:
+            break
+        time.sleep(0.1)
+    assert shuffled() - before < 300_000
+    assert _bytes([urlparse(path).path], lambda x: x.endswith(".parquet")) < 300_000
+    place = F.expr("int(substr(object, 2)) % 7")
+    want = grants.filter("privilege = 'SELECT'").filter(((F.col("principal") == "u1") & (place == 1)) | ((F.col("principal") == "u2") & (place == 2)))
+    assert rows(got) == rows(want.select("principal", "object").distinct())
+
+
+def test_files_of_the_result_are_small(spark, folder):
+    """2,000 users see the 2,000 objects of one of 25 schemas each: 4 million rows of repeated values."""
+    from urllib.parse import urlparse
+
+    members = spark.range(2000).selectExpr("concat('u', id) AS user", "explode(array(concat('u', id), 'all')) AS principal")
+    tree = spark.range(50_000).selectExpr("concat('t', id) AS object", "explode(array(concat('t', id), 's' || id % 25)) AS ancestor")
+    grants = spark.range(2000).selectExpr("concat('u', id) AS principal", "'SELECT' AS privilege", "concat('s', pmod(xxhash64(id), 25)) AS object")
+    g.effective_access(grants, tree, members, {"SELECT": []}).write.parquet(folder)
+    assert spark.read.parquet(folder).distinct().count() == 4_000_000
+    assert _bytes([urlparse(folder).path], lambda x: x.endswith(".parquet")) < 4_000_000
