@@ -271,3 +271,27 @@ def test_files_of_the_result_are_small(spark, folder):
     g.effective_access(grants, tree, members, {"SELECT": []}).write.parquet(folder)
     assert spark.read.parquet(folder).distinct().count() == 4_000_000
     assert _bytes([urlparse(folder).path], lambda x: x.endswith(".parquet")) < 4_000_000
+
+
+def test_one_list_at_a_time(access, spark):
+    """Spark holds all that a row becomes in one run of generated code: no list of objects is spread there together with another list."""
+    grants, tree, members = access
+    more = grants.unionAll(spark.createDataFrame([("team", "BROWSE", "catalog"), ("bob", "ALL PRIVILEGES", "schema")], grants.schema))
+
+    def below(node):
+        for i in range(node.children().size()):
+            child = node.children().apply(i)
+            if child.nodeName() not in ("Union", "Repartition", "RepartitionByExpression"):
+                yield child
+                yield from below(child)
+
+    def every(node):
+        yield node
+        for i in range(node.children().size()):
+            yield from every(node.children().apply(i))
+
+    df = g.access_levels(more, tree, members)
+    lists = [n for n in every(df._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Generate"]
+    together = [(a.simpleString(200), b.simpleString(200)) for a in lists for b in below(a) if b.nodeName() == "Generate"]
+    assert any("_objects" in n.simpleString(200) for n in lists)
+    assert not [p for p in together if "explode(_objects" in p[0] + p[1]]
